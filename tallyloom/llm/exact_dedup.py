@@ -17,15 +17,15 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pref
     Lengths and prefix hashes come from a first pass and shuffle as counts. The (length, prefix) groups of more than one
     row reach the second pass as a bitmap of fixed size, and only rows whose bit is set get a full hash. A bit set by
     chance costs one more hash and changes no result."""
-    text = ascii_lower(whole_text(text_col))
-    keyed = docs.select("*", F.length(text).alias("dd_len"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("dd_prefix"))
+    text = whole_text(text_col)  # lower-casing A-Z changes no length
+    keyed = docs.select("*", F.length(text).alias("dd_len"), F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))).alias("dd_prefix"))
     prefixes = keyed.groupBy("dd_len", "dd_prefix").agg(F.count(F.lit(1)).alias("n"))
     lengths = prefixes.groupBy("dd_len").agg(F.sum("n").alias("n_len")).filter("n_len > 1")
     surviving = prefixes.filter("n > 1").join(lengths, "dd_len", "left_semi")
     pair = F.struct("dd_len", "dd_prefix")
     members = bitmap(surviving.select(pair.alias("k")), "k", filter_bits)
     out = maybe_in(keyed, pair, members, filter_bits, "dd_maybe")
-    return out.withColumn("dd_full", F.when(F.col("dd_maybe"), F.sha2(text, 256))).drop("dd_maybe")
+    return out.withColumn("dd_full", F.when(F.col("dd_maybe"), F.sha2(ascii_lower(text), 256))).drop("dd_maybe")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), **how) -> DataFrame:

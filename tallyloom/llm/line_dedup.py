@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, ascii_lower, bitmap, maybe_in, whole_text, written
+from .common import SPACE_RUN, bitmap, maybe_in, whole_text, written
 
 #: Counters of the frequency sketch. Its size doesn't depend on the corpus; a collision only changes the order of tokens.
 COUNTERS = 1 << 16
@@ -18,24 +20,24 @@ LAST_ID = (1 << 63) - 1
 
 
 def tokens(line: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(line), SPACE_RUN), "")
+    """Words of a lower-cased line, and an empty one where white space begins or ends it."""
+    return F.split(line, SPACE_RUN)
 
 
 def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, line_no (from 0), line; null ids rank last."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), whole_text(text_col).alias("text"))
+    """doc, line_no (from 0), lower-cased line; null ids rank last."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.lower(whole_text(text_col)).alias("text"))
     return rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def line_key(line: Column) -> list[Column]:
-    """Two hashes of the lower-cased line, together 128 bits."""
-    low = ascii_lower(line)
-    return [F.xxhash64(low).alias("k1"), F.xxhash64(F.lit(1), low).alias("k2")]
+    """Two hashes of a lower-cased line, together 128 bits."""
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
 
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
     """An array of COUNTERS classes (floor of log2 of a counter) from the counts of all words of all texts."""
-    words = docs.select(F.explode(tokens(whole_text(text_col))).alias("w")).select(F.expr(f"xxhash64(w) & {COUNTERS - 1}").alias("c"))
+    words = docs.select(F.explode(tokens(F.lower(whole_text(text_col)))).alias("w")).select(F.expr(f"xxhash64(w) & {COUNTERS - 1}").alias("c"))
     counts = {r["c"]: r["count"] for r in words.groupBy("c").count().collect()}  # at most COUNTERS rows
     classes = [counts.get(k, 0).bit_length() for k in range(COUNTERS)]
     return F.from_json(F.lit(str(classes)), "array<int>")
@@ -43,7 +45,7 @@ def rarity(docs: DataFrame, text_col: str) -> Column:
 
 def codes(line: Column, classes: Column) -> Column:
     """The line's distinct tokens, rarest first: 6 bits of class above 57 bits of hash."""
-    hashes = F.transform(tokens(line), lambda w: F.xxhash64(w))
+    hashes = F.array_remove(F.transform(tokens(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
     code = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(h.bitwiseAND(F.lit((1 << 57) - 1))))
     return F.sort_array(F.array_distinct(code))
 
@@ -56,20 +58,10 @@ def parity(half: int) -> Column:
     return F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: F.when(c.bitwiseAND(F.lit(64)) == 64 * half, a.bitwiseXOR(bit(c))).otherwise(a))
 
 
-def need(a: str, b: str) -> Column:
-    """Shared tokens that a Jaccard similarity of 0.75 asks for."""
-    return F.expr(f"(3 * ({a} + {b}) + 6) div 7")
-
-
-def may_match(a: str = "a", b: str = "b") -> Column:
-    """Length filter and parity filter; both only reject pairs that can't reach the threshold."""
-    na, nb = f"{a}.n", f"{b}.n"
-    lengths = (F.expr(f"4 * {na} >= 3 * {nb}")) & (F.expr(f"4 * {nb} >= 3 * {na}"))
-    return lengths & F.expr(f"bit_count({a}.p0 ^ {b}.p0) + bit_count({a}.p1 ^ {b}.p1) <= {na} + {nb} - 2 * ((3 * ({na} + {nb}) + 6) div 7)")
-
-
-def earlier(a: str, b: str) -> Column:
-    return F.expr(f"({a}.doc < {b}.doc or ({a}.doc = {b}.doc and {a}.line_no < {b}.line_no))")
+#: Length filter and parity filter for lines a and b; both only reject pairs that can't reach the threshold.
+LENGTHS = "4 * a.n >= 3 * b.n and 4 * b.n >= 3 * a.n"
+PARITIES = "bit_count(a.p0 ^ b.p0) + bit_count(a.p1 ^ b.p1) <= a.n + b.n - 2 * ((3 * (a.n + b.n) + 6) div 7)"
+EARLIER = "(a.doc < b.doc or (a.doc = b.doc and a.line_no < b.line_no))"
 
 
 def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
@@ -79,72 +71,92 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int
     classes = rarity(docs, text_col)
     lines = numbered_lines(docs, id_col, text_col).filter(F.length("line") >= 2 * least_words - 1)
     first = lines.select(*line_key(F.col("line")), "doc", "line_no", "line").groupBy("k1", "k2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.first("line").alias("line"))
-    rows = first.select("k1", "k2", "at.doc", "at.line_no", codes(F.col("line"), classes).alias("codes"))
+    # As a generated column the codes are made once and not again for each use.
+    rows = first.select("k1", "k2", "at.doc", "at.line_no", F.explode(F.array(codes(F.col("line"), classes))).alias("codes"))
     rows = rows.withColumn("n", F.size("codes")).filter(F.col("n") >= least_words)
     # The prefix of n - ceil(0.75 n) + 1 tokens holds one that two matching lines share.
     prefix = F.slice("codes", 1, F.expr("n - (3 * n + 3) div 4 + 1"))
     return written(rows.select("k1", "k2", "doc", "line_no", "n", parity(0).alias("p0"), parity(1).alias("p1"), prefix.alias("prefix")), "lines")
 
 
-LINE = ("k1", "k2", "doc", "line_no", "n", "p0", "p1")
-
-
 def pairs_with_earliest(lines: DataFrame) -> DataFrame:
     """Each line with the earliest line that shares one of the rarest tokens. In a group of near copies this finds most
     matches in as many rows as the group has lines, and matched lines ask for no further ones."""
-    keyed = lines.select(F.explode(F.slice("prefix", 1, FIRST)).alias("code"), F.struct("doc", "line_no", "k1", "k2", "n", "p0", "p1").alias("b"))
+    keyed = lines.select(F.explode(F.slice("prefix", 1, FIRST)).alias("code"), F.struct("doc", "line_no", "n", "p0", "p1").alias("b"))
     firsts = keyed.groupBy("code").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1").select(F.col("code").alias("a_code"), "a")
-    met = keyed.join(firsts, F.col("code") == F.col("a_code")).filter(earlier("a", "b") & may_match())
+    met = keyed.join(firsts, F.col("code") == F.col("a_code")).filter(F.expr(f"{EARLIER} and {LENGTHS} and {PARITIES}"))
     return met.select("a", "b")
 
 
+def still_open(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """lines with the column open: false for those in gone. Only lines that a bitmap of fixed size can't clear are joined."""
+    key = F.struct("k1", "k2")
+    members = bitmap(gone.select(key.alias("k")), "k", FILTER_BITS)
+    flagged = maybe_in(lines, key, members, FILTER_BITS, "maybe")
+    clear = flagged.filter("not maybe").drop("maybe").withColumn("open", F.lit(True))
+    known = gone.select(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
+    unclear = flagged.filter("maybe").drop("maybe").join(known, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
+    return clear.unionByName(unclear.withColumn("open", F.col("g1").isNull()).drop("g1", "g2"))
+
+
 def pairs_by_prefix(lines: DataFrame) -> DataFrame:
-    """All pairs that share a token of both prefixes and pass the filters, where the later line is still open."""
-    entries = lines.select("k1", "k2", "doc", "line_no", "n", "p0", "p1", "open", F.posexplode("prefix").alias("i", "code"))
-    a, b = entries.alias("a"), entries.filter("open").alias("b")
-    left = F.expr("1 + least(a.n - a.i - 1, b.n - b.i - 1) >= (3 * (a.n + b.n) + 6) div 7")  # positional filter
-    met = a.join(b, (F.col("a.code") == F.col("b.code")) & left & may_match() & earlier("a", "b"))
-    place = lambda s: F.struct(*(F.col(f"{s}.{c}") for c in ("doc", "line_no", "k1", "k2", "n"))).alias(s)
-    return met.select(place("a"), place("b")).distinct()
+    """All pairs that share a token of both prefixes and pass the filters, where the later line is still open.
+
+    Both sides are the same narrow rows, so one shuffle serves both: place and size share a number, as do the token's
+    position and the flag."""
+    entries = lines.select("doc", F.expr("shiftleft(cast(line_no as bigint), 32) | n").alias("ln"), "p0", "p1", "open", F.posexplode("prefix").alias("i", "code"))
+    entries = entries.select("code", "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
+    wide = lambda s: {f"{s}.n": f"cast({s}.ln & 4294967295 as int)", f"{s}.line_no": f"shiftright({s}.ln, 32)", f"{s}.i": f"shiftright({s}.io, 1)"}
+    names = wide("a") | wide("b")
+
+    def spelled(condition: str) -> Column:
+        for name, value in names.items():
+            condition = re.sub(rf"\b{re.escape(name)}\b", value, condition)
+        return F.expr(condition)
+
+    # Positional filter; the factor is 0 for closed lines and keeps the condition in the join, behind the one shuffle.
+    left = "(b.io % 2) * (1 + least(a.n - a.i - 1, b.n - b.i - 1)) >= (3 * (a.n + b.n) + 6) div 7"
+    met = entries.alias("a").join(entries.alias("b"), (F.col("a.code") == F.col("b.code")) & spelled(EARLIER) & spelled(left) & spelled(LENGTHS) & spelled(PARITIES))
+    end = lambda s: F.struct(F.col(f"{s}.doc").alias("doc"), F.expr(f"cast(shiftright({s}.ln, 32) as int)").alias("line_no")).alias(s)
+    return met.select(end("a"), end("b")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """k1, k2 of the later lines of those pairs whose word sets have a Jaccard similarity of 0.75 or more.
 
-    Only the texts of documents that hold such lines, found by a bitmap of fixed size, cross the network."""
-    pairs = written(pairs.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("doc", "line_no", "k1", "k2"))), "line-pairs")
+    Only the texts of documents that hold such lines, found by a bitmap of fixed size, are split again."""
+    pairs = written(pairs.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("doc", "line_no"))), "line-pairs")
     ends = pairs.select(F.col("a_doc").alias("w_doc"), F.col("a_line_no").alias("w_line_no")).union(pairs.select("b_doc", "b_line_no")).distinct()
     members = bitmap(ends.select(F.col("w_doc").alias("k")), "k", FILTER_BITS)
+    places = bitmap(ends.select(F.struct("w_doc", "w_line_no").alias("k")), "k", FILTER_BITS)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
     rows = maybe_in(rows, F.col("doc"), members, FILTER_BITS, "maybe").filter("maybe").select("doc", "text")
-    lines = numbered_lines(rows, "doc", "text")
-    wanted = lines.join(ends, (F.col("doc") == F.col("w_doc")) & (F.col("line_no") == F.col("w_line_no")), "left_semi")
-    words = wanted.select(*line_key(F.col("line")), F.array_distinct(tokens(F.col("line"))).alias("words")).dropDuplicates(["k1", "k2"])
-    side = lambda s: words.select(F.col("k1").alias(f"{s}1"), F.col("k2").alias(f"{s}2"), F.col("words").alias(f"{s}_words"))
-    both = pairs.select("a_k1", "a_k2", "b_k1", "b_k2").join(side("x"), (F.col("a_k1") == F.col("x1")) & (F.col("a_k2") == F.col("x2")))
-    both = both.join(side("y"), (F.col("b_k1") == F.col("y1")) & (F.col("b_k2") == F.col("y2")))
+    lines = maybe_in(numbered_lines(rows, "doc", "text"), F.struct("doc", "line_no"), places, FILTER_BITS, "maybe").filter("maybe").drop("maybe")
+    side = lambda s: lines.select(F.col("doc").alias(f"{s}_d"), F.col("line_no").alias(f"{s}_l"), F.col("line").alias(f"{s}_line"))
+    both = pairs.join(side("x"), (F.col("a_doc") == F.col("x_d")) & (F.col("a_line_no") == F.col("x_l")))
+    both = both.join(side("y"), (F.col("b_doc") == F.col("y_d")) & (F.col("b_line_no") == F.col("y_l")))
+    once = lambda c: F.explode(F.array(F.array_remove(F.array_distinct(tokens(F.col(c))), "")))
+    words = both.select("y_line", once("x_line").alias("x_words")).select("y_line", "x_words", once("y_line").alias("y_words"))
     shared = F.size(F.array_intersect("x_words", "y_words"))
     match = 100 * shared >= 75 * (F.size("x_words") + F.size("y_words") - shared)
-    return both.filter(match).select(F.col("b_k1").alias("k1"), F.col("b_k2").alias("k2")).distinct()
+    return words.filter(match).select(*line_key(F.col("y_line"))).distinct()
 
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """k1, k2, doc, line_no (of the first copy) and later: whether an earlier line matches, for each different line."""
     lines = distinct_lines(docs, id_col, text_col, least_words)
     gone = written(verified(pairs_with_earliest(lines), docs, id_col, text_col), "lines-gone")
-    flag = lambda d: d.select(F.col("k1").alias("g1"), F.col("k2").alias("g2"), F.lit(True).alias("gone"))
-    on = (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2"))
-    still = lines.join(flag(gone), on, "left").select(*LINE, "prefix", F.col("gone").isNull().alias("open"))
-    more = verified(pairs_by_prefix(still), docs, id_col, text_col)
-    later = flag(gone.union(more).distinct())
-    return lines.join(later, on, "left").select("k1", "k2", F.col("doc").alias("first_doc"), F.col("line_no").alias("first_no"), F.col("gone").isNotNull().alias("later"))
+    more = verified(pairs_by_prefix(still_open(lines, gone)), docs, id_col, text_col)
+    later = gone.union(more).distinct().select(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
+    flagged = lines.join(later, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
+    return flagged.select("k1", "k2", F.col("doc").alias("first_doc"), F.col("line_no").alias("first_no"), F.col("g1").isNotNull().alias("later"))
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per id: n_lines, n_removed, and the numbers (from 0) of the lines to remove, in order.
 
     A line goes if any line before it (smaller id, then smaller number) has a word set with a Jaccard similarity of 0.75
-    or more, words being what white space separates, lower-cased in A-Z. Lines of fewer than least_words distinct words
+    or more, words being what white space separates, lower-cased. Lines of fewer than least_words distinct words
     stay. Null and empty texts are one empty line. Null ids rank last and share a row, as do repeated rows of one id,
     whose lines of one number and text don't precede each other. Extra columns are ignored; an empty table gives an
     empty result."""

@@ -87,9 +87,9 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, fir
 from w left join base on base.rid = w.rid left join found on found.rid = w.rid
 """
 
-OP9 = f"""
+OP9 = """
 with l0 as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as line_no from documents),
-l as materialized (select doc_id, line_no, list_distinct(list_filter(regexp_split_to_array({LOWER.format("line")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) as s from l0),
+l as materialized (select doc_id, line_no, list_distinct(list_filter(regexp_split_to_array(lower(line), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) as s from l0),
 long as (select *, len(s) as n from l where len(s) >= 5),
 sets as materialized (select list_sort(s) as s, any_value(n) as n, min((doc_id, line_no)) as place from long group by 1),
 t as (select place, n, unnest(s) as t from sets),
