@@ -15,7 +15,7 @@ COUNTERS = 1 << 16
 LEAST_WORDS = 5
 FILTER_BITS = 1 << 23
 #: Rarest tokens by which a line meets the earliest line that has one of them too.
-FIRST = 3
+FIRST = 2
 LAST_ID = (1 << 63) - 1
 
 
@@ -44,9 +44,11 @@ def rarity(docs: DataFrame, text_col: str) -> Column:
 
 
 def codes(line: Column, classes: Column) -> Column:
-    """The line's distinct tokens, rarest first: 6 bits of class above 57 bits of hash."""
-    hashes = F.array_remove(F.transform(tokens(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
-    code = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(h.bitwiseAND(F.lit((1 << 57) - 1))))
+    """The line's distinct tokens, rarest first: 6 bits of class, 5 bits for the length (within a class, longer words are
+    rarer), 52 bits of hash."""
+    shape = lambda w: F.shiftleft((31 - F.least(F.length(w), F.lit(31))).cast("long"), 52)
+    hashes = F.transform(F.array_remove(tokens(line), ""), lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << 52) - 1)).bitwiseOR(shape(w)))
+    code = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(h))
     return F.sort_array(F.array_distinct(code))
 
 
@@ -105,7 +107,8 @@ def pairs_by_prefix(lines: DataFrame) -> DataFrame:
     Both sides are the same narrow rows, so one shuffle serves both: place and size share a number, as do the token's
     position and the flag."""
     entries = lines.select("doc", F.expr("shiftleft(cast(line_no as bigint), 32) | n").alias("ln"), "p0", "p1", "open", F.posexplode("prefix").alias("i", "code"))
-    entries = entries.select("code", "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
+    # 32 bits of the token find it; tokens that share them by chance only add candidates.
+    entries = entries.select(F.expr("cast(code ^ shiftright(code, 32) as int)").alias("code"), "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
     wide = lambda s: {f"{s}.n": f"cast({s}.ln & 4294967295 as int)", f"{s}.line_no": f"shiftright({s}.ln, 32)", f"{s}.i": f"shiftright({s}.io, 1)"}
     names = wide("a") | wide("b")
 
