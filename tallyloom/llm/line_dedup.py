@@ -108,7 +108,7 @@ def pairs_by_prefix(lines: DataFrame) -> DataFrame:
     position and the flag."""
     entries = lines.select("doc", F.expr("shiftleft(cast(line_no as bigint), 32) | n").alias("ln"), "p0", "p1", "open", F.posexplode("prefix").alias("i", "code"))
     # 32 bits of the token find it; tokens that share them by chance only add candidates.
-    entries = entries.select(F.expr("cast(code ^ shiftright(code, 32) as int)").alias("code"), "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
+    entries = entries.select(F.hash("code").alias("code"), "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
     wide = lambda s: {f"{s}.n": f"cast({s}.ln & 4294967295 as int)", f"{s}.line_no": f"shiftright({s}.ln, 32)", f"{s}.i": f"shiftright({s}.io, 1)"}
     names = wide("a") | wide("b")
 
