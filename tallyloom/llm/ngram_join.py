@@ -24,7 +24,7 @@ from .shingles import chunks, mix, name_of, sets_of, text_sets
 #: Bands up to this size index one-deletion neighbourhoods and empty segments.
 SMALL = 64
 #: Entries in a bucket, on average.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 1_000_000
 #: Runs of equal segments with more sets than this compare with one of them first.
 SHORT_RUN = 8
 #: Share of segments beyond those that the pigeonhole needs.
@@ -112,8 +112,22 @@ def parity_of(s: np.ndarray) -> np.ndarray:
     return (bits.reshape(PARITY_WORDS, 64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
 
 
+def sketch_of(s: np.ndarray) -> bytes:
+    """The same with at least as many bits as elements (a power of two), so that long sets are told apart as well."""
+    size = max(512, 1 << (len(s) - 1).bit_length()) if len(s) else 512
+    return np.packbits(np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def sketches_fit(a: bytes, b: bytes, na: int, nb: int) -> bool:
+    """False only if the sets differ in too many elements. A longer sketch folds to the shorter one's size."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum()) <= differ(na, nb)
+
+
 PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
-SET = "doc_id long, n long, ref long, " + ", ".join(f"{p} long" for p in PARITY)
+SET = "doc_id long, n long, ref long, sketch binary, " + ", ".join(f"{p} long" for p in PARITY)
 
 
 def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -123,9 +137,9 @@ def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(len(s), name_of(s), parity_of(s)) for s in text_sets(batch.column(1))]
+            sets = [(len(s), name_of(s), sketch_of(s), parity_of(s)) for s in text_sets(batch.column(1))]
             parities = np.array([p for *_, p in sets], np.int64).reshape(len(sets), PARITY_WORDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, *_ in sets], pa.int64()), pa.array([r for _, r, _ in sets], pa.int64()), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64()), pa.array([x[2] for x in sets], pa.binary()), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
 
     return rows.mapInArrow(run, SET)
 
@@ -176,7 +190,7 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                         all_keys.append(keys)
                         all_kinds.append(kinds)
                         held += len(keys)
-                if held > 3_000_000:
+                if held > 1_500_000:
                     yield pack(*state)
                     state, seen, held = fresh(), set(), 0
         if (last := pack(*state)) is not None:
@@ -262,9 +276,18 @@ def can_link(a: str, b: str) -> str:
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Those of the pairs (a, b: refs) that link. One text for each set in a pair crosses the network, found by a bitmap
     of fixed size, and travels to each of its pairs as text, which packs better than hashes."""
-    a, b = classes.alias("a"), classes.alias("b")
+    a, b = classes.drop("sketch").alias("a"), classes.drop("sketch").alias("b")
     close = pairs.alias("p").join(a, F.expr("p.a = a.ref")).join(b, F.expr("p.b = b.ref")).filter(can_link("a", "b"))
-    close = written(close.select("p.a", "p.b", F.col("a.doc").alias("da"), F.col("b.doc").alias("db")), "close-pairs")
+    close = close.select("p.a", "p.b", F.col("a.doc").alias("da"), F.col("b.doc").alias("db"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+    sketch = lambda side: classes.select(F.col("ref").alias(side), F.col("sketch").alias(f"s{side}"))
+    close = written(close, "close-pairs").join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "da", "db", "na", "nb", "sa", "sb")
+
+    def closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = pa.array([sketches_fit(*(c[k].as_py() for c in batch.columns[6:]), *(c[k].as_py() for c in batch.columns[4:6])) for k in range(batch.num_rows)], pa.bool_())
+            yield batch.select([0, 1, 2, 3]).filter(keep)
+
+    close = written(close.mapInArrow(closer, "a long, b long, da long, db long"), "closer-pairs")
     ends = close.select(F.col("a").alias("ref"), F.col("da").alias("doc")).union(close.select("b", "db")).distinct()
     members = bitmap(ends.select("doc"), "doc", FILTER_BITS)
     rows = docs.select(F.col(id_col).cast("long").alias("t_doc"), whole_text(text_col).alias("text"))
@@ -300,7 +323,7 @@ def across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     turn = F.row_number().over(Window.partitionBy("ref", "side").orderBy(F.desc("members"), "key"))
     asking = mixed.filter(f"how <> {LISTED}").withColumn("side", F.col("how") == ASKS).withColumn("turn", turn).filter("turn > spare").select("key", "ref", "root")
     listed = mixed.filter(f"how <> {ASKS}").select("key", "ref", "root")
-    with_bits = lambda d: d.join(classes.withColumnRenamed("ref", "c_ref"), F.col("ref") == F.col("c_ref")).drop("c_ref", "doc")
+    with_bits = lambda d: d.join(classes.withColumnRenamed("ref", "c_ref"), F.col("ref") == F.col("c_ref")).drop("c_ref", "doc", "sketch")
     x, y = with_bits(asking).alias("x"), with_bits(listed).alias("y")
     met = x.join(y, F.expr("x.key = y.key and x.root <> y.root and y.n <= x.n and " + can_link("x", "y")))
     return met.select(F.least("x.ref", "y.ref").alias("a"), F.greatest("x.ref", "y.ref").alias("b")).distinct()
@@ -315,7 +338,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives an empty result."""
     named = written(name_sets(docs, id_col, text_col), "sets")
     usable = named.filter("n > 0 and doc_id is not null")
-    classes = written(usable.groupBy("ref").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), *(F.max(p).alias(p) for p in PARITY)), "classes")
+    classes = written(usable.groupBy("ref").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("sketch").alias("sketch"), *(F.max(p).alias(p) for p in PARITY)), "classes")
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(shingles * 0.8 / BUCKET_ENTRIES))
     hits = written(hits_of(packed_entries(docs, text_col, buckets)), "hits")
