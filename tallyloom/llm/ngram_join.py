@@ -216,10 +216,20 @@ def unpack(blobs: Iterator[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows by their first two columns, and how often each stands."""
+    order = np.lexsort((rows[:, 1], rows[:, 0]))
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])) if len(rows) else np.zeros(0, np.int64)
+    return rows[first], np.diff(np.concatenate([first, [len(rows)]]))
+
+
 def runs_to_hits(key: np.ndarray, ref: np.ndarray, size: np.ndarray, spare: np.ndarray, how: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Candidate pairs (kind 0: refs and sizes) and the members of long runs (kind 1: key, ref, how, size, spare).
+    """Candidate pairs (a, b, how many segments must agree, how many do, who asks) and the members of long runs (key,
+    ref, how, size, spare).
 
-    In a run of up to SHORT_RUN sets all pairs of an asking and a listed set are candidates. In a longer one only those
+    At most H of the asked segments differ, so spare + 1 of them must agree. Who asks is the larger set (of equal ones
+    the smaller ref), in which view it does so the last bit tells. In a run of up to SHORT_RUN sets all pairs of an asking and a listed set are candidates. In a longer one only those
     with its first listed set are; its members are handed on, for what they have in common beyond that."""
     order = np.lexsort((ref, how == ASKS, key))
     key, ref, size, spare, how = key[order], ref[order], size[order], spare[order], how[order]
@@ -241,7 +251,9 @@ def runs_to_hits(key: np.ndarray, ref: np.ndarray, size: np.ndarray, spare: np.n
         i, j = i[fits], j[fits]
         swap = ref[i] > ref[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
-        found.append(np.stack([ref[i], ref[j], size[i].astype(np.int64), size[j].astype(np.int64)], 1))
+        by_b = (how[i] == LISTED) | (how[j] == ASKS) | ((how[j] != LISTED) & (how[i] != ASKS) & (size[j] > size[i]))
+        who = np.where(by_b, j, i)
+        found.append(np.stack([ref[i], ref[j], spare[who].astype(np.int64) + 1, 2 * by_b + (how[who] == ASKS)], 1))
 
     inside = np.flatnonzero(short[run])
     for step in range(1, SHORT_RUN):
@@ -250,18 +262,18 @@ def runs_to_hits(key: np.ndarray, ref: np.ndarray, size: np.ndarray, spare: np.n
         add(i, i + step)
     long_ = np.flatnonzero((use & ~short)[run])
     add(start[run[long_]], long_)
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
-    return pairs, key[long_].view(np.int64), ref[long_], how[long_], size[long_], spare[long_]
+    pairs, times = counted(np.concatenate(found)) if found else (np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
+    return pairs, times, key[long_].view(np.int64), ref[long_], how[long_], size[long_], spare[long_]
 
 
 def hits_of(entries: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in HIT.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
-        pairs, key, ref, how, size, spare = runs_to_hits(*unpack(x.as_buffer() for c in table.column("blob").chunks for x in c))
+        pairs, times, key, ref, how, size, spare = runs_to_hits(*unpack(x.as_buffer() for c in table.column("blob").chunks for x in c))
         zero = np.zeros(len(pairs), np.int32)
         columns = (np.concatenate([zero, np.ones(len(key), np.int32)]), np.concatenate([pairs[:, 0], key]), np.concatenate([pairs[:, 1], ref]),
-                   np.concatenate([pairs[:, 2].astype(np.int32), how.astype(np.int32)]), np.concatenate([pairs[:, 3].astype(np.int32), size]), np.concatenate([zero, spare]))
+                   np.concatenate([pairs[:, 2].astype(np.int32), how.astype(np.int32)]), np.concatenate([times.astype(np.int32), size]), np.concatenate([pairs[:, 3].astype(np.int32), spare]))
         return pa.table([pa.array(c) for c in columns], names=names)
 
     return entries.groupBy("bucket").applyInArrow(run, HIT)
@@ -309,6 +321,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return sides.mapInArrow(run, "a long, b long").distinct()
 
 
+def agreeing(hits: DataFrame) -> DataFrame:
+    """Pairs of which enough segments agree, counting as agreed all that the asking set has in long runs."""
+    pairs = hits.filter("kind = 0").groupBy("a", "b").agg(F.sum("nb").alias("agree"), F.max("na").alias("need"), F.max("spare").alias("who"))
+    pairs = pairs.withColumn("asking", F.when(F.col("who") >= 2, F.col("b")).otherwise(F.col("a"))).withColumn("side", F.col("who") % 2 == 1)
+    unseen = hits.filter(f"kind = 1 and na <> {LISTED}").groupBy(F.col("b").alias("u_ref"), (F.col("na") == ASKS).alias("u_side")).agg(F.count(F.lit(1)).alias("unseen"))
+    rows = pairs.join(unseen, (F.col("asking") == F.col("u_ref")) & (F.col("side") == F.col("u_side")), "left")
+    return rows.filter(F.col("agree") + F.coalesce("unseen", F.lit(0)) >= F.col("need")).select("a", "b")
+
+
 def mixed_runs(hits: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the long runs that hold sets of more than one component; the others have nothing more to tell."""
     members = hits.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("ref"), F.col("na").alias("how"), F.col("nb").alias("n"), "spare")
@@ -342,8 +363,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(shingles * 0.8 / BUCKET_ENTRIES))
     hits = written(hits_of(packed_entries(docs, text_col, buckets)), "hits")
-    pairs = hits.filter("kind = 0").select("a", "b").distinct()
-    edges = written(verified(pairs, classes, docs, id_col, text_col), "links")
+    edges = written(verified(agreeing(hits), classes, docs, id_col, text_col), "links")
     roots = written(components(edges), "roots")
     mixed = written(mixed_runs(hits, roots), "mixed-runs")
     if not mixed.isEmpty():
