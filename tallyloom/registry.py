@@ -28,6 +28,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def _load() -> None:
     """Importing these modules registers their queries."""
+    from .operators import checks, documents, ledger, relational, scalars  # noqa: F401
+    from .plans import dataset, planner  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
