@@ -24,7 +24,7 @@ from .shingles import chunks, mix, name_of, sets_of, text_sets
 #: Bands up to this size index one-deletion neighbourhoods and empty segments.
 SMALL = 64
 #: Entries in a bucket, on average.
-BUCKET_ENTRIES = 1_000_000
+BUCKET_ENTRIES = 3_000_000
 #: Runs of equal segments with more sets than this compare with one of them first.
 SHORT_RUN = 8
 #: Share of segments beyond those that the pigeonhole needs.
@@ -152,7 +152,7 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
         if not keys:
             return None
         key, kind, owner = np.concatenate(keys), np.concatenate(kinds), np.concatenate(owners)
-        ref, size, spare = np.array(refs, np.int64), np.array(sizes, np.int32), np.array(spares, np.int32)
+        ref, size, spare = np.array(refs, np.int64), np.array(sizes, np.int32), np.minimum(np.array(spares, np.int32), 255)
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         key, kind, owner, bucket = key[order], kind[order], owner[order], bucket[order]
@@ -160,10 +160,12 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
         blobs = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             own, place = np.unique(owner[a:b], return_inverse=True)
-            head = np.array([b - a, len(own)], np.int32)
-            # 48 bits of a key: the bucket holds about 2**20 of them, and a chance collision only adds a candidate.
-            k = key[a:b]
-            blobs.append(b"".join(x.tobytes() for x in (head, ref[own], size[own], spare[own], k.astype(np.uint32), (k >> np.uint64(48)).astype(np.uint16), place.astype(np.uint32 if len(own) > 65535 else np.uint16), kind[a:b])))
+            # 48 bits of a key: a bucket holds some 2**21 of them, and a chance collision only adds a candidate.
+            k, narrow, few = key[a:b], int(size[own].max()) < 1 << 16, len(own) < 1 << 14
+            head = np.array([b - a, len(own), narrow, few], np.int32)
+            what = (place << 2 | kind[a:b]).astype(np.uint16 if few else np.uint32)
+            parts = (head, ref[own], size[own].astype(np.uint16 if narrow else np.int32), spare[own].astype(np.uint8), k.astype(np.uint32), (k >> np.uint64(48)).astype(np.uint16), what)
+            blobs.append(b"".join(x.tobytes() for x in parts))
         return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int64)), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,17 +204,27 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 HIT = "kind int, a long, b long, na int, nb int, spare int"
 
 
-def unpack(blobs: Iterator[bytes]) -> tuple[np.ndarray, ...]:
-    parts = []
+def unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """key, ref, size, spare, how of the entries whose key stands more than once. Only the keys of all are ever held."""
+    views, keys = [], []
     for blob in blobs:
-        n, owners = np.frombuffer(blob, np.int32, 2).tolist()
-        at = 8
-        out = []
-        for kind, count in ((np.int64, owners), (np.int32, owners), (np.int32, owners), (np.uint32, n), (np.uint16, n), (np.uint32 if owners > 65535 else np.uint16, n), (np.int8, n)):
-            out.append(np.frombuffer(blob, kind, count, at))
+        n, owners, narrow, few = np.frombuffer(blob, np.int32, 4).tolist()
+        at, view = 16, []
+        for kind, count in ((np.int64, owners), (np.uint16 if narrow else np.int32, owners), (np.uint8, owners), (np.uint32, n), (np.uint16, n), (np.uint16 if few else np.uint32, n)):
+            view.append(np.frombuffer(blob, kind, count, at))
             at += np.dtype(kind).itemsize * count
-        ref, size, spare, low, high, place, how = out
-        parts.append((high.astype(np.uint64) << np.uint64(32) | low, ref[place], size[place], spare[place], how))
+        *own, low, high, what = view
+        views.append((*own, what))
+        keys.append(high.astype(np.uint64) << np.uint64(32) | low)
+    every = np.sort(np.concatenate(keys))
+    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    del every
+    parts = []
+    for key, (ref, size, spare, what) in zip(keys, views):
+        at = np.searchsorted(shared, key)
+        keep = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == key) if len(shared) else np.zeros(0, np.int64)
+        place = (what[keep] >> 2).astype(np.int64)
+        parts.append((key[keep], ref[place], size[place].astype(np.int32), spare[place].astype(np.int32), (what[keep] & 3).astype(np.int8)))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -231,6 +243,9 @@ def runs_to_hits(key: np.ndarray, ref: np.ndarray, size: np.ndarray, spare: np.n
     At most H of the asked segments differ, so spare + 1 of them must agree. Who asks is the larger set (of equal ones
     the smaller ref), in which view it does so the last bit tells. In a run of up to SHORT_RUN sets all pairs of an asking and a listed set are candidates. In a longer one only those
     with its first listed set are; its members are handed on, for what they have in common beyond that."""
+    if len(key) == 0:
+        none = np.zeros(0, np.int64)
+        return np.zeros((0, 4), np.int64), none, none, none, none, none, none
     order = np.lexsort((ref, how == ASKS, key))
     key, ref, size, spare, how = key[order], ref[order], size[order], spare[order], how[order]
     fresh = np.ones(len(key), bool)
@@ -270,10 +285,10 @@ def hits_of(entries: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in HIT.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
-        pairs, times, key, ref, how, size, spare = runs_to_hits(*unpack(x.as_buffer() for c in table.column("blob").chunks for x in c))
+        pairs, times, key, ref, how, size, spare = runs_to_hits(*unpack([x.as_buffer() for c in table.column("blob").chunks for x in c]))
         zero = np.zeros(len(pairs), np.int32)
         columns = (np.concatenate([zero, np.ones(len(key), np.int32)]), np.concatenate([pairs[:, 0], key]), np.concatenate([pairs[:, 1], ref]),
-                   np.concatenate([pairs[:, 2].astype(np.int32), how.astype(np.int32)]), np.concatenate([times.astype(np.int32), size]), np.concatenate([pairs[:, 3].astype(np.int32), spare]))
+                   np.concatenate([pairs[:, 2].astype(np.int32), how.astype(np.int32)]), np.concatenate([times.astype(np.int32), size.astype(np.int32)]), np.concatenate([pairs[:, 3].astype(np.int32), spare.astype(np.int32)]))
         return pa.table([pa.array(c) for c in columns], names=names)
 
     return entries.groupBy("bucket").applyInArrow(run, HIT)

@@ -1,0 +1,404 @@
+"""The corpus operators against plain versions of what they promise."""
+
+import collections
+import hashlib
+import json
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.llm import bpe, components, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, shingles, telephony, url_filter
+from tallyloom.llm.queries import LISTED_HOSTS, RULES, vocabulary_path
+
+from .cases import DOCS, documents, low, words
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return documents()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    clash = {"n": 1, "kept": 2, "size": 3, "ref": 4, "line": 5, "host": 6, "key": 7}
+    return spark.createDataFrame(rows, DOCS).select("*", *(F.lit(v).alias(k) for k, v in clash.items())).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def as_counter(df):
+    return collections.Counter(map(tuple, df.collect()))
+
+
+def test_exact_groups(docs, rows, empty):
+    groups = collections.defaultdict(list)
+    for i, t, *_ in rows:
+        groups[low(t or "")].append(i)
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        g = groups[low(t or "")]
+        want[i, max(g), len(g), i == max(g), hashlib.sha256(low(t or "").encode()).hexdigest()] += 1
+    got = exact_dedup.exact_groups(exact_dedup.with_digest(docs), carry=("text_sha256",))
+    assert as_counter(got) == want
+    assert as_counter(exact_dedup.exact_groups(exact_dedup.with_digest(docs), carry=("text_sha256",), prefix_chars=3, filter_bits=32768)) == want
+    assert exact_dedup.exact_groups(empty).count() == 0
+    kept = exact_dedup.drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(max(g) for g in groups.values())
+    assert exact_dedup.drop_exact_copies(empty).count() == 0
+
+
+def test_exact_groups_null_ids(spark):
+    df = spark.createDataFrame([(None, "a"), (1, "A"), (None, "b"), (None, "b")], "doc_id long, text string")
+    assert as_counter(exact_dedup.exact_groups(df)) == {(None, 1, 2, False): 1, (1, 1, 2, True): 1, (None, None, 2, True): 2}
+
+
+def shingle_set(text):
+    w = words(low(text or ""))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute_components(rows):
+    sets = {(i, t): shingle_set(t) for i, t, *_ in rows}
+    parent = {i: i for i, _ in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    items = list(sets.items())
+    for k, ((i, _), a) in enumerate(items):
+        for (j, _), b in items[:k]:
+            o = len(a & b)
+            if o and 100 * o >= 75 * (len(a) + len(b) - o):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return collections.Counter((i, len(sets[i, t]), find(i)) for i, t, *_ in rows)
+
+
+@pytest.mark.parametrize("short_run", [8, 2])
+def test_near_components(spark, docs, rows, empty, short_run, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SHORT_RUN", short_run)
+    monkeypatch.setattr(ngram_join, "BUCKET_ENTRIES", 500)
+    assert as_counter(ngram_join.near_components(docs)) == brute_components(rows)
+    assert ngram_join.near_components(empty).count() == 0
+    assert as_counter(ngram_join.near_components(spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f")], "doc_id long, text string"))) == {(None, 2, None): 1, (3, 2, 3): 1}
+
+
+def test_tiny_sets_with_deletions(spark):
+    """Sets of few shingles, where one deletion in a segment decides."""
+    import random
+
+    r = random.Random(2)
+    rows = []
+    for _ in range(40):
+        base = [r.choice("abcdefghij") + str(r.randrange(30)) for _ in range(r.randint(8, 26))]
+        for _ in range(4):
+            w = list(base)
+            if r.random() < 0.8:
+                del w[-1]
+            if r.random() < 0.4:
+                w.insert(0, "z" + str(r.randrange(9)))
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_counter(ngram_join.near_components(df)) == brute_components(rows)
+    assert sorted(r.doc_id for r in ngram_join.one_of_each(df).collect()) == sorted({c for _, _, c in brute_components(rows)})
+
+
+@pytest.mark.parametrize("n", [5, 7, 9, 12, 16, 23, 40, 90, 300])
+def test_segments_find_every_link(n):
+    """Two sets that link share the key of an asked segment, whatever elements differ; and at least spare + 1 of them."""
+    rng = np.random.default_rng(n)
+    for trial in range(60):
+        big = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        lost = int(rng.integers(0, n // 4 + 1))
+        extra = int(rng.integers(0, 3))
+        small = np.unique(np.concatenate([big[lost:], rng.integers(0, 1 << 62, extra).astype(np.uint64)]))
+        a, b = np.unique(big), small
+        if len(b) > len(a):
+            a, b = b, a
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared < 75 * (len(a) + len(b) - shared):
+            continue
+        band = ngram_join.band_of(len(b))
+        own = ngram_join.band_of(len(a)) == band
+        keys, how, spare = ngram_join.entries_of(a, band, ngram_join.BOTH if own else ngram_join.ASKS)
+        listed = ngram_join.entries_of(b, band, ngram_join.BOTH)[0]
+        assert np.isin(keys[how != ngram_join.LISTED], listed).sum() >= spare + 1
+        assert ngram_join.sketches_fit(ngram_join.sketch_of(a), ngram_join.sketch_of(b), len(a), len(b))
+
+
+def test_shingles_respect_texts():
+    import pyarrow as pa
+
+    texts = ["a b c d e f", "a B c D e f", "", "x", " a  b\tc\nd e f ", "a b c d e", None, "b c d e f"]
+    sets = list(shingles.text_sets(pa.array(texts)))
+    assert [len(s) for s in sets] == [2, 2, 0, 1, 2, 1, 0, 1]
+    assert (sets[0] == sets[1]).all() and (sets[0] == sets[4]).all() and sets[5][0] in sets[0] and sets[7][0] in sets[0]
+    assert shingles.name_of(sets[0]) == shingles.name_of(sets[4]) != shingles.name_of(sets[5])
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (300, 301), (301, 302), (302, 300)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(61)} | {100: 100, 101: 100, 300: 300, 301: 300, 302: 300}
+
+
+def brute_lines(rows, least=5):
+    seen, lines = [], collections.defaultdict(list)
+    for i, t, *_ in sorted(rows, key=lambda r: r[0]):
+        for k, line in enumerate((t or "").split("\n")):
+            s = frozenset(w for w in words(line.lower()))
+            before = [p for p, z in seen if p < (i, k) and 100 * len(s & z) >= 75 * len(s | z)] if len(s) >= least else []
+            lines[i].append((k, bool(before)))
+            if len(s) >= least:
+                seen.append(((i, k), s))
+    return {i: (len(x), sorted({k for k, gone in x if gone})) for i, x in lines.items()}
+
+
+def test_line_dedup(spark, docs, rows, empty):
+    got = {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.removed_lines(docs).collect()}
+    assert got == brute_lines(rows)
+    assert line_dedup.removed_lines(empty).count() == 0
+    clean = {r.doc_id: r.text for r in line_dedup.clean(docs).collect()}
+    for i, t, *_ in rows:
+        gone = got[i][1]
+        assert clean[i] == (t if not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
+
+
+def test_line_dedup_is_native(docs):
+    text = line_dedup.removed_lines(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", text)
+    assert not re.search("Python|Pandas|Arrow", license_scan.scan_licenses(docs)._jdf.queryExecution().toString())
+
+
+def test_bpe_equals_library(spark, docs, rows, empty):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary_path())
+    extra = [(900, "a<|endoftext|> b  c\n\n  d<|endoftext|>"), (901, "don't I'LL naïve ٣٤ 🎉🎉 　x\r\n\r\n"), (902, "=" * 70 + "_" * 33 + "a" * 300)]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    want = collections.Counter()
+    for i, x in [(i, x or "") for i, x, *_ in rows] + extra:
+        ids = t.encode(x, add_special_tokens=False).ids
+        out = t.decode(ids, skip_special_tokens=False)
+        want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(out.encode()).hexdigest()] += 1
+    assert as_counter(bpe.token_digest(df, vocabulary_path())) == want
+    assert bpe.token_digest(empty, vocabulary_path()).count() == 0
+    coded = bpe.encode_column(docs.select("doc_id", "text"), vocabulary_path())
+    assert all(r.decoded == (r.text or "") for r in bpe.decode_column(coded, vocabulary_path()).collect())
+
+
+def test_bpe_falls_back(spark):
+    v = bpe.Vocabulary(open(vocabulary_path(), encoding="utf-8").read())
+    e = bpe.Encoder(v)
+    e.encode_batch(["Anblewh sttible athawh thonre was is anly hend and, oftionnten."])
+    assert 0 < e.failed < e.speculated
+
+
+def test_media(docs, rows, empty):
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        raw = (t or "").encode()
+        payload = raw + b" " * (-len(raw) % 192 if raw else 192)
+        media = telephony.wave(payload, telephony.MULAW)
+        want[i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest()] += 1
+    got = telephony.media_digest(docs)
+    assert as_counter(got.drop("feature")) == want
+    assert telephony.media_digest(empty).count() == 0
+    one = {r.n_bytes: r.feature for r in got.collect()}
+    assert one[0].split(":")[0] == "384"
+
+
+def test_codecs():
+    mu, a = telephony.mulaw_table(), telephony.alaw_table()
+    assert (mu[0], mu[127], mu[128], mu[255]) == (-32124, 0, 32124, 0) and (a[0xD5], a[0x55], a[0xAA], a[0x2A]) == (8, -8, 32256, -32256)
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 256 * 4, dtype=np.uint8)
+    data.reshape(4, 256)[:, 2] %= 89
+
+    def plain(block):  # one block, one nibble at a time
+        value, index = int.from_bytes(block[:2].tobytes(), "little", signed=True), int(block[2])
+        out = [value]
+        for byte in block[4:].tolist():
+            for code in (byte & 15, byte >> 4):
+                step = int(telephony.STEPS[index])
+                move = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+                value = max(-32768, min(32767, value - move if code & 8 else value + move))
+                index = max(0, min(88, index + int(telephony.INDEX_MOVE[code & 7])))
+                out.append(value)
+        return out
+
+    assert telephony.decode_adpcm(data.tobytes(), 256).tolist() == [x for b in data.reshape(4, 256) for x in plain(b)]
+    assert telephony.resample(np.array([0, 100, -100], np.int16), 8000).tolist() == [0, 50, 100, 0, -100, -100]
+
+
+def test_decode_column(spark):
+    media = [bytearray(telephony.wave(b"\x00\xff" * 8, telephony.ALAW)), bytearray(b"no media"), None, bytearray(telephony.wave(bytes(64), telephony.ADPCM, block=32))]
+    df = telephony.decode_column(spark.createDataFrame(list(enumerate(media)), "k int, media binary"))
+    got = {r.k: r for r in df.collect()}
+    assert len(got[0].pcm) == 64 and got[1].media_error and got[2].pcm is None and got[2].media_error is None and len(got[3].pcm) == 2 * 2 * 2 * 57
+
+
+BASE = [("assign", re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[1]) >= 6),
+        ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
+
+
+def test_secrets(spark, empty):
+    texts = ["é token = \"f3ef4d6b2755a36d7d9c25bd72c4d5f67e06aaaa\" API_KEY:abc token=12345 secret: token=abcdef", "AKIA" + "Z9" * 8 + " AKIAX AKIAAKIA" + "B" * 14, "", None,
+             "passwd='hunter22'", "x eyJhbGciOiJI.eyJzdWIiOiIx.sig -----BEGIN RSA PRIVATE KEY-----", "token=shared99 ", "token=shared99 again", "Token : shared99"]
+    rows = [(k, t, "en", f"src{k}", 0) for k, t in enumerate(texts)] + [(4, texts[4], "en", "src4", 0)]
+    got = secrets_scan.find_secrets(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        found = sorted((m.start(), k, kind, m.end()) for k, (kind, p, ok) in enumerate(BASE) for m in p.finditer(texts[r.doc_id] or "") if ok(m))
+        spans = [f"{kind}:{a}:{b}" for a, _, kind, b in found]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[2] == kind for x in found) for kind, *_ in BASE)
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r.spans.split(",")) | {""}
+    by = {r.doc_id: r for r in got}
+    assert by[6].n_example == 1 and by[6].n_live == 0 and by[4].n_live == 1 and "web_token" in by[5].spans and "key_block" in by[5].spans
+    assert secrets_scan.find_secrets(empty).count() == 0
+
+
+def test_url_filter(spark):
+    urls = ["http://a.example.com/en/1?x=/en/", "https://www.example.com/en/x", "https://Example.COM/fr/1", "ftp://b.net/es/", "b.net/es/", None, "http://net/fr/#", "http://xnet/es/1", "http://spam-farm.example.org/x",
+            "http://a.spam-farm.example.org", "", "x://y://com/", "http://com", "http://com/"]
+    df = spark.createDataFrame([(k, u, 1) for k, u in enumerate(urls)] + [(None, urls[0], 1)], "page_id long, url string, host int")
+    got = {r.page_id: r for r in url_filter.judge(df, RULES, LISTED_HOSTS, bits_per_key=2).collect()}
+    assert len(got) == len(urls) + 1
+    for k, u in enumerate(urls):
+        host, path = "", ""
+        if u and "://" in u:
+            rest = u.split("://", 1)[1]
+            m = re.match(r"([^/?#]*)([^?#]*)", rest)
+            host, path = low(m[1]), m[2]
+        fit = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fit, key=lambda r: len(r.text), default=None)
+        listed = best is None and any(host == h or host.endswith("." + h) for h in LISTED_HOSTS)
+        assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (host, path, best and best.text, best.verdict if best else "block" if listed else "allow")
+    assert url_filter.judge(df.filter("false"), RULES).count() == 0
+
+
+def test_cascade_is_exact(spark):
+    universe = spark.range(60000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.filter("xxhash64(key) % 3 = 0")
+    c = url_filter.build(listed, universe, bits_per_key=2)
+    assert len(c.levels) > 2
+    keys = [r.key for r in universe.collect()]
+    hashes = [np.array([r[0] for r in universe.select(url_filter.hashed(F.col("key"), k)).collect()]) for k in range(len(c.levels))]
+    want = {r.key for r in listed.collect()}
+    assert {k for k, m in zip(keys, c.has(hashes)) if m} == want
+
+
+def test_mixing(spark, docs, rows, empty):
+    got = mixing.mix(docs).collect()
+    sizes = collections.Counter()
+    for i, t, _, source, _ in rows:
+        sizes[source] += len(words(t or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + k % 3 for k, s in enumerate(order)}
+    total, open_, target = sum(sizes.values()), set(order), {}
+    while True:
+        rest = total - sum(target.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * sizes[s]]
+        if not over:
+            break
+        for s in over:
+            target[s] = 3 * sizes[s]
+            open_.discard(s)
+    target |= share
+    source_of = {i: s for i, _, _, s, _ in rows}
+    taken, largest = collections.Counter(), collections.Counter()
+    for r in got:
+        s = source_of[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(target[s])
+        assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
+        taken[s] += r.taken
+        largest[s] = max(largest[s], r.size)
+    assert len(got) == len(rows)
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= max(largest[s], 1)
+    assert as_counter(mixing.mix(docs.repartition(3))) == collections.Counter(map(tuple, got))
+    copies = mixing.mixed_documents(docs)
+    assert copies.columns == docs.columns
+    times = collections.Counter()
+    for r in got:
+        times[r.doc_id] += r.times
+    assert collections.Counter(r.doc_id for r in copies.collect()) == +times
+    assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_licenses(spark, empty):
+    texts = ["Released under the MIT License.\nmore", "under the mit\nlicense under the MIT license", "apache license version 2 0 cc by nc cc-by-nc", "Übung under the MIT license", "", None, "All rights reserved",
+             "the gnu general public license version 3 covers how this work is licensed under", "nothing here"]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        w = [x for x in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", low(t or "")) if x]
+        at = [(i, label) for p, label in license_scan.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+        r = got[k]
+        assert (r.n_words, r.n_base) == (len(w), len(at))
+        assert (r.first_word, r.last_word) == ((min(at)[0], max(at)[0]) if at else (None, None))
+        assert r.base_labels == ",".join(sorted({x for _, x in at})) and 0 <= r.score <= 1
+    assert got[0].labels == "mit" and got[6].labels == "reserved" and got[7].labels == "gpl-3" and got[8].labels == "" and got[8].score == 0
+    assert license_scan.scan_licenses(empty).count() == 0
+
+
+def test_quality(spark, docs, rows, empty):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40)] + [(None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
+    got = quality.quality(docs, labels)
+    assert got.count() == len(rows) and got.filter("kept is null or score is null").count() == 0
+    assert got.filter("not kept").count() == 0  # labels of one kind teach nothing
+    assert quality.quality(empty, labels).count() == 0
+    assert quality.quality(docs, labels.filter("false")).filter("kept").count() == len(rows)
+    assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_quality_held_out(spark):
+    """Fitted on half of the labels, it tells most junk of the other half and keeps the clean."""
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = quality.quality(d, labels.filter("xxhash64(doc_id) % 2 = 0")).join(labels.filter("xxhash64(doc_id) % 2 <> 0"), "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
+    assert n.get((1, False), 0) <= 0.01 * (n[1, True] + n.get((1, False), 0))
+    assert n[0, False] >= 0.7 * (n[0, False] + n.get((0, True), 0))
+
+
+def test_posteriors_shrink(spark):
+    rows = [("big", "p", 0.2)] * 400 + [("big", "q", 0.9)] + [("small", "p", 0.1)] + [("other", "p", 0.9)] * 300
+    got = {(r.host, r.path): r for r in quality.posteriors(spark.createDataFrame(rows, "host string, path string, p double")).collect()}
+    mean = got["big", "p"].world_mean
+    assert abs(got["big", "p"].host_post - 0.2) < 0.1 < abs(got["small", "p"].host_post - 0.1)
+    assert min(0.1, mean) < got["small", "p"].path_post < mean and got["big", "q"].path_post < 0.9
+
+
+def test_pipeline(spark, tmp_path, rows):
+    import corpus_pipeline as P
+
+    d = spark.createDataFrame(rows, DOCS)
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = {i: t or "" for i, t, *_ in rows}
+    out = P.run(spark, str(tmp_path)).collect()
+    keep = {}
+    for i in sorted(texts):
+        keep[low(texts[i])] = i
+    left = [(i, texts[i]) for i in keep.values()]
+    ids = sorted({c for _, _, c in brute_components(left)})
+    mixed = collections.Counter()
+    for r in mixing.mix(d.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"])).collect():
+        mixed[r.doc_id] += r.times
+    assert collections.Counter(r.doc_id for r in out) == +mixed
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary_path())
+    assert all(r.token_ids == t.encode(texts[r.doc_id], add_special_tokens=False).ids for r in out)
+    assert len(P.STAGES) == 5 and json.dumps([n for n, _ in P.STAGES])
