@@ -30,6 +30,7 @@ def _load() -> None:
     """Importing these modules registers their queries."""
     from .operators import checks, documents, ledger, relational, scalars  # noqa: F401
     from .plans import dataset, planner  # noqa: F401
+    from .streaming import events  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
