@@ -22,8 +22,8 @@ from .common import whole_text
 #: The pattern that splits text before merging, as published with the vocabulary. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Words whose tokens a worker remembers; beyond it starts afresh. Bounds the memory, not the result.
-REMEMBERED = 500_000
+#: Words whose tokens a task remembers; beyond it starts afresh. Bounds the memory, not the result.
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -150,6 +150,11 @@ class Encoder:
             out.append(ids)
         return out
 
+    def forget(self) -> None:
+        """Frees what a task has learned; the worker stays for other tasks."""
+        self.known.clear()
+        self.pairs, self.fits = self.pairs[:0].copy(), self.fits[:0].copy()
+
     def pieces(self, text: str) -> list[tuple[list[str], int | None]]:
         """The words between added tokens, each with the added token behind it."""
         v = self.v
@@ -211,6 +216,7 @@ def encode_column(docs: DataFrame, path: str, text_col: str = "text", ids_col: s
             for part in _parts(batch):
                 ids = e.encode_batch(_texts(part, 1))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
+        e.forget()
 
     return rows.mapInArrow(run, schema).select(*docs.columns, ids_col)
 
@@ -253,5 +259,6 @@ def token_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                     coded.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
                     decoded.append(hashlib.sha256(e.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        e.forget()
 
     return rows.mapInArrow(run, DIGEST)

@@ -192,7 +192,7 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                         all_keys.append(keys)
                         all_kinds.append(kinds)
                         held += len(keys)
-                if held > 1_500_000:
+                if held > 700_000:
                     yield pack(*state)
                     state, seen, held = fresh(), set(), 0
         if (last := pack(*state)) is not None:

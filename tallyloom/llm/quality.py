@@ -153,6 +153,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     columns = docs.columns
     evidence = train(docs, labels, id_col, text_col)
     scored = classify(docs, evidence, F.col(host_col), F.col(path_col), tuple(columns), text_col)
-    groups = written(posteriors(scored.select("host", "path", "p")), "quality-groups")
+    groups = written(posteriors(written(scored.select("host", "path", "p"), "quality-evidence")), "quality-groups")
     rows = judged(scored, groups, evidence.threshold)
     return rows.filter("kept").select(*(F.col(f"c_{k}").alias(c) for k, c in enumerate(columns)))

@@ -89,7 +89,9 @@ def sets_of(data: np.ndarray, ends: np.ndarray, k: int = WORDS) -> list[np.ndarr
 
 def chunks(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First text, bytes and ends of runs of texts of about so many bytes. Null counts as empty."""
-    column = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = pa.compute.fill_null(column, b"")
     n = len(column)
     if n == 0:
         return
