@@ -2,28 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, broadcast_if_small, whole_text, written
+from .common import broadcast_if_small, whole_text, written
 
 #: Labelled documents that the evidence model is fitted on at most, by hash order. Counts and posteriors use all rows.
 TRAINING_ROWS = 20_000
 #: Part of the fitted good documents that may fall under the threshold.
 GOOD_LOST = 0.002
 FEATURES = ("symbols", "capitals", "digits", "pipes", "marks", "word_length", "lines", "length", "tiny")
+#: Bytes of a text that are counted at once, which bounds the memory for very long ones.
+COUNTED_BYTES = 1 << 20
 
 
-def features(text: Column) -> list[Column]:
-    """Shares of kinds of characters and shapes of a text; all zero for the empty text."""
-    n = F.length(text)
-    left = lambda letters: (n - F.length(F.translate(text, letters, ""))).cast("double")
-    spaces = left(" \n\t")
-    out = [left("#$%&*@^~") / (1 + spaces), left(UPPER) / n, left("0123456789") / n, left("|<>{}[]\\") / (1 + spaces), left("!?") / (1 + spaces), n / (1 + spaces) / 10, left("\n") / (1 + spaces), F.log1p(n.cast("double")) / 10, (n < 40).cast("double")]
-    return [F.when(n == 0, F.lit(0.0)).otherwise(c).alias(f"q_{name}") for name, c in zip(FEATURES, out)]
+def byte_counts(texts: pa.Array) -> np.ndarray:
+    """How often each byte occurs: a row of 256 numbers for each text; null counts as empty."""
+    out = np.zeros((len(texts), 256))
+    for row, text in zip(out, texts):
+        if text.is_valid:
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            for at in range(0, len(data), COUNTED_BYTES):
+                row += np.bincount(data[at : at + COUNTED_BYTES], minlength=256)
+    return out
+
+
+def features(texts: pa.Array) -> np.ndarray:
+    """Shares of kinds of characters and shapes of each text; all zero for the empty text."""
+    counts = byte_counts(texts)
+    of = lambda letters: counts[:, list(letters)].sum(axis=1)
+    n = counts.sum(axis=1) - counts[:, 0x80:0xC0].sum(axis=1)  # code points: bytes that don't continue one
+    gaps, some = 1 + of(b" \n\t"), np.maximum(n, 1)
+    out = [of(b"#$%&*@^~") / gaps, of(range(65, 91)) / some, of(range(48, 58)) / some, of(b"|<>{}[]\\") / gaps, of(b"!?") / gaps, n / gaps / 10, of(b"\n") / gaps, np.log1p(n) / 10, n < 40]
+    return np.where(n == 0, 0.0, np.stack(out)).T
+
+
+def on_texts(of_features: Callable[[np.ndarray], pa.Array], kind: str, text: Column) -> Column:
+    """of_features of the features of a text column, in Arrow batches."""
+    return F.arrow_udf(lambda texts: of_features(features(texts)), kind)(text)
 
 
 @dataclass(frozen=True)
@@ -35,10 +56,8 @@ class Evidence:
     base: float  # share of good documents it was fitted on
     threshold: float = 0.5
 
-    def logit(self) -> Column:
-        names = [F.col(f"q_{x}") for x in FEATURES]
-        parts = [F.lit(w) * c for w, c in zip(self.weights, names + [c * c for c in names])]
-        return F.greatest(F.lit(-12.0), F.least(F.lit(12.0), sum(parts, F.lit(self.bias))))
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(np.concatenate([x, x * x], axis=1) @ np.array(self.weights) + self.bias, -12, 12)
 
 
 def fit(rows: np.ndarray, good: np.ndarray, steps: int = 60, ridge: float = 1.0) -> Evidence:
@@ -66,7 +85,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     chosen = labels.select(F.col(id_col).alias("t_id"), F.col(label_col).cast("double").alias("t_good")).dropna().groupBy("t_id").agg(F.max("t_good").alias("t_good"))
     chosen = chosen.orderBy(F.xxhash64("t_id"), "t_id").limit(most)  # at most this many ids of 16 bytes are broadcast
     rows = docs.select(F.col(id_col).alias("d_id"), whole_text(text_col).alias("d_text"))
-    return rows.join(F.broadcast(chosen), F.col("d_id") == F.col("t_id")).select("t_good", *features(F.col("d_text")))
+    return rows.join(F.broadcast(chosen), F.col("d_id") == F.col("t_id")).select("t_good", on_texts(lambda x: pa.array(list(x), pa.list_(pa.float64())), "array<double>", F.col("d_text")).alias("x"))
 
 
 def sigmoid(x: Column) -> Column:
@@ -109,21 +128,19 @@ def posteriors(scored: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = TRAINING_ROWS) -> Evidence:
     """Fits the evidence and a threshold that keeps all but GOOD_LOST of the good training documents."""
     rows = training_rows(docs, labels, id_col, text_col, label_col, most).collect()  # at most `most` short rows (ids are unique)
-    x = np.array([list(r)[1:] for r in rows], float).reshape(len(rows), len(FEATURES))
-    y = np.array([r[0] for r in rows], float)
+    x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES))
+    y = np.array([r["t_good"] for r in rows], float)
     e = fit(x, y)
-    score = np.concatenate([x, x * x], axis=1) @ np.array(e.weights) + e.bias if len(x) else np.zeros(0)
-    good = np.sort(1 / (1 + np.exp(-np.clip(score[y > 0.5], -12, 12))))
+    good = np.sort(1 / (1 + np.exp(-e.logit(x)[y > 0.5])))
     cut = float(good[int(len(good) * GOOD_LOST)]) if len(good) else 0.5
     return Evidence(e.weights, e.bias, e.base, min(0.5, cut * 0.9))
 
 
 def classify(docs: DataFrame, evidence: Evidence, host: Column, path: Column, carry: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """The columns in carry (as c_0, c_1, ...), host, path, and the evidence as log odds (z) and probability (p)."""
-    text = whole_text(text_col)
-    base = docs.select(*(F.col(c).alias(f"c_{k}") for k, c in enumerate(carry)), host.cast("string").alias("host"), path.cast("string").alias("path"), *features(text))
-    scored = base.withColumn("z", evidence.logit()).withColumn("p", sigmoid(F.col("z"))).drop(*(f"q_{x}" for x in FEATURES))
-    return scored
+    z = on_texts(lambda x: pa.array(evidence.logit(x), pa.float64()), "double", whole_text(text_col))
+    base = docs.select(*(F.col(c).alias(f"c_{k}") for k, c in enumerate(carry)), host.cast("string").alias("host"), path.cast("string").alias("path"), z.alias("z"))
+    return base.withColumn("p", sigmoid(F.col("z")))
 
 
 def judged(scored: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:

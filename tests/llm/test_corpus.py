@@ -3,10 +3,13 @@
 import collections
 import hashlib
 import json
+import math
 import re
+import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -362,6 +365,17 @@ def test_quality(spark, docs, rows, empty):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_quality_features():
+    texts = ["", None, "a", "É é\n|x| 12 AB #$! 😀", "w " * 700_000]
+    got = quality.features(pa.array(texts))
+    assert not got[:2].any()
+    for t, row in zip(texts[2:], got[2:]):
+        of = lambda letters: sum(t.count(c) for c in letters)
+        gaps = 1 + of(" \n\t")
+        want = [of("#$%&*@^~") / gaps, of(string.ascii_uppercase) / len(t), of(string.digits) / len(t), of("|<>{}[]\\") / gaps, of("!?") / gaps, len(t) / gaps / 10, of("\n") / gaps, math.log1p(len(t)) / 10, len(t) < 40]
+        assert row.tolist() == pytest.approx([float(x) for x in want])
+
+
 def test_quality_held_out(spark):
     """Fitted on half of the labels, it tells most junk of the other half and keeps the clean."""
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
