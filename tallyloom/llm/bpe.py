@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import map_in_arrow, whole_text
 
 #: The pattern that splits text before merging, as published with the vocabulary. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -218,7 +218,7 @@ def encode_column(docs: DataFrame, path: str, text_col: str = "text", ids_col: s
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
         e.forget()
 
-    return rows.mapInArrow(run, schema).select(*docs.columns, ids_col)
+    return map_in_arrow(rows, run, schema).select(*docs.columns, ids_col)
 
 
 def decode_column(df: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
@@ -234,7 +234,7 @@ def decode_column(df: DataFrame, path: str, ids_col: str = "token_ids", text_col
             texts = [None if x is None else e.decode(x).decode() for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -261,4 +261,4 @@ def token_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         e.forget()
 
-    return rows.mapInArrow(run, DIGEST)
+    return map_in_arrow(rows, run, DIGEST)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Bytes of an Arrow batch, as far as rows are smaller. Spark counts rows only unless told, so long texts would add up.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of bytes in an Arrow batch to BATCH_BYTES; a lower one stays."""
+    now = spark.conf.get(BATCH_SETTING).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:  # with another unit it is replaced
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine. Workers outlive their tasks, and allocators keep what was freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc
+        pass
+
+
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow in batches of bounded bytes, whose tasks give their memory back."""
+    bound_batches(df.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
 def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """The set of hashed keys as a table of at most bits / 32768 rows of 4 KB: its size doesn't depend on the keys."""
     at = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))

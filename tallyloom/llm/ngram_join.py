@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, maybe_in, whole_text, written
+from .common import bitmap, bound_batches, give_back, map_in_arrow, maybe_in, whole_text, written
 from .components import components
 from .shingles import chunks, mix, name_of, sets_of, text_sets
 
@@ -141,7 +141,7 @@ def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             parities = np.array([p for *_, p in sets], np.int64).reshape(len(sets), PARITY_WORDS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64()), pa.array([x[2] for x in sets], pa.binary()), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
 
-    return rows.mapInArrow(run, SET)
+    return map_in_arrow(rows, run, SET)
 
 
 def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
@@ -198,7 +198,7 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
         if (last := pack(*state)) is not None:
             yield last
 
-    return rows.mapInArrow(run, "bucket long, blob binary")
+    return map_in_arrow(rows, run, "bucket long, blob binary")
 
 
 HIT = "kind int, a long, b long, na int, nb int, spare int"
@@ -289,8 +289,12 @@ def hits_of(entries: DataFrame) -> DataFrame:
         zero = np.zeros(len(pairs), np.int32)
         columns = (np.concatenate([zero, np.ones(len(key), np.int32)]), np.concatenate([pairs[:, 0], key]), np.concatenate([pairs[:, 1], ref]),
                    np.concatenate([pairs[:, 2].astype(np.int32), how.astype(np.int32)]), np.concatenate([times.astype(np.int32), size.astype(np.int32)]), np.concatenate([pairs[:, 3].astype(np.int32), spare.astype(np.int32)]))
-        return pa.table([pa.array(c) for c in columns], names=names)
+        found = pa.table([pa.array(c) for c in columns], names=names)
+        del pairs, times, key, ref, how, size, spare, columns, zero
+        give_back()
+        return found
 
+    bound_batches(entries.sparkSession)
     return entries.groupBy("bucket").applyInArrow(run, HIT)
 
 
@@ -314,7 +318,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
             keep = pa.array([sketches_fit(*(c[k].as_py() for c in batch.columns[6:]), *(c[k].as_py() for c in batch.columns[4:6])) for k in range(batch.num_rows)], pa.bool_())
             yield batch.select([0, 1, 2, 3]).filter(keep)
 
-    close = written(close.mapInArrow(closer, "a long, b long, da long, db long"), "closer-pairs")
+    close = written(map_in_arrow(close, closer, "a long, b long, da long, db long"), "closer-pairs")
     ends = close.select(F.col("a").alias("ref"), F.col("da").alias("doc")).union(close.select("b", "db")).distinct()
     members = bitmap(ends.select("doc"), "doc", FILTER_BITS)
     rows = docs.select(F.col(id_col).cast("long").alias("t_doc"), whole_text(text_col).alias("text"))
@@ -333,7 +337,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                     keep[k] = 100 * shared >= 75 * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    return sides.mapInArrow(run, "a long, b long").distinct()
+    return map_in_arrow(sides, run, "a long, b long").distinct()
 
 
 def agreeing(hits: DataFrame) -> DataFrame:

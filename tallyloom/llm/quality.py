@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, whole_text, written
+from .common import bound_batches, broadcast_if_small, give_back, whole_text, written
 
 #: Labelled documents that the evidence model is fitted on at most, by hash order. Counts and posteriors use all rows.
 TRAINING_ROWS = 20_000
@@ -44,7 +44,13 @@ def features(texts: pa.Array) -> np.ndarray:
 
 def on_texts(of_features: Callable[[np.ndarray], pa.Array], kind: str, text: Column) -> Column:
     """of_features of the features of a text column, in Arrow batches."""
-    return F.arrow_udf(lambda texts: of_features(features(texts)), kind)(text)
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield of_features(features(texts))
+        give_back()
+
+    return F.arrow_udf(run, kind)(text)
 
 
 @dataclass(frozen=True)
@@ -82,6 +88,7 @@ def fit(rows: np.ndarray, good: np.ndarray, steps: int = 60, ridge: float = 1.0)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
+    bound_batches(docs.sparkSession)
     chosen = labels.select(F.col(id_col).alias("t_id"), F.col(label_col).cast("double").alias("t_good")).dropna().groupBy("t_id").agg(F.max("t_good").alias("t_good"))
     chosen = chosen.orderBy(F.xxhash64("t_id"), "t_id").limit(most)  # at most this many ids of 16 bytes are broadcast
     rows = docs.select(F.col(id_col).alias("d_id"), whole_text(text_col).alias("d_text"))
@@ -138,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def classify(docs: DataFrame, evidence: Evidence, host: Column, path: Column, carry: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """The columns in carry (as c_0, c_1, ...), host, path, and the evidence as log odds (z) and probability (p)."""
+    bound_batches(docs.sparkSession)
     z = on_texts(lambda x: pa.array(evidence.logit(x), pa.float64()), "double", whole_text(text_col))
     base = docs.select(*(F.col(c).alias(f"c_{k}") for k, c in enumerate(carry)), host.cast("string").alias("host"), path.cast("string").alias("path"), z.alias("z"))
     return base.withColumn("p", sigmoid(F.col("z")))

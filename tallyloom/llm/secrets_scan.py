@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text, written
+from .common import map_in_arrow, whole_text, written
 
 #: The kinds in the order of the spans' digest. Fixed values.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -64,7 +64,7 @@ def scan(docs: DataFrame, repo: Column, owner: Column, id_col: str, text_col: st
             keys = pa.array([uuid.uuid4().hex for _ in range(batch.num_rows)], pa.string())
             yield pa.RecordBatch.from_arrays([keys, batch.column(0), batch.column(1), batch.column(2), *columns], names=[x.split()[0] for x in FOUND.split(", ")])
 
-    return rows.mapInArrow(run, FOUND)
+    return map_in_arrow(rows, run, FOUND)
 
 
 def ownership(found: DataFrame) -> DataFrame:

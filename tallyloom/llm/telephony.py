@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import map_in_arrow, whole_text
 
 MULAW, ALAW, ADPCM = 7, 6, 17  # format tags of WAVE files
 RATE_IN, RATE_OUT = 8000, 16000
@@ -148,7 +148,7 @@ def decode_column(df: DataFrame, media_col: str = "media", pcm_col: str = "pcm",
                         why = str(e)
                 yield pa.RecordBatch.from_arrays([*row.columns, pa.array([pcm], pa.binary()), pa.array([why], pa.string())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 def payload_of(text: bytes) -> bytes:
@@ -166,7 +166,7 @@ def text_to_media(df: DataFrame, text_col: str = "text", tag: int = MULAW) -> Da
             media = [wave(payload_of(x), tag) for x in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(x) for x in texts], pa.int64()), pa.array(media, pa.binary())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -190,4 +190,4 @@ def media_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 7, kinds))], names=[x.split()[0] for x in DIGEST.split(", ")])
 
-    return rows.mapInArrow(run, DIGEST)
+    return map_in_arrow(rows, run, DIGEST)
