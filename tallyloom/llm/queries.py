@@ -61,7 +61,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    # Every line with a word takes part; only blank lines stay whatever comes before.
+    rows = line_dedup.removed_lines(table(spark, sf_dir, "documents"), least_words=1)
     return rows.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, components, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, shingles, telephony, url_filter
-from tallyloom.llm.queries import LISTED_HOSTS, RULES, vocabulary_path
+from tallyloom.llm.queries import LISTED_HOSTS, RULES, op9_line_dedup, vocabulary_path
 
 from .cases import DOCS, documents, low, words
 
@@ -176,6 +176,16 @@ def test_line_dedup(spark, docs, rows, empty):
         assert clean[i] == (t if not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
 
 
+def test_op9_judges_short_lines(spark, rows, tmp_path):
+    """Copies of lines of one to four words go as well, and three of four words match."""
+    texts = ["Home\nAll rights reserved.\n\na b c d", "home\nall rights  reserved.\n\na b c\nb c", " HOME \np q\np\tq\na b c e", "c b\n \na b"]
+    rows = rows + [(5000 + k, t, "en", "src0", 0) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, [int(k) for k in r.removed.split(",") if k]) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == brute_lines(rows, least=1)
+    assert [got[5000 + k][1] for k in range(4)] == [[], [0, 1, 3], [0, 2, 3], [0]]
+
+
 def test_line_dedup_is_native(docs):
     text = line_dedup.removed_lines(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", text)
