@@ -3,7 +3,7 @@
 Sets are cut into bands of sizes, each band into m segments of the hashed universe. Two sets that link differ in at most
 H elements, so if the larger one asks at segments that together are worth H + 1, one of them must agree: an equal
 segment is worth 1, a segment equal up to one deletion 2. Which segments a set asks is a matter of cost: empty segments
-are left out, in small bands the longest segments are raised to deletions where the sum falls short, and later the most
+are left out unless the sum falls short without them, in small bands the longest segments are raised to deletions where the sum falls short, and later the most
 frequent segments are given up as long as the rest is worth H + 1."""
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from .common import bitmap, bound_batches, give_back, map_in_arrow, maybe_in, wh
 from .components import components
 from .shingles import chunks, mix, name_of, sets_of, text_sets
 
-#: Bands up to this size index one-deletion neighbourhoods and empty segments.
+#: Bands up to this size index one-deletion neighbourhoods.
 SMALL = 64
 #: Entries in a bucket, on average.
 BUCKET_ENTRIES = 3_000_000
@@ -82,9 +82,12 @@ def entries_of(s: np.ndarray, band: int, view: int) -> tuple[np.ndarray, np.ndar
     spare = int(full.sum()) - need
     small = int(bands()[band + 1]) - 1 <= SMALL
     if not small:
-        if spare < 0:
-            raise ValueError("the hashed universe left too many segments empty; this needs another hash")
-        return equal[full], np.full(int(full.sum()), view, np.int8), spare
+        # All segments are listed; a set with too few filled ones asks at its empty ones as well, m being more than need.
+        ask = full if spare >= 0 else np.ones(m, bool)
+        spare = int(ask.sum()) - need
+        if view == BOTH:
+            return equal, np.where(ask, BOTH, LISTED).astype(np.int8), spare
+        return equal[ask], np.full(int(ask.sum()), view, np.int8), spare
     # Small bands: all segments and all one-deletions are listed; short of the sum, the longest segments ask for more.
     raised = np.zeros(m, bool)
     empties = False

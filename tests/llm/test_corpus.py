@@ -138,6 +138,26 @@ def test_segments_find_every_link(n):
         assert ngram_join.sketches_fit(ngram_join.sketch_of(a), ngram_join.sketch_of(b), len(a), len(b))
 
 
+@pytest.mark.parametrize("n", [70, 85, 111, 150, 300])
+def test_few_filled_segments_find_every_link(n):
+    """Sets whose elements fall on fewer segments than they must ask."""
+    rng = np.random.default_rng(n)
+    band = ngram_join.band_of(n)
+    for b in (band, band - 1) if ngram_join.asked(n, band - 1) >= 0 and ngram_join.bands()[band - 1] > ngram_join.SMALL else (band,):
+        m, need = ngram_join.segments(b), ngram_join.asked(n, b) + 1
+        pool = np.unique(rng.integers(0, 1 << 62, 50 * n).astype(np.uint64))
+        where = shingles.mix(pool ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(m)
+        big = rng.permutation(pool[where < need - 1])[:n]
+        small = big[: max(-(-3 * n // 4), int(ngram_join.bands()[b]))]
+        keys, how, spare = ngram_join.entries_of(np.sort(big), b, ngram_join.BOTH if b == band else ngram_join.ASKS)
+        listed, listed_how, its_spare = ngram_join.entries_of(np.sort(small), b, ngram_join.BOTH)
+        assert spare >= 0 and np.isin(keys[how != ngram_join.LISTED], listed).sum() >= spare + 1
+        if len(small) < n:
+            row = lambda x, y: np.concatenate([np.full(len(keys), x), np.full(len(listed), y)])
+            pairs, times, *_ = ngram_join.runs_to_hits(np.concatenate([keys, listed]), row(1, 2), row(n, len(small)), row(spare, its_spare), np.concatenate([how, listed_how]))
+            assert any(tuple(p[:2]) == (1, 2) and t >= p[2] for p, t in zip(pairs, times))
+
+
 def test_shingles_respect_texts():
     import pyarrow as pa
 
