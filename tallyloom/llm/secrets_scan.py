@@ -18,13 +18,20 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # shorter runs fail and hold no longer one
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Kinds beyond the base ones.
-KEY_BLOCK = re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----")
+KEY_BLOCK = re.compile(r"-----BEGIN ((?:[A-Z]+ ){0,3}PRIVATE KEY)-----")
 WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+")
 KINDS = ("assign", "access", "hex", "key_block", "web_token")
 BASE = KINDS[:3]
 HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
 
+def key_body(text: str, head: re.Match, before: int) -> str:
+    """A private key without white space: up to the END line of its kind, or to the next key or the text's end if none
+    stands before. Keys of one type and size share their first characters, so a part of it wouldn't tell them apart."""
+    end = text.find(f"-----END {head[1]}-----", head.end(), before)
+    return "".join(text[head.end() : end if end >= 0 else before].split())
+
+
 def candidates(text: str) -> list[tuple[str, int, int, str]]:
     """Kind, start, end and value of all candidates, by start and then kind. Offsets count code points."""
     found = []
@@ -34,7 +41,8 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
         found += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
     if "-----BEGIN " in text:
-        found += [(m.start(), 3, m.end(), text[m.end() : m.end() + 64].strip()) for m in KEY_BLOCK.finditer(text)]
+        heads = list(KEY_BLOCK.finditer(text))
+        found += [(m.start(), 3, m.end(), key_body(text, m, after.start() if after else len(text))) for m, after in zip(heads, [*heads[1:], None])]
     if "eyJ" in text:
         found += [(m.start(), 4, m.end(), m[0]) for m in WEB_TOKEN.finditer(text)]
     return [(KINDS[k], start, end, value) for start, k, end, value in sorted(found)]
