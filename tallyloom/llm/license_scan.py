@@ -62,11 +62,23 @@ def best_containment(block: Column, template: list[str], rarest_first: list[str]
     return F.when(passes, F.when(shared >= need, shared / F.lit(float(size))))
 
 
+def best_window(words: Column, known: Column, template: list[str], length: int, threshold: float) -> Column:
+    """Largest share of the template's words in length consecutive words of a text if it reaches the threshold, else null.
+
+    known holds the text's words that stand in templates; where they are too few, no run is looked at. A best run can
+    start with one of the template's words."""
+    need = math.ceil(threshold * len(template) - 1e-9)
+    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(literal(template), F.get(words, i - 1)))
+    shared = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(literal(template), F.slice(words, i, length)))))
+    share = F.transform(F.array(shared), lambda n: F.when(n >= need, n / F.lit(float(len(template)))))
+    return F.when(F.size(F.array_intersect(literal(template), known)) >= need, F.get(share, F.lit(0)))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """One row per row of docs: n_words, places of the phrases (n_base, first_word, last_word, base_labels), labels with
     those of the templates, score (largest containment; 1 where a phrase stands).
 
-    A block is a line. All work on a row stays in that row, so neither long nor common texts gather anywhere; only the
+    A block is a line, or as many consecutive words as the template has, whatever lines they stand on. All work on a row stays in that row, so neither long nor common texts gather anywhere; only the
     templates, which are parameters, travel. Null text counts as empty: no words, no labels (empty strings), score 0.
     Null ids and repeated rows stay; extra columns are ignored; an empty table gives an empty result."""
     sets = {t: list(dict.fromkeys(t.split())) for t in templates}
@@ -97,10 +109,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     padded = lambda columns: columns if len(columns) > 1 else [*columns, F.lit(None).cast("int")]
 
     blocks = F.filter(F.transform(F.split("l_text", "\n"), words_of), lambda b: F.arrays_overlap(b, literal(rarest)))
-    hits = F.filter(
-        F.flatten(F.transform(blocks, lambda b: F.array(*(F.struct(F.lit(label).alias("label"), best_containment(b, sets[t], order[t], threshold).alias("share")) for t, label in templates.items())))),
-        lambda h: h["share"].isNotNull(),
+    labelled = lambda share: F.array(*(F.struct(F.lit(label).alias("label"), share(t).alias("share")) for t, label in templates.items()))
+    in_lines = F.transform(blocks, lambda b: labelled(lambda t: best_containment(b, sets[t], order[t], threshold)))
+    # Arrays of one element bind the text's words once.
+    in_runs = F.transform(
+        F.array(words_of(F.col("l_text"))),
+        lambda w: F.flatten(F.transform(F.array(F.array_intersect(literal(tokens), w)), lambda c: labelled(lambda t: best_window(w, c, sets[t], len(t.split()), threshold)))),
     )
+    hits = F.filter(F.flatten(F.concat(in_lines, in_runs)), lambda h: h["share"].isNotNull())
     may = F.col("l_trim").rlike("(?:^|  )(?:" + "|".join(rarest) + ")(?:  |$)")
     none = F.from_json(F.lit("[]"), "array<struct<label:string,share:double>>")
     rows = rows.select(

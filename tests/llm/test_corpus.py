@@ -396,6 +396,22 @@ def test_licenses(spark, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Notices are found wherever their lines break and whatever marks comments."""
+    import textwrap
+
+    notices = {label: t for t, label in license_scan.TEMPLATES.items()}
+    texts, want = [], []
+    for label in ("mit", "bsd", "gpl", "mpl-2"):
+        for width, mark in ((60, ""), (40, " * "), (12, "# ")):
+            texts.append("some code here\n" + textwrap.fill(notices[label], width, initial_indent=mark, subsequent_indent=mark, break_long_words=False) + "\nmore text")
+            want.append(label)
+    texts += ["all of it\nthe rights to the word\nare reserved here", "\n".join(notices["bsd"].split()[:15]), "all\nrights\nreserved"]
+    want += ["", "", "reserved"]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {k: (w, 1.0 if w else 0.0) for k, w in enumerate(want)}
+
+
 def test_quality(spark, docs, rows, empty):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40)] + [(None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
     got = quality.quality(docs, labels)
