@@ -49,6 +49,17 @@ def test_formats(spark):
     assert one(spark, text.tolerant_json(F.lit('x ```{"a": 1}``` y'), "a int").a, text.tolerant_json(F.lit("none"), "a int").a) == (1, None)
 
 
+def test_text_norm_takes_all_texts(spark, tmp_path):
+    """Words broken at a hyphen and null texts too; on the given table it agrees with its SQL."""
+    texts = ["a well-\n  known\u00a0Thing", None, "Plain  text"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.normal, r.squashed) for r in checks.text_norm(spark, str(tmp_path)).collect()}
+    assert got == {0: ("a well-known thing", 16), 1: ("", 0), 2: ("plain text", 9)}
+    duckdb = pytest.importorskip("duckdb")
+    want = duckdb.sql(registry.oracle_sql()["text_norm"].replace("from documents", f"from '{SF}/documents.parquet'")).fetchall()
+    assert sorted(want) == sorted((r.doc_id, r.normal, r.squashed) for r in checks.text_norm(spark, SF).collect())
+
+
 def test_leap_day(spark):
     got = one(spark, *(F.lit(x).cast("timestamp_ntz") + F.make_ym_interval(F.lit(19), F.lit(0)) for x in ("2004-02-29 10:11:12", "2005-02-28 01:00:00")))
     assert [str(x) for x in got] == ["2023-02-28 10:11:12", "2024-02-28 01:00:00"]
