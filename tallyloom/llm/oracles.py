@@ -75,10 +75,9 @@ with w as (select doc_id, row_number() over () as rid, coalesce(text, '') as tex
 phrases(phrase, label, k) as (values {_phrases}),
 hits as (select rid, label, unnest(list_filter(range(0, len(ws) - k + 1), lambda i: array_to_string(ws[i+1:i+k], ' ') = phrase)) as pos from w, phrases where len(ws) >= k),
 base as (select rid, count(*) as n, min(pos) as first, max(pos) as last, list_sort(list_distinct(list(label))) as labels from hits group by 1),
-templates as (select label, list_distinct(string_split(t, ' ')) as ts from (values {_templates}) v(t, label)),
-lines as (select rid, list_distinct(list_filter(regexp_split_to_array({LOWER.format("line")}, '{NO_WORD}'), lambda x: x <> '')) as b
-  from (select rid, unnest(string_split(text, chr(10))) as line from w)),
-shares as (select rid, label, len(list_intersect(ts, b)) as o, len(ts) as n from lines, templates),
+templates as (select label, len(string_split(t, ' ')) as l, list_distinct(string_split(t, ' ')) as ts from (values {_templates}) v(t, label)),
+shares as (select rid, label, list_max(list_transform(range(0, len(ws), l), lambda i: len(list_intersect(ts, ws[i+1:i+2*l])))) as o, len(ts) as n from w, templates
+  where len(list_intersect(ts, ws)) >= ceil({THRESHOLD} * len(ts) - 1e-9)),
 found as (select rid, list(label) as labels, max(o::double / n::double) as share from shares where o >= ceil({THRESHOLD} * n - 1e-9) group by 1)
 select doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, first::bigint as first_word, last::bigint as last_word,
   coalesce(array_to_string(base.labels, ','), '') as base_labels,
@@ -90,7 +89,7 @@ from w left join base on base.rid = w.rid left join found on found.rid = w.rid
 OP9 = """
 with l0 as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as line_no from documents),
 l as materialized (select doc_id, line_no, list_distinct(list_filter(regexp_split_to_array(lower(line), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) as s from l0),
-long as (select *, len(s) as n from l where len(s) >= 5),
+long as (select *, len(s) as n from l where len(s) >= 1),
 sets as materialized (select list_sort(s) as s, any_value(n) as n, min((doc_id, line_no)) as place from long group by 1),
 t as (select place, n, unnest(s) as t from sets),
 f as (select t, count(*) as f from t group by 1),

@@ -406,12 +406,55 @@ def test_wrapped_licenses(spark):
         for width, mark in ((60, ""), (40, " * "), (12, "# ")):
             texts.append("some code here\n" + textwrap.fill(notices[label], width, initial_indent=mark, subsequent_indent=mark, break_long_words=False) + "\nmore text")
             want.append(label)
-    texts += ["all of it\nthe rights to the word\nare reserved here", "\n".join(notices["bsd"].split()[:15]), "all\nrights\nreserved"]
+    texts += ["all of it\nthe rights to the word\nare reserved here", "\n".join(notices["bsd"].split()[:12]), "all\nrights\nreserved"]
     want += ["", "", "reserved"]
     got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == {k: (w, 1.0 if w else 0.0) for k, w in enumerate(want)}
 
 
+def brute_licenses(text):
+    """All blocks of all templates: labels and the largest share."""
+    w = [x for x in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", low(text or "")) if x]
+    labels, best = set(), 0.0
+    for t, label in license_scan.TEMPLATES.items():
+        tokens, n = set(t.split()), len(t.split())
+        for k in range(0, len(w), n):
+            share = len(tokens & set(w[k : k + 2 * n])) / len(tokens)
+            if share >= license_scan.THRESHOLD - 1e-9:
+                labels.add(label)
+                best = max(best, share)
+    return labels, best
+
+
+def test_licenses_equal_brute_force(spark, rows, tmp_path):
+    """Whole, cut, shuffled and thinned notices in texts of all lengths, with copies and null and repeated ids."""
+    import random
+
+    r, texts = random.Random(8), [t for _, t, *_ in rows]
+    for t in license_scan.TEMPLATES:
+        for _ in range(6):
+            w = [x for x in t.split() if r.random() < r.choice([1, 0.95, 0.85, 0.7])]
+            if r.random() < 0.3:
+                r.shuffle(w)
+            for _ in range(r.randrange(4)):
+                w.insert(r.randrange(len(w) + 1), r.choice(["the", "license", "xyz", "of"]))
+            around = [r.choice(["alpha", "the", "of", "and", "software", "license", "under"]) for _ in range(r.randrange(0, 60))]
+            texts.append(" ".join(around) + "\n" + r.choice([" ", "\n * "]).join(w).title() + ". " + " ".join(around[::-1]))
+    texts += texts[-9:] * 3 + [" ".join(texts[-40:]) * 3]
+    ids = [None if k % 50 == 7 else k % 400 for k in range(len(texts))]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in zip(ids, texts)], "doc_id long, text string, label string, share int")
+    got = collections.Counter((x.doc_id, frozenset(x.labels.split(",")) - {""}, round(x.score, 9)) for x in license_scan.scan_licenses(df).collect())
+    want = collections.Counter()
+    for i, t in zip(ids, texts):
+        labels, best = brute_licenses(t)
+        w = " " + " ".join(x for x in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", low(t or "")) if x) + " "
+        base = {label for p, label in license_scan.PHRASES.items() if f" {p} " in w}
+        want[i, frozenset(labels | base), round(1.0 if base else best, 9)] += 1
+    assert got == want and sum(bool(k[1]) for k in want) > 60
+    many = license_scan.ordered(license_scan.TEMPLATES, 0.6, collections.Counter())
+    assert all(len(t.prefix) + t.need == len(t.tokens) + 1 for t in many)
+
+
 def test_quality(spark, docs, rows, empty):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40)] + [(None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
     got = quality.quality(docs, labels)
