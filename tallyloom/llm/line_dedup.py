@@ -11,8 +11,8 @@ from .common import SPACE_RUN, bitmap, maybe_in, whole_text, written
 
 #: Counters of the frequency sketch. Its size doesn't depend on the corpus; a collision only changes the order of tokens.
 COUNTERS = 1 << 16
-#: Lines of fewer distinct words stay.
-LEAST_WORDS = 5
+#: Lines of fewer distinct words stay: only those without a word.
+LEAST_WORDS = 1
 FILTER_BITS = 1 << 23
 #: Rarest tokens by which a line meets the earliest line that has one of them too.
 FIRST = 2
