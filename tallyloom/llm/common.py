@@ -99,6 +99,15 @@ def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
     )
 
 
+#: The largest bitmap that is broadcast: 16 MB. Beyond it more keys pass by chance, which costs work and no result.
+MOST_BITS = 1 << 27
+
+
+def bits_for(keys: int) -> int:
+    """Bits of a bitmap of so many keys: 16 for each, a power of two, within bounds."""
+    return min(MOST_BITS, max(BITMAP_ROW, 1 << (16 * max(keys, 1) - 1).bit_length()))
+
+
 def maybe_in(df: DataFrame, key: Column, members: DataFrame, bits: int, flag: str) -> DataFrame:
     """Adds the boolean column flag: false only if key isn't in the bitmap's set. No shuffle of df."""
     at = F.pmod(F.xxhash64(key), F.lit(bits))

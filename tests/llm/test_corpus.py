@@ -62,6 +62,15 @@ def test_exact_groups_null_ids(spark):
     assert as_counter(exact_dedup.exact_groups(df)) == {(None, 1, 2, False): 1, (1, 1, 2, True): 1, (None, None, 2, True): 2}
 
 
+def test_exact_groups_refine_by_length_first(spark):
+    """Prefixes are hashed only for lengths that occur twice, whole texts only for prefixes that do."""
+    df = spark.createDataFrame([(1, "aa"), (2, "ab"), (3, "abc"), (4, "AB"), (5, None), (6, "")], "doc_id long, text string").withColumn("dd_keep", F.lit(1))
+    got = {r.doc_id: r for r in exact_dedup.refine(df, prefix_chars=2).collect()}
+    assert {k for k, r in got.items() if r.dd_prefix is not None} == {1, 2, 4, 5, 6}
+    assert {k for k, r in got.items() if r.dd_full is not None} == {2, 4, 5, 6}
+    assert exact_dedup.drop_exact_copies(df).columns == df.columns and {r.doc_id for r in exact_dedup.drop_exact_copies(df).collect()} == {1, 3, 4, 6}
+
+
 def shingle_set(text):
     w = words(low(text or ""))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
@@ -174,7 +183,7 @@ def test_components(spark):
     assert got == {k: 0 for k in range(61)} | {100: 100, 101: 100, 300: 300, 301: 300, 302: 300}
 
 
-def brute_lines(rows, least=5):
+def brute_lines(rows, least=1):
     seen, lines = [], collections.defaultdict(list)
     for i, t, *_ in sorted(rows, key=lambda r: r[0]):
         for k, line in enumerate((t or "").split("\n")):
