@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -22,6 +23,9 @@ from .common import map_in_arrow, whole_text
 #: The pattern that splits text before merging, as published with the vocabulary. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Bytes of a word from which on merging uses a heap.
+LONG_WORD = 96
+
 #: Words whose tokens a task remembers; beyond it starts afresh. Bounds the memory, not the result.
 REMEMBERED = 200_000
 
@@ -60,6 +64,8 @@ class Vocabulary:
     def merged(self, word: bytes) -> tuple[int, ...]:
         """Exact merging: again and again the leftmost pair of the lowest rank."""
         ids = [self.byte_ids[b] for b in word]
+        if len(ids) > LONG_WORD:
+            return self.merged_by_heap(ids)
         none = (1 << 60, -1)
         while len(ids) > 1:
             rank, new = min(map(lambda a, b: self.merges.get((a, b), none), ids, ids[1:]))
@@ -76,6 +82,28 @@ class Vocabulary:
             ids = out
         return tuple(ids)
 
+    def merged_by_heap(self, ids: list[int]) -> tuple[int, ...]:
+        """The same for long words, in n log n: open pairs in a heap by rank and place, tokens in a linked list."""
+        n, merges = len(ids), self.merges
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        heap = [(*merges[pair], k, *pair) for k, pair in enumerate(zip(ids, ids[1:])) if pair in merges]
+        heap = [(rank, k, a, b, new) for rank, new, k, a, b in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, k, a, b, new = heapq.heappop(heap)
+            j = after[k]
+            if j < 0 or ids[k] != a or ids[j] != b:
+                continue  # one of the two has been merged meanwhile
+            ids[k], ids[j] = new, -1
+            after[k] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = k
+            for left in (before[k], k):
+                right = after[left] if left >= 0 else -1
+                if right >= 0 and (found := merges.get((ids[left], ids[right]))) is not None:
+                    heapq.heappush(heap, (found[0], left, ids[left], ids[right], found[1]))
+        return tuple(i for i in ids if i >= 0)
+
     def proposed(self, word: bytes) -> list[int]:
         """Greedy longest match from the left."""
         out, at, n, tokens = [], 0, len(word), self.proposals

@@ -238,6 +238,21 @@ def test_bpe_equals_library(spark, docs, rows, empty):
     assert all(r.decoded == (r.text or "") for r in bpe.decode_column(coded, vocabulary_path()).collect())
 
 
+def test_bpe_long_words():
+    """Long words, merged by a heap, equal the library's, in little time."""
+    import random
+    import time
+
+    from tokenizers import Tokenizer
+
+    t, e, r = Tokenizer.from_file(vocabulary_path()), bpe.Encoder(bpe.Vocabulary(open(vocabulary_path(), encoding="utf-8").read())), random.Random(4)
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("ab", "etaoinshrdlu", "éàüßxyz", "日本語中文字") for n in (97, 150, 1000, 5000)] + ["a" * 3000, "the" * 700, "=" * 2000]
+    assert e.encode_batch(texts) == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    began = time.time()
+    e.encode_batch(["".join(r.choice("etaoinshrdlu") for _ in range(80_000))])
+    assert time.time() - began < 10
+
+
 def test_bpe_falls_back(spark):
     v = bpe.Vocabulary(open(vocabulary_path(), encoding="utf-8").read())
     e = bpe.Encoder(v)
@@ -245,18 +260,48 @@ def test_bpe_falls_back(spark):
     assert 0 < e.failed < e.speculated
 
 
-def test_media(docs, rows, empty):
-    want = collections.Counter()
-    for i, t, *_ in rows:
-        raw = (t or "").encode()
-        payload = raw + b" " * (-len(raw) % 192 if raw else 192)
-        media = telephony.wave(payload, telephony.MULAW)
-        want[i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest()] += 1
-    got = telephony.media_digest(docs)
-    assert as_counter(got.drop("feature")) == want
+def plain_adpcm(block):
+    """One block of IMA ADPCM, one nibble at a time."""
+    value, index = int.from_bytes(bytes(block[:2]), "little", signed=True), min(int(block[2]), 88)
+    out = [value]
+    for byte in bytes(block[4:]):
+        for code in (byte & 15, byte >> 4):
+            step = int(telephony.STEPS[index])
+            move = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+            value = max(-32768, min(32767, value - move if code & 8 else value + move))
+            index = max(0, min(88, index + int(telephony.INDEX_MOVE[code & 7])))
+            out.append(value)
+    return out
+
+
+def plain_media(text):
+    """What op5 returns of a text, sample by sample."""
+    raw = (text or "").encode()
+    payload = raw + b" " * (-len(raw) % 192 if raw else 192)
+    tag = (7, 6, 17)[zlib.crc32(payload) % 3]
+    media = telephony.wave(payload, tag, block=192 if tag == 17 else 1)
+    if tag == 17:
+        pcm = [x for k in range(0, len(payload), 192) for x in plain_adpcm(payload[k : k + 192])]
+    else:
+        table = (telephony.mulaw_table() if tag == 7 else telephony.alaw_table()).tolist()
+        pcm = [table[x] for x in payload]
+    # Twice the rate: every sample, and between two of them the mean, rounded half up.
+    out = [y for a, b in zip(pcm, [*pcm[1:], pcm[-1]]) for y in (a, (a + b + 1) // 2)]
+    positive = [x >= 0 for x in out]
+    feature = f"{len(out)}:{max(map(abs, out))}:{sum(map(abs, out)) // len(out)}:{sum(a != b for a, b in zip(positive, positive[1:]))}"
+    file = telephony.wave(np.array(out, "<i2").tobytes(), telephony.PCM, 16000)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    return len(raw), len(payload), sha(payload), zlib.crc32(payload[-16:]), len(media), sha(media), feature, len(file), sha(file), tag
+
+
+def test_media(spark, docs, rows, empty, monkeypatch):
+    plain = {t: plain_media(t) for _, t, *_ in rows}
+    assert {x[-1] for x in plain.values()} == {6, 7, 17}
+    want = collections.Counter((i, *plain[t][:-1]) for i, t, *_ in rows)
+    assert as_counter(telephony.media_digest(docs)) == want
     assert telephony.media_digest(empty).count() == 0
-    one = {r.n_bytes: r.feature for r in got.collect()}
-    assert one[0].split(":")[0] == "384"
+    got = telephony.media_digest(spark.createDataFrame([(None, None), (None, "x")], "doc_id long, text string"))
+    assert as_counter(got) == collections.Counter([(None, *plain_media(None)[:-1]), (None, *plain_media("x")[:-1])])
 
 
 def test_codecs():
@@ -266,19 +311,10 @@ def test_codecs():
     data = rng.integers(0, 256, 256 * 4, dtype=np.uint8)
     data.reshape(4, 256)[:, 2] %= 89
 
-    def plain(block):  # one block, one nibble at a time
-        value, index = int.from_bytes(block[:2].tobytes(), "little", signed=True), int(block[2])
-        out = [value]
-        for byte in block[4:].tolist():
-            for code in (byte & 15, byte >> 4):
-                step = int(telephony.STEPS[index])
-                move = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
-                value = max(-32768, min(32767, value - move if code & 8 else value + move))
-                index = max(0, min(88, index + int(telephony.INDEX_MOVE[code & 7])))
-                out.append(value)
-        return out
-
-    assert telephony.decode_adpcm(data.tobytes(), 256).tolist() == [x for b in data.reshape(4, 256) for x in plain(b)]
+    assert telephony.decode_adpcm(data.tobytes(), 256).tolist() == [x for b in data.reshape(4, 256) for x in plain_adpcm(b)]
+    cut = data.tobytes()[: 256 + 100]
+    assert telephony.decode_adpcm(cut, 256).tolist() == plain_adpcm(cut[:256]) + plain_adpcm(cut[256:])
+    assert telephony.decode_adpcm(cut[:259], 256).tolist() == plain_adpcm(cut[:256])
     assert telephony.resample(np.array([0, 100, -100], np.int16), 8000).tolist() == [0, 50, 100, 0, -100, -100]
 
 
@@ -289,6 +325,28 @@ def test_decode_column(spark):
     assert len(got[0].pcm) == 64 and got[1].media_error and got[2].pcm is None and got[2].media_error is None and len(got[3].pcm) == 2 * 2 * 2 * 57
 
 
+def test_malformed_media(spark):
+    """Any bytes give samples or a reason."""
+    import struct
+
+    rng = np.random.default_rng(3)
+    head = lambda tag, channels, rate, block: b"RIFF\0\0\0\0WAVEfmt " + struct.pack("<IHHIIHH", 16, tag, channels, rate, rate, block, 8) + b"data" + struct.pack("<I", 100) + bytes(range(100))
+    bad = [head(17, 1, 8000, b) for b in range(5)] + [head(7, 1, 0, 1), head(7, 2, 8000, 1), head(7, 0, 8000, 1), head(99, 1, 8000, 1), head(7, 1, 1, 1), b"RIFF\0\0\0\0WAVEfmt \x10\0\0\0", b"RIFF\0\0\0\0WAVEfmt \2\0\0\0\1\1data"]
+    good = [head(17, 1, 8000, b) for b in (5, 28, 60, 100, 101, 65535)] + [head(7, 1, 8000, 1), head(6, 1, 11025, 1), head(1, 1, 16000, 2)]
+    whole = telephony.wave(bytes(range(200)), telephony.ADPCM, block=50)
+    fuzz = []
+    for _ in range(300):
+        x = bytearray(whole[: rng.integers(0, len(whole) + 1)])
+        for k in rng.integers(0, max(len(x), 1), 3):
+            if len(x):
+                x[k] = rng.integers(0, 256)
+        fuzz.append(bytes(x))
+    df = spark.createDataFrame([(k, bytearray(m)) for k, m in enumerate(bad + good + fuzz)], "k int, media binary").repartition(4)
+    got = {r.k: r for r in telephony.decode_column(df).collect()}
+    assert all((r.pcm is None) != (r.media_error is None) for r in got.values()) and len(got) == len(bad + good + fuzz)
+    assert all(got[k].media_error for k in range(len(bad))) and all(got[len(bad) + k].pcm for k in range(len(good)))
+
+
 BASE = [("assign", re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[1]) >= 6),
         ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
 
