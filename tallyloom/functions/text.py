@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,14 +24,22 @@ def clean(x: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(x, WHITE, " ")), F.lit(""))
 
 
+#: Letters that fold to others when case is ignored, beyond lower-casing. Fixed values.
+FOLDED = {"ß": "ss", "ς": "σ"}
+
+
 def norm(x: Column) -> Column:
-    """For comparison: plain spaces and hyphens, words broken at a hyphen joined, lower case."""
+    """For comparison: plain spaces and hyphens, no white space between a hyphen and a word behind it, case folded."""
     plain = F.regexp_replace(F.coalesce(x, F.lit("")), "\\u2011", "-")
-    joined = F.regexp_replace(plain, "(?<=\\w)-\\s*\\n\\s*(?=\\w)", "-")
-    return F.lower(F.trim(F.regexp_replace(joined, WHITE, " ")))
+    joined = F.regexp_replace(plain, f"(?U)-{WHITE}(?=\\w)", "-")
+    out = F.lower(F.trim(F.regexp_replace(joined, WHITE, " ")))
+    for letter, folded in FOLDED.items():
+        out = F.replace(out, F.lit(letter), F.lit(folded))
+    return out
 
 
 def squash(x: Column) -> Column:
+    """norm without any white space, for words that a layout splits elsewhere."""
     return F.regexp_replace(norm(x), " ", "")
 
 
@@ -87,6 +97,17 @@ def percent(rate: Column, locale: str) -> Column:
     return F.concat(text, F.lit("%" if locale == "en" else "\u00a0%"))
 
 
+def title(x: Column) -> Column:
+    """Words capitalised, and letters behind anything that isn't a letter as well: o'brien 2nd gives O'Brien 2Nd."""
+    parts = F.regexp_extract_all(x, F.lit("(\\p{L}+|[^\\p{L}]+)"), F.lit(1))
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2))))), "")
+
+
+def labelled(key: Column) -> Column:
+    """The text of a label that has no translation: words of its key, capitalised."""
+    return title(F.replace(key, F.lit("_"), F.lit(" ")))
+
+
 def long_date(d: Column, locale: str) -> Column:
     """Day, month's name and year, in the locale's order."""
     name = F.get(F.array(*map(F.lit, MONTHS[locale])), F.month(d) - 1)
@@ -94,6 +115,23 @@ def long_date(d: Column, locale: str) -> Column:
     return F.concat_ws(" ", day, name, year) if locale == "fr" else F.concat(name, F.lit(" "), day, F.lit(", "), year)
 
 
+def dated(d: Column, form: str, locale: str) -> Column:
+    """A date in a form of d, dd, m, mm, yy, yyyy, month and mon (the month's first three letters) in braces."""
+    name = F.get(F.array(*map(F.lit, MONTHS[locale])), F.month(d) - 1)
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    parts = {"d": F.dayofmonth(d).cast("string"), "dd": two(F.dayofmonth(d)), "m": F.month(d).cast("string"), "mm": two(F.month(d)), "yyyy": F.year(d).cast("string"), "yy": two(F.year(d) % 100), "month": name, "mon": F.substring(name, 1, 3)}
+    pieces = re.split(r"\{(\w+)\}", form)
+    return F.concat(*(parts[p] if k % 2 else F.lit(p) for k, p in enumerate(pieces)))
+
+
+def filled(form: str, **values: Column) -> Column:
+    """A text with names in braces, each replaced by its column; null counts as empty."""
+    pieces = re.split(r"\{(\w+)\}", form)
+    return F.concat(*(F.coalesce(values[p].cast("string"), F.lit("")) if k % 2 else F.lit(p) for k, p in enumerate(pieces)))
+
+
 def tolerant_json(x: Column, schema: str) -> Column:
-    """The first JSON object in a text that may have fences or chatter around it; null if there is none."""
-    return F.from_json(F.regexp_extract(x, "(?s)(\\{.*\\})", 1), schema)
+    """The JSON object in a text that may have fences or chatter around it; null if there is none. With an array schema,
+    the array."""
+    opened, closed = ("\\[", "\\]") if schema.lower().startswith("array") else ("\\{", "\\}")
+    return F.from_json(F.regexp_extract(x, f"(?s)({opened}.*{closed})", 1), schema)

@@ -69,12 +69,17 @@ def invoice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(spark, sf_dir).select("okey", "items_count", "units", "gross", "subtotal", "discount_total", "freight", "tax_total", "total")
 
 
-@query(f"""with {WITH_TOTALS}, given as (select *, round_even((tax_total / subtotal)::decimal(18,8), 4)::decimal(9,4) as rate from totals where subtotal > 0),
+@query(f"""with {WITH_TOTALS}, bases as (select okey as bkey, sum(price * qty * (1 - discount)) as base from pl group by 1),
+given as (select totals.*, round_even((tax_total / base::decimal(24,4))::decimal(18,8), 4)::decimal(9,4) as rate from totals join bases on bkey = okey where base > 0),
 kept as (select okey, sum(line_total)::decimal(18,2) as kept_total from nl where line_no <= 3 group by 1)
 select g.okey, rate, items_count > 3 as sampled, kept_total, (case when items_count > 3 then round(kept_total * rate, 2) else tax_total end)::decimal(18,2) as given_tax from given g join kept k on k.okey = g.okey""")
 def given_tax_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source's tax where all lines are shown; its effective rate on the rest where lines were sampled."""
-    t = totals(spark, sf_dir).filter("subtotal > 0").withColumn("rate", F.bround((F.col("tax_total") / F.col("subtotal")).cast("decimal(18,8)"), 4).cast("decimal(9,4)"))
+    """The source's tax where all lines are shown; where lines were sampled, its effective rate (on the sum of the lines
+    before they are rounded) times what is shown."""
+    net = (F.col("price") * F.col("qty") * (F.lit(1).cast("decimal(5,2)") - F.col("discount"))).cast("decimal(24,4)")
+    bases = priced_lines(spark, sf_dir).groupBy(F.col("okey").alias("bkey")).agg(F.sum(net).cast("decimal(24,4)").alias("base")).filter("base > 0")
+    t = totals(spark, sf_dir).join(bases, F.col("okey") == F.col("bkey"))
+    t = t.withColumn("rate", F.bround((F.col("tax_total") / F.col("base")).cast("decimal(18,8)"), 4).cast("decimal(9,4)"))
     kept = numbered(priced_lines(spark, sf_dir)).filter("line_no <= 3").groupBy(F.col("okey").alias("k")).agg(total("line_total").alias("kept_total"))
     sampled = F.col("items_count") > 3
     given = F.when(sampled, half_up(F.col("kept_total") * F.col("rate"))).otherwise(F.col("tax_total")).cast(MONEY)
@@ -87,12 +92,13 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {WITH_TOTALS}, s as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1),
-x as (select *, case when d >= order_date then d else order_date end as issue_date, ([15, 30, 30, 45, 60])[({draw_sql("terms", "okey")} % 5)::integer + 1] as days from totals join s on l_orderkey = okey)
+x as (select *, coalesce(d, order_date) as issue_date, ([15, 30, 30, 45, 60])[({draw_sql("terms", "okey")} % 5)::integer + 1] as days from totals left join s on l_orderkey = okey)
 select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as number, issue_date, (issue_date + days::integer)::date as due_date,
   case when issue_date <> order_date then order_date end as shown_order_date, customer, total from x""")
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = totals(spark, sf_dir).join(shipped(spark, sf_dir), F.col("okey") == F.col("s_key"))
-    rows = rows.withColumn("issue_date", F.greatest("ship_date", "order_date")).withColumn("days", one_of([15, 30, 30, 45, 60], "terms", F.col("okey")))
+    """Issued on the ship date, without one on the order date. The tables have ship dates before the order; they stay."""
+    rows = totals(spark, sf_dir).join(shipped(spark, sf_dir), F.col("okey") == F.col("s_key"), "left")
+    rows = rows.withColumn("issue_date", F.coalesce("ship_date", "order_date")).withColumn("days", one_of([15, 30, 30, 45, 60], "terms", F.col("okey")))
     return rows.select("okey", F.concat(F.lit("INV-"), text.padded(F.col("okey"), 5)).alias("number"), "issue_date", F.date_add("issue_date", F.col("days")).alias("due_date"),
                        F.when(F.col("issue_date") != F.col("order_date"), F.col("order_date")).alias("shown_order_date"), "customer", "total")
 
@@ -120,7 +126,7 @@ def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {WITH_LINES}, x as (select *, row_number() over (partition by okey order by sha1('credit|' || okey || '|' || line_no), line_no) as pick, ([1, 1, 2, 3])[({draw_sql("credit_lines", "okey")} % 4)::integer + 1] as n,
   {draw_sql("reason", "okey")} % 5 as reason from nl),
 y as (select *, case when reason = 0 then qty else 1 + {draw_sql("part", "okey", "line_no")} % qty end as c_qty,
-  case when reason = 0 then round(price * ([0.05, 0.1, 0.15])[({draw_sql("fraction", "okey")} % 3)::integer + 1]::decimal(5,2), 2)::decimal(18,2) else price end as c_price from x where pick <= n),
+  case when reason = 0 then round(price * ([0.05, 0.1, 0.15])[({draw_sql("fraction", "okey", "line_no")} % 3)::integer + 1]::decimal(5,2), 2)::decimal(18,2) else price end as c_price from x where pick <= n),
 z as (select *, round(c_price * c_qty * (1 - discount), 2)::decimal(18,2) as c_total from y),
 r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from z group by 1, 2)
 select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as tax_total, (sum(base) + sum(round(base * tax_rate, 2)))::decimal(18,2) as total from r group by 1""")
@@ -130,7 +136,7 @@ def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sampled(lines, one_of([1, 1, 2, 3], "credit_lines", F.col("okey")), "credit")
     price_only = F.col("reason") == 0
     qty = F.when(price_only, F.col("qty")).otherwise(1 + below(1 << 32, "part", F.col("okey"), F.col("line_no")) % F.col("qty")).cast("int")
-    fraction = F.get(F.array(*(F.lit(x).cast("decimal(5,2)") for x in ("0.05", "0.1", "0.15"))), below(3, "fraction", F.col("okey")).cast("int"))
+    fraction = F.get(F.array(*(F.lit(x).cast("decimal(5,2)") for x in ("0.05", "0.1", "0.15"))), below(3, "fraction", F.col("okey"), F.col("line_no")).cast("int"))
     price = F.when(price_only, half_up(F.col("price") * fraction)).otherwise(F.col("price"))
     rows = rows.withColumn("c_total", half_up(price * qty * (F.lit(1).cast("decimal(5,2)") - F.col("discount"))))
     by_rate = rows.groupBy("okey", "tax_rate").agg(total("c_total").alias("base"), F.count(F.lit(1)).alias("n"))
@@ -141,27 +147,30 @@ def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with {WITH_LINES}, x as (select *, case when qty >= 2 and {draw_sql("backorder", "okey")} % 1000 < 200 then row_number() over (partition by okey, qty >= 2 order by sha1('short|' || okey || '|' || line_no), line_no) end as pick from nl),
 y as (select *, case when pick = 1 then 1 + {draw_sql("missing", "okey")} % (qty - 1) else 0 end as back, ([6, 12, 24, 48])[({draw_sql("box", "okey")} % 4)::integer + 1] as box from x)
-select okey, sum(qty)::bigint as ordered, sum(qty - back)::bigint as shipped, sum(back)::bigint as backordered, greatest(1, ceil(sum(qty - back) / any_value(box)::double))::bigint as packages from y group by 1""")
+select okey, sum(qty)::bigint as ordered, sum(qty - back)::bigint as shipped, sum(back)::bigint as backordered, greatest(1, ceil(sum(qty - back) / any_value(box)::double))::bigint as packages, round_even(sum(weight_kg * (qty - back))::decimal(18,3), 2)::decimal(18,2) as total_weight from y group by 1""")
 def packing_slips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line of two or more pieces may be short; packages hold a drawn number of pieces."""
     w = Window.partitionBy("okey", F.col("qty") >= 2).orderBy(F.sha1(F.concat_ws("|", F.lit("short"), "okey", "line_no")), "line_no")
     rows = numbered(priced_lines(spark, sf_dir)).withColumn("pick", F.row_number().over(w))
     short = (F.col("qty") >= 2) & chance(200, "backorder", F.col("okey")) & (F.col("pick") == 1)
     rows = rows.withColumn("back", F.when(short, 1 + below(1 << 32, "missing", F.col("okey")) % (F.col("qty") - 1)).otherwise(0))
-    out = rows.groupBy("okey").agg(F.sum("qty").cast("long").alias("ordered"), F.sum(F.col("qty") - F.col("back")).cast("long").alias("shipped"), F.sum("back").cast("long").alias("backordered"))
+    out = rows.groupBy("okey").agg(F.sum("qty").cast("long").alias("ordered"), F.sum(F.col("qty") - F.col("back")).cast("long").alias("shipped"), F.sum("back").cast("long").alias("backordered"),
+                                   half_even(F.sum((F.col("weight_kg") * (F.col("qty") - F.col("back"))).cast("decimal(18,3)"))).alias("total_weight"))
     box = one_of([6, 12, 24, 48], "box", F.col("okey"))
     return out.withColumn("packages", F.greatest(F.lit(1), F.ceil(F.col("shipped") / box)).cast("long"))
 
 
-@query(f"""with {WITH_LINES}, {WITH_ORDERS}, x as (select okey, sum(case when p_size > 0 then (qty * p_size * 0.125)::decimal(18,3) end)::decimal(18,3) as total_weight, bool_or(p_size = 0) as unknown, sum(line_total)::decimal(18,2) as declared_value, sum(qty)::bigint as units from pl group by 1)
-select oh.okey, units, case when not unknown then total_weight end as total_weight, declared_value, freight, (order_date + 1)::date as pickup, (order_date + 1 + ({draw_sql("transit", "oh.okey")} % 7 + 1)::integer)::date as deliver from x join oh on oh.okey = x.okey""")
+@query(f"""with {WITH_LINES}, {WITH_ORDERS}, x as (select okey, round_even(sum(weight_kg * qty)::decimal(18,3), 2)::decimal(18,2) as total_weight, sum(line_total)::decimal(18,2) as declared_value, sum(qty)::bigint as units from pl group by 1)
+select oh.okey, units, greatest(1, ceil(units / ([6, 12, 24, 48])[({draw_sql("box", "oh.okey")} % 4)::integer + 1]::double))::bigint as packages, total_weight, declared_value,
+(['freight_prepaid', 'freight_collect'])[({draw_sql("freight_terms", "oh.okey")} % 2)::integer + 1] as freight_terms, freight, (order_date + 1)::date as pickup, (order_date + 1 + ({draw_sql("transit", "oh.okey")} % 7 + 1)::integer)::date as deliver from x join oh on oh.okey = x.okey""")
 def shipping_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights in thousandths of a kilogram; null if one product's is unknown."""
-    weight = F.when(F.col("p_size") > 0, (F.col("qty") * F.col("p_size") * F.lit("0.125").cast("decimal(4,3)")).cast("decimal(18,3)"))
-    sums = priced_lines(spark, sf_dir).groupBy(F.col("okey").alias("k")).agg(F.sum(weight).cast("decimal(18,3)").alias("w"), F.bool_or(F.col("p_size") == 0).alias("unknown"), total("line_total").alias("declared_value"), F.sum("qty").cast("long").alias("units"))
+    """The summary. The weight is that of the products whose weight is known, null if none is."""
+    weight = (F.col("weight_kg") * F.col("qty")).cast("decimal(18,3)")
+    sums = priced_lines(spark, sf_dir).groupBy(F.col("okey").alias("k")).agg(half_even(F.sum(weight)).alias("total_weight"), total("line_total").alias("declared_value"), F.sum("qty").cast("long").alias("units"))
     rows = order_headers(spark, sf_dir).join(sums, F.col("okey") == F.col("k"))
     days = (below(7, "transit", F.col("okey")) + 2).cast("int")
-    return rows.select("okey", "units", F.when(~F.col("unknown"), F.col("w")).alias("total_weight"), "declared_value", "freight", F.date_add("order_date", 1).alias("pickup"), F.date_add("order_date", days).alias("deliver"))
+    packages = F.greatest(F.lit(1), F.ceil(F.col("units") / one_of([6, 12, 24, 48], "box", F.col("okey")))).cast("long")
+    return rows.select("okey", "units", packages.alias("packages"), "total_weight", "declared_value", one_of(["freight_prepaid", "freight_collect"], "freight_terms", F.col("okey")).alias("freight_terms"), "freight", F.date_add("order_date", 1).alias("pickup"), F.date_add("order_date", days).alias("deliver"))
 
 
 @query(f"""with {WITH_LINES} select okey || ':' || supplier as purchase_key, count(*) as items_count, sum(line_gross)::decimal(18,2) as subtotal, round(sum(line_gross)::decimal(18,2) * 0.0825, 2)::decimal(18,2) as tax_total,
@@ -172,14 +181,52 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "items_count", "subtotal", "tax_total", add(F.col("subtotal"), F.col("tax_total")).alias("total"), one_of([30, 45, 60], "po_terms", F.col("okey"), F.col("supplier")).alias("payment_days"))
 
 
-@query(f"""with {WITH_LINES}, x as (select *, case when {draw_sql("reject", "okey", "line_no")} % 1000 < 100 then least(qty, 1 + {draw_sql("rejected", "okey", "line_no")} % 3) else 0 end as rejected from nl where okey % 7 = 0)
-select okey || ':' || supplier as purchase_key, sum(qty)::bigint as ordered, sum(qty)::bigint as received, sum(rejected)::bigint as rejected, sum(qty - rejected)::bigint as accepted from x group by okey, supplier""")
-def goods_received_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+RECEIVED_SQL = f"""received_lines as (select *, qty - rejected as accepted, qty - rejected as stocked from (select okey, line_no, part, p_name, supplier, qty, qty as received,
+  case when {draw_sql("reject", "okey", "line_no")} % 1000 < 100 then least(qty, 1 + {draw_sql("rejected", "okey", "line_no")} % 3) else 0 end as rejected from nl where okey % 7 = 0))"""
+PURCHASE_STATUS = {1: "pending", 2: "approved", 3: "rejected", 4: "complete"}
+PURCHASES_SQL = f"""purchases as (select distinct okey, supplier, 1 + {draw_sql("po_status", "okey", "supplier")} % 4 as code from pl where okey % 7 = 0)"""
+
+
+def received_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of purchases with what arrived, was rejected, accepted and stocked."""
     k, n = F.col("okey"), F.col("line_no")
-    rejected = F.when(chance(100, "reject", k, n), F.least(F.col("qty").cast("long"), 1 + below(3, "rejected", k, n))).otherwise(0)
-    rows = numbered(priced_lines(spark, sf_dir)).filter("okey % 7 = 0").withColumn("r", rejected)
-    out = rows.groupBy("okey", "supplier").agg(F.sum("qty").cast("long").alias("ordered"), F.sum("qty").cast("long").alias("received"), F.sum("r").cast("long").alias("rejected"), F.sum(F.col("qty") - F.col("r")).cast("long").alias("accepted"))
-    return out.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "ordered", "received", "rejected", "accepted")
+    rejected = F.when(chance(100, "reject", k, n), F.least(F.col("qty").cast("long"), 1 + below(3, "rejected", k, n))).otherwise(0).cast("long")
+    rows = numbered(priced_lines(spark, sf_dir)).filter("okey % 7 = 0").select("okey", "line_no", "part", "p_name", "supplier", F.col("qty").cast("long").alias("qty"), F.col("qty").cast("long").alias("received"), rejected.alias("rejected"))
+    return rows.withColumn("accepted", F.col("received") - F.col("rejected")).withColumn("stocked", F.col("accepted"))
+
+
+def purchase_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """okey, supplier, code (1 to 4) of each purchase."""
+    rows = read(spark, sf_dir, "lineitem").filter("l_orderkey % 7 = 0").select(F.col("l_orderkey").alias("okey"), F.col("l_suppkey").alias("supplier")).distinct()
+    return rows.withColumn("code", 1 + below(4, "po_status", F.col("okey"), F.col("supplier")))
+
+
+@query(f"""with {WITH_LINES}, {PURCHASES_SQL} select okey || ':' || supplier as purchase_key, case code when 1 then 'pending' when 2 then 'approved' when 3 then 'rejected' when 4 then 'complete' else '' end as status, code = 4 as complete from purchases""")
+def purchase_keys_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of purchases with their decoded status; notes of receipt are made of complete ones only."""
+    status = F.coalesce(*(F.when(F.col("code") == k, v) for k, v in PURCHASE_STATUS.items()), F.lit(""))
+    return purchase_status(spark, sf_dir).select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), status.alias("status"), (F.col("code") == 4).alias("complete"))
+
+
+@query(f"""with {WITH_LINES}, {PURCHASES_SQL}, {RECEIVED_SQL} select r.okey || ':' || r.supplier as purchase_key, line_no, part, p_name, qty as ordered, received, rejected, accepted, stocked
+from received_lines r join purchases p on p.okey = r.okey and p.supplier = r.supplier where code = 4""")
+def goods_received_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = purchase_status(spark, sf_dir).filter("code = 4").select(F.col("okey").alias("k"), F.col("supplier").alias("s"))
+    rows = received_lines(spark, sf_dir).join(done, (F.col("okey") == F.col("k")) & (F.col("supplier") == F.col("s")), "left_semi")
+    return rows.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "line_no", "part", "p_name", F.col("qty").alias("ordered"), "received", "rejected", "accepted", "stocked")
+
+
+@query(f"""with {WITH_LINES}, {WITH_ORDERS}, {PURCHASES_SQL}, {RECEIVED_SQL} select r.okey || ':' || r.supplier as purchase_key, (any_value(order_date) + ({draw_sql("received_on", "r.okey", "r.supplier")} % 4)::integer)::date as received_on,
+  sum(qty)::bigint as ordered, sum(received)::bigint as received, sum(rejected)::bigint as rejected, sum(accepted)::bigint as accepted
+from received_lines r join purchases p on p.okey = r.okey and p.supplier = r.supplier join oh on oh.okey = r.okey where code = 4 group by r.okey, r.supplier""")
+def goods_received_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of complete purchases: received up to three days after the order."""
+    done = purchase_status(spark, sf_dir).filter("code = 4").select(F.col("okey").alias("k"), F.col("supplier").alias("s"))
+    out = received_lines(spark, sf_dir).groupBy("okey", "supplier").agg(*(F.sum(c).cast("long").alias(n) for c, n in (("qty", "ordered"), ("received", "received"), ("rejected", "rejected"), ("accepted", "accepted"))))
+    out = out.join(done, (F.col("okey") == F.col("k")) & (F.col("supplier") == F.col("s")), "left_semi")
+    out = out.join(order_headers(spark, sf_dir).select(F.col("okey").alias("hk"), "order_date"), F.col("okey") == F.col("hk"))
+    on = F.date_add("order_date", below(4, "received_on", F.col("okey"), F.col("supplier")).cast("int"))
+    return out.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), on.alias("received_on"), "ordered", "received", "rejected", "accepted")
 
 
 STOCK_SQL = f"""stock as (select p_partkey, p_name, p_brand, p_type, p_size, ({draw_sql("on_hand", "p_partkey")} % 60 * ({draw_sql("empty", "p_partkey")} % 10 > 0)::integer)::bigint as on_hand,
@@ -234,46 +281,51 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("items_count"), total("v").alias("total"), F.min(F.date_format("ts", "HH:mm")).alias("first_at"))
 
 
-@query(f"""with {WITH_LINES}, x as (select okey, line_no, line_gross as planned, round(cast(cast(l_extendedprice as varchar) as decimal(24,6)), 2)::decimal(18,2) as actual, (qty * 0.25)::decimal(18,2) as hours from nl)
-select okey, count(*) as operations, sum(hours)::decimal(18,2) as total_hours, sum(planned)::decimal(18,2) as total_planned, sum(actual)::decimal(18,2) as total_actual, (sum(actual) - sum(planned))::decimal(18,2) as variance from x group by 1""")
+WORK_SQL = f"""operations as (select okey, line_no as operation, 'Cell ' || supplier as location, line_gross as planned_cost, round(cast(cast(l_extendedprice as varchar) as decimal(24,6)), 2)::decimal(18,2) as actual_cost, (qty * 0.25)::decimal(18,2) as hours,
+  cast(l_shipdate as date) as planned_start, (cast(l_shipdate as date) + 3)::date as planned_end, (cast(l_shipdate as date) + ({draw_sql("late", "okey", "line_no")} % 3)::integer)::date as actual_start, (cast(l_shipdate as date) + ({draw_sql("late", "okey", "line_no")} % 3 + 2)::integer)::date as actual_end from nl),
+work as (select okey, count(*) as operations, sum(hours)::decimal(18,2) as total_hours, sum(planned_cost)::decimal(18,2) as total_planned, sum(actual_cost)::decimal(18,2) as total_actual, (sum(actual_cost) - sum(planned_cost))::decimal(18,2) as variance from operations group by 1)"""
+
+
+def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routing of all work orders, numbered in order."""
+    late = below(3, "late", F.col("okey"), F.col("line_no")).cast("int")
+    day = F.to_date("l_shipdate")
+    return numbered(priced_lines(spark, sf_dir)).select(
+        "okey", F.col("line_no").alias("operation"), F.concat(F.lit("Cell "), "supplier").alias("location"), F.col("line_gross").alias("planned_cost"), half_up(exact(F.col("l_extendedprice"))).alias("actual_cost"), (F.col("qty") * F.lit("0.25").cast("decimal(3,2)")).cast(MONEY).alias("hours"),
+        day.alias("planned_start"), F.date_add(day, 3).alias("planned_end"), F.date_add(day, late).alias("actual_start"), F.date_add(day, late + 2).alias("actual_end"))
+
+
+@query(f"""with {WITH_LINES}, {WORK_SQL} select okey, operation, location, planned_start, planned_end, case when {draw_sql("show_actual_dates", "okey")} % 1000 < 600 then actual_start end as actual_start,
+  case when {draw_sql("show_actual_dates", "okey")} % 1000 < 600 then actual_end end as actual_end, hours, planned_cost, actual_cost from operations""")
+def work_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations in their order; actual dates where the option shows them."""
+    shown = chance(600, "show_actual_dates", F.col("okey"))
+    rows = operations(spark, sf_dir).withColumn("actual_start", F.when(shown, F.col("actual_start"))).withColumn("actual_end", F.when(shown, F.col("actual_end")))
+    return rows.select("okey", "operation", "location", "planned_start", "planned_end", "actual_start", "actual_end", "hours", "planned_cost", "actual_cost")
+
+
 def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = priced_lines(spark, sf_dir).select("okey", F.col("line_gross").alias("planned"), half_up(exact(F.col("l_extendedprice"))).alias("actual"), (F.col("qty") * F.lit("0.25").cast("decimal(3,2)")).cast(MONEY).alias("hours"))
     out = rows.groupBy("okey").agg(F.count(F.lit(1)).alias("operations"), total("hours").alias("total_hours"), total("planned").alias("total_planned"), total("actual").alias("total_actual"))
     return out.withColumn("variance", add(F.col("total_actual"), -F.col("total_planned")))
 
 
-#: Hours by pay frequency, overtime factor, deductions by rate of gross and by amount. Fixed values.
-HOURS = {1: "173.33", 2: "80.00"}
-OVERTIME = "1.5"
-RATE_DEDUCTIONS = (("federal", "0.12"), ("state", "0.045"), ("social", "0.062"), ("medicare", "0.0145"))
-FIXED_DEDUCTIONS = (("health", "85.00"), ("pension", "32.00"))
+#: Why pieces of a work order were scrapped. Fixed values.
+SCRAP = ("Brake assembly not as ordered", "Drill size too large", "Paint process failed", "Trim length too short")
 
-STAFF_SQL = f"""staff as (select s_suppkey as emp, 1 + {draw_sql("frequency", "s_suppkey")} % 2 as frequency, {draw_sql("salaried", "s_suppkey")} % 2 = 0 as salaried,
-  (10 + {draw_sql("pay", "s_suppkey")} % 4000 / 100.0)::decimal(18,2) as pay_rate, ([0, 0, 0, 4, 8, 12])[({draw_sql("overtime", "s_suppkey")} % 6)::integer + 1] as over_hours from supplier),
-earned as (select *, round(pay_rate * (case frequency when 1 then 173.33 else 80.00 end)::decimal(9,2), 2)::decimal(18,2) as regular,
-  (case when salaried then 0 else round(pay_rate * 1.5 * over_hours, 2) end)::decimal(18,2) as overtime from staff),
-rules(name, rate, fixed) as (values ('federal', 0.12::decimal(9,4), 0::decimal(18,2)), ('state', 0.045, 0), ('social', 0.062, 0), ('medicare', 0.0145, 0), ('health', 0, 85.00), ('pension', 0, 32.00)),
-deducted as (select emp, name, round((regular + overtime) * rate, 2)::decimal(18,2) + fixed as amount from earned, rules),
-pay as (select e.emp, regular, overtime, (regular + overtime)::decimal(18,2) as gross, d.deductions, (regular + overtime - d.deductions)::decimal(18,2) as net
-  from earned e join (select emp, sum(amount)::decimal(18,2) as deductions from deducted group by 1) d on d.emp = e.emp)"""
 
-
-def pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    rows = read(spark, sf_dir, "supplier").select(k.alias("emp"), (1 + below(2, "frequency", k)).alias("frequency"), (below(2, "salaried", k) == 0).alias("salaried"), (10 + below(4000, "pay", k) / F.lit(100).cast("decimal(3,0)")).cast(MONEY).alias("pay_rate"), one_of([0, 0, 0, 4, 8, 12], "overtime", k).alias("over_hours"))
-    hours = F.when(F.col("frequency") == 1, F.lit(HOURS[1])).otherwise(HOURS[2]).cast("decimal(9,2)")
-    over = F.when(F.col("salaried"), zero()).otherwise(half_up(F.col("pay_rate") * F.lit(OVERTIME).cast("decimal(3,1)") * F.col("over_hours")))
-    rows = rows.withColumn("regular", half_up(F.col("pay_rate") * hours)).withColumn("overtime", over.cast(MONEY))
-    rows = rows.withColumn("gross", add(F.col("regular"), F.col("overtime")))
-    by_rate = [half_up(F.col("gross") * F.lit(r).cast("decimal(5,4)")) for _, r in RATE_DEDUCTIONS]
-    fixed = [F.lit(a).cast(MONEY) for _, a in FIXED_DEDUCTIONS]
-    rows = rows.withColumn("deductions", add(*by_rate, *fixed))
-    return rows.withColumn("net", add(F.col("gross"), -F.col("deductions")))
-
-
-@query(f"with {STAFF_SQL} select emp, regular, overtime, gross, deductions, net from pay")
-def payslip_net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pay(spark, sf_dir).select("emp", "regular", "overtime", "gross", "deductions", "net")
+@query(f"""with {WITH_LINES}, {WORK_SQL}, q as (select okey, sum(qty)::bigint as order_qty from pl group by 1),
+s as (select *, case when {draw_sql("scrap", "okey")} % 1000 < 80 then least(order_qty, 1 + {draw_sql("scrapped", "okey")} % 3) else 0 end as scrapped_qty from q)
+select work.okey, 'WO-' || lpad(work.okey::varchar, greatest(6, length(work.okey::varchar))::integer, '0') as ref, order_qty, order_qty - scrapped_qty as stocked_qty, scrapped_qty, case when scrapped_qty > 0 then ({list(SCRAP)})[({draw_sql("scrap_reason", "work.okey")} % {len(SCRAP)})::integer + 1] end as scrap_reason,
+operations, total_hours, total_planned, total_actual, variance from work join s on s.okey = work.okey""")
+def work_order_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product's quantities, an optional scrap reason, and the sums."""
+    k = F.col("okey")
+    q = priced_lines(spark, sf_dir).groupBy(F.col("okey").alias("q_key")).agg(F.sum("qty").cast("long").alias("order_qty"))
+    rows = work_orders(spark, sf_dir).join(q, k == F.col("q_key"))
+    rows = rows.withColumn("scrapped_qty", F.when(chance(80, "scrap", k), F.least(F.col("order_qty"), 1 + below(3, "scrapped", k))).otherwise(0).cast("long"))
+    reason = F.when(F.col("scrapped_qty") > 0, one_of(list(SCRAP), "scrap_reason", k))
+    return rows.select(k, F.concat(F.lit("WO-"), text.padded(k, 6)).alias("ref"), "order_qty", (F.col("order_qty") - F.col("scrapped_qty")).alias("stocked_qty"), "scrapped_qty", reason.alias("scrap_reason"), "operations", "total_hours", "total_planned", "total_actual", "variance")
 
 
 @query(f"""select s_suppkey as emp, (hired + 60 + ({draw_sql("issued", "s_suppkey")} % 300)::integer)::date as issue_date,

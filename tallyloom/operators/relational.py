@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import exact, half_even, half_up
+from ..functions.money import half_even
+from ..functions.places import placed
 from ..registry import query
 from ..sources.tables import WITH_LINES, WITH_ORDERS, numbered, order_headers, priced_lines, read
 
 
+IDS_A_BIN = 10_000
+
+
 @query("""select o_orderkey, cast(o_orderdate as date) as order_date, o_orderstatus from orders
 where cast(o_orderdate as date) >= date '1998-01-01' and o_orderstatus in ('O', 'P') and o_orderkey % 7 = 0 and o_orderpriority <> ''""")
 def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,21 +164,16 @@ def nation_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""select event_id, coalesce(try_cast(json_extract_string(props, '$.k') as integer), -1) as k, row_number() over (order by try_cast(json_extract_string(props, '$.k') as integer) asc nulls first, event_id) as pos
-from events where event_type = 'error'""")
+from events""")
 def order_by_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric order over a number kept as text."""
+    """Numeric order over a number kept as text, as places; bins by that number and neighbouring ids count first."""
     k = F.get_json_object("props", "$.k").try_cast("int")
-    rows = read(spark, sf_dir, "events").filter("event_type = 'error'").select("event_id", k.alias("n"))
-    return rows.select("event_id", F.coalesce("n", F.lit(-1)).alias("k"), F.row_number().over(Window.orderBy(F.col("n").asc_nulls_first(), "event_id")).cast("long").alias("pos"))
+    rows = read(spark, sf_dir, "events").select("event_id", k.alias("n"))
+    rows = placed(rows, [], F.struct("n", F.floor(F.col("event_id") / IDS_A_BIN).alias("b")), [F.col("event_id")], "pos")
+    return rows.select("event_id", F.coalesce("n", F.lit(-1)).alias("k"), "pos")
 
 
 @query("""with x as (select p_type, count(*) as n from part group by 1) select p_type, n, row_number() over (order by n desc, p_type) as place from x""")
 def counts_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
     return rows.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "p_type")).cast("long"))
-
-
-@query("select l_orderkey, max(l_shipdate) as last_ship, round(cast(cast(sum(cast(l_extendedprice as decimal(18,4))) as varchar) as decimal(24,6)), 2)::decimal(18,2) as value from lineitem group by 1")
-def order_value_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"), F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).alias("v"))
-    return rows.select("l_orderkey", "last_ship", half_up(exact(F.col("v"))).alias("value"))

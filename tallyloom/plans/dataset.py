@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.draws import draw, draw_sql
+from ..functions.draws import below, draw, draw_sql, one_of
+from ..functions.places import placed
 from ..operators.documents import WITH_TOTALS, totals
 from ..registry import query
-from .planner import SPLITS_SQL, splits
+from .planner import LAYOUTS, SPLITS_SQL, THEMES, splits
 
 ROWS_A_SHARD = 5000
+LINES_A_PAGE = 5
+KEYS_A_BIN = 10_000
 
 
 def rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,14 +24,18 @@ def rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.withColumn("many", n.scalar())
     rows = rows.withColumn("company", 1 + draw("company", F.col("okey")) % F.col("many")).drop("many")
     rows = rows.withColumn("doc_type", F.when(F.col("okey") % 3 == 0, "invoice").when(F.col("okey") % 3 == 1, "quote").otherwise("receipt"))
-    rows = rows.withColumn("locale", F.when(F.col("region") == 3, "fr").otherwise("en"))
-    return rows.join(c.withColumnRenamed("company", "c"), F.col("company") == F.col("c")).drop("c")
+    rows = rows.withColumn("locale", F.when(F.col("region") == 3, "fr").otherwise("en")).withColumn("source", F.when(F.col("ckey") % 2 == 0, "shops").otherwise("others"))
+    rows = rows.withColumn("pages", F.when(F.col("okey") % 50 != 0, F.ceil(F.col("items_count") / LINES_A_PAGE)).cast("long"))
+    design = F.concat(one_of(list(LAYOUTS), "layout", F.col("company")), F.lit("/"), one_of(list(THEMES), "theme", F.col("company")))
+    return rows.join(c.withColumnRenamed("company", "c"), F.col("company") == F.col("c")).drop("c").withColumn("design", design)
 
 
 ROWS_SQL = f"""{WITH_TOTALS}, {SPLITS_SQL},
 d as (select okey, 1 + {draw_sql("company", "okey")} % (select max(company) from companies) as company, case okey % 3 when 0 then 'invoice' when 1 then 'quote' else 'receipt' end as doc_type,
-  case when region = 3 then 'fr' else 'en' end as locale, items_count, total, customer, nation, order_date from totals),
-docs as (select d.*, sector, split from d join splits on splits.company = d.company)"""
+  case when region = 3 then 'fr' else 'en' end as locale, case when ckey % 2 = 0 then 'shops' else 'others' end as source, case when okey % 50 <> 0 then ceil(items_count / {LINES_A_PAGE}.0)::bigint end as pages,
+  items_count, total, customer, nation, order_date from totals),
+designs as (select company as d_company, ({list(LAYOUTS)})[({draw_sql("layout", "company")} % {len(LAYOUTS)})::integer + 1] || '/' || ({list(THEMES)})[({draw_sql("theme", "company")} % {len(THEMES)})::integer + 1] as design from companies),
+docs as (select d.*, sector, split, design from d join splits on splits.company = d.company join designs on d_company = d.company)"""
 
 
 @query(f"with {ROWS_SQL} select okey, doc_type, company, sector, split, locale, items_count, total, 'customer' as counterparty_role, customer as counterparty_name from docs")
@@ -44,14 +51,21 @@ def key_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("okey", "doc_type", "company", "sector", "split", "locale", "items_count", value.alias("total"), other["role"].alias("counterparty_role"), other["name"].alias("counterparty_name"))
 
 
-@query(f"""with {ROWS_SQL} select coalesce(doc_type, '') as doc_type, coalesce(sector, '') as sector, coalesce(locale, '') as locale, coalesce(split, '') as split, count(*) as n, sum(items_count)::bigint as items
-from docs group by grouping sets ((doc_type), (sector), (locale), (doc_type, split), (doc_type, sector), ())""")
+#: Shares of documents with a degraded image, in thousandths. Fixed value.
+SCANNED = 300
+SCANNED_SQL = f"{draw_sql('augment-select', 'okey')} % 1000 < {SCANNED}"
+COUNTED = ("doc_type", "source", "locale", "design", "sector", "split")
+SETS = (("doc_type",), ("source",), ("locale",), ("design",), ("sector",), ("split",), ("doc_type", "split"), ("doc_type", "source"), ("doc_type", "sector"), ())
+
+
+@query(f"""with {ROWS_SQL} select {", ".join(f"coalesce({c}, '') as {c}" for c in COUNTED)}, count(*) as n, sum(items_count)::bigint as items, sum(coalesce(pages, 0))::bigint as pages, count(*) filter ({SCANNED_SQL}) as scans
+from docs group by grouping sets ({", ".join(f"({', '.join(x)})" for x in SETS)})""")
 def counters_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All counters of the run from one pass."""
-    c = [F.col(x) for x in ("doc_type", "sector", "locale", "split")]
-    sets = [[c[0]], [c[1]], [c[2]], [c[0], c[3]], [c[0], c[1]], []]
-    rows = rows_of(spark, sf_dir).groupingSets(sets, *c).agg(F.count(F.lit(1)).alias("n"), F.sum("items_count").cast("long").alias("items"))
-    return rows.select(*(F.coalesce(x, F.lit("")).alias(n) for x, n in zip(c, ("doc_type", "sector", "locale", "split"))), "n", "items")
+    """All counters of the run, pages and scans from one pass."""
+    scan = below(1000, "augment-select", F.col("okey")) < SCANNED
+    rows = rows_of(spark, sf_dir).groupingSets([[F.col(c) for c in x] for x in SETS], *map(F.col, COUNTED))
+    rows = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("items_count").cast("long").alias("items"), F.sum(F.coalesce("pages", F.lit(0))).cast("long").alias("pages"), F.count_if(scan).alias("scans"))
+    return rows.select(*(F.coalesce(c, F.lit("")).alias(c) for c in COUNTED), "n", "items", "pages", "scans")
 
 
 @query(f"""with {ROWS_SQL} select doc_type, count(*) filter (split = 'train') as train, count(*) filter (split = 'validation') as validation, count(*) filter (split = 'test') as test from docs group by 1""")
@@ -64,22 +78,56 @@ def companies_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).groupBy("split").agg(F.array_join(F.sort_array(F.collect_set(F.col("company").cast("string"))), ",").alias("companies"))
 
 
-@query(f"with {ROWS_SQL} select doc_type, split, count(*) as n, sum(total)::decimal(18,2) as value, count(distinct company) as n_companies from docs group by 1, 2")
+PARTS = 4
+
+
+def partials(rows: DataFrame, part: Column) -> tuple[DataFrame, DataFrame]:
+    """What each part of a run knows of itself: (part, doc_type, split, n, value, pages) and (part, split, company)."""
+    rows = rows.withColumn("part", part)
+    counted = rows.groupBy("part", "doc_type", "split").agg(F.count(F.lit(1)).alias("n"), F.sum("total").cast("decimal(18,2)").alias("value"), F.sum(F.coalesce("pages", F.lit(0))).cast("long").alias("pages"))
+    return counted, rows.groupBy("part", "doc_type", "split", "company").agg(F.lit(1).alias("one")).drop("one")
+
+
+def merged(counted: DataFrame, companies: DataFrame) -> DataFrame:
+    """Partial statistics as those of the whole: sums of the parts' sums, and the union of their companies. Parts that
+    happen to be equal each count; parts without companies count as well."""
+    sums = counted.groupBy("doc_type", "split").agg(F.sum("n").alias("n"), F.sum("value").cast("decimal(18,2)").alias("value"), F.sum("pages").alias("pages"))
+    names = companies.select("doc_type", "split", "company").distinct().groupBy(F.col("doc_type").alias("t"), F.col("split").alias("s")).agg(F.count("company").alias("c"))
+    rows = sums.join(names, F.col("doc_type").eqNullSafe(F.col("t")) & F.col("split").eqNullSafe(F.col("s")), "left")
+    return rows.select("doc_type", "split", "n", "value", "pages", F.coalesce("c", F.lit(0)).cast("long").alias("n_companies"))
+
+
+@query(f"with {ROWS_SQL} select doc_type, split, count(*) as n, sum(total)::decimal(18,2) as value, sum(coalesce(pages, 0))::bigint as pages, count(distinct company) as n_companies from docs group by 1, 2")
 def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial statistics of four parts, merged: the same as those of the whole."""
-    parts = [rows_of(spark, sf_dir).filter(F.col("okey") % 4 == k).groupBy("doc_type", "split").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("value"), F.collect_set("company").alias("companies")) for k in range(4)]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    rows = rows.withColumn("company", F.explode("companies"))
-    each = rows.groupBy("doc_type", "split", "n", "value", "companies").agg(F.collect_set("company").alias("s"))
-    return each.groupBy("doc_type", "split").agg(F.sum("n").alias("n"), F.sum("value").cast("decimal(18,2)").alias("value"), F.array_distinct(F.flatten(F.collect_list("s"))).alias("all")).select("doc_type", "split", "n", "value", F.size("all").cast("long").alias("n_companies"))
+    return merged(*partials(rows_of(spark, sf_dir), F.col("okey") % PARTS))
+
+
+def back_filled(counters: DataFrame) -> DataFrame:
+    """counters: part, counter, key, split, n. Older parts lack by_type_scan_split; one with a single type gets it from its
+    scans."""
+    known = counters.filter("counter = 'by_type_scan_split'").select(F.col("part").alias("k")).distinct()
+    single = counters.filter("counter = 'by_type'").groupBy(F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("types"), F.max("key").alias("only")).filter("types = 1")
+    scans = counters.filter("counter = 'scans'").join(known, F.col("part") == F.col("k"), "left_anti").join(single, F.col("part") == F.col("p"))
+    return counters.unionByName(scans.select("part", F.lit("by_type_scan_split").alias("counter"), F.col("only").alias("key"), "split", "n"))
+
+
+@query(f"""with {ROWS_SQL} select 'by_type' as counter, doc_type as key, '' as split, count(*) as n from docs group by 2 union all select 'scans', '', split, count(*) from docs where {SCANNED_SQL} group by 3
+union all select 'by_type_scan_split', doc_type, split, count(*) from docs where {SCANNED_SQL} group by 2, 3""")
+def merge_older_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a run in parts by type, of which the first was made before scans were counted by type."""
+    rows = rows_of(spark, sf_dir).withColumn("scan", below(1000, "augment-select", F.col("okey")) < SCANNED)
+    of = lambda d, counter, key, split: d.groupBy(F.col("doc_type").alias("part"), key.alias("key"), split.alias("split")).agg(F.count(F.lit(1)).alias("n")).select("part", F.lit(counter).alias("counter"), "key", "split", "n")
+    t, nothing = F.col("doc_type"), F.lit("")
+    counters = of(rows, "by_type", t, nothing).unionByName(of(rows.filter("scan"), "scans", nothing, F.col("split"))).unionByName(of(rows.filter("scan and doc_type <> 'invoice'"), "by_type_scan_split", t, F.col("split")))
+    return back_filled(counters).groupBy("counter", "key", "split").agg(F.sum("n").alias("n"))
 
 
 @query(f"with {ROWS_SQL} select okey, doc_type, split, (row_number() over (partition by doc_type, split order by okey) - 1) // {ROWS_A_SHARD} as shard from docs")
 def shard_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.row_number().over(Window.partitionBy("doc_type", "split").orderBy("okey")) - 1
-    return rows_of(spark, sf_dir).select("okey", "doc_type", "split", F.floor(k / ROWS_A_SHARD).cast("long").alias("shard"))
+    """Shards of a folder in the order of keys; bins of neighbouring keys count first."""
+    rows = placed(rows_of(spark, sf_dir), ["doc_type", "split"], F.floor(F.col("okey") / KEYS_A_BIN), [F.col("okey")])
+    return rows.select("okey", "doc_type", "split", F.floor((F.col("place") - 1) / ROWS_A_SHARD).cast("long").alias("shard"))
 
 
 @query(f"with {ROWS_SQL} select doc_type, (count(*) * 34000)::bigint as generate_bytes, (count(*) * 24000)::bigint as export_bytes, (count(*) * 504000 // 10 * 3 // 10)::bigint as scan_bytes from docs group by 1")

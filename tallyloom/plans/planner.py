@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import one_of
+from ..functions.places import placed
 from ..registry import query
 from ..sources.tables import read
 
@@ -56,8 +57,9 @@ def no_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = F.broadcast(allocation(capacities(spark, sf_dir)).select("variant", "status", "capacity", "n"))  # a row for each variant
     rows = read(spark, sf_dir, "orders").join(a, F.col("o_orderstatus") == F.col("status"))
     rows = rows.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / F.col("capacity")))))
-    order = Window.partitionBy("variant", "cycle").orderBy(F.sha1(F.concat_ws("|", F.lit("42"), "variant", "cycle", "o_orderkey")), "o_orderkey")
-    rows = rows.withColumn("place", F.row_number().over(order))
+    # The draw is a hash; its first letters cut a variant of any size into bins in the same order.
+    rows = rows.withColumn("drawn", F.sha1(F.concat_ws("|", F.lit("42"), "variant", "cycle", "o_orderkey")))
+    rows = placed(rows, ["variant", "cycle"], F.substring("drawn", 1, 3), [F.col("drawn"), F.col("o_orderkey")])
     return rows.filter(F.col("cycle") * F.col("capacity") + F.col("place") <= F.col("n")).select("variant", "cycle", F.col("o_orderkey").alias("okey"), "place")
 
 
@@ -72,16 +74,26 @@ def plan_no_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return no_repeat(spark, sf_dir).select("variant", "cycle", "okey")
 
 
-@query("""with c as (select r_name as sector, s_suppkey as company, row_number() over (partition by r_name order by s_suppkey) - 1 as i, dense_rank() over (order by r_name) - 1 as n
-  from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey)
-select sector, company, (i + 5 * n) % 12 as combination from c""")
+LAYOUTS, THEMES = ("classic", "modern", "compact", "ledger"), ("plain", "warm", "slate")
+
+
+@query(f"""with c as (select r_name as sector, s_suppkey as company, row_number() over (partition by r_name order by s_suppkey) - 1 as i, dense_rank() over (order by r_name) - 1 as n
+  from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey),
+p as (select r_name as sector, layout, theme, row_number() over (partition by r_name order by sha1('rebalance|42|' || r_name || '|' || layout || '|' || theme)) - 1 as k
+  from region, (select unnest({list(LAYOUTS)}) as layout), (select unnest({list(THEMES)}) as theme))
+select c.sector, company, layout, theme from c join p on p.sector = c.sector and k = (i + 5 * n) % 12""")
 def rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company i of sector n gets combination (i + 5n) mod k of the product of layouts and themes."""
-    rows = companies(spark, sf_dir).withColumn("i", F.row_number().over(Window.partitionBy("sector").orderBy("company")) - 1)
-    sectors = read(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
-    present = rows.select("sector").distinct().join(F.broadcast(sectors), F.col("sector") == F.col("name"), "left_semi")
-    ranked = F.broadcast(present.select(F.col("sector").alias("s"), (F.row_number().over(Window.orderBy("sector")) - 1).alias("n")))  # at most five rows
-    return rows.join(ranked, F.col("sector") == F.col("s")).select("sector", "company", ((F.col("i") + 5 * F.col("n")) % 12).cast("long").alias("combination"))
+    """Company i of sector n gets place (i + 5n) mod k in the product of layouts and themes, shuffled for each sector."""
+    rows = companies(spark, sf_dir)
+    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("sector").orderBy("company")) - 1)
+    sectors = rows.select("sector").distinct()  # a row for each sector, at most five
+    ranked = F.broadcast(sectors.select(F.col("sector").alias("s"), (F.row_number().over(Window.orderBy("sector")) - 1).alias("n")))
+    product = sectors.select(F.col("sector").alias("p"), F.explode(F.array(*map(F.lit, LAYOUTS))).alias("layout")).select("p", "layout", F.explode(F.array(*map(F.lit, THEMES))).alias("theme"))
+    shuffled = F.row_number().over(Window.partitionBy("p").orderBy(F.sha1(F.concat_ws("|", F.lit("rebalance"), F.lit("42"), "p", "layout", "theme")))) - 1
+    product = F.broadcast(product.withColumn("k", shuffled))  # twelve rows a sector
+    rows = rows.join(ranked, F.col("sector") == F.col("s"))
+    many = len(LAYOUTS) * len(THEMES)
+    return rows.join(product, (F.col("sector") == F.col("p")) & ((F.col("i") + 5 * F.col("n")) % many == F.col("k"))).select("sector", "company", "layout", "theme")
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +138,8 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("variant").agg(F.count("k").alias("ok"), F.count_if(F.col("k").isNull()).alias("failed"))
 
 
-@query(f"with {NO_REPEAT_SQL} select variant, okey from jobs where cycle = 0 and not exists (select 1 from lineitem where l_orderkey = okey)")
+@query(f"with {NO_REPEAT_SQL} select variant, cycle, okey from jobs where not exists (select 1 from lineitem where l_orderkey = okey)")
 def resume_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs that no committed output has, so that a second run does only these."""
     done = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"))
-    return no_repeat(spark, sf_dir).filter("cycle = 0").join(done, F.col("okey") == F.col("k"), "left_anti").select("variant", "okey")
+    return no_repeat(spark, sf_dir).join(done, F.col("okey") == F.col("k"), "left_anti").select("variant", "cycle", "okey")

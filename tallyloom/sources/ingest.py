@@ -9,53 +9,130 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INSERT = re.compile(r"INSERT\s+(?:INTO\s+)?(?:\[?dbo\]?\.)?[\[\"]?(?P<table>[\w ]+?)[\]\"]?\s*(?:\((?P<columns>[^)]*)\))?\s*VALUES\s*", re.IGNORECASE)
-VALUE = re.compile(r"\s*(?:N?'(?P<text>(?:[^']|'')*)'|(?P<hex>0x[0-9A-Fa-f]*)|(?P<null>NULL)|(?P<number>[-+]?[0-9.]+(?:[eE][-+]?\d+)?))\s*(?P<end>[,)])", re.IGNORECASE)
-
-
-def rows_of_dump(script: str) -> Iterator[tuple[str, list[str | None]]]:
-    """Table and values of each row of the INSERT statements in a script. Unreadable statements are left out whole."""
-    for m in INSERT.finditer(script):
-        at, rows = m.end(), []
-        while at < len(script) and script[at] == "(":
-            at += 1
-            row: list[str | None] = []
-            while v := VALUE.match(script, at):
-                at = v.end()
-                row.append(None if v["null"] else v["text"].replace("''", "'") if v["text"] is not None else v["hex"] or v["number"])
-                if v["end"] == ")":
-                    break
-            else:
-                rows = []
-                break
-            rows.append(row)
-            more = re.compile(r"\s*,\s*(?=\()").match(script, at)
-            at = more.end() if more else len(script)
+#: Tokens of T-SQL: comments, literals, names in brackets or quotes, numbers, plain names, and single signs.
+TOKEN = re.compile(
+    r"(?P<blank>\s+|--[^\n]*|/\*.*?\*/)|(?P<string>[Nn]?'(?:[^']|'')*')|(?P<name>\[[^\]]*\]|\"[^\"]*\")|(?P<binary>0[xX][0-9A-Fa-f]*)"
+    r"|(?P<number>[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)|(?P<word>[^\W\d]\w*)|(?P<sign>.)",
+    re.DOTALL,
+)
+
+
+class Statement:
+    """One INSERT, read token by token."""
+
+    def __init__(self, script: str) -> None:
+        self.tokens = [(m.lastgroup, m[0]) for m in TOKEN.finditer(script) if m.lastgroup != "blank"]
+        self.at = 0
+
+    def peek(self) -> tuple[str, str]:
+        return self.tokens[self.at] if self.at < len(self.tokens) else ("end", "")
+
+    def take(self, *texts: str) -> bool:
+        """Steps over one of these words or signs."""
+        kind, text = self.peek()
+        if kind in ("word", "sign") and text.upper() in texts:
+            self.at += 1
+            return True
+        return False
+
+    def expect(self, text: str) -> None:
+        if not self.take(text):
+            raise ValueError(f"{text} expected, {self.peek()[1] or 'the end'} found")
+
+    def name(self) -> str:
+        kind, text = self.peek()
+        if kind not in ("name", "word"):
+            raise ValueError(f"a name expected, {text or 'the end'} found")
+        self.at += 1
+        return text[1:-1] if kind == "name" else text
+
+    def value(self) -> str | None:
+        kind, text = self.peek()
+        if kind not in ("string", "binary", "number") and text.upper() != "NULL":
+            raise ValueError(f"a value expected, {text or 'the end'} found")
+        self.at += 1
+        if kind == "string":
+            return text[text.index("'") + 1 : -1].replace("''", "'")
+        return None if kind == "word" else text
+
+    def listed(self, item) -> list:
+        """Items in parentheses, with commas between them."""
+        self.expect("(")
+        out = [item()]
+        while self.take(","):
+            out.append(item())
+        self.expect(")")
+        return out
+
+
+def inserts(script: str) -> Iterator[tuple[str | None, list[str] | None, list[str | None] | None, str | None]]:
+    """Table, columns (None if not listed), values and None for each inserted row; of a statement that can't be read its
+    table and columns as far as known, no values, and why. Other statements are stepped over."""
+    s = Statement(script)
+    while s.peek()[0] != "end":
+        if not s.take("INSERT"):
+            s.at += 1
+            continue
+        table = columns = None
+        try:
+            s.take("INTO")
+            table = s.name()
+            while s.take("."):
+                table = s.name()
+            columns = s.listed(s.name) if s.peek()[1] == "(" else None
+            s.expect("VALUES")
+            rows = [s.listed(s.value)]
+            while s.take(","):
+                rows.append(s.listed(s.value))
+            for row in rows:
+                if columns is not None and len(row) != len(columns):
+                    raise ValueError(f"{len(row)} values for {len(columns)} columns")
+        except ValueError as e:
+            yield table, columns, None, str(e)
+            continue
         for row in rows:
-            yield m["table"].strip(), row
+            yield table, columns, row, None
+
+
+DUMP = "table_name string, values array<string>, named map<string, string>, error string"
 
 
 def sql_dump(spark: SparkSession, path: str, separator: str = "\nGO\n") -> DataFrame:
-    """table_name and values (text, null for NULL) of each inserted row of a dump whose batches the separator divides."""
+    """A row for each row inserted by a dump whose batches the separator divides: its table, values in their order (null
+    for NULL) and, where the statement lists columns, by name. A statement that can't be read gives a row with an error."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([x for script in b["value"].dropna() for x in rows_of_dump(script)], columns=["table_name", "values"])
+            rows = [(table, row, dict(zip(columns, row)) if row is not None and columns else None, why) for script in b["value"].dropna() for table, columns, row, why in inserts(script)]
+            yield pd.DataFrame(rows, columns=["table_name", "values", "named", "error"], dtype=object)
+
+    return spark.read.text(path, lineSep=separator).mapInPandas(parse, DUMP)
+
 
-    return spark.read.text(path, lineSep=separator).mapInPandas(parse, "table_name string, values array<string>")
+#: Two-digit years from here on belong to the last century. Fixed value.
+CENTURY_TURN = 69
 
 
 def us_date(x: Column) -> Column:
-    """Month, day and year, with or without a time; null if it is none."""
-    return F.coalesce(F.try_to_date(x, "M/d/yyyy"), F.try_to_date(F.substring_index(x, " ", 1), "M/d/yyyy"), F.try_to_date(x, "yyyy-MM-dd"))
+    """Month, day and year (of four or two digits), with or without a time; null if it is none."""
+    day = F.substring_index(F.trim(x), " ", 1)
+    short = F.regexp_extract(day, "^\\d{1,2}/\\d{1,2}/(\\d{2})$", 1)
+    century = F.when(short.try_cast("int") >= CENTURY_TURN, "19").otherwise("20")
+    long_ = F.when(short != "", F.concat(F.regexp_extract(day, "^(\\d{1,2}/\\d{1,2}/)", 1), century, short)).otherwise(day)
+    return F.coalesce(F.try_to_date(long_, "M/d/yyyy"), F.try_to_date(day, "yyyy-MM-dd"))
 
 
 def delimited(spark: SparkSession, path: str, columns: list[str], field: str = "\t", row: str = "\n", encoding: str = "UTF-8") -> DataFrame:
-    """Bulk files with free terminators of fields and rows. Short rows are dropped, empty fields are null, a byte-order
-    mark is skipped."""
+    """Bulk files with free terminators of fields and rows, in any encoding whose terminators are whole bytes (UTF-16 is
+    little-endian; say UTF-16BE for the other). Rows are cut as bytes, so large files are read in parallel. Short rows are
+    dropped, empty fields are null, a byte-order mark and a return before a line feed are skipped."""
+    encoding = "UTF-16LE" if encoding.upper() in ("UTF-16", "UTF16") else encoding
+    # The reader cuts at the terminator's bytes and leaves the others as they are.
     lines = spark.read.option("encoding", encoding).text(path, lineSep=row)
-    parts = F.split(F.regexp_replace("value", "^\\uFEFF", ""), re.escape(field), -1)
-    rows = lines.select(parts.alias("p")).filter(F.size("p") >= len(columns))
+    value = F.decode(F.col("value").cast("binary"), encoding)
+    value = F.regexp_replace(value, "^\\uFEFF", "")
+    value = F.regexp_replace(value, "\r$", "") if row == "\n" else value
+    rows = lines.select(F.split(value, re.escape(field), -1).alias("p")).filter(F.size("p") >= len(columns))
     return rows.select(*(F.nullif(F.get("p", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(columns)))
 
 

@@ -19,6 +19,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Kilograms in a pound. Fixed value.
+POUND = "0.45359237"
+
+
+def weight_kg():
+    """Weight of one piece, rounded half to even to grams. Products state pounds, grams or kilograms; a tenth none."""
+    k, size = F.col("p_partkey"), F.col("p_size").cast("decimal(12,3)")
+    kg = F.when(k % 3 == 0, size * F.lit("1.1").cast("decimal(3,1)") * F.lit(POUND).cast("decimal(9,8)")).when(k % 3 == 1, size * 37 / 1000).otherwise(size * F.lit("0.25").cast("decimal(3,2)"))
+    return F.when(k % 10 != 0, F.bround(kg.cast("decimal(24,8)"), 3).cast("decimal(12,3)"))
+
+
+WEIGHT_SQL = f"""case when p_partkey % 10 <> 0 then round_even((case p_partkey % 3 when 0 then p_size * 1.1 * {POUND} when 1 then p_size * 37 / 1000.0::decimal(9,1) else p_size * 0.25 end)::decimal(24,8), 3)::decimal(12,3) end"""
+
+
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with exact prices: okey, part, supplier, qty, price, discount, tax_rate, line_total, line_gross."""
     l = read(spark, sf_dir, "lineitem")
@@ -28,7 +42,7 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         *LINE_ORDER[0:1], *LINE_ORDER[3:], F.col("l_quantity").cast("int").alias("qty"),
         half_up(exact(F.col("p_retailprice"))).alias("price"),
         F.round(exact(F.col("l_discount")), 2).cast("decimal(5,2)").alias("discount"),
-        F.round(exact(F.col("l_tax")), 2).cast("decimal(5,2)").alias("tax_rate"),
+        F.round(exact(F.col("l_tax")), 2).cast("decimal(5,2)").alias("tax_rate"), weight_kg().alias("weight_kg"),
     )
     return rows.withColumn("line_total", line_total(F.col("price"), F.col("qty"), F.col("discount"))).withColumn("line_gross", half_up(F.col("price") * F.col("qty")))
 
@@ -52,11 +66,11 @@ def freight():
     return (below(10000, "freight", F.col("o_orderkey")) / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
 
 
-LINES_SQL = """
+LINES_SQL = f"""
 select l_orderkey as okey, l_partkey as part, l_suppkey as supplier, p_name, p_type, p_brand, p_size, l_linenumber, l_extendedprice, l_quantity, l_shipdate,
   cast(l_quantity as integer) as qty, round(cast(cast(p_retailprice as varchar) as decimal(24,6)), 2)::decimal(18,2) as price,
   round(cast(cast(l_discount as varchar) as decimal(24,6)), 2)::decimal(5,2) as discount,
-  round(cast(cast(l_tax as varchar) as decimal(24,6)), 2)::decimal(5,2) as tax_rate
+  round(cast(cast(l_tax as varchar) as decimal(24,6)), 2)::decimal(5,2) as tax_rate, {WEIGHT_SQL} as weight_kg
 from lineitem join part on l_partkey = p_partkey"""
 
 #: WITH items of the SQL twins: pl (priced lines), nl (numbered lines), oh (order headers).

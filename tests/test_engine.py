@@ -4,12 +4,13 @@ import decimal
 import pathlib
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__
 from tallyloom import registry
-from tallyloom.functions import money, text
-from tallyloom.operators import checks
+from tallyloom.functions import money, places, text
+from tallyloom.operators import checks, invariants, payroll
 from tallyloom.plans import dataset, planner
 
 D = decimal.Decimal
@@ -49,15 +50,31 @@ def test_formats(spark):
     assert one(spark, text.tolerant_json(F.lit('x ```{"a": 1}``` y'), "a int").a, text.tolerant_json(F.lit("none"), "a int").a) == (1, None)
 
 
-def test_text_norm_takes_all_texts(spark, tmp_path):
-    """Words broken at a hyphen and null texts too; on the given table it agrees with its SQL."""
-    texts = ["a well-\n  known\u00a0Thing", None, "Plain  text"]
-    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.normal, r.squashed) for r in checks.text_norm(spark, str(tmp_path)).collect()}
-    assert got == {0: ("a well-known thing", 16), 1: ("", 0), 2: ("plain text", 9)}
+def test_norm(spark):
+    """White space between a hyphen and a word goes, on one line or over two; case folds; other spaces are plain."""
+    given = ["Can - 12 oz", "Can -  12 oz", "well-\n  known\u00a0Thing", "a\u2011b", "Straße", None, " x -", "a- b- c", "- \u202f é"]
+    d = spark.createDataFrame(list(enumerate(given)), "k int, s string")
+    got = {r.k: (r.n, r.q) for r in d.select("k", text.norm(F.col("s")).alias("n"), text.squash(F.col("s")).alias("q")).collect()}
+    assert [got[k][0] for k in range(9)] == ["can -12 oz", "can -12 oz", "well-known thing", "a-b", "strasse", "", "x -", "a-b-c", "-é"]
+    assert [got[k][1] for k in range(4)] == ["can-12oz", "can-12oz", "well-knownthing", "a-b"]
+
+
+def test_text_queries_on_awkward_rows(spark, tmp_path):
+    """Null and empty texts, broken words and folded letters, against the SQL."""
     duckdb = pytest.importorskip("duckdb")
-    want = duckdb.sql(registry.oracle_sql()["text_norm"].replace("from documents", f"from '{SF}/documents.parquet'")).fetchall()
-    assert sorted(want) == sorted((r.doc_id, r.normal, r.squashed) for r in checks.text_norm(spark, SF).collect())
+    texts = ["a well-\n  known\u00a0Thing", None, "", "Plain  text ß", "one two three four five three four five", "x- y- z three four-\nfive"]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "Plain text"), (1, "text"), (2, "b two c"), (3, "one two"), (4, "ne two three four fiv")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    for name in ("text_norm", "locate_spans", "text_contains_benchmark"):
+        got = registry.queries()[name](spark, str(tmp_path))
+        r = c.sql(registry.oracle_sql()[name])
+        assert sorted(map(str, map(tuple, got.select(r.columns).collect()))) == sorted(map(str, r.fetchall())), name
+    got = {(r.doc_id, r.item_id) for r in checks.text_contains_benchmark(spark, str(tmp_path)).collect()}
+    assert got == {(3, 0), (3, 1), (4, 3), (4, 4)}
 
 
 def test_leap_day(spark):
@@ -71,15 +88,54 @@ def test_allocation(spark, caps, want):
     assert sorted((r.variant, r.n) for r in planner.allocation(rows).collect()) == [(f"v{k}", n) for k, n in enumerate(want)]
 
 
-def test_locate():
-    assert checks.runs_of(["a", "top-of-the-", "line", "bike"], "top-of-the-line bike") == [(1, 4)]
-    assert checks.runs_of("Water Bottle - 30 oz.".split(), "Water Bottle - 30 oz.") == [(0, 5)]
-    assert checks.runs_of(["Bottle", "300"], "Bottle 30") == []
+def test_locate(spark):
+    """Values that a layout splits elsewhere, hyphens with spaces, no partial words, and no run over a page's end."""
+    rows = [(1, "see the state-of- the-art pump", "state-of-the-art pump"), (2, "Big Can - 12 oz.", "Big Can - 12 oz."), (3, "Can 120", "Can 12"), (4, "a b a b a", "b a"), (5, "a b c d", "c d"), (6, None, "x"), (7, "x", ""), (8, "x", None)]
+    got = sorted((r.doc_id, r.first, r.next, r.page, r.left_x, r.right_x) for r in checks.locate(spark.createDataFrame(rows, "doc_id long, text string, value string"), words_a_page=5).collect())
+    assert got == [(1, 2, 5, 0, 20.0, 48.0), (2, 0, 5, 0, 0.0, 48.0), (4, 1, 3, 0, 10.0, 28.0), (4, 3, 5, 0, 30.0, 48.0), (5, 2, 4, 0, 20.0, 38.0)]
+    cut = checks.locate(spark.createDataFrame(rows, "doc_id long, text string, value string"), words_a_page=3).collect()
+    assert sorted((r.doc_id, r.first, r.page) for r in cut) == [(4, 1, 0), (4, 3, 1)]
+
+
+def test_merge_keeps_equal_parts(spark):
+    """Four equal parts of two documents are eight documents; a part without companies counts."""
+    rows = [(k % 4, "invoice", "train", D("10.00"), 1, 1) for k in range(8)] + [(5, "invoice", "train", D("1.00"), None, None)]
+    df = spark.createDataFrame(rows, "okey long, doc_type string, split string, total decimal(18,2), pages long, company long")
+    got = dataset.merged(*dataset.partials(df, F.col("okey")))
+    assert [tuple(r) for r in got.collect()] == [("invoice", "train", 9, D("81.00"), 8, 1)]
+
+
+def test_older_parts_get_their_scans(spark):
+    """Only a part of one type without counts by type is filled."""
+    rows = [("p", "by_type", "receipt", "", 3), ("p", "scans", "", "train", 2), ("q", "by_type", "payslip", "", 1), ("q", "scans", "", "test", 1), ("q", "by_type_scan_split", "payslip", "test", 1),
+            ("r", "by_type", "quote", "", 1), ("r", "by_type", "invoice", "", 1), ("r", "scans", "", "train", 1)]
+    got = dataset.back_filled(spark.createDataFrame(rows, "part string, counter string, key string, split string, n long")).filter("counter = 'by_type_scan_split'")
+    assert sorted(tuple(r) for r in got.collect()) == [("p", "by_type_scan_split", "receipt", "train", 2), ("q", "by_type_scan_split", "payslip", "test", 1)]
+
+
+def test_overtime_rounds_the_rate_first(spark):
+    """10.01 an hour: 15.02 (from 15.015) for four hours is 60.08; a bonus is a part of the regular pay."""
+    rows = spark.createDataFrame([(1, "en", "10.01", "80.00", 4, False, True, "0.10"), (2, "fr", "10.01", "70.00", 4, True, False, "0.10")], "emp long, locale string, r string, h string, over_hours int, salaried boolean, has_bonus boolean, b string")
+    rows = rows.select("emp", "locale", F.col("r").cast("decimal(18,2)").alias("pay_rate"), F.col("h").cast("decimal(9,2)").alias("hours"), "over_hours", "salaried", "has_bonus", F.col("b").cast("decimal(5,2)").alias("bonus_part"))
+    got = sorted((r.emp, r.label, r.rate, r.amount) for r in payroll.earnings_of(rows).collect())
+    assert got == [(1, "bonus", None, D("80.08")), (1, "overtime_pay", D("15.02"), D("60.08")), (1, "regular_pay", D("10.01"), D("800.80")), (2, "regular_pay", D("10.01"), D("700.70"))]
+    gross = spark.createDataFrame([(1, "en", D("940.96")), (2, "fr", D("700.70"))], "emp long, locale string, gross decimal(18,2)")
+    taken = {(r.emp, r.label): r.amount for r in payroll.deductions_of(gross).collect()}
+    assert taken[1, "medicare"] == D("13.64") and taken[1, "health_insurance"] == D("85.00") and taken[1, "retirement_401k"] == D("37.64") and taken[2, "mutuelle"] == D("41.40") and len(taken) == 11
+
+
+def test_places_in_bins(spark):
+    """Places over bins equal a plain numbering, whatever the bins and with nulls."""
+    rows = spark.createDataFrame([(k % 3 or None, (k * 37) % 101) for k in range(200)], "g int, v int").withColumn("id", F.monotonically_increasing_id())
+    for width in (1, 7, 1000):
+        got = places.placed(rows, ["g"], F.floor(F.col("v") / width), [F.col("v"), F.col("id")])
+        want = rows.withColumn("place", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
+        assert sorted(map(str, got.select("g", "v", "id", "place").collect())) == sorted(map(str, want.select("g", "v", "id", "place").collect()))
 
 
 def test_broken_documents_are_named(spark):
     rows = spark.createDataFrame([(1, 5, 5), (2, 5, 6), (3, None, 1)], "k int, a int, b int")
-    got = {(r.doc_key, r.problem) for r in checks.broken(rows, "x", "k", same=F.col("a") == F.col("b"), low=F.col("b") < 6).collect()}
+    got = {(r.doc_key, r.problem) for r in invariants.broken(rows, "x", "k", same=F.col("a") == F.col("b"), low=F.col("b") < 6).collect()}
     assert got == {("2", "same"), ("2", "low"), ("3", "same")}
 
 

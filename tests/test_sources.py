@@ -5,18 +5,42 @@ from tallyloom.streaming import events
 
 
 def test_sql_dump(spark, tmp_path):
-    script = "INSERT \"Region\" VALUES (1, N'East''ern')\nGO\nINSERT INTO [dbo].[Order Details](a,b,c) VALUES (10248, NULL, 0xFF), (-2.5, '7/4/1996', '(x, y)')\nGO\nSELECT 1\nGO\n"
+    script = (
+        "INSERT \"Region\" VALUES (1, N'East''ern')\nGO\nINSERT INTO [dbo].[Order Details](a,b,c) VALUES (10248, NULL, 0xFF), (-2.5, '7/4/1996', '(x, y)')\nGO\nSELECT 1\nGO\n"
+        "INSERT INTO t (b, a) VALUES ('y', GETDATE())\nGO\ninsert t (b, a) values ('INSERT INTO u VALUES (1)', 1) -- VALUES (2)\ninsert into t (a, b) values (2, 'x')\nGO\nINSERT INTO t (a, b) VALUES (3)\nGO\n"
+    )
     (tmp_path / "d.sql").write_text(script)
-    got = sorted((r.table_name, r["values"]) for r in ingest.sql_dump(spark, str(tmp_path / "d.sql")).collect())
-    assert got == [("Order Details", ["-2.5", "7/4/1996", "(x, y)"]), ("Order Details", ["10248", None, "0xFF"]), ("Region", ["1", "East'ern"])]
-    d = spark.createDataFrame([("7/4/1996",), ("12/31/1999 00:00:00",), ("1998-05-06",), ("x",), (None,)], "s string").select(ingest.us_date(F.col("s")))
-    assert [str(r[0]) for r in d.collect()] == ["1996-07-04", "1999-12-31", "1998-05-06", "None", "None"]
+    got = ingest.sql_dump(spark, str(tmp_path / "d.sql")).collect()
+    rows = sorted((r.table_name, r["values"], r.named) for r in got if r.error is None)
+    assert rows == [
+        ("Order Details", ["-2.5", "7/4/1996", "(x, y)"], {"a": "-2.5", "b": "7/4/1996", "c": "(x, y)"}),
+        ("Order Details", ["10248", None, "0xFF"], {"a": "10248", "b": None, "c": "0xFF"}),
+        ("Region", ["1", "East'ern"], None),
+        ("t", ["2", "x"], {"a": "2", "b": "x"}),
+        ("t", ["INSERT INTO u VALUES (1)", "1"], {"b": "INSERT INTO u VALUES (1)", "a": "1"}),
+    ]
+    assert sorted((r.table_name, r["values"], r.error) for r in got if r.error) == [("t", None, "1 values for 2 columns"), ("t", None, "a value expected, GETDATE found")]
+
+
+def test_us_date(spark):
+    given = ["7/4/1996", "12/31/1999 00:00:00", "1998-05-06", "7/4/96", "1/2/68", "1/2/69 10:00", "13/1/99", "x", None]
+    d = spark.createDataFrame([(k, s) for k, s in enumerate(given)], "k int, s string").select("k", ingest.us_date(F.col("s")).alias("d"))
+    got = [str(r.d) for r in sorted(d.collect())]
+    assert got == ["1996-07-04", "1999-12-31", "1998-05-06", "1996-07-04", "2068-01-02", "1969-01-02", "None", "None", "None"]
 
 
 def test_delimited(spark, tmp_path):
-    (tmp_path / "t.csv").write_text("﻿1+|a+|&|2+|+|&|short&|3+|c d+|", encoding="utf-8")
+    (tmp_path / "t.csv").write_text("\ufeff1+|a+|&|2+|+|&|short&|3+|c d+|", encoding="utf-8")
     got = ingest.delimited(spark, str(tmp_path / "t.csv"), ["k", "v"], "+|", "&|").collect()
     assert [tuple(r) for r in got] == [("1", "a"), ("2", None), ("3", "c d")]
+    text = "\ufeff1\té日本\r\n2\t\r\nshort\r\n3\tc d\r\n"
+    want = [("1", "é日本"), ("2", None), ("3", "c d")]
+    for name, codec in (("UTF-16", "utf-16-le"), ("UTF-16BE", "utf-16-be"), ("UTF-8", "utf-8")):
+        path = tmp_path / f"{codec}.txt"
+        path.write_bytes(text.encode(codec))
+        assert [tuple(r) for r in ingest.delimited(spark, str(path), ["k", "v"], encoding=name).collect()] == want, name
+    (tmp_path / "u.txt").write_bytes("1+|x&|\n2+|y&|\n".encode("utf-16-le"))
+    assert [tuple(r) for r in ingest.delimited(spark, str(tmp_path / "u.txt"), ["k", "v"], "+|", "&|\n", "UTF-16").collect()] == [("1", "x"), ("2", "y")]
 
 
 def test_json(spark, tmp_path):
