@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.draws import below, chance, draw_sql, one_of
-from ..functions.money import exact, half_even, half_up
+from ..functions.money import exact, half_even, half_up, tender
+from ..functions.places import placed
 from ..registry import query
 from ..sources.tables import WITH_LINES, WITH_ORDERS, numbered, order_headers, priced_lines, read
 
@@ -123,43 +124,85 @@ def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("okey", "line_no", F.row_number().over(Window.partitionBy("okey").orderBy("line_no")).alias("shown_no"), "pick")
 
 
-@query(f"""with {WITH_LINES}, x as (select *, row_number() over (partition by okey order by sha1('credit|' || okey || '|' || line_no), line_no) as pick, ([1, 1, 2, 3])[({draw_sql("credit_lines", "okey")} % 4)::integer + 1] as n,
+CREDIT_SQL = f"""c_picked as (select *, row_number() over (partition by okey order by sha1('credit|' || okey || '|' || line_no), line_no) as pick, ([1, 1, 2, 3])[({draw_sql("credit_lines", "okey")} % 4)::integer + 1] as n,
   {draw_sql("reason", "okey")} % 5 as reason from nl),
-y as (select *, case when reason = 0 then qty else 1 + {draw_sql("part", "okey", "line_no")} % qty end as c_qty,
-  case when reason = 0 then round(price * ([0.05, 0.1, 0.15])[({draw_sql("fraction", "okey", "line_no")} % 3)::integer + 1]::decimal(5,2), 2)::decimal(18,2) else price end as c_price from x where pick <= n),
-z as (select *, round(c_price * c_qty * (1 - discount), 2)::decimal(18,2) as c_total from y),
-r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from z group by 1, 2)
-select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as tax_total, (sum(base) + sum(round(base * tax_rate, 2)))::decimal(18,2) as total from r group by 1""")
-def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One to three lines: part of the quantity goes back, or (reason 0) part of the price. No freight."""
+c_parts as (select *, case when reason = 3 then qty else 1 + {draw_sql("part", "okey", "line_no")} % qty end as c_qty,
+  case when reason = 3 then round(price * ([0.05, 0.1, 0.15])[({draw_sql("fraction", "okey", "line_no")} % 3)::integer + 1]::decimal(5,2), 2)::decimal(18,2) else price end as c_price from c_picked where pick <= n),
+credited as (select *, round(c_price * c_qty * (1 - discount), 2)::decimal(18,2) as c_total from c_parts)"""
+
+
+def credited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One to three lines of each order: part of the quantity goes back, or (reason price) part of the price, drawn for
+    each line."""
     lines = numbered(priced_lines(spark, sf_dir)).withColumn("reason", below(5, "reason", F.col("okey")))
     rows = sampled(lines, one_of([1, 1, 2, 3], "credit_lines", F.col("okey")), "credit")
-    price_only = F.col("reason") == 0
-    qty = F.when(price_only, F.col("qty")).otherwise(1 + below(1 << 32, "part", F.col("okey"), F.col("line_no")) % F.col("qty")).cast("int")
+    price_only = F.col("reason") == 3
+    qty = F.when(price_only, F.col("qty")).otherwise(1 + below(1 << 32, "part", F.col("okey"), F.col("line_no")) % F.col("qty"))
     fraction = F.get(F.array(*(F.lit(x).cast("decimal(5,2)") for x in ("0.05", "0.1", "0.15"))), below(3, "fraction", F.col("okey"), F.col("line_no")).cast("int"))
-    price = F.when(price_only, half_up(F.col("price") * fraction)).otherwise(F.col("price"))
-    rows = rows.withColumn("c_total", half_up(price * qty * (F.lit(1).cast("decimal(5,2)") - F.col("discount"))))
+    rows = rows.withColumn("c_qty", qty.cast("long")).withColumn("c_price", F.when(price_only, half_up(F.col("price") * fraction)).otherwise(F.col("price")))
+    return rows.withColumn("c_total", half_up(F.col("c_price") * F.col("c_qty") * (F.lit(1).cast("decimal(5,2)") - F.col("discount"))))
+
+
+@query(f"""with {WITH_LINES}, {CREDIT_SQL} select okey, line_no, part, c_qty::bigint as quantity, c_price as unit_price, discount, tax_rate, c_total as line_total from credited""")
+def credit_note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = credited_lines(spark, sf_dir)
+    return rows.select("okey", "line_no", "part", F.col("c_qty").alias("quantity"), F.col("c_price").alias("unit_price"), "discount", "tax_rate", F.col("c_total").alias("line_total"))
+
+
+@query(f"""with {WITH_LINES}, {CREDIT_SQL}, r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from credited group by 1, 2),
+s as (select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as tax_total, (sum(base) + sum(round(base * tax_rate, 2)))::decimal(18,2) as total from r group by 1),
+d as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1)
+select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as original_invoice, (coalesce(d, cast(o_orderdate as date)) + (5 + {draw_sql("days_after", "okey")} % 41)::integer)::date as issue_date,
+(['damaged', 'wrong_item', 'expired', 'price', 'return'])[({draw_sql("reason", "okey")} % 5)::integer + 1] as reason, n_lines, subtotal, tax_total, total from s join orders on o_orderkey = okey left join d on l_orderkey = okey""")
+def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice it belongs to, some days after that, and its totals without freight, each rate taxed for itself."""
+    rows, k = credited_lines(spark, sf_dir), F.col("okey")
     by_rate = rows.groupBy("okey", "tax_rate").agg(total("c_total").alias("base"), F.count(F.lit(1)).alias("n"))
     by_rate = by_rate.withColumn("tax", half_up(F.col("base") * F.col("tax_rate")))
     out = by_rate.groupBy("okey").agg(F.sum("n").alias("n_lines"), total("base").alias("subtotal"), total("tax").alias("tax_total"))
-    return out.withColumn("total", add(F.col("subtotal"), F.col("tax_total")))
+    out = out.withColumn("total", add(F.col("subtotal"), F.col("tax_total"))).join(order_headers(spark, sf_dir).select(k.alias("h_key"), "order_date"), k == F.col("h_key"))
+    out = out.join(shipped(spark, sf_dir), k == F.col("s_key"), "left")
+    issue = F.date_add(F.coalesce("ship_date", "order_date"), (5 + below(41, "days_after", k)).cast("int"))
+    reason = one_of(["damaged", "wrong_item", "expired", "price", "return"], "reason", k)
+    return out.select(k, F.concat(F.lit("INV-"), text.padded(k, 5)).alias("original_invoice"), issue.alias("issue_date"), reason.alias("reason"), "n_lines", "subtotal", "tax_total", "total")
 
 
-@query(f"""with {WITH_LINES}, x as (select *, case when qty >= 2 and {draw_sql("backorder", "okey")} % 1000 < 200 then row_number() over (partition by okey, qty >= 2 order by sha1('short|' || okey || '|' || line_no), line_no) end as pick from nl),
-y as (select *, case when pick = 1 then 1 + {draw_sql("missing", "okey")} % (qty - 1) else 0 end as back, ([6, 12, 24, 48])[({draw_sql("box", "okey")} % 4)::integer + 1] as box from x)
-select okey, sum(qty)::bigint as ordered, sum(qty - back)::bigint as shipped, sum(back)::bigint as backordered, greatest(1, ceil(sum(qty - back) / any_value(box)::double))::bigint as packages, round_even(sum(weight_kg * (qty - back))::decimal(18,3), 2)::decimal(18,2) as total_weight from y group by 1""")
-def packing_slips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line of two or more pieces may be short; packages hold a drawn number of pieces."""
-    w = Window.partitionBy("okey", F.col("qty") >= 2).orderBy(F.sha1(F.concat_ws("|", F.lit("short"), "okey", "line_no")), "line_no")
+PACKED_SQL = f"""short as (select *, row_number() over (partition by okey order by sha1('short|' || okey || '|' || line_no), line_no) as pick from nl),
+packed as (select *, case when pick = 1 and qty >= 2 and {draw_sql("backorder", "okey")} % 1000 < 200 then 1 + {draw_sql("missing", "okey")} % (qty - 1) else 0 end as back from short)"""
+
+
+def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what is back-ordered: of one line in one order of five, if it has two pieces or more."""
+    w = Window.partitionBy("okey").orderBy(F.sha1(F.concat_ws("|", F.lit("short"), "okey", "line_no")), "line_no")
     rows = numbered(priced_lines(spark, sf_dir)).withColumn("pick", F.row_number().over(w))
     short = (F.col("qty") >= 2) & chance(200, "backorder", F.col("okey")) & (F.col("pick") == 1)
-    rows = rows.withColumn("back", F.when(short, 1 + below(1 << 32, "missing", F.col("okey")) % (F.col("qty") - 1)).otherwise(0))
-    out = rows.groupBy("okey").agg(F.sum("qty").cast("long").alias("ordered"), F.sum(F.col("qty") - F.col("back")).cast("long").alias("shipped"), F.sum("back").cast("long").alias("backordered"),
-                                   half_even(F.sum((F.col("weight_kg") * (F.col("qty") - F.col("back"))).cast("decimal(18,3)"))).alias("total_weight"))
+    return rows.withColumn("back", F.when(short, 1 + below(1 << 32, "missing", F.col("okey")) % (F.col("qty") - 1)).otherwise(0).cast("long"))
+
+
+@query(f"""with {WITH_LINES}, {PACKED_SQL} select okey, line_no, part, p_name, case when {draw_sql("show_unit", "okey")} % 1000 < 600 then 'EA' end as unit, qty::bigint as ordered, (qty - back)::bigint as shipped, back::bigint as backordered from packed""")
+def packing_slip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unit = F.when(chance(600, "show_unit", F.col("okey")), F.lit("EA"))
+    return packed_lines(spark, sf_dir).select("okey", "line_no", "part", "p_name", unit.alias("unit"), F.col("qty").cast("long").alias("ordered"), (F.col("qty") - F.col("back")).alias("shipped"), F.col("back").alias("backordered"))
+
+
+@query(f"""with {WITH_LINES}, {PACKED_SQL}, y as (select *, ([6, 12, 24, 48])[({draw_sql("box", "okey")} % 4)::integer + 1] as box from packed)
+select okey, sum(qty)::bigint as ordered, sum(qty - back)::bigint as shipped, sum(back)::bigint as backordered, greatest(1, ceil(sum(qty - back) / any_value(box)::double))::bigint as packages, round_even(sum(weight_kg * (qty - back))::decimal(18,3), 2)::decimal(18,2) as total_weight from y group by 1""")
+def packing_slips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary; packages hold a drawn number of pieces, the weight is that of what is shipped."""
+    out = packed_lines(spark, sf_dir).groupBy("okey").agg(F.sum("qty").cast("long").alias("ordered"), F.sum(F.col("qty") - F.col("back")).cast("long").alias("shipped"), F.sum("back").cast("long").alias("backordered"),
+                                                          half_even(F.sum((F.col("weight_kg") * (F.col("qty") - F.col("back"))).cast("decimal(18,3)"))).alias("total_weight"))
     box = one_of([6, 12, 24, 48], "box", F.col("okey"))
     return out.withColumn("packages", F.greatest(F.lit(1), F.ceil(F.col("shipped") / box)).cast("long"))
 
 
+@query(f"""with {WITH_LINES} select okey, line_no, part, p_name, qty::bigint as quantity, round_even((weight_kg * qty)::decimal(18,3), 2)::decimal(18,2) as line_weight, case when {draw_sql("show_values", "okey")} % 1000 < 600 then line_total end as declared_value from nl""")
+def shipping_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights where the product's is known, values where the option shows them."""
+    rows = numbered(priced_lines(spark, sf_dir))
+    weight = half_even((F.col("weight_kg") * F.col("qty")).cast("decimal(18,3)"))
+    return rows.select("okey", "line_no", "part", "p_name", F.col("qty").cast("long").alias("quantity"), weight.alias("line_weight"), F.when(chance(600, "show_values", F.col("okey")), F.col("line_total")).alias("declared_value"))
+
+
 @query(f"""with {WITH_LINES}, {WITH_ORDERS}, x as (select okey, round_even(sum(weight_kg * qty)::decimal(18,3), 2)::decimal(18,2) as total_weight, sum(line_total)::decimal(18,2) as declared_value, sum(qty)::bigint as units from pl group by 1)
 select oh.okey, units, greatest(1, ceil(units / ([6, 12, 24, 48])[({draw_sql("box", "oh.okey")} % 4)::integer + 1]::double))::bigint as packages, total_weight, declared_value,
 (['freight_prepaid', 'freight_collect'])[({draw_sql("freight_terms", "oh.okey")} % 2)::integer + 1] as freight_terms, freight, (order_date + 1)::date as pickup, (order_date + 1 + ({draw_sql("transit", "oh.okey")} % 7 + 1)::integer)::date as deliver from x join oh on oh.okey = x.okey""")
@@ -181,6 +224,12 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "items_count", "subtotal", "tax_total", add(F.col("subtotal"), F.col("tax_total")).alias("total"), one_of([30, 45, 60], "po_terms", F.col("okey"), F.col("supplier")).alias("payment_days"))
 
 
+@query(f"""with {WITH_LINES} select okey || ':' || supplier as purchase_key, line_no, part, p_name, qty::bigint as quantity, price as unit_price, line_gross as line_total from nl where okey % 7 = 0""")
+def purchase_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = numbered(priced_lines(spark, sf_dir)).filter("okey % 7 = 0")
+    return rows.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "line_no", "part", "p_name", F.col("qty").cast("long").alias("quantity"), F.col("price").alias("unit_price"), F.col("line_gross").alias("line_total"))
+
+
 RECEIVED_SQL = f"""received_lines as (select *, qty - rejected as accepted, qty - rejected as stocked from (select okey, line_no, part, p_name, supplier, qty, qty as received,
   case when {draw_sql("reject", "okey", "line_no")} % 1000 < 100 then least(qty, 1 + {draw_sql("rejected", "okey", "line_no")} % 3) else 0 end as rejected from nl where okey % 7 = 0))"""
 PURCHASE_STATUS = {1: "pending", 2: "approved", 3: "rejected", 4: "complete"}
@@ -281,6 +330,44 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("items_count"), total("v").alias("total"), F.min(F.date_format("ts", "HH:mm")).alias("first_at"))
 
 
+PAYMENTS_SQL = f"""slips as (select user_id, cast(ts as date) as day, sum(round(cast(cast(value as varchar) as decimal(24,6)), 2))::decimal(18,2) as total from events where event_type = 'purchase' group by 1, 2),
+paid as (select *, user_id % 4 = 0 as online, {draw_sql("cash", "user_id", "day")} % 1000 < 400 and user_id % 4 <> 0 as cash, ([1, 5, 10, 20])[({draw_sql("step", "user_id", "day")} % 4)::integer + 1]::bigint as step from slips)"""
+
+
+@query(f"""with {PAYMENTS_SQL}, c as (select *, (ceil(total / step) * step)::decimal(18,2) as tendered, (['Visa', 'Mastercard', 'Amex'])[({draw_sql("brand", "user_id", "day")} % 3)::integer + 1] || ' •••• ' || (1000 + {draw_sql("card", "user_id", "day")} % 9000) as card from paid)
+select user_id, day, 1 as row_no, 'payment_method' as label, case when cash then 'Cash' else 'Card ' || card end as value from c
+union all select user_id, day, 2, case when cash then 'amount_tendered' else 'amount_paid' end, (case when cash then tendered else total end)::varchar from c
+union all select user_id, day, 3, 'change', (tendered - total)::decimal(18,2)::varchar from c where cash""")
+def receipt_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cash with change, never online, or a card."""
+    rows, u, d = receipts(spark, sf_dir), F.col("user_id"), F.col("day")
+    cash = chance(400, "cash", u, d) & (u % 4 != 0)
+    rows = rows.withColumn("cash", cash).withColumn("tendered", tender(F.col("total"), one_of([1, 5, 10, 20], "step", u, d).cast("long")))
+    card = F.concat(F.lit("Card "), one_of(["Visa", "Mastercard", "Amex"], "brand", u, d), F.lit(" •••• "), 1000 + below(9000, "card", u, d))
+    row = lambda n, label, value: F.struct(F.lit(n).alias("row_no"), F.lit(label).alias("label"), value.cast("string").alias("value"))
+    by_cash = F.array(row(1, "payment_method", F.lit("Cash")), row(2, "amount_tendered", F.col("tendered")), row(3, "change", add(F.col("tendered"), -F.col("total"))))
+    return rows.select("user_id", "day", F.explode(F.when(F.col("cash"), by_cash).otherwise(F.array(row(1, "payment_method", card), row(2, "amount_paid", F.col("total"))))).alias("x")).select("user_id", "day", "x.*")
+
+
+@query(f"""with {STOCK_SQL}, scoped as (select unnest(['all', 'brand:' || p_brand, 'type:' || p_type]) as scope, * from inventory),
+drawn as (select *, row_number() over (partition by scope order by sha1('stock|' || scope || '|' || p_partkey), p_partkey) as pick, ([15, 25, 40, 60])[({draw_sql("inventory_items", "scope")} % 4)::integer + 1] as most from scoped),
+shown as (select *, case when scope like 'type:%' then p_brand else p_type end as grp from drawn where pick <= most)
+select scope, row_number() over (partition by scope order by grp, p_name, p_partkey) as row_no, p_partkey as sku, p_name as description, grp, coalesce(lag(grp) over (partition by scope order by grp, p_name, p_partkey) <> grp, true) as new_group,
+  case when {draw_sql("show_location", "scope")} % 1000 < 600 then case when p_partkey % 9 = 0 then '' else chr(65 + (p_partkey % 6)::integer) || '-' || p_partkey % 30 end end as location, on_hand, on_order, p_size as reorder_level, unit_cost, stock_value, status from shown""")
+def inventory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the reports of all scopes, by group and name: at most a drawn number. A report of one type groups by
+    brand, the others by type."""
+    k = F.col("p_partkey")
+    rows = stock(spark, sf_dir).withColumn("scope", F.explode(F.array(F.lit("all"), F.concat(F.lit("brand:"), "p_brand"), F.concat(F.lit("type:"), "p_type"))))
+    rows = rows.withColumn("drawn", F.sha1(F.concat_ws("|", F.lit("stock"), "scope", k)))
+    rows = placed(rows, ["scope"], F.substring("drawn", 1, 3), [F.col("drawn"), k], "pick").filter(F.col("pick") <= one_of([15, 25, 40, 60], "inventory_items", F.col("scope")))
+    rows = rows.withColumn("grp", F.when(F.col("scope").startswith("type:"), F.col("p_brand")).otherwise(F.col("p_type")))
+    w = Window.partitionBy("scope").orderBy("grp", "p_name", "p_partkey")  # sixty rows at most
+    shelf = F.when(k % 9 == 0, "").otherwise(F.concat(F.char(65 + k % 6), F.lit("-"), k % 30))
+    return rows.select("scope", F.row_number().over(w).cast("long").alias("row_no"), k.alias("sku"), F.col("p_name").alias("description"), "grp", F.coalesce(F.lag("grp").over(w) != F.col("grp"), F.lit(True)).alias("new_group"), F.when(chance(600, "show_location", F.col("scope")), shelf).alias("location"),
+                       "on_hand", "on_order", F.col("p_size").alias("reorder_level"), "unit_cost", "stock_value", "status")
+
+
 WORK_SQL = f"""operations as (select okey, line_no as operation, 'Cell ' || supplier as location, line_gross as planned_cost, round(cast(cast(l_extendedprice as varchar) as decimal(24,6)), 2)::decimal(18,2) as actual_cost, (qty * 0.25)::decimal(18,2) as hours,
   cast(l_shipdate as date) as planned_start, (cast(l_shipdate as date) + 3)::date as planned_end, (cast(l_shipdate as date) + ({draw_sql("late", "okey", "line_no")} % 3)::integer)::date as actual_start, (cast(l_shipdate as date) + ({draw_sql("late", "okey", "line_no")} % 3 + 2)::integer)::date as actual_end from nl),
 work as (select okey, count(*) as operations, sum(hours)::decimal(18,2) as total_hours, sum(planned_cost)::decimal(18,2) as total_planned, sum(actual_cost)::decimal(18,2) as total_actual, (sum(actual_cost) - sum(planned_cost))::decimal(18,2) as variance from operations group by 1)"""
