@@ -28,7 +28,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def _load() -> None:
     """Importing these modules registers their queries."""
-    from .operators import checks, documents, invariants, ledger, options, parties, payroll, relational, scalars  # noqa: F401
+    from .operators import checks, documents, invariants, ledger, options, parties, payroll, printed, relational, scalars  # noqa: F401
     from .plans import dataset, planner  # noqa: F401
     from .streaming import events  # noqa: F401
 
