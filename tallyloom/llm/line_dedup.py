@@ -1,21 +1,24 @@
-"""Line deduplication by an exact set-similarity join. JVM side only."""
+"""Line deduplication by an exact set-similarity join. JVM side only.
 
-from __future__ import annotations
+A line is the set of its words, the rarest in the corpus first. Lines of one set are one row. For sets that may be similar
+the prefix filter works on pairs of words that are neighbours in that order: of two sets of a and b words that share s, at
+least 3 s - a - b - 1 such pairs are in both, as a missing word breaks two pairs and an added one breaks one. Pairs are far
+rarer than words, so that lists of lines with a common pair stay short however large the corpus is. Length, positional and
+parity filters thin the candidates; the words themselves decide."""
 
-import re
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, bitmap, maybe_in, whole_text, written
+from .common import SPACE_RUN, bitmap, bits_for, maybe_in, whole_text, written
 
 #: Counters of the frequency sketch. Its size doesn't depend on the corpus; a collision only changes the order of tokens.
 COUNTERS = 1 << 16
 #: Lines of fewer distinct words stay: only those without a word.
 LEAST_WORDS = 1
-FILTER_BITS = 1 << 23
-#: Rarest tokens by which a line meets the earliest line that has one of them too.
-FIRST = 2
+#: In how many groups the lines with one pair of words look for their earliest, besides that of all.
+GROUPS = 64
 LAST_ID = (1 << 63) - 1
 
 
@@ -30,11 +33,6 @@ def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def line_key(line: Column) -> list[Column]:
-    """Two hashes of a lower-cased line, together 128 bits."""
-    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
-
-
 def rarity(docs: DataFrame, text_col: str) -> Column:
     """An array of COUNTERS classes (floor of log2 of a counter) from the counts of all words of all texts."""
     words = docs.select(F.explode(tokens(F.lower(whole_text(text_col)))).alias("w")).select(F.expr(f"xxhash64(w) & {COUNTERS - 1}").alias("c"))
@@ -44,115 +42,124 @@ def rarity(docs: DataFrame, text_col: str) -> Column:
 
 
 def codes(line: Column, classes: Column) -> Column:
-    """The line's distinct tokens, rarest first: 6 bits of class, 5 bits for the length (within a class, longer words are
-    rarer), 52 bits of hash."""
-    shape = lambda w: F.shiftleft((31 - F.least(F.length(w), F.lit(31))).cast("long"), 52)
-    hashes = F.transform(F.array_remove(tokens(line), ""), lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << 52) - 1)).bitwiseOR(shape(w)))
-    code = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(h))
-    return F.sort_array(F.array_distinct(code))
+    """The line's distinct words as numbers that sort the rarest first: 6 bits of class, 57 bits of hash."""
+    code = lambda w: F.shiftleft(F.get(classes, F.xxhash64(w).bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 57) - 1)))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(tokens(line), ""), code)))
 
 
-def parity(half: int) -> Column:
-    """64 of 128 bits, each the parity of the codes that fall on it. Two lines' parities differ in at most as many bits
-    as their sets do in elements."""
+def parity() -> Column:
+    """64 bits, each the parity of the codes that fall on it. Two lines differ in at most as many bits as in words."""
     one = F.lit(1).cast("long")
-    bit = lambda c: F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: F.when(c.bitwiseAND(F.lit(64)) == 64 * half, a.bitwiseXOR(bit(c))).otherwise(a))
+    return F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-#: Length filter and parity filter for lines a and b; both only reject pairs that can't reach the threshold.
+#: How many pairs similar lines share at least, as far as a line of n words knows: it has 3/4 of the other's words or more,
+#: and 3 * ceil(3 x / 7) - x - 1 >= ceil(2 x / 7) - 1 for x words in both.
+PAIRS_SHARED = "(2 * (n + (3 * n + 3) div 4) + 6) div 7 - 1"
+
 LENGTHS = "4 * a.n >= 3 * b.n and 4 * b.n >= 3 * a.n"
-PARITIES = "bit_count(a.p0 ^ b.p0) + bit_count(a.p1 ^ b.p1) <= a.n + b.n - 2 * ((3 * (a.n + b.n) + 6) div 7)"
+PARITIES = "bit_count(a.p ^ b.p) <= a.n + b.n - 2 * ((3 * (a.n + b.n) + 6) div 7)"
+#: A pair at places i (from 0) of the n - 1 pairs of each can be the first of enough shared ones.
+POSITIONS = "1 + least(a.n - a.i, b.n - b.i) - 2 >= 3 * ((3 * (a.n + b.n) + 6) div 7) - a.n - b.n - 1"
 EARLIER = "(a.doc < b.doc or (a.doc = b.doc and a.line_no < b.line_no))"
+MATCH = f"{EARLIER} and {LENGTHS} and {POSITIONS} and {PARITIES}"
 
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
-    """A row for each different line: keys, first place, number of tokens, the prefix of its tokens, parities.
-
-    Copies of a line meet as partial results of the tasks, so that a line in a third of all texts is one row a task."""
+def line_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row for each line, read once: place, number of different words, two hashes of their set, parity, and the pairs of
+    its prefix."""
     classes = rarity(docs, text_col)
-    lines = numbered_lines(docs, id_col, text_col).filter(F.length("line") >= 2 * least_words - 1)
-    first = lines.select(*line_key(F.col("line")), "doc", "line_no", "line").groupBy("k1", "k2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.first("line").alias("line"))
+    lines = numbered_lines(docs, id_col, text_col)
     # As a generated column the codes are made once and not again for each use.
-    rows = first.select("k1", "k2", "at.doc", "at.line_no", F.explode(F.array(codes(F.col("line"), classes))).alias("codes"))
-    rows = rows.withColumn("n", F.size("codes")).filter(F.col("n") >= least_words)
-    # The prefix of n - ceil(0.75 n) + 1 tokens holds one that two matching lines share.
-    prefix = F.slice("codes", 1, F.expr("n - (3 * n + 3) div 4 + 1"))
-    return written(rows.select("k1", "k2", "doc", "line_no", "n", parity(0).alias("p0"), parity(1).alias("p1"), prefix.alias("prefix")), "lines")
-
-
-def pairs_with_earliest(lines: DataFrame) -> DataFrame:
-    """Each line with the earliest line that shares one of the rarest tokens. In a group of near copies this finds most
-    matches in as many rows as the group has lines, and matched lines ask for no further ones."""
-    keyed = lines.select(F.explode(F.slice("prefix", 1, FIRST)).alias("code"), F.struct("doc", "line_no", "n", "p0", "p1").alias("b"))
-    firsts = keyed.groupBy("code").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1").select(F.col("code").alias("a_code"), "a")
-    met = keyed.join(firsts, F.col("code") == F.col("a_code")).filter(F.expr(f"{EARLIER} and {LENGTHS} and {PARITIES}"))
-    return met.select("a", "b")
-
-
-def still_open(lines: DataFrame, gone: DataFrame) -> DataFrame:
-    """lines with the column open: false for those in gone. Only lines that a bitmap of fixed size can't clear are joined."""
-    key = F.struct("k1", "k2")
-    members = bitmap(gone.select(key.alias("k")), "k", FILTER_BITS)
-    flagged = maybe_in(lines, key, members, FILTER_BITS, "maybe")
-    clear = flagged.filter("not maybe").drop("maybe").withColumn("open", F.lit(True))
-    known = gone.select(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
-    unclear = flagged.filter("maybe").drop("maybe").join(known, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
-    return clear.unionByName(unclear.withColumn("open", F.col("g1").isNull()).drop("g1", "g2"))
-
-
-def pairs_by_prefix(lines: DataFrame) -> DataFrame:
-    """All pairs that share a token of both prefixes and pass the filters, where the later line is still open.
-
-    Both sides are the same narrow rows, so one shuffle serves both: place and size share a number, as do the token's
-    position and the flag."""
-    entries = lines.select("doc", F.expr("shiftleft(cast(line_no as bigint), 32) | n").alias("ln"), "p0", "p1", "open", F.posexplode("prefix").alias("i", "code"))
-    # 32 bits of the token find it; tokens that share them by chance only add candidates.
-    entries = entries.select(F.hash("code").alias("code"), "doc", "ln", "p0", "p1", F.expr("2 * i + if(open, 1, 0)").alias("io"))
-    wide = lambda s: {f"{s}.n": f"cast({s}.ln & 4294967295 as int)", f"{s}.line_no": f"shiftright({s}.ln, 32)", f"{s}.i": f"shiftright({s}.io, 1)"}
-    names = wide("a") | wide("b")
-
-    def spelled(condition: str) -> Column:
-        for name, value in names.items():
-            condition = re.sub(rf"\b{re.escape(name)}\b", value, condition)
-        return F.expr(condition)
-
-    # Positional filter; the factor is 0 for closed lines and keeps the condition in the join, behind the one shuffle.
-    left = "(b.io % 2) * (1 + least(a.n - a.i - 1, b.n - b.i - 1)) >= (3 * (a.n + b.n) + 6) div 7"
-    met = entries.alias("a").join(entries.alias("b"), (F.col("a.code") == F.col("b.code")) & spelled(EARLIER) & spelled(left) & spelled(LENGTHS) & spelled(PARITIES))
-    end = lambda s: F.struct(F.col(f"{s}.doc").alias("doc"), F.expr(f"cast(shiftright({s}.ln, 32) as int)").alias("line_no")).alias(s)
-    return met.select(end("a"), end("b")).distinct()
+    rows = lines.select("doc", "line_no", F.explode(F.array(codes(F.col("line"), classes))).alias("codes")).withColumn("n", F.size("codes"))
+    many = F.when(F.col("n") > 1, F.expr(f"n - ({PAIRS_SHARED})")).otherwise(0)
+    pairs = F.zip_with(F.slice("codes", F.lit(1), many), F.slice("codes", F.lit(2), many), lambda a, b: F.xxhash64(a, b))
+    return written(rows.select("doc", "line_no", "n", F.xxhash64("codes").alias("s1"), F.xxhash64(F.lit(1), "codes").alias("s2"), parity().alias("p"), pairs.alias("pairs")), "lines")
+
+
+def first_copies(lines: DataFrame, sets: DataFrame) -> DataFrame:
+    """The lines that are the first of their set. Sets of one line are told by a bitmap; of the others only lines that may be
+    the first cross the network."""
+    several = written(sets.filter("many > 1").select("s1", "s2", F.struct("doc", "line_no").alias("first")), "repeated-lines")
+    bits = bits_for(several.count())
+    one_set, place = F.struct("s1", "s2"), F.struct("doc", "line_no")
+    flagged = maybe_in(lines, one_set, bitmap(several.select(one_set.alias("k")), "k", bits), bits, "several")
+    flagged = maybe_in(flagged, place, bitmap(several.select(F.col("first").alias("k")), "k", bits), bits, "maybe")
+    alone = flagged.filter("not several").select(lines.columns)
+    known = sets.select(F.col("doc").alias("f_doc"), F.col("line_no").alias("f_no"), F.col("s1").alias("f1"), F.col("s2").alias("f2"))
+    unclear = flagged.filter("several and maybe").select(lines.columns)
+    same = (F.col("doc") == F.col("f_doc")) & (F.col("line_no") == F.col("f_no")) & (F.col("s1") == F.col("f1")) & (F.col("s2") == F.col("f2"))
+    # A line of a set that only seems to be repeated is its set's first as well.
+    return alone.unionByName(unclear.join(known, same, "left_semi"))
+
+
+def shared_entries(firsts: DataFrame) -> DataFrame:
+    """pair, and the line (doc, line_no, n, p, i: the pair's place) for each pair that more than one line has. Pairs are
+    counted without their lines; a bitmap brings those that repeat back to the lines."""
+    shared = written(firsts.select(F.explode("pairs").alias("pair")).groupBy("pair").count().filter("count > 1").select("pair"), "shared-pairs")
+    bits = bits_for(shared.count())
+    entries = maybe_in(firsts.select("doc", "line_no", "n", "p", F.posexplode("pairs").alias("i", "pair")), F.col("pair"), bitmap(shared, "pair", bits), bits, "maybe")
+    return written(entries.filter("maybe").select("pair", F.struct("doc", "line_no", "n", "p", "i").alias("line")), "shared-entries")
+
+
+def pairs_with_earliest(entries: DataFrame) -> DataFrame:
+    """Each line with the earliest line that has one of its pairs, and with the earliest of a part of those lines. In a group
+    of near copies this finds most matches in as many rows as there are entries, and matched lines ask for no more."""
+    part = F.pmod(F.xxhash64("line.doc", "line.line_no"), F.lit(GROUPS))
+    entries = entries.withColumn("part", part)
+    of_part = entries.groupBy("pair", "part").agg(F.min("line").alias("a"))
+    of_all = of_part.groupBy("pair").agg(F.min("a").alias("a"))
+    b = entries.select("pair", "part", F.col("line").alias("b"))
+    met = b.join(of_all.withColumnRenamed("pair", "a_pair"), F.col("pair") == F.col("a_pair")).filter(MATCH).select("a", "b")
+    also = b.join(of_part.select(F.col("pair").alias("a_pair"), F.col("part").alias("a_part"), "a"), (F.col("pair") == F.col("a_pair")) & (F.col("part") == F.col("a_part"))).filter(MATCH).select("a", "b")
+    return met.unionByName(also)
+
+
+def pairs_of_open(entries: DataFrame, gone: DataFrame) -> DataFrame:
+    """All candidates whose later line is still open."""
+    later = gone.select(F.col("doc").alias("g_doc"), F.col("line_no").alias("g_no"))
+    open_ = entries.join(later, (F.col("line.doc") == F.col("g_doc")) & (F.col("line.line_no") == F.col("g_no")), "left_anti")
+    a, b = entries.select(F.col("pair").alias("a_pair"), F.col("line").alias("a")), open_.select("pair", F.col("line").alias("b"))
+    return a.join(b, (F.col("a_pair") == F.col("pair")) & F.expr(MATCH)).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k1, k2 of the later lines of those pairs whose word sets have a Jaccard similarity of 0.75 or more.
-
-    Only the texts of documents that hold such lines, found by a bitmap of fixed size, are split again."""
-    pairs = written(pairs.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("doc", "line_no"))), "line-pairs")
-    ends = pairs.select(F.col("a_doc").alias("w_doc"), F.col("a_line_no").alias("w_line_no")).union(pairs.select("b_doc", "b_line_no")).distinct()
-    members = bitmap(ends.select(F.col("w_doc").alias("k")), "k", FILTER_BITS)
-    places = bitmap(ends.select(F.struct("w_doc", "w_line_no").alias("k")), "k", FILTER_BITS)
+    """Places (doc, line_no) of the later lines of those pairs whose word sets have a Jaccard similarity of 0.75 or more.
+
+    Only the texts of documents that hold such lines, found by a bitmap, are split again."""
+    pairs = written(pairs.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("doc", "line_no"))).distinct(), "line-pairs")
+    ends = written(pairs.select(F.col("a_doc").alias("w_doc"), F.col("a_line_no").alias("w_line_no")).union(pairs.select("b_doc", "b_line_no")).distinct(), "line-ends")
+    bits = bits_for(ends.count())
+    members = bitmap(ends.select(F.col("w_doc").alias("k")), "k", bits)
+    places = bitmap(ends.select(F.struct("w_doc", "w_line_no").alias("k")), "k", bits)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
-    rows = maybe_in(rows, F.col("doc"), members, FILTER_BITS, "maybe").filter("maybe").select("doc", "text")
-    lines = maybe_in(numbered_lines(rows, "doc", "text"), F.struct("doc", "line_no"), places, FILTER_BITS, "maybe").filter("maybe").drop("maybe")
+    rows = maybe_in(rows, F.col("doc"), members, bits, "maybe").filter("maybe").select("doc", "text")
+    lines = maybe_in(numbered_lines(rows, "doc", "text"), F.struct("doc", "line_no"), places, bits, "maybe").filter("maybe").drop("maybe")
+    lines = written(lines.dropDuplicates(), "candidate-lines")
     side = lambda s: lines.select(F.col("doc").alias(f"{s}_d"), F.col("line_no").alias(f"{s}_l"), F.col("line").alias(f"{s}_line"))
     both = pairs.join(side("x"), (F.col("a_doc") == F.col("x_d")) & (F.col("a_line_no") == F.col("x_l")))
     both = both.join(side("y"), (F.col("b_doc") == F.col("y_d")) & (F.col("b_line_no") == F.col("y_l")))
     once = lambda c: F.explode(F.array(F.array_remove(F.array_distinct(tokens(F.col(c))), "")))
-    words = both.select("y_line", once("x_line").alias("x_words")).select("y_line", "x_words", once("y_line").alias("y_words"))
+    words = both.select("b_doc", "b_line_no", "y_line", once("x_line").alias("x_words")).select("b_doc", "b_line_no", "x_words", once("y_line").alias("y_words"))
     shared = F.size(F.array_intersect("x_words", "y_words"))
     match = 100 * shared >= 75 * (F.size("x_words") + F.size("y_words") - shared)
-    return words.filter(match).select(*line_key(F.col("y_line"))).distinct()
+    return words.filter(match).select(F.col("b_doc").alias("doc"), F.col("b_line_no").alias("line_no")).distinct()
 
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """k1, k2, doc, line_no (of the first copy) and later: whether an earlier line matches, for each different line."""
-    lines = distinct_lines(docs, id_col, text_col, least_words)
-    gone = written(verified(pairs_with_earliest(lines), docs, id_col, text_col), "lines-gone")
-    more = verified(pairs_by_prefix(still_open(lines, gone)), docs, id_col, text_col)
-    later = gone.union(more).distinct().select(F.col("k1").alias("g1"), F.col("k2").alias("g2"))
-    flagged = lines.join(later, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
-    return flagged.select("k1", "k2", F.col("doc").alias("first_doc"), F.col("line_no").alias("first_no"), F.col("g1").isNotNull().alias("later"))
+    """doc, line_no and gone (whether a line before it matches) of every line."""
+    lines = line_sets(docs, id_col, text_col)
+    some = lines.filter(F.col("n") >= least_words)
+    sets = some.groupBy("s1", "s2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.count(F.lit(1)).alias("many"))
+    sets = written(sets.select("s1", "s2", "at.doc", "at.line_no", "many"), "line-sets")
+    entries = shared_entries(first_copies(some, sets))
+    gone = written(verified(pairs_with_earliest(entries), docs, id_col, text_col), "lines-gone")
+    more = verified(pairs_of_open(entries, gone), docs, id_col, text_col)
+    later = gone.union(more).distinct().select(F.col("doc").alias("g_doc"), F.col("line_no").alias("g_no"))
+    judged = sets.join(later, (F.col("doc") == F.col("g_doc")) & (F.col("line_no") == F.col("g_no")), "left")
+    judged = judged.select(F.col("s1").alias("j1"), F.col("s2").alias("j2"), F.struct("doc", "line_no").alias("first"), F.col("g_doc").isNotNull().alias("later"))
+    rows = lines.select("doc", "line_no", "s1", "s2").join(judged, (F.col("s1") == F.col("j1")) & (F.col("s2") == F.col("j2")), "left")
+    return rows.select("doc", "line_no", (F.col("j1").isNotNull() & (F.col("later") | (F.struct("doc", "line_no") != F.col("first")))).alias("gone"))
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
@@ -161,18 +168,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A line goes if any line before it (smaller id, then smaller number) has a word set with a Jaccard similarity of 0.75
     or more, words being what white space separates, lower-cased. Lines of fewer than least_words distinct words
     stay. Null and empty texts are one empty line. Null ids rank last and share a row, as do repeated rows of one id,
-    whose lines of one number and text don't precede each other. Extra columns are ignored; an empty table gives an
-    empty result."""
-    judged = judged_lines(docs, id_col, text_col, least_words)
-    lines = numbered_lines(docs, id_col, text_col).select(*(c.alias(f"l{k}") for k, c in enumerate(line_key(F.col("line")))), "doc", "line_no")
-    rows = lines.join(judged, (F.col("l0") == F.col("k1")) & (F.col("l1") == F.col("k2")), "left")
-    gone = F.col("k1").isNotNull() & (F.col("later") | (F.col("doc") != F.col("first_doc")) | (F.col("line_no") != F.col("first_no")))
-    out = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(gone).alias("n_removed"), F.array_sort(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))
+    whose lines of one number don't precede each other. Extra columns are ignored; an empty table gives an empty
+    result."""
+    rows = judged_lines(docs, id_col, text_col, least_words)
+    numbers = F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line_no"))))  # the lines of one document
+    out = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("gone").alias("n_removed"), numbers.alias("removed"))
     return out.select(F.when(F.col("doc") != LAST_ID, F.col("doc")).alias(id_col), "n_lines", "n_removed", "removed")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs with the lines of removed_lines() taken out of the texts; other columns stay."""
+    """docs with the lines of removed_lines() taken out of the texts; other columns stay. Null texts stay null; a table
+    without rows stays empty."""
     gone = removed_lines(docs, id_col, text_col, least_words).filter("n_removed > 0").select(F.col(id_col).alias("r_id"), F.col("removed").alias("r_lines"))
     rows = docs.join(gone, F.col(id_col).eqNullSafe(F.col("r_id")), "left")
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains("r_lines", k)), "\n")
