@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_in_arrow, whole_text, written
+from .common import broadcast_if_small, map_in_arrow, whole_text, written
 
 #: The kinds in the order of the spans' digest. Fixed values.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -90,7 +90,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repository of their own. Repeated rows stay. An empty table gives an empty result; extra columns are ignored."""
     repo = F.to_json(F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(repo_cols))))
     found = written(scan(docs, repo, F.col(owner_col).cast("string"), id_col, text_col), "secrets")
-    counts = ownership(found)
+    counts = broadcast_if_small(written(ownership(found), "secret-owners"))
     each = found.select("row_key", F.explode("hashes").alias("hash")).join(counts, "hash")
     alone, wide = F.col("n_owners") == 1, F.col("n_owners") >= widely
     per_row = each.groupBy("row_key").agg(F.count_if(alone).alias("n_live"), F.count_if(~alone & ~wide).alias("n_shared"), F.count_if(wide).alias("n_example"), F.max("n_repos").alias("most_repos"))
