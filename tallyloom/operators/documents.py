@@ -92,14 +92,19 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("s_key")).agg(F.to_date(F.max("l_shipdate")).alias("ship_date"))
 
 
+def issued() -> Column:
+    """The ship date if there is one, not before the order; else the order date."""
+    return F.coalesce(F.when(F.col("ship_date") >= F.col("order_date"), F.col("ship_date")), F.col("order_date"))
+
+
 @query(f"""with {WITH_TOTALS}, s as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1),
-x as (select *, coalesce(d, order_date) as issue_date, ([15, 30, 30, 45, 60])[({draw_sql("terms", "okey")} % 5)::integer + 1] as days from totals left join s on l_orderkey = okey)
+x as (select *, coalesce(case when d >= order_date then d end, order_date) as issue_date, ([15, 30, 30, 45, 60])[({draw_sql("terms", "okey")} % 5)::integer + 1] as days from totals left join s on l_orderkey = okey)
 select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as number, issue_date, (issue_date + days::integer)::date as due_date,
   case when issue_date <> order_date then order_date end as shown_order_date, customer, total from x""")
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issued on the ship date, without one on the order date. The tables have ship dates before the order; they stay."""
+    """Issued on the ship date, without one on the order date. A last line shipped before the order is no ship date."""
     rows = totals(spark, sf_dir).join(shipped(spark, sf_dir), F.col("okey") == F.col("s_key"), "left")
-    rows = rows.withColumn("issue_date", F.coalesce("ship_date", "order_date")).withColumn("days", one_of([15, 30, 30, 45, 60], "terms", F.col("okey")))
+    rows = rows.withColumn("issue_date", issued()).withColumn("days", one_of([15, 30, 30, 45, 60], "terms", F.col("okey")))
     return rows.select("okey", F.concat(F.lit("INV-"), text.padded(F.col("okey"), 5)).alias("number"), "issue_date", F.date_add("issue_date", F.col("days")).alias("due_date"),
                        F.when(F.col("issue_date") != F.col("order_date"), F.col("order_date")).alias("shown_order_date"), "customer", "total")
 
@@ -152,7 +157,7 @@ def credit_note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {WITH_LINES}, {CREDIT_SQL}, r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from credited group by 1, 2),
 s as (select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as tax_total, (sum(base) + sum(round(base * tax_rate, 2)))::decimal(18,2) as total from r group by 1),
 d as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1)
-select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as original_invoice, (coalesce(d, cast(o_orderdate as date)) + (5 + {draw_sql("days_after", "okey")} % 41)::integer)::date as issue_date,
+select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as original_invoice, (coalesce(case when d >= cast(o_orderdate as date) then d end, cast(o_orderdate as date)) + (5 + {draw_sql("days_after", "okey")} % 41)::integer)::date as issue_date,
 (['damaged', 'wrong_item', 'expired', 'price', 'return'])[({draw_sql("reason", "okey")} % 5)::integer + 1] as reason, n_lines, subtotal, tax_total, total from s join orders on o_orderkey = okey left join d on l_orderkey = okey""")
 def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The invoice it belongs to, some days after that, and its totals without freight, each rate taxed for itself."""
@@ -162,7 +167,7 @@ def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = by_rate.groupBy("okey").agg(F.sum("n").alias("n_lines"), total("base").alias("subtotal"), total("tax").alias("tax_total"))
     out = out.withColumn("total", add(F.col("subtotal"), F.col("tax_total"))).join(order_headers(spark, sf_dir).select(k.alias("h_key"), "order_date"), k == F.col("h_key"))
     out = out.join(shipped(spark, sf_dir), k == F.col("s_key"), "left")
-    issue = F.date_add(F.coalesce("ship_date", "order_date"), (5 + below(41, "days_after", k)).cast("int"))
+    issue = F.date_add(issued(), (5 + below(41, "days_after", k)).cast("int"))
     reason = one_of(["damaged", "wrong_item", "expired", "price", "return"], "reason", k)
     return out.select(k, F.concat(F.lit("INV-"), text.padded(k, 5)).alias("original_invoice"), issue.alias("issue_date"), reason.alias("reason"), "n_lines", "subtotal", "tax_total", "total")
 
