@@ -17,7 +17,7 @@ fits as (
   group by all),
 judged as (
   select p.page_id, p.host, p.path, f.rule, f.v,
-    f.rule is null and (p.host in ('spam-farm.example.org', 'spam-farm.example.net') or ends_with(p.host, '.spam-farm.example.org') or ends_with(p.host, '.spam-farm.example.net')) as by_list
+    f.rule is null and regexp_matches(p.host, '(^|\\.)(spam-farm\\.example\\.(org|net)|spam([0-9]|[1-9][0-9]{{1,2}}|[12][0-9]{{3}})\\.example\\.org)$') as by_list
   from parts p left join fits f on p.page_id is not distinct from f.page_id and p.host = f.host and p.path = f.path)
 select page_id, host, path, rule, coalesce(v, case when by_list then 'block' else 'allow' end) as verdict, by_list from judged
 """

@@ -18,8 +18,8 @@ RULES = [
     url_filter.Rule("net", "/es/", "block"),
     url_filter.Rule("net", "/fr/", "block"),
 ]
-#: Hosts that are blocked, with their subdomains, where no rule fits.
-LISTED_HOSTS = ["spam-farm.example.org", "spam-farm.example.net"]
+#: Hosts that are blocked, with their subdomains, where no rule fits: enough for several levels of the cascade.
+LISTED_HOSTS = ["spam-farm.example.org", "spam-farm.example.net", *(f"spam{k}.example.org" for k in range(3000))]
 
 
 def vocabulary_path() -> str:

@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BITMAP_ROW, ascii_lower
+from .common import BITMAP_ROW, ascii_lower, written
 
 #: A level with more bytes than this isn't sent to executors; the build stops and says so.
 MOST_BYTES = 256 << 20
@@ -143,25 +144,19 @@ def contains_udf(spark: SparkSession, cascade: Cascade):
     return F.pandas_udf(run, "int")
 
 
-def build(listed: DataFrame, universe: DataFrame, bits_per_key: float = 10, most_levels: int = 24) -> Cascade:
-    """listed, universe: DataFrames with a string column key. The universe must hold all keys that will be asked for."""
-    listed, levels = listed.select("key").distinct(), []
-    wanted, other = listed, universe.select("key")
-    spark = universe.sparkSession
-    for k in range(most_levels):
+def build(keys: DataFrame, bits_per_key: float = 10) -> Cascade:
+    """keys: each key of the universe once, as key, and whether it is listed, as listed. Levels go on until one lets none
+    of the other side through. What a level lets through is written, so each level reads the keys of one side only."""
+    spark = keys.sparkSession
+    wanted, other, levels = keys.filter("listed").select("key"), keys.filter("not listed").select("key"), []
+    for k in count():
         n = wanted.count()
         if n == 0:
-            break
+            return Cascade(levels)
         level = level_of(wanted, n, bits_per_key, k)
         levels.append(level)
-        passing = contains_level(spark, level)
-        through = other.filter(passing(hashed(F.col("key"), k)))
-        if k == 0:
-            through = through.distinct().join(listed, "key", "left_anti")  # of the few keys that pass, those not listed
-        wanted, other = through, wanted
-    else:
-        raise ValueError("the cascade doesn't end; give it more bits for each key")
-    return Cascade(levels)
+        through = other.filter(contains_level(spark, level)(hashed(F.col("key"), k)))
+        wanted, other = written(through, "url-level"), wanted
 
 
 def contains_level(spark: SparkSession, level: Level):
@@ -191,10 +186,14 @@ def judge(pages: DataFrame, rules: list[Rule], listed_hosts: list[str] = (), id_
     df = pages.select(F.col(id_col).alias("u_id"), F.col(url_col).cast("string").alias("u_url"))
     df = df.select("u_id", host_of(F.col("u_url")).alias("u_host"), path_of(F.col("u_url")).alias("u_path"))
     df = df.withColumn("u_keys", keys_of(F.col("u_host"), F.col("u_path"), lengths))
-    universe = df.select(F.explode("u_keys").alias("key"))
-    members = [{k for k, r in by_key.items() if r.verdict == "allow"}, {k for k, r in by_key.items() if r.verdict == "block"}, listed]
-    for name, keys in zip(("u_allow", "u_block", "u_list"), members):
-        cascade = build(spark.createDataFrame([(k,) for k in sorted(keys)], "key string"), universe, bits_per_key)
+    members = {"u_allow": {k for k, r in by_key.items() if r.verdict == "allow"}, "u_block": {k for k, r in by_key.items() if r.verdict == "block"}, "u_list": listed}
+    # One row a key, with a flag for each list: listed keys and the corpus's keys meet in one aggregation, not in joins.
+    flags = [(k, *(k in keys for keys in members.values())) for k in sorted(set().union(*members.values()))]
+    known = spark.createDataFrame(flags, "key string, " + ", ".join(f"{name} boolean" for name in members))
+    universe = df.select(F.explode("u_keys").alias("key"), *(F.lit(False).alias(name) for name in members))
+    universe = written(universe.union(known).groupBy("key").agg(*(F.max(name).alias(name) for name in members)), "url-keys")
+    for name in members:
+        cascade = build(universe.select("key", F.col(name).alias("listed")), bits_per_key)
         if cascade.levels:
             hashes = [all_hashed("u_keys", k) for k in range(len(cascade.levels))]
             df = df.withColumn(name, contains_udf(spark, cascade)(*hashes))
