@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, broadcast_if_small, give_back, whole_text, written
+from .common import bitmap, bits_for, bound_batches, broadcast_if_small, give_back, maybe_in, row_count_at_most, whole_text, written
 
 #: Labelled documents that the evidence model is fitted on at most, by hash order. Counts and posteriors use all rows.
 TRAINING_ROWS = 20_000
@@ -63,7 +63,9 @@ class Evidence:
     threshold: float = 0.5
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(np.concatenate([x, x * x], axis=1) @ np.array(self.weights) + self.bias, -12, 12)
+        """Row by row, so that a text's evidence doesn't depend on the batch it comes in, as it would in a matrix product."""
+        z = (np.concatenate([x, x * x], axis=1) * np.array(self.weights)).sum(axis=1) + self.bias
+        return np.round(np.clip(z, -12, 12), 9)
 
 
 def fit(rows: np.ndarray, good: np.ndarray, steps: int = 60, ridge: float = 1.0) -> Evidence:
@@ -151,9 +153,13 @@ def classify(docs: DataFrame, evidence: Evidence, host: Column, path: Column, ca
     return base.withColumn("p", sigmoid(F.col("z")))
 
 
+#: So many (host, path) groups are broadcast at most; beyond it narrow rows join them by shuffle.
+MOST_GROUPS = 50_000
+
+
 def judged(scored: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """score joins the evidence's log odds with those of the path's posterior against the global share."""
-    g = broadcast_if_small(groups.withColumnsRenamed({"host": "g_host", "path": "g_path"}))
+    g = broadcast_if_small(groups.withColumnsRenamed({"host": "g_host", "path": "g_path"}), MOST_GROUPS)
     rows = scored.join(g, F.col("host").eqNullSafe(F.col("g_host")) & F.col("path").eqNullSafe(F.col("g_path"))).drop("g_host", "g_path")
     shift = logit(F.col("path_post")) - logit(F.col("world_mean"))
     score = sigmoid(F.col("z") + shift)
@@ -173,11 +179,22 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """The rows of docs that quality() keeps, with their columns. Texts don't cross the network unless there are very
-    many (host, path) groups."""
+    """The rows of docs that quality() keeps, with their columns; nulls, empty texts, repeats and empty tables as there.
+
+    Texts stay where they are: up to MOST_GROUPS (host, path) groups travel to them; beyond that, rows are judged by their
+    host, path and evidence alone, and of the texts only those of rejected rows (and a few more) move."""
     columns = docs.columns
     evidence = train(docs, labels, id_col, text_col)
     scored = classify(docs, evidence, F.col(host_col), F.col(path_col), tuple(columns), text_col)
-    groups = written(posteriors(written(scored.select("host", "path", "p"), "quality-evidence")), "quality-groups")
-    rows = judged(scored, groups, evidence.threshold)
-    return rows.filter("kept").select(*(F.col(f"c_{k}").alias(c) for k, c in enumerate(columns)))
+    named = lambda df: df.select(*(F.col(f"c_{k}").alias(c) for k, c in enumerate(columns)))
+    facts = written(scored.select("host", "path", "z", "p"), "quality-evidence")
+    groups = written(posteriors(facts), "quality-groups")
+    if row_count_at_most(groups, MOST_GROUPS):
+        return named(judged(scored, groups, evidence.threshold).filter("kept"))
+    # Rows of one host, path and evidence are judged alike.
+    alike = [F.col("host"), F.col("path"), F.col("z")]
+    out = written(judged(facts.select(*alike).distinct(), groups, evidence.threshold).filter("not kept").select(F.struct(*alike).alias("k")), "quality-rejected")
+    bits = bits_for(out.count())
+    flagged = maybe_in(scored, F.struct(*alike), bitmap(out, "k", bits), bits, "maybe")
+    back = flagged.filter("maybe").join(out, F.struct(*alike) == F.col("k"), "left_anti")
+    return named(flagged.filter("not maybe").drop("maybe")).unionByName(named(back.drop("maybe")))
