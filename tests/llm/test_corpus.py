@@ -215,6 +215,48 @@ def test_op9_judges_short_lines(spark, rows, tmp_path):
     assert [got[5000 + k][1] for k in range(4)] == [[], [0, 1, 3], [0, 2, 3], [0]]
 
 
+def test_pairs_of_neighbours_find_every_match():
+    """Any two sets with a Jaccard similarity of 0.75 share a pair within both prefixes, at places that the filter lets
+    through."""
+    rng = np.random.default_rng(7)
+    shared = lambda n: (2 * (n + (3 * n + 3) // 4) + 6) // 7 - 1
+    for _ in range(4000):
+        n = int(rng.integers(2, 60))
+        x = np.unique(rng.integers(0, 400, n))
+        lost, extra = rng.integers(0, len(x) // 4 + 2), rng.integers(0, len(x) // 3 + 2)
+        y = np.unique(np.concatenate([rng.permutation(x)[lost:], rng.integers(0, 400, extra)]))
+        o = len(np.intersect1d(x, y))
+        if min(len(x), len(y)) < 2 or 100 * o < 75 * (len(x) + len(y) - o) or np.array_equal(x, y):
+            continue
+        a, b = ([(int(p), int(q)) for p, q in zip(s, s[1:])][: len(s) - shared(len(s))] for s in (x, y))
+        least = 3 * ((3 * (len(x) + len(y)) + 6) // 7) - len(x) - len(y) - 1
+        both = [p for p in a if p in b]
+        assert both, (x, y)
+        i, j = a.index(both[0]), b.index(both[0])
+        assert 1 + min(len(x) - i, len(y) - j) - 2 >= least
+
+
+def test_line_dedup_with_many_near_copies(spark):
+    """A large group of near copies, lines that repeat everywhere, short lines, and lines that match others than the
+    earliest one only."""
+    import random
+
+    r = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(120)]
+    base = [r.choice(vocabulary) for _ in range(20)]
+    texts = []
+    for k in range(160):
+        near = list(base)
+        for _ in range(r.randrange(5)):
+            near[r.randrange(len(near))] = r.choice(vocabulary)
+        lines = [" ".join(near), "All rights reserved", " ".join(r.choice(vocabulary[:12]) for _ in range(r.randint(1, 6))), " ".join(r.sample(vocabulary, r.randint(4, 40)))]
+        r.shuffle(lines)
+        texts.append("\n".join(lines))
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = {x.doc_id: (x.n_lines, x.removed) for x in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == brute_lines(rows)
+
+
 def test_line_dedup_is_native(docs):
     text = line_dedup.removed_lines(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", text)
@@ -368,6 +410,31 @@ def test_secrets(spark, empty):
     assert secrets_scan.find_secrets(empty).count() == 0
 
 
+def test_ownership_equals_brute_force(spark, empty):
+    """Counts of live, shared and example values over random repositories and owners, with nulls, repeats and copies."""
+    import random
+
+    r = random.Random(6)
+    values = [f"token=value{k:04d}x" for k in range(25)] + ["AKIA" + "Q" * 16, "f" * 30]
+    rows = []
+    for k in range(300):
+        owner = r.choice(["src0", "src0", "src1", "src2", "src3", None])
+        rows.append((r.choice([k, None, 7]), " ".join(r.choice(values[: r.choice([3, 12, 27])]) for _ in range(r.randrange(5))) or None, r.choice(["en", "fr", None]), owner, 0))
+    rows += rows[:20]
+    owners, repos = collections.defaultdict(set), collections.defaultdict(set)
+    found = [[x[3] for x in secrets_scan.candidates(t or "")] for _, t, *_ in rows]
+    for (_, _, lang, owner, _), vs in zip(rows, found):
+        for v in vs:
+            owners[v].add(owner)
+            repos[v].add((owner, lang))
+    want = collections.Counter()
+    for (i, *_), vs in zip(rows, found):
+        n = [len(owners[v]) for v in vs]
+        want[i, sum(x == 1 for x in n), sum(x == 2 for x in n), sum(x >= 3 for x in n), max((len(repos[v]) for v in vs), default=0)] += 1
+    got = secrets_scan.find_secrets(spark.createDataFrame(rows, DOCS).repartition(3)).select("doc_id", "n_live", "n_shared", "n_example", "most_repos")
+    assert as_counter(got) == want and len({k[1:] for k in want}) > 8
+
+
 def test_keys_of_one_type_differ(spark):
     """Keys that agree in their first 70 characters are told apart; copies wrapped otherwise aren't."""
     block = lambda body, end="OPENSSH": f"-----BEGIN OPENSSH PRIVATE KEY-----\n{body}\n-----END {end} PRIVATE KEY-----\nafter"
@@ -401,7 +468,7 @@ def test_url_filter(spark):
 def test_cascade_is_exact(spark):
     universe = spark.range(60000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = universe.filter("xxhash64(key) % 3 = 0")
-    c = url_filter.build(listed, universe, bits_per_key=2)
+    c = url_filter.build(universe.selectExpr("key", "xxhash64(key) % 3 = 0 as listed"), bits_per_key=2)
     assert len(c.levels) > 2
     keys = [r.key for r in universe.collect()]
     hashes = [np.array([r[0] for r in universe.select(url_filter.hashed(F.col("key"), k)).collect()]) for k in range(len(c.levels))]
@@ -409,6 +476,21 @@ def test_cascade_is_exact(spark):
     assert {k for k, m in zip(keys, c.has(hashes)) if m} == want
 
 
+def test_cascade_alternates_in_the_query(spark, monkeypatch):
+    """With the query's own lists a level of unlisted keys is needed, and every verdict is right."""
+    seen = []
+    build = url_filter.build
+    monkeypatch.setattr(url_filter, "build", lambda *a, **k: seen.append(build(*a, **k)) or seen[-1])
+    hosts = [f"spam{k}.example.org" for k in range(0, 4000, 7)] + [f"x{k}.a{k % 50}.example.org" for k in range(4000)] + [f"www.spam{k}.example.org" for k in range(2990, 3010)]
+    df = spark.createDataFrame([(k, f"http://{h}/x{k}") for k, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.by_list) for r in url_filter.judge(df, RULES, LISTED_HOSTS).collect()}
+    listed = set(LISTED_HOSTS)
+    for k, h in enumerate(hosts):
+        bad = any(".".join(h.split(".")[n:]) in listed for n in range(len(h.split("."))))
+        assert got[k] == ("block" if bad else "allow", bad)
+    assert max(len(c.levels) for c in seen) > 1
+
+
 def test_mixing(spark, docs, rows, empty):
     got = mixing.mix(docs).collect()
     sizes = collections.Counter()
@@ -532,6 +614,72 @@ def test_quality(spark, docs, rows, empty):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def plain_score(rows, labels):
+    """The classifier again, without Spark: evidence from the fitted weights, posteriors and scores by loops."""
+    best = {}
+    for i, q, _ in labels:
+        if i is not None and q is not None:
+            best[i] = max(best.get(i, 0), q)
+    features = [quality.features(pa.array([t or ""]))[0] for _, t, *_ in rows]
+    x = np.array([f for (i, *_), f in zip(rows, features) if i in best])
+    y = np.array([best[i] for i, *_ in rows if i in best], float)
+    e = quality.fit(x, y)
+    good = sorted(1 / (1 + math.exp(-z)) for z, g in zip(e.logit(x).tolist(), y) if g)
+    threshold = min(0.5, good[int(len(good) * quality.GOOD_LOST)] * 0.9)
+    p = []
+    for f in features:
+        z = sum(w * v for w, v in zip(e.weights, [*f, *(v * v for v in f)])) + e.bias
+        p.append(1 / (1 + math.exp(-max(-12, min(12, z)))))
+    paths, hosts = collections.defaultdict(list), collections.defaultdict(list)
+    for (_, _, lang, source, _), v in zip(rows, p):
+        paths[source, lang].append(v)
+        hosts[source].append(v)
+    mean = min(0.98, max(0.02, sum(p) / len(p)))
+    shares = [sum(v) / len(v) for v in hosts.values()]
+    centre = sum(shares) / len(shares)
+    host_var = sum((s - centre) ** 2 for s in shares) / (len(shares) - 1)
+    path_var = sum((sum(v) / len(v) - sum(hosts[h]) / len(hosts[h])) ** 2 for (h, _), v in paths.items()) / len(paths)
+    strength = lambda var: min(500.0, max(5.0, mean * (1 - mean) / max(var, 1e-9) - 1))
+    out = collections.Counter()
+    for (i, _, lang, source, _), v in zip(rows, p):
+        h, own = hosts[source], paths[source, lang]
+        host_post = (strength(host_var) * mean + sum(h)) / (strength(host_var) + len(h))
+        path_post = (strength(path_var) * host_post + sum(own)) / (strength(path_var) + len(own))
+        odds = math.log(v / (1 - v)) + math.log(path_post / (1 - path_post)) - math.log(mean / (1 - mean))
+        out[i, source, lang, round(v, 6), round(host_post, 6), round(path_post, 6), round(1 / (1 + math.exp(-odds)), 6), odds >= math.log(threshold / (1 - threshold))] += 1
+    return out, e, x, y
+
+
+def junk(rows, seed=9):
+    """Rows of the usual cases and of junk, and labels for some of them."""
+    import random
+
+    r = random.Random(seed)
+    bad = [(2000 + k, "".join(r.choice("#$%&*@^~|<>{}[]09") for _ in range(r.randint(20, 300))), r.choice(["en", None]), r.choice(["src0", "src9"]), 0) for k in range(60)]
+    labels = [(i, int(i < 2000), 0) for i, *_ in rows + bad if i % 2 == 0] + [(None, 1, 0), (4, None, 0), (4, 0, 0)]
+    return rows + bad, labels
+
+
+def test_quality_equals_plain_version(spark, rows, monkeypatch):
+    all_rows, labels = junk(rows)
+    want, e, x, y = plain_score(all_rows, labels)
+    # The fit is the optimum of the penalised likelihood: its gradient vanishes.
+    z = np.concatenate([x, x * x], axis=1)
+    spread = z.std(0) + 1e-9
+    p = 1 / (1 + np.exp(-(z @ np.array(e.weights) + e.bias)))
+    assert np.abs(((z - z.mean(0)) / spread).T @ (p - y) + np.array(e.weights) * spread).max() < 1e-4
+    docs, marks = spark.createDataFrame(all_rows, DOCS).repartition(4), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = collections.Counter((r[0], r[1], r[2], *(round(v, 6) for v in r[3:7]), r[7]) for r in quality.quality(docs, marks).collect())
+    close = lambda c: sorted((str(k[:3]), k[7], *(round(v, 4) for v in k[3:7])) for k, n in c.items() for _ in range(n))
+    assert close(got) == close(want)
+    kept = collections.Counter(k[0] for k, n in want.items() if k[7] for _ in range(n))
+    assert sum(kept.values()) < len(all_rows) - 40 and sum(i >= 2000 for i in kept) < 10
+    assert collections.Counter(r.doc_id for r in quality.keep_good(docs, marks).collect()) == kept
+    monkeypatch.setattr(quality, "MOST_GROUPS", 1)
+    many = quality.keep_good(docs, marks)
+    assert many.columns == docs.columns and collections.Counter(r.doc_id for r in many.collect()) == kept
+
+
 def test_quality_features():
     texts = ["", None, "a", "É é\n|x| 12 AB #$! 😀", "w " * 700_000]
     got = quality.features(pa.array(texts))
@@ -562,24 +710,76 @@ def test_posteriors_shrink(spark):
 
 
 def test_pipeline(spark, tmp_path, rows):
+    """run() against the stages' plain versions; the labels make the classifier remove junk."""
     import corpus_pipeline as P
+    from tokenizers import Tokenizer
 
-    d = spark.createDataFrame(rows, DOCS)
-    d.write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    texts = {i: t or "" for i, t, *_ in rows}
+    all_rows, labels = junk(rows)
+    spark.createDataFrame(all_rows, DOCS).withColumn("kept", F.lit(1)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = P.run(spark, str(tmp_path)).collect()
+    good = collections.Counter(k[0] for k, n in plain_score(all_rows, labels)[0].items() if k[7] for _ in range(n))
+    texts = {i: t or "" for i, t, *_ in all_rows}
     keep = {}
-    for i in sorted(texts):
+    for i in sorted(good):
         keep[low(texts[i])] = i
-    left = [(i, texts[i]) for i in keep.values()]
-    ids = sorted({c for _, _, c in brute_components(left)})
-    mixed = collections.Counter()
-    for r in mixing.mix(d.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"])).collect():
-        mixed[r.doc_id] += r.times
-    assert collections.Counter(r.doc_id for r in out) == +mixed
-    from tokenizers import Tokenizer
-
+    ids = {c for _, _, c in brute_components([(i, texts[i]) for i in keep.values()])}
+    assert len(ids) < len(good) < len(all_rows) - 40 and sum(i >= 2000 for i in ids) < 10
+    sizes, source_of = collections.Counter(), {i: s for i, _, _, s, _ in all_rows}
+    for i in ids:
+        sizes[source_of[i]] += len(words(texts[i]))
+    taken = collections.Counter()
+    for r in out:
+        assert r.doc_id in ids and r.source == source_of[r.doc_id]
+        taken[r.source] += len(words(texts[r.doc_id]))
+    targets = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    for s in sizes:
+        longest = max(len(words(texts[i])) for i in ids if source_of[i] == s)
+        assert abs(taken[s] - targets[s]) <= longest
+    assert max(collections.Counter(r.doc_id for r in out).values()) <= 3
     t = Tokenizer.from_file(vocabulary_path())
-    assert all(r.token_ids == t.encode(texts[r.doc_id], add_special_tokens=False).ids for r in out)
+    for r in out:
+        want = t.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.token_ids == want and r.n_tokens == len(want) and r.decoded_sha256 == hashlib.sha256(t.decode(want, skip_special_tokens=False).encode()).hexdigest()
     assert len(P.STAGES) == 5 and json.dumps([n for n, _ in P.STAGES])
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline as P
+
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_ids_and_repeats_everywhere(spark):
+    """Operators on single rows keep rows without ids and repeated rows, and columns of clashing names don't disturb them."""
+    texts = ["token = abcdef1 one two", None, "", "x" * 50_000 + " y", "under the mit license"]
+    data = [(None, t, "en", "src0", 0) for t in texts] + [(3, texts[0], None, None, 0)] * 2
+    df = spark.createDataFrame(data, DOCS)
+    for name in ("h1", "h2", "text_key", "label", "share", "found", "row_key", "hashes", "spans", "m_id", "dd_len", "e_source", "c_0"):
+        df = df.withColumn(name, F.lit("clash"))
+    for run in (secrets_scan.find_secrets, telephony.media_digest, license_scan.scan_licenses, exact_dedup.exact_groups, ngram_join.near_components, mixing.mix, lambda d: bpe.token_digest(d, vocabulary_path())):
+        got = run(df).select("doc_id").collect()
+        assert collections.Counter(r.doc_id for r in got) == {None: 5, 3: 2}, run
+    assert {(r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.removed_lines(df).collect()} == {(None, 5, 1), (3, 2, 0)}
+    for run in (exact_dedup.drop_exact_copies, ngram_join.one_of_each, mixing.mixed_documents):
+        assert run(df).columns == df.columns
+
+
+def test_tables_go_when_they_are_no_longer_needed(spark):
+    from tallyloom.llm import common
+
+    before = len(common.made)
+    a, b = (common.written(spark.range(3), n) for n in ("one", "two"))
+    paths = common.made[before:]
+    common.remove_tables(spark, since=before, but=1)
+    assert common.made[before:] == paths[1:] and b.count() == 3
+    with pytest.raises(Exception):
+        a.count()
+    common.remove_tables(spark, since=before)
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components.components(spark.createDataFrame([(None, 1), (2, 2)], "a long, b long")).count() == 0
