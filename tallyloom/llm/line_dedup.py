@@ -8,6 +8,8 @@ parity filters thin the candidates; the words themselves decide."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,6 @@ from .common import SPACE_RUN, bitmap, bits_for, maybe_in, whole_text, written
 COUNTERS = 1 << 16
 #: Lines of fewer distinct words stay: only those without a word.
 LEAST_WORDS = 1
-#: In how many groups the lines with one pair of words look for their earliest, besides that of all.
-GROUPS = 64
 LAST_ID = (1 << 63) - 1
 
 
@@ -93,41 +93,53 @@ def first_copies(lines: DataFrame, sets: DataFrame) -> DataFrame:
     return alone.unionByName(unclear.join(known, same, "left_semi"))
 
 
+#: Columns of an entry: a pair and one of its lines. Line number and size share a number; i is the pair's place.
+LINE = ("doc", "ln", "p", "i")
+
+
+def spelled(condition: str, a: str, b: str) -> Column:
+    """A condition on lines a and b in terms of entries' columns with these prefixes."""
+    for side, prefix in (("a", a), ("b", b)):
+        for name, value in {"doc": "doc", "p": "p", "i": "i", "n": "(ln & 4294967295)", "line_no": "shiftright(ln, 32)"}.items():
+            condition = re.sub(rf"\b{side}\.{name}\b", re.sub(r"\b(doc|ln|p|i)\b", rf"{prefix}\1", value), condition)
+    return F.expr(condition)
+
+
 def shared_entries(firsts: DataFrame) -> DataFrame:
-    """pair, and the line (doc, line_no, n, p, i: the pair's place) for each pair that more than one line has. Pairs are
-    counted without their lines; a bitmap brings those that repeat back to the lines."""
+    """pair, doc, ln, p, i for each pair that more than one line has. Pairs are counted without their lines; a bitmap brings
+    those that repeat back to the lines."""
     shared = written(firsts.select(F.explode("pairs").alias("pair")).groupBy("pair").count().filter("count > 1").select("pair"), "shared-pairs")
     bits = bits_for(shared.count())
-    entries = maybe_in(firsts.select("doc", "line_no", "n", "p", F.posexplode("pairs").alias("i", "pair")), F.col("pair"), bitmap(shared, "pair", bits), bits, "maybe")
-    return written(entries.filter("maybe").select("pair", F.struct("doc", "line_no", "n", "p", "i").alias("line")), "shared-entries")
+    lines = firsts.select("doc", F.expr("shiftleft(cast(line_no as bigint), 32) | n").alias("ln"), "p", F.posexplode("pairs").alias("i", "pair"))
+    return written(maybe_in(lines, F.col("pair"), bitmap(shared, "pair", bits), bits, "maybe").filter("maybe").select("pair", *LINE), "shared-entries")
+
+
+def places(a: str, b: str) -> list[Column]:
+    """Places of the two lines of a candidate."""
+    return [c for s, x in (("a", a), ("b", b)) for c in (F.col(f"{x}doc").alias(f"{s}_doc"), F.expr(f"cast(shiftright({x}ln, 32) as int)").alias(f"{s}_line_no"))]
 
 
 def pairs_with_earliest(entries: DataFrame) -> DataFrame:
-    """Each line with the earliest line that has one of its pairs, and with the earliest of a part of those lines. In a group
-    of near copies this finds most matches in as many rows as there are entries, and matched lines ask for no more."""
-    part = F.pmod(F.xxhash64("line.doc", "line.line_no"), F.lit(GROUPS))
-    entries = entries.withColumn("part", part)
-    of_part = entries.groupBy("pair", "part").agg(F.min("line").alias("a"))
-    of_all = of_part.groupBy("pair").agg(F.min("a").alias("a"))
-    b = entries.select("pair", "part", F.col("line").alias("b"))
-    met = b.join(of_all.withColumnRenamed("pair", "a_pair"), F.col("pair") == F.col("a_pair")).filter(MATCH).select("a", "b")
-    also = b.join(of_part.select(F.col("pair").alias("a_pair"), F.col("part").alias("a_part"), "a"), (F.col("pair") == F.col("a_pair")) & (F.col("part") == F.col("a_part"))).filter(MATCH).select("a", "b")
-    return met.unionByName(also)
+    """Each line with the earliest line that has one of its pairs. In a group of near copies this finds most matches in as
+    many rows as there are entries, and matched lines ask for no more."""
+    firsts = entries.groupBy(F.col("pair").alias("a_pair")).agg(F.min(F.struct(*LINE)).alias("a")).select("a_pair", *(F.col(f"a.{c}").alias(f"a_{c}") for c in LINE))
+    met = entries.join(firsts, F.col("pair") == F.col("a_pair")).filter(spelled(MATCH, "a_", ""))
+    return met.select(*places("a_", ""))
 
 
 def pairs_of_open(entries: DataFrame, gone: DataFrame) -> DataFrame:
     """All candidates whose later line is still open."""
     later = gone.select(F.col("doc").alias("g_doc"), F.col("line_no").alias("g_no"))
-    open_ = entries.join(later, (F.col("line.doc") == F.col("g_doc")) & (F.col("line.line_no") == F.col("g_no")), "left_anti")
-    a, b = entries.select(F.col("pair").alias("a_pair"), F.col("line").alias("a")), open_.select("pair", F.col("line").alias("b"))
-    return a.join(b, (F.col("a_pair") == F.col("pair")) & F.expr(MATCH)).select("a", "b")
+    open_ = entries.join(later, (F.col("doc") == F.col("g_doc")) & (F.expr("cast(shiftright(ln, 32) as int)") == F.col("g_no")), "left_anti")
+    a = entries.select(F.col("pair").alias("a_pair"), *(F.col(c).alias(f"a_{c}") for c in LINE))
+    return a.join(open_, (F.col("a_pair") == F.col("pair")) & spelled(MATCH, "a_", "")).select(*places("a_", ""))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Places (doc, line_no) of the later lines of those pairs whose word sets have a Jaccard similarity of 0.75 or more.
 
     Only the texts of documents that hold such lines, found by a bitmap, are split again."""
-    pairs = written(pairs.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("doc", "line_no"))).distinct(), "line-pairs")
+    pairs = written(pairs.distinct(), "line-pairs")
     ends = written(pairs.select(F.col("a_doc").alias("w_doc"), F.col("a_line_no").alias("w_line_no")).union(pairs.select("b_doc", "b_line_no")).distinct(), "line-ends")
     bits = bits_for(ends.count())
     members = bitmap(ends.select(F.col("w_doc").alias("k")), "k", bits)
