@@ -78,19 +78,14 @@ def line_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def first_copies(lines: DataFrame, sets: DataFrame) -> DataFrame:
-    """The lines that are the first of their set. Sets of one line are told by a bitmap; of the others only lines that may be
-    the first cross the network."""
-    several = written(sets.filter("many > 1").select("s1", "s2", F.struct("doc", "line_no").alias("first")), "repeated-lines")
+    """The lines that are the first of their set. Sets of one line are told by a bitmap; only lines of the others, and a few
+    that the bitmap can't tell, cross the network to meet their set's first place."""
+    several = written(sets.filter("many > 1").select(F.struct("s1", "s2").alias("k")), "repeated-lines")
     bits = bits_for(several.count())
-    one_set, place = F.struct("s1", "s2"), F.struct("doc", "line_no")
-    flagged = maybe_in(lines, one_set, bitmap(several.select(one_set.alias("k")), "k", bits), bits, "several")
-    flagged = maybe_in(flagged, place, bitmap(several.select(F.col("first").alias("k")), "k", bits), bits, "maybe")
-    alone = flagged.filter("not several").select(lines.columns)
+    flagged = maybe_in(lines, F.struct("s1", "s2"), bitmap(several, "k", bits), bits, "several")
     known = sets.select(F.col("doc").alias("f_doc"), F.col("line_no").alias("f_no"), F.col("s1").alias("f1"), F.col("s2").alias("f2"))
-    unclear = flagged.filter("several and maybe").select(lines.columns)
     same = (F.col("doc") == F.col("f_doc")) & (F.col("line_no") == F.col("f_no")) & (F.col("s1") == F.col("f1")) & (F.col("s2") == F.col("f2"))
-    # A line of a set that only seems to be repeated is its set's first as well.
-    return alone.unionByName(unclear.join(known, same, "left_semi"))
+    return flagged.filter("not several").select(lines.columns).unionByName(flagged.filter("several").select(lines.columns).join(known, same, "left_semi"))
 
 
 #: Columns of an entry: a pair and one of its lines. Line number and size share a number; i is the pair's place.

@@ -236,6 +236,12 @@ def test_pairs_of_neighbours_find_every_match():
         assert 1 + min(len(x) - i, len(y) - j) - 2 >= least
 
 
+def test_bitmaps_of_lines_decide_nothing(spark, docs, rows, monkeypatch):
+    """The result is the same if every bitmap lets everything through."""
+    monkeypatch.setattr(line_dedup, "maybe_in", lambda df, key, members, bits, flag: df.withColumn(flag, F.lit(True)))
+    assert {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.removed_lines(docs).collect()} == brute_lines(rows)
+
+
 def test_line_dedup_with_many_near_copies(spark):
     """A large group of near copies, lines that repeat everywhere, short lines, and lines that match others than the
     earliest one only."""
