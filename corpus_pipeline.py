@@ -6,35 +6,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, exact_dedup, mixing, ngram_join, quality
-from tallyloom.llm.common import table, written
+from tallyloom.llm import bpe, common, exact_dedup, mixing, ngram_join, quality
+from tallyloom.llm.common import remove_tables, table, written
 from tallyloom.llm.queries import vocabulary_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. Its evidence is fitted on labelled documents of this stage's input."""
+    """Documents that the classifier rejects go. Its evidence is fitted on labelled documents of this stage's input.
+    Null and empty texts are judged like any other; without labels of both kinds all rows stay."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays."""
+    """Of equal texts (null as empty) the row with the largest id stays, null ids last; of its repeats one."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
+    """Of linked documents the one with the smallest id stays; null and empty texts and null ids link nothing and stay."""
     return ngram_join.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; texts without words aren't taken; null sources are one source."""
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source and token ids of each document of the mix, repeats included."""
+    """doc_id, source and token ids of each document of the mix, repeats included, and the digest of the text that the ids
+    decode to. Null texts have no ids; an empty mix stays empty."""
     rows = docs.select("doc_id", "source", "text")
-    return bpe.encode_column(rows, vocabulary_path()).selectExpr("doc_id", "source", "cast(size(token_ids) as long) as n_tokens", "token_ids")
+    coded = bpe.encode_column(rows, vocabulary_path(), decoded_col="decoded_sha256")
+    return coded.selectExpr("doc_id", "source", "cast(size(token_ids) as long) as n_tokens", "token_ids", "decoded_sha256")
 
 
 STAGES = [
@@ -50,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage has written for itself goes once its result is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before = len(common.made)
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        remove_tables(spark, since=before - (k > 0), but=1)
     return STAGES[-1][1](spark, docs, sf_dir)
