@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_in_arrow, whole_text
+from .common import give_back, map_in_arrow, relieve_executors, whole_text
 
 #: The pattern that splits text before merging, as published with the vocabulary. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -27,7 +27,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LONG_WORD = 96
 
 #: Words whose tokens a task remembers; beyond it starts afresh. Bounds the memory, not the result.
-REMEMBERED = 200_000
+REMEMBERED = 40_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -48,6 +48,7 @@ class Vocabulary:
         pairs = [p.split(" ") if isinstance(p, str) else p for p in file["model"]["merges"]]
         self.merges = {(self.ids[as_bytes(a)], self.ids[as_bytes(b)]): (rank, self.ids[as_bytes(a) + as_bytes(b)]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
         self.added = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
+        del file, pairs
         size = 1 + max(chain(self.ids.values(), self.added.values()))
         self.bytes: list[bytes] = [b""] * size
         for b, i in self.ids.items():
@@ -203,11 +204,14 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(spec_file: str) -> Encoder:
     with open(SparkFiles.get(spec_file), encoding="utf-8") as f:
-        return Encoder(Vocabulary(f.read()))
+        e = Encoder(Vocabulary(f.read()))
+    give_back()
+    return e
 
 
 def ship(spark: SparkSession, path: str) -> str:
     """Sends the vocabulary file to the executors once and returns its name there."""
+    relieve_executors(spark)
     spark.sparkContext.addFile(path)
     return path.replace("\\", "/").rsplit("/", 1)[-1]
 
@@ -220,7 +224,7 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[str]:
         return [x.as_buffer().to_pybytes().decode("utf-8", "replace") for x in values]
 
 
-def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of about so many bytes of text (in column 1), which bound the memory."""
     ends = np.cumsum(np.asarray(pa.compute.binary_length(batch.column(1)).fill_null(0)))
     at = 0
@@ -230,23 +234,26 @@ def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBa
         at = to
 
 
-def encode_column(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """docs with an array column of token ids. Null text gives no tokens; a column of that name is replaced."""
+def encode_column(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str | None = None) -> DataFrame:
+    """docs with an array column of token ids, and if decoded_col is given the SHA-256 of what they decode to. Null text
+    gives no tokens; columns of these names are replaced; null ids and repeated rows stay; an empty table stays empty."""
     name = ship(docs.sparkSession, path)
-    docs = docs.drop(ids_col)
+    added = [ids_col] + ([decoded_col] if decoded_col else [])
+    docs = docs.drop(*added)
     rest = [c for c in docs.columns if c != text_col]
     rows = docs.select(*(F.col(f"`{c}`") for c in rest[:1]), whole_text(text_col).alias(text_col), *(F.col(f"`{c}`") for c in rest[1:])) if rest else docs.select(F.lit(0).alias("_"), whole_text(text_col).alias(text_col))
-    schema = T.StructType([*rows.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*rows.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType())), *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(name)
         for batch in batches:
             for part in _parts(batch):
                 ids = e.encode_batch(_texts(part, 1))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
+                digests = [pa.array([hashlib.sha256(e.decode(x)).hexdigest() for x in ids], pa.string())] if decoded_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32())), *digests], names=schema.names)
         e.forget()
 
-    return map_in_arrow(rows, run, schema).select(*docs.columns, ids_col)
+    return map_in_arrow(rows, run, schema).select(*docs.columns, *added)
 
 
 def decode_column(df: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:

@@ -36,29 +36,54 @@ def word_count(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. A session without one gets a local folder, which serves tests on one machine."""
+    """The folder all executors share. Only a session on one machine may do without one and gets a folder of its own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+#: Paths of the tables written so far, in order.
+made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back, so that a lost executor costs no recomputation.
 
-    The shuffle files behind it are no longer needed; a collection of the driver's garbage lets Spark remove them."""
+    The shuffle files behind it are no longer needed; a collection of the driver's garbage lets Spark remove them. Tables
+    stay for the results that read them, until remove_tables()."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tallyloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/tallyloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    made.append(path)
     del df
     spark._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
+def remove_tables(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Removes the tables written since a number of them, but for the last few. Nothing may read them any more."""
+    end = len(made) - but
+    for path in made[since:end]:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    del made[since:end]
+
+
+def relieve_executors(spark: SparkSession) -> None:
+    """Has executors collect their garbage before Python workers need room beside them. A heap that has grown keeps its
+    memory until a full collection; the workers' memory isn't part of it, so both together can pass an executor's limit.
+    An executor that gets no task of this small job just keeps what it has."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 #: Bytes of an Arrow batch, as far as rows are smaller. Spark counts rows only unless told, so long texts would add up.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

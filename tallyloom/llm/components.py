@@ -19,13 +19,14 @@ def _stars(pairs: DataFrame, small: bool) -> DataFrame:
     return joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """node, root (the smallest node reachable) for all nodes of edges (a, b: long). Loops and repeats don't matter.
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the smallest node reachable) for all nodes of edges (a, b: long). Loops and repeats don't matter;
+    edges with a null end are left out; no edges give no nodes.
 
-    Each round is written to the shared folder; a lost executor costs at most the round at work."""
+    Rounds go on until nothing changes, which stars of this kind reach in a logarithmic number of them. Each round is written to the shared folder; a lost executor costs at most the round at work."""
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         large = _stars(both, small=False)
         edges = written(_stars(large.select(F.col("a").alias("u"), F.col("b").alias("v")), small=True), "edges")
@@ -33,4 +34,3 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         if now == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
         mark = now
-    raise RuntimeError("components didn't settle")

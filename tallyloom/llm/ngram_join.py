@@ -17,19 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, bound_batches, give_back, map_in_arrow, maybe_in, whole_text, written
+from .common import bitmap, bits_for, bound_batches, give_back, map_in_arrow, maybe_in, relieve_executors, whole_text, written
 from .components import components
-from .shingles import chunks, mix, name_of, sets_of, text_sets
+from .shingles import chunks, forget, mix, name_of, sets_of, text_sets
 
 #: Bands up to this size index one-deletion neighbourhoods.
 SMALL = 64
 #: Entries in a bucket, on average.
-BUCKET_ENTRIES = 3_000_000
+BUCKET_ENTRIES = 1_500_000
 #: Runs of equal segments with more sets than this compare with one of them first.
 SHORT_RUN = 8
 #: Share of segments beyond those that the pigeonhole needs.
 SPARE = 1.18
-FILTER_BITS = 1 << 23
 PARITY_WORDS = 8
 BOTH, ASKS, LISTED = 0, 1, 2  # how an entry takes part: as both sides, as the asking side, as the indexed side
 
@@ -94,10 +93,8 @@ def entries_of(s: np.ndarray, band: int, view: int) -> tuple[np.ndarray, np.ndar
     if spare < 0:
         order = np.argsort(-sizes, kind="stable")[: int(full.sum())]
         raised[order[: min(-spare, len(order))]] = True
-        empties = -spare > len(order)  # even so: equal empty segments count as well
+        empties = -spare > len(order)  # even so: equal empty segments count as well, and there are more segments than needed
     ask_equal = full | empties
-    if empties and int(full.sum()) * 2 + int((~full).sum()) < need:
-        raise ValueError("segments can't reach the sum")
     deleted = mix(sums[where] - part + mix(at + salt)[where])
     if view == BOTH:
         keys = np.concatenate([equal, deleted])
@@ -143,6 +140,7 @@ def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             sets = [(len(s), name_of(s), sketch_of(s), parity_of(s)) for s in text_sets(batch.column(1))]
             parities = np.array([p for *_, p in sets], np.int64).reshape(len(sets), PARITY_WORDS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64()), pa.array([x[2] for x in sets], pa.binary()), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
+        forget()
 
     return map_in_arrow(rows, run, SET)
 
@@ -200,6 +198,7 @@ def packed_entries(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                     state, seen, held = fresh(), set(), 0
         if (last := pack(*state)) is not None:
             yield last
+        forget()
 
     return map_in_arrow(rows, run, "bucket long, blob binary")
 
@@ -322,10 +321,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
             yield batch.select([0, 1, 2, 3]).filter(keep)
 
     close = written(map_in_arrow(close, closer, "a long, b long, da long, db long"), "closer-pairs")
-    ends = close.select(F.col("a").alias("ref"), F.col("da").alias("doc")).union(close.select("b", "db")).distinct()
-    members = bitmap(ends.select("doc"), "doc", FILTER_BITS)
+    ends = written(close.select(F.col("a").alias("ref"), F.col("da").alias("doc")).union(close.select("b", "db")).distinct(), "pair-ends")
+    bits = bits_for(ends.count())
+    members = bitmap(ends.select("doc"), "doc", bits)
     rows = docs.select(F.col(id_col).cast("long").alias("t_doc"), whole_text(text_col).alias("text"))
-    rows = maybe_in(rows, F.col("t_doc"), members, FILTER_BITS, "maybe").filter("maybe").select("t_doc", "text")
+    rows = maybe_in(rows, F.col("t_doc"), members, bits, "maybe").filter("maybe").select("t_doc", "text")
     texts = rows.join(ends, F.col("t_doc") == F.col("doc")).select("ref", "text")
     sides = close.select("a", "b").join(texts.select(F.col("ref").alias("a"), F.col("text").alias("text_a")), "a")
     sides = sides.join(texts.select(F.col("ref").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
@@ -339,6 +339,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                     shared = len(np.intersect1d(x, y, assume_unique=True))
                     keep[k] = 100 * shared >= 75 * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+        forget()
 
     return map_in_arrow(sides, run, "a long, b long").distinct()
 
@@ -379,16 +380,19 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles (the whole sequence if shorter). Null and empty texts have no shingles and link with nothing; a null id
     stays null, gets a null component and links nothing. Repeated rows stay. Extra columns are ignored; an empty table
     gives an empty result."""
+    relieve_executors(docs.sparkSession)
     named = written(name_sets(docs, id_col, text_col), "sets")
     usable = named.filter("n > 0 and doc_id is not null")
     classes = written(usable.groupBy("ref").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("sketch").alias("sketch"), *(F.max(p).alias(p) for p in PARITY)), "classes")
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(shingles * 0.8 / BUCKET_ENTRIES))
+    relieve_executors(docs.sparkSession)
     hits = written(hits_of(packed_entries(docs, text_col, buckets)), "hits")
     edges = written(verified(agreeing(hits), classes, docs, id_col, text_col), "links")
     roots = written(components(edges), "roots")
     mixed = written(mixed_runs(hits, roots), "mixed-runs")
     if not mixed.isEmpty():
+        relieve_executors(docs.sparkSession)
         more = written(verified(across(mixed, classes), classes, docs, id_col, text_col), "links")
         if not more.isEmpty():
             roots = written(components(edges.union(more)), "roots")
@@ -402,7 +406,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component (or null), with their columns."""
+    """The rows of docs whose id is the smallest of its component (or null), with their columns. Repeats of such a row all
+    stay; rows without words link nothing and stay; an empty table stays empty."""
     found = near_components(docs, id_col, text_col)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("g_id")).distinct()
     return docs.join(gone, docs[id_col] == F.col("g_id"), "left_anti")

@@ -32,6 +32,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget() -> None:
+    """Frees the powers; workers outlive their tasks."""
+    _powers.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
     x = x ^ x >> np.uint64(30)
