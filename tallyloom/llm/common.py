@@ -65,13 +65,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def remove_tables(spark: SparkSession, since: int = 0, but: int = 0) -> None:
-    """Removes the tables written since a number of them, but for the last few. Nothing may read them any more."""
+def remove_tables(spark: SparkSession, since: int = 0, but: int = 0, names: tuple[str, ...] | None = None) -> None:
+    """Removes the tables written since a number of them, but for the last few; of certain names only, if they are given.
+    Nothing may read them any more."""
     end = len(made) - but
-    for path in made[since:end]:
+    going = [path for path in made[since:end] if names is None or path.rsplit("/", 1)[-1].rsplit("-", 1)[0] in names]
+    for path in going:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    del made[since:end]
+    made[since:end] = [path for path in made[since:end] if path not in going]
 
 
 def relieve_executors(spark: SparkSession) -> None:

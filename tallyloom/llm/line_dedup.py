@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, bitmap, bits_for, maybe_in, whole_text, written
+from .common import SPACE_RUN, bitmap, bits_for, made, maybe_in, remove_tables, whole_text, written
 
 #: Counters of the frequency sketch. Its size doesn't depend on the corpus; a collision only changes the order of tokens.
 COUNTERS = 1 << 16
@@ -155,11 +155,13 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc, line_no and gone (whether a line before it matches) of every line."""
-    lines = line_sets(docs, id_col, text_col)
-    some = lines.filter(F.col("n") >= least_words)
-    sets = some.groupBy("s1", "s2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.count(F.lit(1)).alias("many"))
+    before = len(made)
+    wide = line_sets(docs, id_col, text_col)
+    lines = written(wide.select("doc", "line_no", "n", "s1", "s2"), "line-places")
+    sets = lines.filter(F.col("n") >= least_words).groupBy("s1", "s2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.count(F.lit(1)).alias("many"))
     sets = written(sets.select("s1", "s2", "at.doc", "at.line_no", "many"), "line-sets")
-    entries = shared_entries(first_copies(some, sets))
+    entries = shared_entries(first_copies(wide.filter(F.col("n") >= least_words), sets))
+    remove_tables(docs.sparkSession, before, names=("lines", "repeated-lines", "shared-pairs"))  # the entries hold what is needed of them
     gone = written(verified(pairs_with_earliest(entries), docs, id_col, text_col), "lines-gone")
     more = verified(pairs_of_open(entries, gone), docs, id_col, text_col)
     later = gone.union(more).distinct().select(F.col("doc").alias("g_doc"), F.col("line_no").alias("g_no"))
