@@ -109,4 +109,16 @@ g as (select t, max(doc_id) as keep_id, count(*) as group_size from n group by 1
 select doc_id, keep_id, group_size::bigint as group_size, doc_id = keep_id as kept, sha256(n.t) as text_sha256 from n join g on n.t = g.t
 """
 
-ORACLES = {"op1_url_filter": OP1, "op3_mixing": OP3, "op7_ngram_join": OP7, "op8_license_scan": OP8, "op9_line_dedup": OP9, "op10_exact_dedup": OP10}
+OP11 = """
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (select a.vec_id as anchor_id, a.label as own, b.vec_id, b.label, list_inner_product(a.q, b.q)::bigint as score from v a join v b on a.vec_id % 50 = 0),
+p as (select anchor_id, own, vec_id as positive_id, score as positive_score from s where own = label and vec_id <> anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, (row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id))::integer as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and s.label <> p.own and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op3_mixing": OP3, "op7_ngram_join": OP7, "op8_license_scan": OP8, "op9_line_dedup": OP9, "op10_exact_dedup": OP10, "op11_hard_negatives": OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, telephony, url_filter
+from . import bpe, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, telephony, url_filter
 from .common import table
 from .oracles import ORACLES
 
@@ -71,8 +71,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(exact_dedup.with_digest(docs), carry=("text_sha256",))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_mixing, op4_bpe, op5_media, op6_quality, op7_ngram_join, op8_license_scan, op9_line_dedup, op10_exact_dedup)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_mixing, op4_bpe, op5_media, op6_quality, op7_ngram_join, op8_license_scan, op9_line_dedup, op10_exact_dedup, op11_hard_negatives)
 }
 
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
