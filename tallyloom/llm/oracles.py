@@ -121,4 +121,47 @@ from p join s on s.anchor_id = p.anchor_id and s.label <> p.own and 50 * positiv
 qualify rank <= 3
 """
 
-ORACLES = {"op1_url_filter": OP1, "op3_mixing": OP3, "op7_ngram_join": OP7, "op8_license_scan": OP8, "op9_line_dedup": OP9, "op10_exact_dedup": OP10, "op11_hard_negatives": OP11}
+#: Five bits at a time, from the two hex digits that hold them.
+BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr({0}, (5 * i // 4 + 1)::integer, 2))::integer >> (3 - 5 * i % 4)::integer) & 31), 1)), '')"
+OP12 = f"""
+with p as (select page_id, coalesce(html, '') as h from pages),
+g as (select h, min(page_id) as first_id from p group by 1)
+select page_id, strlen(p.h)::bigint as payload_bytes, {BASE32.format("sha1(p.h)")} as payload_digest,
+  case when first_id is null or page_id = first_id then 'response' else 'revisit' end as record_type, case when page_id = first_id then null else first_id end as refers_to
+from p join g on p.h = g.h
+"""
+
+
+def merkle_sql(levels: int = 7) -> str:
+    """Level by level: l is a level's nodes by tree and place, r the runs they form, a the leaves with their ancestors."""
+    leaf = lambda text: "sha256(" + " || ".join(f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    bits = "list_reduce(list_prepend(n, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)"
+    crc = "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)), lambda c, b: xor(c >> 8, crcs[xor(c, b) & 255 + 1])), 4294967295)".replace("xor(c, b) & 255 + 1", "(xor(c, b) & 255) + 1")
+    out = [
+        f"with recursive t as (select list(v order by n) as crcs from (select n, {bits} as v from (select unnest(range(256))::bigint as n)))",
+        f"d as (select doc_id, coalesce('s' || source, 'n') as tree, {leaf('text')} as leaf, case when {crc} % 5 = 0 then {leaf(LOWER.format('text'))} end as shown from documents, t)",
+        "a0 as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, leaf as node, coalesce(shown, leaf) as folded, '' as proof from d)",
+        "l0 as (select tree, pos, leaf as digest from a0)",
+    ]
+
+    def climb(k: int, tree: str) -> list[str]:
+        run = f"r{tree}{k} as (select tree, pos // 16 as run, string_agg(digest, '' order by pos) as all_of, sum(count(*)) over (partition by tree) as n from l{tree}{k} group by tree, pos // 16)"
+        up = f"l{tree}{k + 1} as (select tree, run as pos, case when n > 1 then sha256(all_of) else all_of end as digest from r{tree}{k})"
+        return [run, up]
+
+    def follow(k: int, tree: str, at: str, key: str) -> str:
+        return (
+            f"{at}{k + 1} as (select a.* replace (case when n > 1 then pos // 16 else pos end as pos, proof || case when n > 1 then left(all_of, 64 * (pos % 16)::integer) || substr(all_of, 64 * (pos % 16)::integer + 65) else '' end as proof,"
+            f" case when n > 1 then sha256(left(all_of, 64 * (pos % 16)::integer) || folded || substr(all_of, 64 * (pos % 16)::integer + 65)) else folded end as folded) from {at}{k} a join r{tree}{k} r on r.tree = {key} and r.run = a.pos // 16)"
+        )
+
+    for k in range(levels):
+        out += [*climb(k, ""), follow(k, "", "a", "a.tree")]
+    out += [f"s as (select tree as own, digest, row_number() over (order by tree) - 1 as pos from l{levels})", "lt0 as (select '' as tree, pos, digest from s)"]
+    out.append(f"b0 as (select a.* replace (s.pos as pos), s.digest as subroot from a{levels} a join s on s.own = a.tree)")
+    for k in range(levels):
+        out += [*climb(k, "t"), follow(k, "t", "b", "''")]
+    return ",\n".join(out) + f"\nselect doc_id, leaf, subroot, digest as root, sha256(proof) as proof_sha256, folded as folded_root, folded = digest as verified from b{levels}, lt{levels}"
+
+
+ORACLES = {"op1_url_filter": OP1, "op3_mixing": OP3, "op7_ngram_join": OP7, "op8_license_scan": OP8, "op9_line_dedup": OP9, "op10_exact_dedup": OP10, "op11_hard_negatives": OP11, "op12_warc": OP12, "op13_merkle_manifest": merkle_sql()}

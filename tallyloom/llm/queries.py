@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, telephony, url_filter
+from . import bpe, exact_dedup, hard_negatives, license_scan, line_dedup, merkle, mixing, ngram_join, quality, secrets_scan, telephony, url_filter, warc
 from .common import table
 from .oracles import ORACLES
 
@@ -76,8 +76,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_mixing, op4_bpe, op5_media, op6_quality, op7_ngram_join, op8_license_scan, op9_line_dedup, op10_exact_dedup, op11_hard_negatives)
+    f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_mixing, op4_bpe, op5_media, op6_quality, op7_ngram_join, op8_license_scan, op9_line_dedup, op10_exact_dedup, op11_hard_negatives, op12_warc, op13_merkle_manifest)
 }
 
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
