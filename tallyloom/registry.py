@@ -29,7 +29,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def _load() -> None:
     """Importing these modules registers their queries."""
     from .operators import checks, documents, invariants, ledger, options, parties, payroll, printed, relational, scalars  # noqa: F401
-    from .plans import catalog, dataset, planner, publish  # noqa: F401
+    from .plans import catalog, dataset, parts, planner, publish  # noqa: F401
     from .sources import contracts  # noqa: F401
     from .streaming import events  # noqa: F401
 

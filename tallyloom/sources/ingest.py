@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Tokens of T-SQL: comments, literals, names in brackets or quotes, numbers, plain names, and single signs.
 TOKEN = re.compile(
-    r"(?P<blank>\s+|--[^\n]*|/\*.*?\*/)|(?P<string>[Nn]?'(?:[^']|'')*')|(?P<name>\[[^\]]*\]|\"[^\"]*\")|(?P<binary>0[xX][0-9A-Fa-f]*)"
+    r"(?P<blank>\s+|--[^\n]*|/\*.*?\*/)|(?P<string>[Nn]?'(?:[^']|'')*')|(?P<name>\[(?:[^\]]|\]\])*\]|\"(?:[^\"]|\"\")*\")|(?P<binary>0[xX][0-9A-Fa-f]*)"
     r"|(?P<number>[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)|(?P<word>[^\W\d]\w*)|(?P<sign>.)",
     re.DOTALL,
 )
@@ -44,7 +45,7 @@ class Statement:
         if kind not in ("name", "word"):
             raise ValueError(f"a name expected, {text or 'the end'} found")
         self.at += 1
-        return text[1:-1] if kind == "name" else text
+        return text[1:-1].replace(2 * text[-1], text[-1]) if kind == "name" else text
 
     def value(self) -> str | None:
         kind, text = self.peek()
@@ -95,18 +96,128 @@ def inserts(script: str) -> Iterator[tuple[str | None, list[str] | None, list[st
 
 
 DUMP = "table_name string, values array<string>, named map<string, string>, error string"
+DUMP_ARROW = pa.schema([("table_name", pa.string()), ("values", pa.list_(pa.string())), ("named", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
+
+#: Where a line of a dump can begin: in plain text, a string, a name in quotes or brackets, or a comment.
+PLAIN, STRING, QUOTED, BRACKETED, COMMENT = range(5)
+OPENING = re.compile(r"'|\"|\[|--|/\*")
+OPENS = {"'": STRING, '"': QUOTED, "[": BRACKETED, "/*": COMMENT}
+CLOSES = {STRING: "'", QUOTED: '"', BRACKETED: "]"}
+#: In plain text a line that begins so begins a statement.
+CUT = re.compile(r"\ufeff?\s*(insert|go)\b", re.IGNORECASE)
+
+
+def after(line: str, state: int) -> int:
+    """Where the next line begins, if this one begins in a state."""
+    at = 0
+    while True:
+        if state == PLAIN:
+            m = OPENING.search(line, at)
+            if m is None or m[0] == "--":
+                return PLAIN
+            state, at = OPENS[m[0]], m.end()
+        elif state == COMMENT:
+            at = line.find("*/", at) + 2
+            if at == 1:
+                return COMMENT
+            state = PLAIN
+        else:
+            sign = CLOSES[state]
+            at = line.find(sign, at)
+            if at < 0:
+                return state
+            doubled = line[at + 1 : at + 2] == sign
+            at += 1 + doubled
+            state = state if doubled else PLAIN
+
+
+def ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str]]]:
+    """File, start and lines of each byte range among a task's lines."""
+    rows = ((file, start, line) for b in batches for file, start, line in zip(*(b.column(c).to_pylist() for c in ("file", "start", "value")), strict=True))
+    for (file, start), own in itertools.groupby(rows, key=lambda r: r[:2]):
+        yield file, start, (line for _, _, line in own)
+
+
+def composed(lines: Iterator[str]) -> tuple[list[int], list[bool]]:
+    """For each state that a range may begin in: the one it ends in, and whether a statement begins within it."""
+    now, cut = list(range(5)), [False] * 5
+    for line in lines:
+        begins = CUT.match(line) is not None
+        cut = [c or (begins and s == PLAIN) for c, s in zip(cut, now, strict=True)]
+        then = {s: after(line, s) for s in set(now)}
+        now = [then[s] for s in now]
+    return now, cut
+
+
+def statements(lines: Iterator[str], state: int, first: bool) -> Iterator[tuple[bool, str]]:
+    """The texts of a range between its cuts, and whether each begins with one; the first range of a file does."""
+    own, begun = [], first
+    for line in lines:
+        if state == PLAIN and CUT.match(line):
+            if own or begun:
+                yield begun, "\n".join(own)
+            own, begun = [], True
+        own.append(line)
+        state = after(line, state)
+    yield begun, "\n".join(own)
+
+
+def dump_rows(scripts: Iterable[str]) -> Iterator[pa.RecordBatch]:
+    """The rows that scripts insert, in batches."""
+    rows = ((table, row, list(zip(columns, row, strict=True)) if row is not None and columns else None, why) for script in scripts for table, columns, row, why in inserts(script))
+    while some := list(itertools.islice(rows, 4096)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*some, strict=True), DUMP_ARROW, strict=True)], schema=DUMP_ARROW)
+
+
+def sql_dump(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each row inserted by dumps: its table, values in their order (null for NULL) and, where the statement lists
+    columns, by name. A statement that can't be read gives a row with an error. A statement begins with a line that begins
+    with INSERT or GO outside strings, names and comments; lines end with a line feed, with or without a return.
+
+    Files are read in byte ranges. A first pass maps, for each range, every state that it may begin in to the one that it
+    ends in; a few numbers a range go to the driver, which chains them and so knows where each range really begins. A second
+    pass cuts the ranges at statements. Those within a range are read where they are; only what the ranges' edges leave of a
+    statement moves, to be put together with its other pieces."""
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, start, own in ranges_of(batches):
+            ends, cuts = composed(own)
+            yield pa.RecordBatch.from_pylist([{"file": file, "start": start, "ends": ends, "cuts": cuts}])
+
+    found = lines.mapInArrow(compose, "file string, start long, ends array<long>, cuts array<boolean>").collect()
+    begins, owner = {}, {}
+    for file, ranges in itertools.groupby(sorted(found), key=lambda r: r["file"]):
+        state, last = PLAIN, None
+        for r in ranges:
+            begins[file, r["start"]], owner[file, r["start"]] = state, last
+            last = r["start"] if last is None or r["cuts"][state] else last
+            state = r["ends"][state]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int | None, list[tuple[bool, str]]]]:
+        for file, start, own in ranges_of(batches):
+            yield file, start, owner[file, start], list(statements(own, begins[file, start], owner[file, start] is None))
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, own in pieces(batches):
+            yield from dump_rows(text for begun, text in own[:-1] if begun)
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, start, before, own in pieces(batches):
+            ends = [own[0], *own[1:][-1:]] if not own[0][0] else own[-1:]
+            rows = [{"file": file, "owner": start if begun else before, "start": start, "text": text} for begun, text in ends]
+            yield pa.RecordBatch.from_pylist(rows, EDGE)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from dump_rows(b.column("script").to_pylist())
 
+    cut = lines.mapInArrow(edges, "file string, owner long, start long, text string").groupBy("file", "owner")
+    joined = cut.agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "text"))).getField("text"), "\n").alias("script"))
+    return lines.mapInArrow(inside, DUMP).unionByName(joined.select("script").mapInArrow(read, DUMP))
 
-def sql_dump(spark: SparkSession, path: str, separator: str = "\nGO\n") -> DataFrame:
-    """A row for each row inserted by a dump whose batches the separator divides: its table, values in their order (null
-    for NULL) and, where the statement lists columns, by name. A statement that can't be read gives a row with an error."""
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(table, row, dict(zip(columns, row)) if row is not None and columns else None, why) for script in b["value"].dropna() for table, columns, row, why in inserts(script)]
-            yield pd.DataFrame(rows, columns=["table_name", "values", "named", "error"], dtype=object)
 
-    return spark.read.text(path, lineSep=separator).mapInPandas(parse, DUMP)
+EDGE = pa.schema([("file", pa.string()), ("owner", pa.int64()), ("start", pa.int64()), ("text", pa.string())])
 
 
 #: Two-digit years from here on belong to the last century. Fixed value.
