@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,10 +54,14 @@ def shorten(x: Column, most: int) -> Column:
     return F.when(F.length(x) <= most, x).otherwise(cut)
 
 
+#: What stands for hidden digits. Fixed value.
+MASK = "•••-••-"
+
+
 def masked(x: Column) -> Column:
     """All but the last four digits hidden; fewer than four digits stay as they are."""
     digits = F.regexp_replace(x, "[^0-9]", "")
-    return F.when(F.length(digits) >= 4, F.concat(F.lit("•••-••-"), F.right(digits, F.lit(4)))).otherwise(x)
+    return F.when(F.length(digits) >= 4, F.concat(F.lit(MASK), F.right(digits, F.lit(4)))).otherwise(x)
 
 
 def padded(x: Column, width: int) -> Column:
@@ -125,9 +130,15 @@ def dated(d: Column, form: str, locale: str) -> Column:
 
 
 def filled(form: str, **values: Column) -> Column:
-    """A text with names in braces, each replaced by its column; null counts as empty."""
-    pieces = re.split(r"\{(\w+)\}", form)
-    return F.concat(*(F.coalesce(values[p].cast("string"), F.lit("")) if k % 2 else F.lit(p) for k, p in enumerate(pieces)))
+    """A text with names in braces, each replaced by its column; null counts as empty. {name:06d} pads a whole number with
+    zeros up to a width; doubled braces stand for one."""
+    out = []
+    for literal, name, spec, _ in string.Formatter().parse(form):
+        out += [F.lit(literal)] * bool(literal)
+        if name is not None:
+            value = values[name].cast("string")
+            out.append(F.coalesce(padded(value, int(spec[:-1])) if spec else value, F.lit("")))
+    return F.concat(*out) if out else F.lit("")
 
 
 def tolerant_json(x: Column, schema: str) -> Column:

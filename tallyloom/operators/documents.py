@@ -154,22 +154,37 @@ def credit_note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("okey", "line_no", "part", F.col("c_qty").alias("quantity"), F.col("c_price").alias("unit_price"), "discount", "tax_rate", F.col("c_total").alias("line_total"))
 
 
-@query(f"""with {WITH_LINES}, {CREDIT_SQL}, r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from credited group by 1, 2),
-s as (select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as tax_total, (sum(base) + sum(round(base * tax_rate, 2)))::decimal(18,2) as total from r group by 1),
-d as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1)
-select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as original_invoice, (coalesce(case when d >= cast(o_orderdate as date) then d end, cast(o_orderdate as date)) + (5 + {draw_sql("days_after", "okey")} % 41)::integer)::date as issue_date,
-(['damaged', 'wrong_item', 'expired', 'price', 'return'])[({draw_sql("reason", "okey")} % 5)::integer + 1] as reason, n_lines, subtotal, tax_total, total from s join orders on o_orderkey = okey left join d on l_orderkey = okey""")
+@query(f"""with {WITH_TOTALS}, {CREDIT_SQL}, r as (select okey, tax_rate, sum(c_total)::decimal(18,2) as base, count(*) as n from credited group by 1, 2),
+s as (select okey, sum(n)::bigint as n_lines, sum(base)::decimal(18,2) as subtotal, sum(round(base * tax_rate, 2))::decimal(18,2) as own_tax from r group by 1),
+bases as (select okey as b_key, sum(price * qty * (1 - discount))::decimal(24,4) as base from pl group by 1),
+d as (select l_orderkey, cast(max(l_shipdate) as date) as d from lineitem group by 1),
+taxed as (select s.*, t.ckey, t.order_date, (case when t.ckey % 2 <> 0 then own_tax when t.tax_total = 0 or base = 0 then 0 else round(s.subtotal * round_even((t.tax_total / base)::decimal(18,8), 4)::decimal(9,4), 2) end)::decimal(18,2) as tax
+  from s join totals t on t.okey = s.okey join bases on b_key = s.okey)
+select okey, 'INV-' || lpad(okey::varchar, greatest(5, length(okey::varchar))::integer, '0') as original_invoice, (coalesce(case when d >= order_date then d end, order_date) + (5 + {draw_sql("days_after", "okey")} % 41)::integer)::date as issue_date,
+(['damaged', 'wrong_item', 'expired', 'price', 'return'])[({draw_sql("reason", "okey")} % 5)::integer + 1] as reason, n_lines, subtotal, tax as tax_total, (subtotal + tax)::decimal(18,2) as total from taxed left join d on l_orderkey = okey""")
 def credit_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The invoice it belongs to, some days after that, and its totals without freight, each rate taxed for itself."""
+    """The invoice it belongs to, some days after that, and its totals without freight. Where the source gives the tax, its
+    effective rate on the whole order, to four places, is applied to what is credited, whether or not all lines are; else
+    each rate is taxed for itself."""
     rows, k = credited_lines(spark, sf_dir), F.col("okey")
     by_rate = rows.groupBy("okey", "tax_rate").agg(total("c_total").alias("base"), F.count(F.lit(1)).alias("n"))
     by_rate = by_rate.withColumn("tax", half_up(F.col("base") * F.col("tax_rate")))
-    out = by_rate.groupBy("okey").agg(F.sum("n").alias("n_lines"), total("base").alias("subtotal"), total("tax").alias("tax_total"))
-    out = out.withColumn("total", add(F.col("subtotal"), F.col("tax_total"))).join(order_headers(spark, sf_dir).select(k.alias("h_key"), "order_date"), k == F.col("h_key"))
-    out = out.join(shipped(spark, sf_dir), k == F.col("s_key"), "left")
+    out = by_rate.groupBy(k.alias("c_key")).agg(F.sum("n").alias("n_lines"), total("base").alias("c_subtotal"), total("tax").alias("own_tax"))
+    net = (F.col("price") * F.col("qty") * (F.lit(1).cast("decimal(5,2)") - F.col("discount"))).cast("decimal(24,4)")
+    bases = priced_lines(spark, sf_dir).groupBy(k.alias("b_key")).agg(F.sum(net).cast("decimal(24,4)").alias("source_base"))
+    heads = totals(spark, sf_dir).select("okey", "ckey", "order_date", "tax_total")
+    out = heads.join(out, k == F.col("c_key")).join(bases, k == F.col("b_key")).join(shipped(spark, sf_dir), k == F.col("s_key"), "left")
+    tax = F.when(F.col("ckey") % 2 != 0, F.col("own_tax")).otherwise(given_part(F.col("c_subtotal"), F.col("tax_total"), F.col("source_base"))).cast(MONEY)
     issue = F.date_add(issued(), (5 + below(41, "days_after", k)).cast("int"))
     reason = one_of(["damaged", "wrong_item", "expired", "price", "return"], "reason", k)
-    return out.select(k, F.concat(F.lit("INV-"), text.padded(k, 5)).alias("original_invoice"), issue.alias("issue_date"), reason.alias("reason"), "n_lines", "subtotal", "tax_total", "total")
+    return out.select(k, F.concat(F.lit("INV-"), text.padded(k, 5)).alias("original_invoice"), issue.alias("issue_date"), reason.alias("reason"), "n_lines", F.col("c_subtotal").alias("subtotal"), tax.alias("tax_total"), add(F.col("c_subtotal"), tax).alias("total"))
+
+
+def given_part(shown: Column, given: Column, base: Column) -> Column:
+    """The tax on a part of an order whose tax is given: its effective rate on the order's lines before rounding, rounded
+    half to even to four places, times the part. No tax, or none to relate it to, gives none."""
+    rate = F.bround((given / F.nullif(base, F.lit(0))).cast("decimal(18,8)"), 4).cast("decimal(9,4)")
+    return F.when((given == 0) | (base == 0), zero()).otherwise(half_up(shown * rate))
 
 
 PACKED_SQL = f"""short as (select *, row_number() over (partition by okey order by sha1('short|' || okey || '|' || line_no), line_no) as pick from nl),
@@ -245,7 +260,7 @@ def received_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of purchases with what arrived, was rejected, accepted and stocked."""
     k, n = F.col("okey"), F.col("line_no")
     rejected = F.when(chance(100, "reject", k, n), F.least(F.col("qty").cast("long"), 1 + below(3, "rejected", k, n))).otherwise(0).cast("long")
-    rows = numbered(priced_lines(spark, sf_dir)).filter("okey % 7 = 0").select("okey", "line_no", "part", "p_name", "supplier", F.col("qty").cast("long").alias("qty"), F.col("qty").cast("long").alias("received"), rejected.alias("rejected"))
+    rows = numbered(priced_lines(spark, sf_dir)).filter("okey % 7 = 0").select("okey", "line_no", "part", "p_name", "supplier", "l_shipdate", F.col("qty").cast("long").alias("qty"), F.col("qty").cast("long").alias("received"), rejected.alias("rejected"))
     return rows.withColumn("accepted", F.col("received") - F.col("rejected")).withColumn("stocked", F.col("accepted"))
 
 
@@ -270,16 +285,19 @@ def goods_received_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), "line_no", "part", "p_name", F.col("qty").alias("ordered"), "received", "rejected", "accepted", "stocked")
 
 
-@query(f"""with {WITH_LINES}, {WITH_ORDERS}, {PURCHASES_SQL}, {RECEIVED_SQL} select r.okey || ':' || r.supplier as purchase_key, (any_value(order_date) + ({draw_sql("received_on", "r.okey", "r.supplier")} % 4)::integer)::date as received_on,
+@query(f"""with {WITH_LINES}, {WITH_ORDERS}, {PURCHASES_SQL}, {RECEIVED_SQL}, d as (select l_orderkey, l_suppkey, cast(max(l_shipdate) as date) as d from lineitem where l_orderkey % 7 = 0 group by 1, 2)
+select r.okey || ':' || r.supplier as purchase_key, (any_value(case when d >= order_date then d else order_date end) + ({draw_sql("received_on", "r.okey", "r.supplier")} % 4)::integer)::date as received_on,
   sum(qty)::bigint as ordered, sum(received)::bigint as received, sum(rejected)::bigint as rejected, sum(accepted)::bigint as accepted
-from received_lines r join purchases p on p.okey = r.okey and p.supplier = r.supplier join oh on oh.okey = r.okey where code = 4 group by r.okey, r.supplier""")
+from received_lines r join purchases p on p.okey = r.okey and p.supplier = r.supplier join oh on oh.okey = r.okey join d on l_orderkey = r.okey and l_suppkey = r.supplier where code = 4 group by r.okey, r.supplier""")
 def goods_received_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary of complete purchases: received up to three days after the order."""
+    """The summary of complete purchases: received up to three days after the purchase was shipped, or after the order if no
+    ship date follows it."""
     done = purchase_status(spark, sf_dir).filter("code = 4").select(F.col("okey").alias("k"), F.col("supplier").alias("s"))
-    out = received_lines(spark, sf_dir).groupBy("okey", "supplier").agg(*(F.sum(c).cast("long").alias(n) for c, n in (("qty", "ordered"), ("received", "received"), ("rejected", "rejected"), ("accepted", "accepted"))))
+    lines = received_lines(spark, sf_dir)
+    out = lines.groupBy("okey", "supplier").agg(*(F.sum(c).cast("long").alias(n) for c, n in (("qty", "ordered"), ("received", "received"), ("rejected", "rejected"), ("accepted", "accepted"))), F.to_date(F.max("l_shipdate")).alias("ship_date"))
     out = out.join(done, (F.col("okey") == F.col("k")) & (F.col("supplier") == F.col("s")), "left_semi")
     out = out.join(order_headers(spark, sf_dir).select(F.col("okey").alias("hk"), "order_date"), F.col("okey") == F.col("hk"))
-    on = F.date_add("order_date", below(4, "received_on", F.col("okey"), F.col("supplier")).cast("int"))
+    on = F.date_add(issued(), below(4, "received_on", F.col("okey"), F.col("supplier")).cast("int"))
     return out.select(F.concat_ws(":", "okey", "supplier").alias("purchase_key"), on.alias("received_on"), "ordered", "received", "rejected", "accepted")
 
 

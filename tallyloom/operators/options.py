@@ -74,7 +74,9 @@ BY_TYPE = {
 }
 #: Flags that companies may pin. Fixed values.
 PINNABLE = ("show_bank", "show_contact", "show_signature", "show_tax_column", "show_discount", "show_item_details")
-PINNED_SQL = ", ".join(f"case when {draw_sql('pin-' + o, 'company')} % 2 = 0 then {draw_sql('pinned-' + o, 'company')} % 2 = 0 end as p_{o}" for o in PINNABLE)
+PINNED = 3
+_places = "(select list_sort([{" + "}, {".join(f"'h': sha1('pin|' || company || '|{o}'), 'o': '{o}'" for o in PINNABLE) + f"}}])[1:{PINNED}])"
+PINNED_SQL = ", ".join(f"case when len(list_filter({_places}, lambda x: x.o = '{o}')) > 0 then {draw_sql('pinned-' + o, 'company')} % 2 = 0 end as p_{o}" for o in PINNABLE)
 DATE_FORMS = {"en": ("{month} {d}, {yyyy}", "{mm}/{dd}/{yyyy}", "{yyyy}-{mm}-{dd}", "{d} {mon} {yyyy}"), "fr": ("{d} {month} {yyyy}", "{dd}/{mm}/{yyyy}", "{dd}.{mm}.{yyyy}")}
 
 
@@ -136,11 +138,12 @@ def options_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 p as (select s_suppkey as company, {PINNED_SQL.replace("company", "s_suppkey")} from supplier)
 select okey, o.company, {", ".join(f"coalesce(p_{n}, {n}) as {n}" for n in PINNABLE)} from o join p on p.company = o.company""")
 def options_pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drawn options under those that the document's company pins: maps merged, the later one wins."""
+    """Drawn options under those that the document's company pins, three of the six: maps merged, the later one wins."""
     s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"))
     many = s.agg(F.count(F.lit(1)).alias("many"))  # one row
-    pin = lambda n: F.when(below(2, f"pin-{n}", F.col("s")) == 0, below(2, f"pinned-{n}", F.col("s")) == 0)
-    pinned = s.select("s", F.map_filter(F.map_from_arrays(F.array(*map(F.lit, PINNABLE)), F.array(*map(pin, PINNABLE))), lambda _, v: v.isNotNull()).alias("pinned"))
+    # The flags in the order of a hash of company and flag: the first three are pinned.
+    hashed = F.array_sort(F.array(*(F.struct(F.sha1(F.concat_ws("|", F.lit("pin"), "s", F.lit(n))).alias("h"), F.lit(n).alias("flag"), (below(2, f"pinned-{n}", F.col("s")) == 0).alias("value")) for n in PINNABLE)))
+    pinned = s.select("s", F.map_from_entries(F.transform(F.slice(hashed, 1, PINNED), lambda x: F.struct(x["flag"], x["value"]))).alias("pinned"))
     rows = orders(spark, sf_dir).join(F.broadcast(many)).withColumn("company", below(1 << 32, "company", F.col("okey")) % F.col("many"))
     own = F.map_from_arrays(F.array(*map(F.lit, PINNABLE)), F.array(*(ALL_TYPES[n].drawn(n, "okey") for n in PINNABLE)))
     rows = rows.join(pinned, F.col("company") == F.col("s")).withColumn("own", own)

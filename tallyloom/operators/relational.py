@@ -105,11 +105,15 @@ def first_related_min_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 LAYOUTS, THEMES = ["classic", "modern", "compact", "ledger"], ["plain", "warm", "slate"]
 
 
-@query("""select layout, theme, row_number() over (order by layout, theme) - 1 as k from (values ('classic'), ('modern'), ('compact'), ('ledger')) a(layout), (values ('plain'), ('warm'), ('slate')) b(theme)""")
+@query("""select r_name as sector, layout, theme, row_number() over (partition by r_name order by layout, theme) - 1 as k, (select count(*) from supplier join nation on n_nationkey = s_nationkey where n_regionkey = r_regionkey) as companies
+from region, (values ('classic'), ('modern'), ('compact'), ('ledger')) a(layout), (values ('plain'), ('warm'), ('slate')) b(theme)""")
 def layout_theme_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The product of two short constant lists."""
-    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, LAYOUTS))).alias("layout")).select("layout", F.explode(F.array(*map(F.lit, THEMES))).alias("theme"))
-    return rows.withColumn("k", F.row_number().over(Window.orderBy("layout", "theme")).cast("long") - 1)
+    """The product of two short constant lists for each sector, with the companies that are to be spread over it."""
+    s, n, r = (read(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    by_region = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).groupBy(F.col("n_regionkey").alias("c_region")).agg(F.count(F.lit(1)).alias("c"))  # 25 nations
+    rows = r.join(by_region, F.col("r_regionkey") == F.col("c_region"), "left")
+    rows = rows.select(F.col("r_name").alias("sector"), F.coalesce("c", F.lit(0)).cast("long").alias("companies"), F.explode(F.array(*map(F.lit, LAYOUTS))).alias("layout")).select("*", F.explode(F.array(*map(F.lit, THEMES))).alias("theme"))
+    return rows.withColumn("k", F.row_number().over(Window.partitionBy("sector").orderBy("layout", "theme")).cast("long") - 1)
 
 
 @query(f"with {WITH_LINES} select okey, sum(line_total)::decimal(18,2) as subtotal from pl group by 1")

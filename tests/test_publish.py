@@ -4,13 +4,14 @@ import collections
 import datetime
 import decimal
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import text
-from tallyloom.operators import invariants, printed
+from tallyloom.operators import documents, invariants, options, printed
 from tallyloom.plans import catalog, publish
 from tallyloom.sources import contracts
 
@@ -78,13 +79,20 @@ def test_clean_json(spark):
     assert got == {1: {"a": "v", "n": 0, "list": [{}, {"s": "t"}], "words": ["w"], "map": {"l": "m"}}, 2: {"inner": {"deep": {"y": "y"}}}, 3: None, 4: {}}
 
 
-def test_deletions_collapse_folders(spark):
-    remote = ["a/x/1.pdf", "a/x/2.pdf", "a/y/1.pdf", "b/1.json", "c/t/1.jpg", "c/t/m.jsonl", "c/t-0.parquet", "top.txt", ".attributes"]
+def test_deletions_against_brute_force(spark):
+    """Random trees: what is deleted covers the stale paths and nothing else, in as few steps as folders allow."""
+    r = random.Random(12)
+    rows = []
+    for tree in range(12):
+        paths = sorted({"/".join(r.choice("pqr") for _ in range(r.randint(1, 4))) + f"/f{r.randrange(5)}" for _ in range(r.randint(1, 25))} | {f"top{k}" for k in range(2)})
+        rows.append((paths, [p for p in paths if r.random() < r.choice([0.2, 0.7, 1.0])]))
     df = lambda paths: spark.createDataFrame([(p,) for p in paths], "path string")
-    stale = ["a/x/1.pdf", "a/x/2.pdf", "a/y/1.pdf", "b/1.json", "c/t/1.jpg", "c/t/m.jsonl", "top.txt"]
-    assert sorted(r.path for r in publish.deletions(df(remote), df(stale)).collect()) == ["a/", "b/", "c/t/", "top.txt"]
-    assert sorted(r.path for r in publish.deletions(df(remote), df(["a/x/1.pdf", "c/t/1.jpg"])).collect()) == ["a/x/1.pdf", "c/t/1.jpg"]
-    assert publish.deletions(df(remote), df([])).count() == 0
+    for paths, stale in rows:
+        kept, want = set(paths) - set(stale), set()
+        for p in stale:
+            above = ["/".join(p.split("/")[:k]) + "/" for k in range(1, p.count("/") + 1)]
+            want.add(next((f for f in above if not any(k.startswith(f) for k in kept)), p))
+        assert {x.path for x in publish.deletions(df(paths), df(stale)).collect()} == want
 
 
 def test_sync_plan_and_blob(spark):
@@ -94,6 +102,33 @@ def test_sync_plan_and_blob(spark):
     assert spark.range(1).select(publish.blob_id(F.lit(b"hello\n"))).first()[0] == "ce013625030ba8dba906f756967f9e9ca394464a"
 
 
+def test_numbers(spark):
+    """Own forms with initials, default forms fixed for company and type, keys padded but never cut."""
+    made = spark.range(300).select(F.col("id"), *(catalog.numbered(d, F.col("id"), F.lit("AB"), F.lit(k), F.lit("2031-05-07").cast("date")).alias(n) for n, d, k in (("a", "invoice", 42), ("b", "invoice", 123456789), ("c", "payslip", 7)))).collect()
+    assert {r.a for r in made} == {"INV-2031-42", "AB-2031-42", "INV0000042", "AB0000042", "F31-42", "2031/42"}
+    assert {r.b for r in made} == {"INV-2031-123456789", "AB-2031-123456789", "INV123456789", "AB123456789", "F31-123456789", "2031/123456789"}
+    assert {r.c for r in made} == {f"{p}{rest}" for p in ("PAY", "AB") for rest in ("-2031-7", "000007", "/31/7")}
+
+
+def test_given_tax_on_a_part(spark):
+    """A credit of 30.00 on an order of 123.45 before rounding that was taxed 9.99 in all: 8.09 per cent of it."""
+    m = lambda v: F.lit(v).cast("decimal(18,2)")
+    base = lambda v: F.lit(v).cast("decimal(24,4)")
+    row = spark.range(1).select(documents.given_part(m("30.00"), m("9.99"), base("123.4500")).alias("a"), documents.given_part(m("30.00"), m("0"), base("123.45")).alias("b"), documents.given_part(m("30.00"), m("9.99"), base("0")).alias("c"))
+    assert tuple(row.first()) == (D("2.43"), D("0.00"), D("0.00"))
+
+
+def test_pins(spark):
+    """Three flags a company, the same for all of its documents; the others are drawn."""
+    rows = options.options_pinned(spark, "/root/testdata/sf0.001").collect()
+    by_company = collections.defaultdict(list)
+    for r in rows:
+        by_company[r.company].append(r)
+    for own in by_company.values():
+        fixed = [n for n in options.PINNABLE if len({r[n] for r in own}) == 1]
+        assert len(own) < 40 or len(fixed) == options.PINNED
+
+
 def test_card(spark):
     configs = spark.createDataFrame([("scans", "train", "scans/receipt/train-*.parquet", False, 0), ("receipt", "train", "data/receipt/train-*.parquet", False, 0), ("all", "test", "data/payslip/test-*.parquet", True, 2), ("all", "train", "data/receipt/train-*.parquet", True, 0), ("payslip", "test", "data/payslip/test-*.parquet", False, 2)],
                                     "config string, split string, paths string, is_default boolean, place int")
@@ -136,13 +171,14 @@ def test_company_files(spark, tmp_path):
 
 
 def test_companies_and_variants(spark):
-    rows = catalog.issuers(spark).collect()
-    assert len({r.slug for r in rows}) == len(rows) < catalog.COMPANIES and {r.sector for r in rows} == set(catalog.SECTORS)
-    assert all((r.locale, r.currency) == catalog.COUNTRIES[r.code][:2] for r in rows)
+    sf = "/root/testdata/sf0.001"
+    rows = catalog.issuers(spark, sf).collect()
+    assert len({r.slug for r in rows}) == len(rows) and {r.sector for r in rows} <= set(catalog.SECTORS)
+    assert {(r.sector, r.locale, r.currency) for r in rows} <= set(catalog.REGIONS.values())
     assert catalog.variants(spark).count() == 23 and catalog.variants(spark, ["invoice"], ["chinook"]).count() == 1
     with pytest.raises(ValueError):
         catalog.variants(spark, ["letter"])
-    one = catalog.companies_for(catalog.variants(spark, ["receipt"]), catalog.issuers(spark), slugs=[rows[0].slug])
+    one = catalog.companies_for(catalog.variants(spark, ["receipt"]), catalog.issuers(spark, sf), slugs=[rows[0].slug])
     assert {r.sector for r in one.collect()} <= {rows[0].sector}
 
 
