@@ -18,3 +18,19 @@ def placed(rows: DataFrame, group: list[str], bin_: Column, order: list[Column],
     same = [F.col(c).eqNullSafe(F.col(f"pl_{c}")) for c in group] + [F.col("pl_bin").eqNullSafe(F.col("pl_at"))]
     joined = rows.join(before, same)
     return joined.withColumn(name, F.col("pl_before") + F.col("pl_inside")).drop("pl_bin", "pl_at", "pl_before", "pl_inside", *(f"pl_{c}" for c in group))
+
+
+def first_of(rows: DataFrame, group: list[str], bin_: Column, order: list[Column], most: str, name: str = "place") -> DataFrame:
+    """The first rows of each group, as many as its column `most` says, with their place. bin_ as for placed().
+
+    Bins are counted first. Only rows of bins that begin before the last place wanted move and are sorted: of other bins no
+    row leaves its task. The bins that are needed are no more than the rows wanted, and so may be broadcast."""
+    rows = rows.withColumn("pl_bin", bin_)
+    counts = rows.groupBy(*group, "pl_bin").agg(F.count(F.lit(1)).alias("pl_n"), F.max(most).alias("pl_most"))
+    upto = Window.partitionBy(*group).orderBy(F.col("pl_bin").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("pl_before", F.coalesce(F.sum("pl_n").over(upto), F.lit(0))).filter("pl_before < pl_most").drop("pl_n", "pl_most")
+    needed = needed.withColumnsRenamed({c: f"pl_{c}" for c in group} | {"pl_bin": "pl_at"})
+    same = [F.col(c).eqNullSafe(F.col(f"pl_{c}")) for c in group] + [F.col("pl_bin").eqNullSafe(F.col("pl_at"))]
+    kept = rows.join(F.broadcast(needed), same)
+    kept = kept.withColumn(name, F.col("pl_before") + F.row_number().over(Window.partitionBy(*group, "pl_bin").orderBy(*order)))
+    return kept.filter(F.col(name) <= F.col(most)).drop("pl_bin", "pl_at", "pl_before", *(f"pl_{c}" for c in group))

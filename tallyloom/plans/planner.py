@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import one_of
-from ..functions.places import placed
+from ..functions.places import first_of
 from ..registry import query
 from ..sources.tables import read
 
@@ -55,12 +55,14 @@ def plan_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def no_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """variant, cycle, okey: no record twice before all were taken once; then a new order."""
     a = F.broadcast(allocation(capacities(spark, sf_dir)).select("variant", "status", "capacity", "n"))  # a row for each variant
-    rows = read(spark, sf_dir, "orders").join(a, F.col("o_orderstatus") == F.col("status"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").join(a, F.col("o_orderstatus") == F.col("status"))
     rows = rows.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / F.col("capacity")))))
     # The draw is a hash; its first letters cut a variant of any size into bins in the same order.
     rows = rows.withColumn("drawn", F.sha1(F.concat_ws("|", F.lit("42"), "variant", "cycle", "o_orderkey")))
-    rows = placed(rows, ["variant", "cycle"], F.substring("drawn", 1, 3), [F.col("drawn"), F.col("o_orderkey")])
-    return rows.filter(F.col("cycle") * F.col("capacity") + F.col("place") <= F.col("n")).select("variant", "cycle", F.col("o_orderkey").alias("okey"), "place")
+    # What is wanted of all variants together is a parameter; the bins that hold it are no more.
+    rows = rows.withColumn("rest", F.col("n") - F.col("cycle") * F.col("capacity"))
+    rows = first_of(rows, ["variant", "cycle"], F.substring("drawn", 1, 3), [F.col("drawn"), F.col("o_orderkey")], "rest")
+    return rows.select("variant", "cycle", F.col("o_orderkey").alias("okey"), "place")
 
 
 NO_REPEAT_SQL = f"""{ALLOCATE_SQL},
