@@ -22,6 +22,8 @@ from .common import broadcast_if_small, map_in_arrow, written
 
 #: Nodes of a run, and levels of an aligned block.
 FAN, LEVELS = 16, 3
+#: Paths of blocks or sources that are broadcast at most: some 10 MB, as a path has up to 15 digests a level.
+FEW_PATHS = 2_000
 
 PATH = "places array<int>, siblings array<string>"
 
@@ -177,7 +179,7 @@ def climbed(nodes: DataFrame, carry: list[str], name: str, levels: int) -> tuple
         above = written(expanded(upper, {"block": "long"}, levels), f"{name}-paths")
         paths = paths.unionByName(above.select("tree", "block", "root", "places", "siblings"))
         tops = tops.unionByName(upper_tops)
-    return blocks.join(broadcast_if_small(paths), ["tree", "block"]), tops
+    return blocks.join(broadcast_if_small(paths, FEW_PATHS), ["tree", "block"]), tops
 
 
 def proofs(rows: DataFrame, source: str, order: list[str], leaf: Column, carry: dict[str, Column], levels: int = LEVELS) -> DataFrame:
@@ -197,7 +199,7 @@ def proofs(rows: DataFrame, source: str, order: list[str], leaf: Column, carry:
     over = written(expanded(over, {"source_key": "string"}, levels), "merkle-top-paths")
     over = over.select(F.col("source_key").alias("tree"), F.col("root").alias("whole"), F.col("places").alias("over_places"), F.col("siblings").alias("over_siblings"))
     both = lambda a, b: F.concat(F.coalesce(F.col(a), F.expr("array()")), F.col(b)).alias(a)
-    ready = blocks.join(broadcast_if_small(over), "tree").select(
+    ready = blocks.join(broadcast_if_small(over, FEW_PATHS), "tree").select(
         "tree", "n", "nodes", both("places", "over_places"), both("siblings", "over_siblings"), F.concat_ws(",", "root", "whole").alias("root")
     )
     roots = F.split("root", ",")
