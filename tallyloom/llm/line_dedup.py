@@ -186,9 +186,18 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs with the lines of removed_lines() taken out of the texts; other columns stay. Null texts stay null; a table
-    without rows stays empty."""
-    gone = removed_lines(docs, id_col, text_col, least_words).filter("n_removed > 0").select(F.col(id_col).alias("r_id"), F.col("removed").alias("r_lines"))
-    rows = docs.join(gone, F.col(id_col).eqNullSafe(F.col("r_id")), "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains("r_lines", k)), "\n")
-    return rows.withColumn(text_col, F.when(F.col("r_lines").isNull(), F.col(text_col)).otherwise(kept)).select(docs.columns)
+    """docs with the lines taken out of the texts that removed_lines() names when each row is a document of its own: rows in
+    the order of their ids, then of a hash of their texts, null ids last. So of rows that share an id or have none, each
+    keeps what no row before it has. Other columns stay, whatever their names. Null texts stay null; a table without rows
+    stays empty.
+
+    A row's key is its place in that order, written once, so that later passes see the same keys."""
+    names = {c: f"ld_{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.toDF(*names.values())
+    order = F.col(names[id_col]).cast("long").asc_nulls_last(), F.xxhash64(names[text_col]).asc()
+    rows = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("ld_key", F.monotonically_increasing_id()), "line-rows")
+    gone = removed_lines(rows, "ld_key", names[text_col], least_words).filter("n_removed > 0").select(F.col("ld_key").alias("ld_at"), F.col("removed").alias("ld_gone"))
+    kept = F.array_join(F.filter(F.split(names[text_col], "\n"), lambda line, k: ~F.array_contains("ld_gone", k)), "\n")
+    text = F.when(F.col("ld_gone").isNull(), F.col(names[text_col])).otherwise(kept)
+    joined = rows.join(gone, F.col("ld_key") == F.col("ld_at"), "left")
+    return joined.select(*((text if c == text_col else F.col(k)).alias(c) for c, k in names.items()))

@@ -410,4 +410,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stay; rows without words link nothing and stay; an empty table stays empty."""
     found = near_components(docs, id_col, text_col)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("g_id")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("g_id"), "left_anti")
+    names = {c: f"oe_{k}" for k, c in enumerate(docs.columns)}  # whatever the columns are called
+    kept = docs.toDF(*names.values()).join(gone, F.col(names[id_col]) == F.col("g_id"), "left_anti")
+    return kept.toDF(*names)
