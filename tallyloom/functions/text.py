@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 import re
-import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .locales import LOCALES, compiled, padded  # noqa: F401
+
 #: White space that Java's \s lacks: no-break and narrow no-break space.
 WHITE = "[\\s\\u00a0\\u202f]+"
 
-#: Separators and currency patterns by locale. Fixed values.
-NUMBER_STYLE = {"en": (",", "."), "fr": ("\u202f", ",")}
-CURRENCY_SIGN = {"USD": "$", "EUR": "€", "GBP": "£"}
-MONTHS = {
-    "en": "January February March April May June July August September October November December".split(),
-    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split(),
-}
+MONTHS = {code: locale.months for code, locale in LOCALES.items()}
 
 
 def clean(x: Column) -> Column:
@@ -64,12 +59,6 @@ def masked(x: Column) -> Column:
     return F.when(F.length(digits) >= 4, F.concat(F.lit(MASK), F.right(digits, F.lit(4)))).otherwise(x)
 
 
-def padded(x: Column, width: int) -> Column:
-    """Zeros in front up to a width; longer numbers stay whole."""
-    s = x.cast("string")
-    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
-
-
 def numeric_key(x: Column) -> Column:
     """A number for a key: its last nine digits if it has only digits, colons and hyphens, else a hash below a million."""
     digits = F.right(F.regexp_replace(x, "[^0-9]", ""), F.lit(9)).cast("long")
@@ -84,22 +73,16 @@ def address_lines(line1: Column, line2: Column, postal: Column, city: Column, re
 
 
 def number(x: Column, locale: str, places: int = 2) -> Column:
-    group, point = NUMBER_STYLE[locale]
-    return F.translate(F.format_number(x, places), ",.", group + point)
+    return LOCALES[locale].number(x, places)
 
 
 def money(x: Column, locale: str, currency: str) -> Column:
-    sign, amount = CURRENCY_SIGN[currency], number(F.abs(x), locale)
-    minus = F.when(x < 0, "-").otherwise("")
-    return F.concat(minus, F.lit(sign), amount) if locale == "en" else F.concat(minus, amount, F.lit("\u00a0" + sign))
+    return LOCALES[locale].money(x, F.lit(currency))
 
 
 def percent(rate: Column, locale: str) -> Column:
     """No decimal for whole per cents, one otherwise."""
-    value = (rate * 100).cast("decimal(18,4)")
-    whole = value == F.floor(value)
-    text = F.when(whole, number(value, locale, 0)).otherwise(number(F.bround(value, 1), locale, 1))
-    return F.concat(text, F.lit("%" if locale == "en" else "\u00a0%"))
+    return LOCALES[locale].percent(rate)
 
 
 def title(x: Column) -> Column:
@@ -115,30 +98,17 @@ def labelled(key: Column) -> Column:
 
 def long_date(d: Column, locale: str) -> Column:
     """Day, month's name and year, in the locale's order."""
-    name = F.get(F.array(*map(F.lit, MONTHS[locale])), F.month(d) - 1)
-    day, year = F.dayofmonth(d).cast("string"), F.year(d).cast("string")
-    return F.concat_ws(" ", day, name, year) if locale == "fr" else F.concat(name, F.lit(" "), day, F.lit(", "), year)
+    return LOCALES[locale].date(d)
 
 
 def dated(d: Column, form: str, locale: str) -> Column:
     """A date in a form of d, dd, m, mm, yy, yyyy, month and mon (the month's first three letters) in braces."""
-    name = F.get(F.array(*map(F.lit, MONTHS[locale])), F.month(d) - 1)
-    two = lambda x: F.lpad(x.cast("string"), 2, "0")
-    parts = {"d": F.dayofmonth(d).cast("string"), "dd": two(F.dayofmonth(d)), "m": F.month(d).cast("string"), "mm": two(F.month(d)), "yyyy": F.year(d).cast("string"), "yy": two(F.year(d) % 100), "month": name, "mon": F.substring(name, 1, 3)}
-    pieces = re.split(r"\{(\w+)\}", form)
-    return F.concat(*(parts[p] if k % 2 else F.lit(p) for k, p in enumerate(pieces)))
+    return LOCALES[locale].date(d, form)
 
 
 def filled(form: str, **values: Column) -> Column:
-    """A text with names in braces, each replaced by its column; null counts as empty. {name:06d} pads a whole number with
-    zeros up to a width; doubled braces stand for one."""
-    out = []
-    for literal, name, spec, _ in string.Formatter().parse(form):
-        out += [F.lit(literal)] * bool(literal)
-        if name is not None:
-            value = values[name].cast("string")
-            out.append(F.coalesce(padded(value, int(spec[:-1])) if spec else value, F.lit("")))
-    return F.concat(*out) if out else F.lit("")
+    """A text with names in braces, each replaced by its column; null counts as empty."""
+    return compiled(form, values)
 
 
 def tolerant_json(x: Column, schema: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.draws import below, chance, draw_sql, one_of
+from ..functions.locales import LOCALES
 from ..registry import query
 from ..sources.tables import read
 
@@ -77,7 +78,7 @@ PINNABLE = ("show_bank", "show_contact", "show_signature", "show_tax_column", "s
 PINNED = 3
 _places = "(select list_sort([{" + "}, {".join(f"'h': sha1('pin|' || company || '|{o}'), 'o': '{o}'" for o in PINNABLE) + f"}}])[1:{PINNED}])"
 PINNED_SQL = ", ".join(f"case when len(list_filter({_places}, lambda x: x.o = '{o}')) > 0 then {draw_sql('pinned-' + o, 'company')} % 2 = 0 end as p_{o}" for o in PINNABLE)
-DATE_FORMS = {"en": ("{month} {d}, {yyyy}", "{mm}/{dd}/{yyyy}", "{yyyy}-{mm}-{dd}", "{d} {mon} {yyyy}"), "fr": ("{d} {month} {yyyy}", "{dd}/{mm}/{yyyy}", "{dd}.{mm}.{yyyy}")}
+DATE_FORMS = {code: tuple(locale.date_formats) for code, locale in LOCALES.items()}
 
 
 def drawn(rows: DataFrame, key: str, options: dict) -> DataFrame:

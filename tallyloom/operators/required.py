@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import registry
 from ..functions import text
 from ..functions.draws import below, draw, draw_sql
+from ..functions.locales import LOCALES, Locale, by_locale
 from ..plans.catalog import ISSUED_SQL, PREFIXES, issuer_of, issuers, numbered, numbered_sql
 from ..registry import query
 from ..sources import storage
@@ -177,32 +178,29 @@ def document_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Under which field the day of issue is printed, where it isn't issue_date. Fixed values.
 DAY_FIELDS = {"payslip": "pay_date", "account_statement": "statement_date"}
-VALIDITY, TERMS = {"en": "Valid until {day}", "fr": "Valable jusqu'au {day}"}, {"en": "Payment within {n} days.", "fr": "Paiement sous {n} jours."}
+VALIDITY, TERMS = ({code: locale.texts[name] for code, locale in LOCALES.items()} for name in ("validity", "terms"))
 
 
 def in_form(day: Column) -> Column:
     """A date in the form drawn for the document, of those of its locale."""
-    out = []
-    for locale, forms in DATE_FORMS.items():
-        which = below(len(forms), "date_format", F.col("doc_key"))
-        out += [F.when((F.col("locale") == locale) & (which == n), text.dated(day, form, locale)) for n, form in enumerate(forms)]
-    return F.coalesce(*out)
 
+    def drawn(locale: Locale) -> Column:
+        which = below(len(locale.date_formats), "date_format", F.col("doc_key"))
+        return F.coalesce(*(F.when(which == n, locale.date(day, form)) for n, form in enumerate(locale.date_formats)))
 
-def by_locale(make: Callable[[str], Column]) -> Column:
-    return F.when(F.col("locale") == "fr", make("fr")).otherwise(make("en"))
+    return by_locale(F.col("locale"), drawn)
 
 
 def printed_value(kind: Column, value: Column) -> Column:
     """A fact as printed."""
-    amount, day = value.cast("decimal(18,2)"), value.try_cast("date")
-    money = by_locale(lambda l: F.coalesce(*(F.when(F.col("currency") == c, text.money(amount, l, c)) for c in text.CURRENCY_SIGN)))
+    amount, day, code = value.cast("decimal(18,2)"), value.try_cast("date"), F.col("locale")
     key = text.numeric_key(F.col("doc_key"))
     own = lambda d: numbered(d, F.col("company"), F.col("initials"), key, day)
     number = F.coalesce(*(F.when(F.col("document") == d, own(d)) for d in PREFIXES))
     made = {
-        "money": money, "int": by_locale(lambda l: text.number(amount, l, 0)), "number": by_locale(lambda l: text.number(amount, l)), "weight": F.concat(by_locale(lambda l: text.number(amount, l)), F.lit(" kg")), "label": text.labelled(value),
-        "date": in_form(day), "validity": by_locale(lambda l: text.filled(VALIDITY[l], day=in_form(day))), "terms": by_locale(lambda l: text.filled(TERMS[l], n=value)), "note": by_locale(lambda l: F.lit(NOTES[l])), "invoice": own("invoice"), "document": number,
+        "money": by_locale(code, lambda l: l.money(amount, F.col("currency"))), "int": by_locale(code, lambda l: l.number(amount, 0)), "number": by_locale(code, lambda l: l.number(amount)), "label": text.labelled(value),
+        "weight": F.concat(by_locale(code, lambda l: l.number(amount)), F.lit(" kg")), "date": in_form(day), "validity": by_locale(code, lambda l: l.text("validity", day=in_form(day))),
+        "terms": by_locale(code, lambda l: l.text("terms", n=value)), "note": by_locale(code, lambda l: l.text("thanks")), "invoice": own("invoice"), "document": number,
     }
     return F.coalesce(*(F.when(kind == k, v) for k, v in made.items()), value)
 
@@ -226,8 +224,7 @@ def _required_sql() -> str:
     sign = "(case currency when 'EUR' then '€' when 'GBP' then '£' else '$' end)"
     grouped = lambda x: f"(case locale when 'fr' then replace(replace({x}, ',', chr(8239)), '.', ',') else {x} end)"
     number = grouped("format('{:,.2f}', value::decimal(18,2)::double)")
-    unsigned = grouped("format('{:,.2f}', abs(value::decimal(18,2))::double)")
-    money = f"(case when value::decimal(18,2) < 0 then '-' else '' end || case locale when 'fr' then {unsigned} || chr(160) || {sign} else {sign} || {unsigned} end)"
+    money = f"(case locale when 'fr' then {number} || chr(160) || {sign} else {sign} || {number} end)"
     forms = {l: f"(case {draw_sql('date_format', 'doc_key')} % {len(f)} " + " ".join(f"when {n} then {form_sql(v, l)}" for n, v in enumerate(f)) + " end)" for l, f in DATE_FORMS.items()}
     date = f"(case locale when 'fr' then {forms['fr']} else {forms['en']} end)"
     key = f"(case when regexp_matches(doc_key, '^[0-9:-]*[0-9][0-9:-]*$') then right(regexp_replace(doc_key, '[^0-9]', '', 'g'), 9)::bigint else ('0x' || substr(sha1(doc_key), 1, 8))::bigint % 1000000 end)"

@@ -9,6 +9,7 @@ from ..functions.draws import below, draw, draw_sql, one_of
 from ..functions.places import placed
 from ..operators.documents import WITH_TOTALS, totals
 from ..registry import query
+from ..sources import storage
 from .planner import LAYOUTS, SPLITS_SQL, THEMES, splits
 
 ROWS_A_SHARD = 5000
@@ -146,10 +147,6 @@ def gold_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_dataset(rows: DataFrame, path: str, form: str = "parquet") -> None:
     """Folders by type and split; zstd shards of 5,000 rows, or lines of JSON. Replaces only what is a dataset: the
     folder must be empty, absent or hold an earlier commit's marker."""
-    spark = rows.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(hadoop) and len(fs.listStatus(hadoop)) and not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-        raise ValueError(f"{path} isn't empty and isn't a dataset")
+    path = storage.guard(rows.sparkSession, path)
     w = rows.write.mode("overwrite").partitionBy("doc_type", "split").option("maxRecordsPerFile", ROWS_A_SHARD)
     w.option("compression", "zstd").parquet(path) if form == "parquet" else w.json(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.draws import below, draw_sql, one_of
 from ..registry import query
+from ..sources import storage
 from .dataset import KEYS_A_BIN, ROWS_A_SHARD, ROWS_SQL, SCANNED, SCANNED_SQL, rows_of
 from ..functions.places import placed
 
@@ -189,27 +191,61 @@ ROWS_A_GROUP = 100
 
 def write_shards(rows: DataFrame, path: str, key: str, metadata: dict[str, str] | None = None, rows_a_shard: int = ROWS_A_SHARD) -> DataFrame:
     """Parquet shards <type>/<split>-NNNNN.parquet of so many rows in the order of key, zstd, in small row groups, with
-    metadata in their schema. path is any that Hadoop's file systems or pyarrow's know by its scheme. Returns file and rows
-    of each shard; a shard that is written again replaces itself."""
+    metadata in their schema. Returns file and rows of each shard, once all are written.
+
+    path may be of any file system that pyarrow knows by its scheme; without one it is in the session's default file system.
+    It must be absent, empty or a dataset, which is replaced: each shard takes its place at once, by a move of a file that
+    only its own attempt has written, and shards of an earlier run that this one didn't write go at the end."""
+    spark = rows.sparkSession
+    root = storage.guard(spark, path)
     placed_ = placed(rows, ["doc_type", "split"], F.floor(F.col(key) / KEYS_A_BIN), [F.col(key)])
     shards = placed_.withColumn("shard", F.floor((F.col("place") - 1) / rows_a_shard).cast("long")).drop("place")
     columns = rows.columns
 
     def save(keys: tuple, table: pa.Table) -> pa.Table:
-        import pyarrow.fs
         import pyarrow.parquet as pq
 
         kind, split, shard = (k.as_py() for k in keys)
         table = table.select(columns).sort_by(key)
         table = table.replace_schema_metadata({**(table.schema.metadata or {}), **{k.encode(): v.encode() for k, v in (metadata or {}).items()}})
-        fs, folder = pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
+        fs, folder = file_system(root)
         fs.create_dir(f"{folder}/{kind}", recursive=True)
         name = f"{kind}/{split}-{shard:05d}.parquet"
-        pq.write_table(table, f"{folder}/{name}.part", filesystem=fs, compression="zstd", row_group_size=ROWS_A_GROUP)
-        fs.move(f"{folder}/{name}.part", f"{folder}/{name}")
+        own = f"{folder}/{kind}/.{split}-{shard:05d}.{uuid.uuid4().hex}"
+        pq.write_table(table, own, filesystem=fs, compression="zstd", row_group_size=ROWS_A_GROUP)
+        fs.move(own, f"{folder}/{name}")
         return pa.table({"file": [name], "n": pa.array([table.num_rows], pa.int64())})
 
-    return shards.groupBy("doc_type", "split", "shard").applyInArrow(save, "file string, n long")
+    listed = storage.work_folder(spark, "shards")
+    shards.groupBy("doc_type", "split", "shard").applyInArrow(save, "file string, n long").write.parquet(listed)
+    made = spark.read.schema("file string, n long").parquet(listed)
+    if storage.exists(spark, root):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select(F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("file"))
+        found.join(made, "file", "left_anti").mapInArrow(lambda batches: removed(root, batches), "file string").write.format("noop").mode("overwrite").save()
+    storage.create_new(spark, f"{root}/{storage.MARK}", "")
+    return made
+
+
+def file_system(root: str) -> tuple:
+    """pyarrow's file system of a path with a scheme, and the path there."""
+    import pyarrow.fs
+
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(root)
+
+
+def removed(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Deletes files; one that another attempt has deleted is no error."""
+    fs, folder = file_system(root)
+    for b in batches:
+        for name in b.column("file").to_pylist():
+            try:
+                fs.delete_file(f"{folder}/{name}")
+            except FileNotFoundError:
+                pass
+        yield b
 
 
 def json_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -219,7 +255,8 @@ def json_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_json_rows(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """Lines of json_rows in folders by type and split."""
+    """Lines of json_rows in folders by type and split. Replaces only what is a dataset, in the session's file system."""
+    path = storage.guard(rows.sparkSession, path)
     json_rows(rows, columns).write.mode("overwrite").partitionBy("doc_type", "split").text(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions import text
 from tallyloom.operators import documents, invariants, options, printed
-from tallyloom.plans import catalog, publish
+from tallyloom.plans import catalog, dataset, publish
 from tallyloom.sources import contracts
 
 D = decimal.Decimal
@@ -147,13 +147,35 @@ def test_shards(spark, tmp_path):
     for _ in range(2):
         made = {r.file: r.n for r in publish.write_shards(rows.repartition(3), f"{tmp_path}/data", "k", {"features": '{"pdf": "Pdf"}'}, rows_a_shard=250).collect()}
         assert made == {"invoice/train-00000.parquet": 244, "receipt/train-00000.parquet": 250, "receipt/train-00001.parquet": 236}
-    assert sorted(p.relative_to(tmp_path / "data").as_posix() for p in (tmp_path / "data").rglob("*") if p.is_file()) == sorted(made)
+    assert sorted(p.relative_to(tmp_path / "data").as_posix() for p in (tmp_path / "data").rglob("*") if p.is_file() and p.name[0] not in "._") == sorted(made)
     file = pq.ParquetFile(tmp_path / "data/receipt/train-00000.parquet")
     assert file.metadata.num_row_groups == 3 and file.schema_arrow.metadata[b"features"] == b'{"pdf": "Pdf"}' and file.metadata.row_group(0).column(0).compression == "ZSTD"
     ids = file.read()["k"].to_pylist()
     assert ids == sorted(ids) == [k for k in range(730) if k % 3][:250]
 
 
+def test_sinks_replace_datasets_only(spark, tmp_path):
+    """A second, smaller run leaves no shard of the first; a folder of something else stays as it is."""
+    rows = spark.range(600).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "invoice").otherwise("receipt").alias("doc_type"), F.lit("train").alias("split"))
+    path = f"file:{tmp_path}/data"
+    assert publish.write_shards(rows, path, "k", rows_a_shard=100).count() == 6
+    (tmp_path / "data/README.md").write_text("the card")
+    less = {r.file: r.n for r in publish.write_shards(rows.filter("k < 150 and doc_type = 'invoice'"), path, "k", rows_a_shard=50).collect()}
+    assert less == {"invoice/train-00000.parquet": 50, "invoice/train-00001.parquet": 25}
+    assert sorted(p.relative_to(tmp_path / "data").as_posix() for p in (tmp_path / "data").rglob("*.parquet")) == sorted(less)
+    assert sorted(r.k for r in spark.read.parquet(f"{path}/invoice").collect()) == list(range(0, 150, 2)) and (tmp_path / "data/README.md").exists()
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other/notes.txt").write_text("mine")
+    for write in (lambda p: publish.write_shards(rows, p, "k"), lambda p: publish.write_json_rows(rows, p, ["k"]), lambda p: dataset.write_dataset(rows, p)):
+        with pytest.raises(ValueError):
+            write(str(tmp_path / "other"))
+    assert [p.name for p in (tmp_path / "other").iterdir()] == ["notes.txt"]
+    for n in (600, 30):
+        publish.write_json_rows(rows.filter(F.col("k") < n), f"{tmp_path}/lines", ["k"])
+        dataset.write_dataset(rows.filter(F.col("k") < n), f"{tmp_path}/set")
+    assert spark.read.text(f"{tmp_path}/lines").count() == 30 and spark.read.parquet(f"{tmp_path}/set").count() == 30
+
+
 def test_json_rows(spark, tmp_path):
     rows = spark.createDataFrame([("invoice", "train", None, 3), ("receipt", "test", "é", None)], "doc_type string, split string, name string, pages int")
     publish.write_json_rows(rows, f"{tmp_path}/m", ["doc_type", "name", "pages", "absent"])
