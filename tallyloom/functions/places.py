@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,3 +36,19 @@ def first_of(rows: DataFrame, group: list[str], bin_: Column, order: list[Column
     kept = rows.join(F.broadcast(needed), same)
     kept = kept.withColumn(name, F.col("pl_before") + F.row_number().over(Window.partitionBy(*group, "pl_bin").orderBy(*order)))
     return kept.filter(F.col(name) <= F.col(most)).drop("pl_bin", "pl_at", "pl_before", *(f"pl_{c}" for c in group))
+
+
+def in_order(rows: DataFrame, order: list[str], value: str, written: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """rows with pos (from 0) in a total order of all rows, and before (the sum of `value` over the rows before).
+
+    Rows are dealt by ranges of the order; counts and sums of these ranges are all that meets. `written` stores a table and
+    reads it back, so that both passes see the same ranges."""
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("io_at", F.monotonically_increasing_id())
+    dealt = written(dealt).withColumn("io_part", F.shiftright("io_at", 33))
+    own = Window.partitionBy("io_part").orderBy("io_at")
+    sums = dealt.groupBy(F.col("io_part").alias("io_of")).agg(F.count(F.lit(1)).alias("io_n"), F.sum(value).alias("io_sum"))  # a row for each range
+    upto = Window.orderBy("io_of").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("io_of", F.coalesce(F.sum("io_n").over(upto), F.lit(0)).alias("io_rows"), F.coalesce(F.sum("io_sum").over(upto), F.lit(0)).alias("io_before"))
+    dealt = dealt.join(F.broadcast(sums), F.col("io_part") == F.col("io_of"))
+    pos, before = F.col("io_rows") + F.row_number().over(own) - 1, F.col("io_before") + F.sum(value).over(own) - F.col(value)
+    return dealt.select(*rows.columns, pos.alias("pos"), before.alias("before"))

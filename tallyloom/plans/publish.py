@@ -160,7 +160,7 @@ hub as (select 'data/' || doc_type || '/' || split || '/' || okey || '.json' as
 mine as (select 'data/' || doc_type || '/' || split || '/' || okey || '.json' as path, sha1('blob ' || length((case when okey % 11 = 0 then total + 1 else total end)::varchar) || chr(1) || (case when okey % 11 = 0 then total + 1 else total end)) as hash from docs where split <> 'test' and okey % 13 <> 0 union all select 'readme.md', 'r')"""
 
 
-def _sync_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def sync_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows, k = rows_of(spark, sf_dir), F.col("okey")
     path = F.concat(F.lit("data/"), "doc_type", F.lit("/"), "split", F.lit("/"), "okey", F.lit(".json"))
     hash_ = lambda x: F.sha1(F.concat(F.lit("blob "), F.length(x), F.char(F.lit(1)), x))
@@ -174,7 +174,7 @@ def _sync_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 @query(f"""with {SYNC_SQL} select coalesce(m.path, h.path) as path, case when m.path is null then 'delete' when h.path is null or m.hash <> h.hash then 'upload' else 'skip' end as action from mine m full join hub h on h.path = m.path""")
 def sync_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sync_plan(*_sync_tables(spark, sf_dir))
+    return sync_plan(*sync_tables(spark, sf_dir))
 
 
 @query(f"""with {SYNC_SQL}, stale as (select path from hub where path not in (select path from mine)), kept as (select path from hub where path not in (select path from stale)),
@@ -182,7 +182,7 @@ f as (select path, i, array_to_string(string_split(path, '/')[1:i], '/') || '/'
 free as (select path, arg_min(folder, i) as folder from f where not exists (select 1 from kept where starts_with(kept.path, folder)) group by 1)
 select distinct coalesce(folder, s.path) as path from stale s left join free on free.path = s.path""")
 def sync_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mine, hub = _sync_tables(spark, sf_dir)
+    mine, hub = sync_tables(spark, sf_dir)
     return deletions(hub, hub.join(mine, "path", "left_anti"))
 
 
