@@ -28,7 +28,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def _load() -> None:
     """Importing these modules registers their queries."""
-    from .operators import checks, columns, documents, intervals, invariants, ledger, options, parties, payroll, printed, relational, required, scalars  # noqa: F401
+    from .operators import checks, columns, documents, intervals, invariants, ledger, loaders, options, parties, payroll, printed, relational, required, scalars  # noqa: F401
     from .plans import batches, catalog, dataset, parts, planner, publish  # noqa: F401
     from .sources import contracts  # noqa: F401
     from .streaming import events  # noqa: F401
