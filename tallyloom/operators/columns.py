@@ -107,7 +107,7 @@ def printed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of invoices and packing slips, cell by cell as printed."""
     k = F.col("okey")
     m = modes(spark, sf_dir).select(k.alias("mode_key"), "locale", "currency", ALL_TYPES["show_tax_column"].drawn("show_tax_column", "okey").alias("show_tax_column"), BY_TYPE["packing_slip"]["show_unit"].drawn("show_unit", "okey").alias("show_unit"))
-    lines = printed_lines(spark, sf_dir).drop("locale").join(m.drop("show_unit"), k == F.col("mode_key"))
+    lines = printed_lines(spark, sf_dir).join(m.drop("show_unit", "locale", "currency"), k == F.col("mode_key"))
     i = lines.select(k, F.col("shown_no").alias("row_no"), "locale", "currency", "show_discount", "show_tax_column", F.col("part").alias("sku"), F.col("p_name").alias("description"), F.col("qty").alias("quantity"), "unit_price", F.col("discount").alias("discount_rate"), F.col("rate").alias("tax_rate"), "line_total")
     short = packed_lines(spark, sf_dir)
     back = short.groupBy(k.alias("b_key")).agg(F.bool_or(F.col("back") > 0).alias("has_backorder"))

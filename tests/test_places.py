@@ -95,3 +95,16 @@ def test_boxes_of_wrapped_lines(spark):
     got = checks.locate_boxes(spark.createDataFrame(rows, "doc_id long, text string, value string"), words_a_page=8, words_a_line=3).collect()
     assert sorted((r.doc_id, r.line, r.left_x, r.top_y, r.right_x, r.bottom_y) for r in got) == [
         (1, 0, 20.0, 0.0, 28.0, 5.0), (1, 1, 0.0, 10.0, 28.0, 15.0), (1, 2, 0.0, 20.0, 8.0, 25.0), (2, 0, 0.0, 0.0, 28.0, 5.0), (3, 0, 10.0, 0.0, 18.0, 5.0)]
+
+
+def test_containment_both_ways(spark):
+    """Passages within passages, alike, empty and null ones; an automaton and runs of words find the same."""
+    r = random.Random(6)
+    some = lambda n: " ".join(r.choice(["a", "b", "ab", "ba", "abc"]) for _ in range(n))
+    docs = [(k, some(r.randint(0, 30))) for k in range(60)] + [(60, None), (61, "")]
+    items = [(k, some(r.randint(1, 9))) for k in range(40)] + [(40, ""), (41, None), (42, "a b"), (43, "a b"), (44, "b a")]
+    d, i = spark.createDataFrame(docs, "doc_id long, t string"), spark.createDataFrame(items, "item_id long, needle string")
+    want = sorted((k, j) for k, t in docs for j, n in items if t is not None and n is not None and n in t)
+    for way in (checks.by_automaton, checks.by_runs, checks.contained):
+        assert sorted(map(tuple, way(d, i).collect())) == want, way.__name__
+    assert checks.by_automaton(d, i.filter("false")).count() == 0
