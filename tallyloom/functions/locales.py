@@ -102,6 +102,7 @@ def load(*folders: pathlib.Path | str) -> dict[str, Locale]:
     for folder in folders or (FOLDER,):
         for path in sorted(pathlib.Path(folder).glob("*.json")):
             data = json.loads(path.read_text(encoding="utf-8"))
+            data.pop("_", None)  # a remark
             if "code" in data:
                 if len(data["months"]) != 12:
                     raise ValueError(f"{path} has {len(data['months'])} months")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import below, draw, draw_sql, one_of
 from ..functions.places import placed
+from ..operators.checks import WORDS_A_PAGE
 from ..operators.documents import WITH_TOTALS, totals
 from ..registry import query
 from ..sources import storage
+from ..sources.tables import read
 from .planner import LAYOUTS, SPLITS_SQL, THEMES, splits
 
 ROWS_A_SHARD = 5000
@@ -144,6 +146,29 @@ def gold_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).filter("total > 0").select("okey", F.to_json(fields).alias("extracted"))
 
 
+@query(rf"""with w as (select doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') as ws from documents)
+select doc_id, to_json(list_transform(ws, lambda x, i: {{'page': ((i - 1) // {WORDS_A_PAGE})::integer, 'text': x, 'bbox': [(10 * ((i - 1) % {WORDS_A_PAGE}))::double, 0::double, (10 * ((i - 1) % {WORDS_A_PAGE}) + 8)::double, 5::double]}}))::varchar as words from w""")
+def words_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each text with their pages and boxes, as the JSON that lies beside a document."""
+    return words_of(read(spark, sf_dir, "documents"))
+
+
+def words_of(docs: DataFrame, words_a_page: int = WORDS_A_PAGE) -> DataFrame:
+    """doc_id and words, a JSON array of page, text and bbox (four numbers); a null text has null words."""
+    at = lambda i: (i % words_a_page * 10).cast("double")
+    entry = lambda x, i: F.struct(F.floor(i / words_a_page).cast("int").alias("page"), x.alias("text"), F.array(at(i), F.lit(0.0), at(i) + 8, F.lit(5.0)).alias("bbox"))
+    return docs.select("doc_id", F.to_json(F.transform(F.filter(F.split("text", "\\s+"), lambda x: x != ""), entry)).alias("words"))
+
+
+def write_words(docs: DataFrame, path: str) -> None:
+    """Lines of doc_id and words in a folder that is absent, empty or a dataset."""
+    path = storage.guard(docs.sparkSession, path)
+    words = words_of(docs)
+    key = F.btrim(F.to_json(F.array("doc_id")), F.lit("[]"))
+    line = F.concat(F.lit('{"doc_id":'), key, F.lit(',"words":'), F.coalesce("words", F.lit("null")), F.lit("}"))
+    words.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_dataset(rows: DataFrame, path: str, form: str = "parquet") -> None:
     """Folders by type and split; zstd shards of 5,000 rows, or lines of JSON. Replaces only what is a dataset: the
     folder must be empty, absent or hold an earlier commit's marker."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..registry import query
 from ..sources import storage
 from .dataset import ROWS_SQL, rows_of
+from .publish import card_text
 
 LEASE = 3600.0
 
@@ -185,6 +186,42 @@ def dataset_state(rows: DataFrame) -> DataFrame:
 
 
 
+def stats_json(state: DataFrame) -> str:
+    """The statistics of a dataset in one JSON object: for each counter its numbers by key, by split, or by key and split;
+    for each set its members by split. A few rows for each type of document, and one for each company."""
+    out: dict = {}
+    for r in state.orderBy("counter", "key", "split", "member").collect():
+        if r.kind == "set":
+            out.setdefault(r.counter, {}).setdefault(r.split or r.key, []).append(r.member)
+        elif r.key and r.split:
+            out.setdefault(r.counter, {}).setdefault(r.key, {})[r.split] = r.n
+        else:
+            out.setdefault(r.counter, {})[r.key or r.split] = r.n
+    return json.dumps(out, indent=1, ensure_ascii=False) + "\n"
+
+
+def write_card(log: PartLog, configs: DataFrame, title: str, wanted: list[str], licences: dict[str, str]) -> None:
+    """README.md, stats.json and licenses/ of a dataset in parts, as far as its parts are committed. The card says which
+    types are there and which are still to come, until none is; licences are texts by file name. Each file is replaced by
+    a whole new one, and licences that aren't given any more go."""
+    spark, state = log.spark, log.state()
+    if state is None:
+        raise ValueError("no part is committed yet")
+    done = set(log.committed())
+    left = sorted(set(wanted) - done)
+    counts = state.filter("counter = 'by_type'").select("key", "n")
+    notice = f"Complete: all {len(wanted)} types are here." if not left else f"Types so far: {', '.join(sorted(done))}. To come: {', '.join(left)}."
+    card = card_text(configs, counts, title).replace(f"\n# {title}\n", f"\n# {title}\n\n{notice}\n", 1)
+    if licences:
+        card += "\n## Licences\n\n" + "".join(f"- [{name}](licenses/{name})\n" for name in sorted(licences))
+    storage.replace_text(spark, f"{log.path}/README.md", card)
+    storage.replace_text(spark, f"{log.path}/stats.json", stats_json(state))
+    for name, body in licences.items():
+        storage.replace_text(spark, f"{log.path}/licenses/{name}", body)
+    for name in set(storage.names(spark, f"{log.path}/licenses")) - set(licences):
+        storage.delete(spark, f"{log.path}/licenses/{name}")
+
+
 _counted = {"by_type": ("doc_type", "''"), "by_source": ("source", "''"), "by_locale": ("locale", "''"), "by_layout": ("design", "''"), "by_sector": ("sector", "''"), "documents": ("''", "split"), "by_type_split": ("doc_type", "split")}
 
 

@@ -16,12 +16,21 @@ from .tables import read
 
 @dataclass(frozen=True)
 class Contract:
-    """Column types, a unique key, columns that must not be null, and conditions (SQL) that hold in each row."""
+    """Column types, a unique key, columns that must not be null, conditions (SQL) that hold in each row, and references:
+    a column, and the table and column that hold its values."""
 
     types: dict[str, str]
     key: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     checks: tuple[str, ...] = ()
+    references: tuple[tuple[str, str, str], ...] = ()
+
+    def ddl(self, name: str) -> str:
+        """CREATE TABLE with all of it."""
+        rows = [f"{c} {t}{' NOT NULL' * (c in self.required)}" for c, t in self.types.items()]
+        rows += [f"PRIMARY KEY ({', '.join(self.key)})"] * bool(self.key)
+        rows += [f"FOREIGN KEY ({c}) REFERENCES {t} ({k})" for c, t, k in self.references] + [f"CHECK ({check})" for check in self.checks]
+        return f"CREATE TABLE {name} (\n  " + ",\n  ".join(rows) + "\n)"
 
     @property
     def schema(self) -> T.StructType:
@@ -30,13 +39,13 @@ class Contract:
 
 CONTRACTS = {
     "region": Contract({"r_regionkey": "int", "r_name": "string"}, ("r_regionkey",), ("r_regionkey", "r_name")),
-    "nation": Contract({"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"}, ("n_nationkey",), ("n_nationkey", "n_name"), ("n_regionkey >= 0",)),
-    "customer": Contract({"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}, ("c_custkey",), ("c_custkey", "c_name"), ("c_acctbal >= 0", "length(c_name) <= 40")),
-    "supplier": Contract({"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}, ("s_suppkey",), ("s_suppkey", "s_name"), ("s_acctbal >= 0",)),
+    "nation": Contract({"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"}, ("n_nationkey",), ("n_nationkey", "n_name"), ("n_regionkey >= 0",), (("n_regionkey", "region", "r_regionkey"),)),
+    "customer": Contract({"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}, ("c_custkey",), ("c_custkey", "c_name"), ("c_acctbal >= 0", "length(c_name) <= 40"), (("c_nationkey", "nation", "n_nationkey"),)),
+    "supplier": Contract({"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}, ("s_suppkey",), ("s_suppkey", "s_name"), ("s_acctbal >= 0",), (("s_nationkey", "nation", "n_nationkey"),)),
     "part": Contract({"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"}, ("p_partkey",), ("p_partkey", "p_name"), ("p_retailprice >= 0", "p_size > 0")),
-    "orders": Contract({"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}, ("o_orderkey",), ("o_orderkey", "o_custkey"), ("o_totalprice >= 0", "o_orderstatus in ('O', 'F', 'P')")),
+    "orders": Contract({"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}, ("o_orderkey",), ("o_orderkey", "o_custkey"), ("o_totalprice >= 0", "o_orderstatus in ('O', 'F', 'P')"), (("o_custkey", "customer", "c_custkey"),)),
     "lineitem": Contract({"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
-                         ("l_orderkey", "l_linenumber"), ("l_orderkey", "l_partkey"), ("l_quantity > 0", "l_discount >= 0 and l_discount <= 1", "l_extendedprice >= 0")),
+                         ("l_orderkey", "l_linenumber"), ("l_orderkey", "l_partkey"), ("l_quantity > 0", "l_discount >= 0 and l_discount <= 1", "l_extendedprice >= 0"), (("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey"))),
     "events": Contract({"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}, ("event_id",), ("event_id", "ts"), ("event_type in ('view', 'click', 'purchase', 'signup')",)),
 }
 
@@ -75,6 +84,23 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (violations(read(spark, sf_dir, name), name, c) for name, c in CONTRACTS.items()))
 
 
+def broken_references(tables: Callable[[str], DataFrame], contracts: dict[str, Contract]) -> DataFrame:
+    """table_name, rule, violations and one value of each reference: how many rows point at nothing. Nulls point nowhere and
+    are no violation."""
+    out = []
+    for name, contract in contracts.items():
+        for column, parent, key in contract.references:
+            rows = tables(name).select(F.col(column).alias("v")).filter("v is not null").join(tables(parent).select(F.col(key).alias("k")), F.col("v") == F.col("k"), "left_anti")
+            out.append(rows.agg(F.lit(name).alias("table_name"), F.lit(f"{column} is in {parent}").alias("rule"), F.count(F.lit(1)).alias("violations"), F.min("v").cast("string").alias("example")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(" union all ".join(f"select '{t}' as table_name, '{c} is in {p}' as rule, count(*) as violations, min({c})::varchar as example from {t} where {c} is not null and not exists (select 1 from {p} where {k} = {c})" for t, x in CONTRACTS.items() for c, p, k in x.references))
+def reference_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All references of the contracts, with what breaks them."""
+    return broken_references(lambda name: read(spark, sf_dir, name), CONTRACTS)
+
+
 EXACT = {"region": 5, "nation": 25}
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from .contracts import Source, register_source
+
 BATCH_ROWS = 4096
 #: Declared types by the words that SQLite's rules of affinity look for, in their order. Fixed values.
 AFFINITY = (("INT", "long"), ("CHAR", "string"), ("CLOB", "string"), ("TEXT", "string"), ("BLOB", "binary"), ("REAL", "double"), ("FLOA", "double"), ("DOUB", "double"))
@@ -182,3 +184,10 @@ def sqlite_table(spark: SparkSession, path: str, table: str, key: str | None = N
     for w in where:
         rows = rows.filter(judged(w))
     return rows.select(*(f"`{c.replace('`', '``')}`" for c in columns or kinds))
+
+
+def sqlite_source(name: str, path: str) -> Source:
+    """A database with all its tables and views as a source that is opened by name; another path overrides its own."""
+    with opened(path) as c:
+        tables = tuple(r[0] for r in c.execute("select name from sqlite_master where type in ('table', 'view') and name not like 'sqlite_%' order by name"))
+    return register_source(Source(name, path, tables, sqlite_table))

@@ -142,3 +142,28 @@ def test_new_files_are_made_once(spark, tmp_path):
     assert storage.create_new(spark, path, "é") and not storage.create_new(spark, path, "x")
     assert storage.read_text(spark, path) == "é" and storage.names(spark, f"{tmp_path}/a") == ["b.json"]
     assert storage.qualified(spark, "/x").startswith("file:")
+
+
+def test_card_and_statistics(spark, tmp_path):
+    """A card while parts are missing and when all are there; statistics as one object; licences come and go."""
+    import json
+
+    given = rows(spark)
+    log = parts.PartLog(spark, str(tmp_path / "d"))
+    configs = spark.createDataFrame([("all", "train", "data/invoice/train-*.parquet", True, 0)], "config string, split string, paths string, is_default boolean, place int")
+    with pytest.raises(ValueError):
+        parts.write_card(log, configs, "Papers", ["invoice"], {})
+    some = three(spark, given)
+    parts.run_parts(log, {"invoice": some["invoice"]}, parts.dataset_state)
+    parts.write_card(log, configs, "Papers", sorted(some), {"a.txt": "MIT", "b.txt": "BSD"})
+    card = (tmp_path / "d/README.md").read_text()
+    assert "# Papers\n\nTypes so far: invoice. To come: other, quote.\n" in card and "- [b.txt](licenses/b.txt)" in card
+    parts.run_parts(log, some, parts.dataset_state)
+    parts.write_card(log, configs, "Papers", sorted(some), {"a.txt": "MIT 2"})
+    assert "Complete: all 3 types are here." in (tmp_path / "d/README.md").read_text()
+    assert [p.name for p in sorted((tmp_path / "d/licenses").iterdir()) if p.name[0] != "."] == ["a.txt"] and (tmp_path / "d/licenses/a.txt").read_text() == "MIT 2"
+    stats = json.loads((tmp_path / "d/stats.json").read_text())
+    want = plain(given)
+    assert stats["by_locale"] == {k: n for (c, k, _), (n, _) in want.items() if c == "by_locale"} and stats["documents"] == {s: n for (c, _, s), (n, _) in want.items() if c == "documents"}
+    assert {s: len(m) for s, m in stats["companies"].items()} == {s: n for (c, _, s), (n, _) in want.items() if c == "companies"}
+    assert stats["by_type_split"]["quote"] == {s: n for (c, k, s), (n, _) in want.items() if c == "by_type_split" and k == "quote"}

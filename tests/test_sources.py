@@ -1,6 +1,10 @@
+import json
+import sqlite3
+
 from pyspark.sql import functions as F
 
-from tallyloom.sources import ingest
+from tallyloom.plans import dataset
+from tallyloom.sources import contracts, ingest, sqlite
 from tallyloom.streaming import events
 
 
@@ -63,3 +67,33 @@ def test_stream_agrees_with_batch(spark, tmp_path):
         events.write_once(stream, "event_id", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
     events.write_once(stream, "event_id", f"{tmp_path}/out", f"{tmp_path}/other").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == table.count()
+
+
+def test_references_and_ddl(spark):
+    tables = {"orders": spark.createDataFrame([(1, 7), (2, 8), (3, None), (4, 9)], "o int, c int"), "customer": spark.createDataFrame([(7,)], "k int")}
+    contract = contracts.Contract({"o": "int", "c": "int"}, ("o",), ("o",), ("o > 0",), (("c", "customer", "k"),))
+    got = contracts.broken_references(tables.get, {"orders": contract}).collect()
+    assert [tuple(r) for r in got] == [("orders", "c is in customer", 2, "8")]
+    assert contract.ddl("orders") == "CREATE TABLE orders (\n  o int NOT NULL,\n  c int,\n  PRIMARY KEY (o),\n  FOREIGN KEY (c) REFERENCES customer (k),\n  CHECK (o > 0)\n)"
+
+
+def test_sqlite_source_by_name(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 5)):
+        c = sqlite3.connect(f"{tmp_path}/{name}.db")
+        c.execute("create table t (k integer)")
+        c.executemany("insert into t values (?)", [(k,) for k in range(n)])
+        c.execute("create view v as select k from t where k > 0")
+        c.commit()
+        c.close()
+    sqlite.sqlite_source("shop", f"{tmp_path}/a.db")
+    assert contracts.open_source("shop").tables == ("t", "v") and contracts.open_source("shop").table(spark, "v").count() == 2
+    assert contracts.open_source("shop", f"{tmp_path}/b.db").table(spark, "t").count() == 5
+    assert contracts.open_source("shop").views(spark) == ["shop_t", "shop_v"] and spark.sql("select sum(k) as s from shop_t").first().s == 3
+
+
+def test_words_beside_documents(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'a "b" é'), (2, None), (3, "")], "doc_id long, text string")
+    for _ in range(2):
+        dataset.write_words(rows, f"{tmp_path}/words")
+    got = {r["doc_id"]: r["words"] for r in (json.loads(x.value) for x in spark.read.text(f"{tmp_path}/words").collect())}
+    assert got == {1: [{"page": 0, "text": t, "bbox": [10.0 * k, 0.0, 10.0 * k + 8, 5.0]} for k, t in enumerate(["a", '"b"', "é"])], 2: None, 3: []}
