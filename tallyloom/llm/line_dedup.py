@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_RUN, bitmap, bits_for, made, maybe_in, remove_tables, whole_text, written
@@ -186,18 +186,22 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs with the lines taken out of the texts that removed_lines() names when each row is a document of its own: rows in
-    the order of their ids, then of a hash of their texts, null ids last. So of rows that share an id or have none, each
-    keeps what no row before it has. Other columns stay, whatever their names. Null texts stay null; a table without rows
-    stays empty.
+    """docs with the lines taken out of the texts that removed_lines() names when each different row is a document of its
+    own: rows in the order of their ids, then of a hash of their texts, null ids last. So of rows that share an id or have
+    none, each keeps what no row before it has; rows that repeat id and text are one document and stay alike. Other columns
+    stay, whatever their names. Null texts stay null; a table without rows stays empty.
 
     A row's key is its place in that order, written once, so that later passes see the same keys."""
     names = {c: f"ld_{k}" for k, c in enumerate(docs.columns)}
-    rows = docs.toDF(*names.values())
-    order = F.col(names[id_col]).cast("long").asc_nulls_last(), F.xxhash64(names[text_col]).asc()
-    rows = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("ld_key", F.monotonically_increasing_id()), "line-rows")
-    gone = removed_lines(rows, "ld_key", names[text_col], least_words).filter("n_removed > 0").select(F.col("ld_key").alias("ld_at"), F.col("removed").alias("ld_gone"))
-    kept = F.array_join(F.filter(F.split(names[text_col], "\n"), lambda line, k: ~F.array_contains("ld_gone", k)), "\n")
-    text = F.when(F.col("ld_gone").isNull(), F.col(names[text_col])).otherwise(kept)
-    joined = rows.join(gone, F.col("ld_key") == F.col("ld_at"), "left")
-    return joined.select(*((text if c == text_col else F.col(k)).alias(c) for c, k in names.items()))
+    rows, text = docs.toDF(*names.values()), F.col(names[text_col])
+    rows = rows.withColumns({"ld_id": F.col(names[id_col]).cast("long"), "ld_h": F.xxhash64(text), "ld_g": F.xxhash64(F.lit(1), text)})
+    order = F.col("ld_id").asc_nulls_last(), F.col("ld_h").asc(), F.col("ld_g").asc()
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("ld_key", F.monotonically_increasing_id())
+    rows = rows.withColumn("ld_first", F.min("ld_key").over(Window.partitionBy("ld_id", "ld_h", "ld_g"))).drop("ld_id", "ld_h", "ld_g")
+    rows = written(rows, "line-rows")
+    different = rows.filter("ld_key = ld_first")
+    gone = removed_lines(different, "ld_key", names[text_col], least_words).filter("n_removed > 0").select(F.col("ld_key").alias("ld_at"), F.col("removed").alias("ld_gone"))
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains("ld_gone", k)), "\n")
+    shown = F.when(F.col("ld_gone").isNull(), text).otherwise(kept)
+    joined = rows.join(gone, F.col("ld_first") == F.col("ld_at"), "left")
+    return joined.select(*((shown if c == text_col else F.col(k)).alias(c) for c, k in names.items()))
