@@ -2,6 +2,7 @@
 
 import decimal
 import pathlib
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import Window
@@ -175,15 +176,21 @@ def test_sql_twins(spark):
         c.sql(f"create view {f.stem} as select * from '{f}'")
     plain = lambda v: f"{v:.9g}" if isinstance(v, float) else str(v)
     sql = registry.oracle_sql()
-    for name, q in registry.queries().items():
+
+    def check(item):
+        name, q = item
         df = q(spark, SF)
         columns = sorted(df.columns)
         rows = sorted(tuple(plain(r[x]) for x in columns) for r in df.collect())
         if name in sql:
-            r = c.sql(sql[name])
+            r = c.cursor().sql(sql[name])
             assert sorted(r.columns) == columns, name
             at = [r.columns.index(x) for x in columns]
             assert rows == sorted(tuple(plain(x[k]) for k in at) for x in r.fetchall()), name
+        return name
+
+    with ThreadPool(4) as pool:  # small jobs, several at a time
+        assert len(pool.map(check, registry.queries().items(), chunksize=1)) == len(registry.queries())
 
 
 def test_nothing_else_imports_the_corpus_operators():
