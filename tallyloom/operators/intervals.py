@@ -30,20 +30,30 @@ def ranges(start: Column, end: Column, widths: int = WIDTHS) -> Column:
         two = F.array(F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), entry(low)), F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), entry(high - 1)))
         return F.when(k < widths, two).otherwise(F.when(low < high, F.transform(F.sequence(low, high - 1), entry)))
 
-    each = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(widths)), lambda k: F.coalesce(of(k), F.array().cast("array<struct<k:int,at:bigint>>"))))
-    return F.filter(each, lambda x: x.isNotNull())
+    top = F.least(F.lit(widths), widest(end - start))  # no range is longer than the interval
+    each = F.flatten(F.transform(F.sequence(F.lit(0), top), lambda k: F.coalesce(of(k), F.array().cast("array<struct<k:int,at:bigint>>"))))
+    return F.when(start < end, F.filter(each, lambda x: x.isNotNull())).otherwise(F.array().cast("array<struct<k:int,at:bigint>>"))
+
+
+def widest(days: Column) -> Column:
+    """The k of the widest dyadic range that fits into so many units; 0 if none does."""
+    return F.length(F.bin(F.greatest(days, F.lit(1)).cast("long"))) - 1
 
 
 def points_in(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, widths: int = WIDTHS) -> DataFrame:
     """Each row of points with each row of intervals of the same keys for which start <= at < end. at, start and end are
     dates or whole numbers. Column names of the two must differ but for the keys. Null keys, points and ends meet nothing."""
-    whole = lambda df, c: F.unix_date(c) if df.schema[c].dataType.simpleString() == "date" else F.col(c).cast("long")
-    held = intervals.withColumn("iv_range", F.explode(ranges(whole(intervals, start).cast("long"), whole(intervals, end).cast("long"), widths)))
-    held = held.withColumns({"iv_k": F.col("iv_range.k"), "iv_at": F.col("iv_range.at")}).drop("iv_range")
-    used = held.agg(F.collect_set("iv_k").alias("used"))  # at most widths + 1 numbers
-    probes = points.withColumn("iv_point", whole(points, at).cast("long")).filter("iv_point is not null")
-    probes = probes.withColumn("iv_used", used.scalar()).withColumn("iv_k", F.explode("iv_used")).withColumn("iv_at", F.call_function("shiftright", F.col("iv_point"), F.col("iv_k")))
-    return probes.join(held, [*keys, "iv_k", "iv_at"]).drop("iv_k", "iv_at", "iv_point", "iv_used")
+    whole = lambda df, c: (F.unix_date(c) if df.schema[c].dataType.simpleString() == "date" else F.col(c)).cast("long")
+    first, last = whole(intervals, start), whole(intervals, end)
+    held = intervals.withColumn("iv_range", F.explode(ranges(first, last, widths)))
+    held = held.select([F.col(c).alias(f"iv_of_{c}") if c in keys else F.col(c) for c in intervals.columns] + [F.col("iv_range.k").alias("iv_k"), F.col("iv_range.at").alias("iv_at")])
+    top = intervals.agg(F.least(F.lit(widths), F.max(widest(last - first))).alias("top"))  # one number
+    point = whole(points, at)
+    probes = points.filter(point.isNotNull()).select("*", F.explode(F.sequence(F.lit(0), F.coalesce(top.scalar(), F.lit(0)))).alias("iv_p"))
+    same = [F.col(c) == F.col(f"iv_of_{c}") for c in keys] + [F.col("iv_p") == F.col("iv_k"), F.call_function("shiftright", point, F.col("iv_p")) == F.col("iv_at")]
+    # Spark's estimate doesn't know how many rows a list of ranges gives: it would broadcast tables of any size.
+    met = probes.join(held.hint("merge"), same)
+    return met.select(*keys, *(c for c in points.columns if c not in keys), *(c for c in intervals.columns if c not in keys))
 
 
 def overlaps(left: DataFrame, right: DataFrame, keys: list[str], l_start: str, l_end: str, r_start: str, r_end: str) -> DataFrame:

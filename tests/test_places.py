@@ -57,6 +57,15 @@ def test_ranges_are_few_and_exact(spark):
         assert sorted(covered) == list(range(s, e)) and len(pieces) <= 26
 
 
+def test_ranges_are_not_broadcast(spark):
+    """However small Spark takes a table of intervals to be, the rows of its ranges don't pass through the driver."""
+    p = spark.range(50).select(F.col("id").alias("k"), F.lit(5).alias("at"))
+    q = spark.range(50).select(F.col("id").alias("k"), F.lit(0).alias("s"), (F.col("id") + 1).alias("e"))
+    got = intervals.points_in(p, q, ["k"], "at", "s", "e")
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in got.collect()) == list(range(5, 50))
+
+
 def test_overlaps(spark):
     r = random.Random(10)
     span = lambda k: (k, r.choice([1, 2]), *[(d := r.randint(0, 60)), d + r.choice([-2, 0, 1, 5, 30])])
