@@ -26,8 +26,14 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Bytes of a word from which on merging uses a heap.
 LONG_WORD = 96
 
-#: Words whose tokens a task remembers; beyond it starts afresh. Bounds the memory, not the result.
-REMEMBERED = 40_000
+#: Stands for a pair that doesn't merge.
+NONE = 1 << 62
+
+#: Words whose tokens a task remembers before it lays them aside; of those laid aside before, it keeps what it met since.
+#: Bounds the memory, not the result.
+REMEMBERED = 200_000
+#: The same for pairs of tokens, beyond which it starts afresh.
+PAIRS_REMEMBERED = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,6 +53,8 @@ class Vocabulary:
         self.ids = {as_bytes(s): i for s, i in file["model"]["vocab"].items()}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in file["model"]["merges"]]
         self.merges = {(self.ids[as_bytes(a)], self.ids[as_bytes(b)]): (rank, self.ids[as_bytes(a) + as_bytes(b)]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        #: Rank and token as one number, which sorts like the rank.
+        self.coded = {pair: rank << 32 | new for pair, (rank, new) in self.merges.items()}
         self.added = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
         del file, pairs
         size = 1 + max(chain(self.ids.values(), self.added.values()))
@@ -67,20 +75,17 @@ class Vocabulary:
         ids = [self.byte_ids[b] for b in word]
         if len(ids) > LONG_WORD:
             return self.merged_by_heap(ids)
-        none = (1 << 60, -1)
-        while len(ids) > 1:
-            rank, new = min(map(lambda a, b: self.merges.get((a, b), none), ids, ids[1:]))
-            if new < 0:
-                break
-            out, k, last = [], 0, len(ids) - 1
-            while k <= last:
-                if k < last and self.merges.get((ids[k], ids[k + 1]), none)[0] == rank:
-                    out.append(new)
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
+        get = self.coded.get
+        pairs = [get(pair, NONE) for pair in zip(ids, ids[1:])]
+        while pairs and (least := min(pairs)) != NONE:
+            k = pairs.index(least)
+            new = least & 0xFFFFFFFF
+            ids[k : k + 2] = [new]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = get((ids[k - 1], new), NONE)
+            if k < len(pairs):
+                pairs[k] = get((new, ids[k + 1]), NONE)
         return tuple(ids)
 
     def merged_by_heap(self, ids: list[int]) -> tuple[int, ...]:
@@ -124,6 +129,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.known: dict[str, tuple[int, ...]] = {}
+        self.aside: dict[str, tuple[int, ...]] = {}  # words known before, until they are met again
         self.pairs = np.zeros(0, np.uint64)  # sorted
         self.fits = np.zeros(0, bool)
         self.failed = self.speculated = 0
@@ -143,10 +149,14 @@ class Encoder:
         return self.fits[np.searchsorted(self.pairs, unique)][back]
 
     def learn(self, words: Iterable[str]) -> None:
-        words = [w for w in dict.fromkeys(words) if w not in self.known]
+        known, aside = self.known, self.aside
+        words = [w for w in dict.fromkeys(words) if w not in known]
+        if aside:
+            known.update((w, aside[w]) for w in words if w in aside)
+            words = [w for w in words if w not in known]
         if not words:
             return
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > PAIRS_REMEMBERED:
             self.pairs, self.fits = self.pairs[:0], self.fits[:0]
         raw = [w.encode() for w in words]
         tokens = [self.v.proposed(b) for b in raw]
@@ -161,13 +171,13 @@ class Encoder:
         self.speculated += len(tokens)
         self.failed += int(bad.sum())
         for w, b, ids, wrong in zip(words, raw, tokens, bad.tolist()):
-            self.known[w] = self.v.merged(b) if wrong else tuple(ids)
+            known[w] = self.v.merged(b) if wrong else tuple(ids)
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, added tokens in the text as their own ids."""
         pieces = [self.pieces(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.aside = {}, self.known
         self.learn(chain.from_iterable(w for p in pieces for w, _ in p))
         known, out = self.known, []
         for p in pieces:
@@ -181,7 +191,7 @@ class Encoder:
 
     def forget(self) -> None:
         """Frees what a task has learned; the worker stays for other tasks."""
-        self.known.clear()
+        self.known, self.aside = {}, {}
         self.pairs, self.fits = self.pairs[:0].copy(), self.fits[:0].copy()
 
     def pieces(self, text: str) -> list[tuple[list[str], int | None]]:

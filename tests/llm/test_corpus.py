@@ -301,6 +301,17 @@ def test_bpe_long_words():
     assert time.time() - began < 10
 
 
+def test_bpe_keeps_words_it_meets_again(monkeypatch):
+    """A memory that is full costs a word that comes again no second learning; the ids stay the library's."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    t, e = Tokenizer.from_file(vocabulary_path()), bpe.Encoder(bpe.Vocabulary(open(vocabulary_path(), encoding="utf-8").read()))
+    texts = [f"always the samewordish {' '.join(f'zq{k}x{j}' for j in range(9))}" for k in range(12)]
+    assert [e.encode_batch([x])[0] for x in texts] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert e.speculated == len({w for x in texts for w in e.v.split.findall(x)})
+
+
 def test_bpe_falls_back(spark):
     v = bpe.Vocabulary(open(vocabulary_path(), encoding="utf-8").read())
     e = bpe.Encoder(v)
