@@ -29,6 +29,13 @@ def test_tax_policy(spark):
         assert got[m, l, c] == D(want), (m, l, c)
 
 
+def test_lines_are_made_once_for_strings_and_pages(spark):
+    """The check reads each table as often as the strings that it checks, and the orders once more."""
+    reads = lambda q: q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert reads(printed.required_strings) <= 10  # lines with parts and heads, heads, taxes of the source
+    assert reads(printed.check_printed) == reads(printed.required_strings) + 1
+
+
 def test_checked(spark):
     """A field that isn't on the page is missing, hyphens and spaces aside; an empty value needn't be there; arithmetic fails
     a document whose strings are all there."""
