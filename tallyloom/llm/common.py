@@ -136,15 +136,17 @@ def bits_for(keys: int) -> int:
 
 
 def maybe_in(df: DataFrame, key: Column, members: DataFrame, bits: int, flag: str) -> DataFrame:
-    """Adds the boolean column flag: false only if key isn't in the bitmap's set. No shuffle of df."""
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
-    df = df.withColumn("bm_at", at).withColumn("bm_row", F.floor(F.col("bm_at") / BITMAP_ROW).cast("long"))
-    bit = F.col("bm_at") % BITMAP_ROW
-    byte = F.conv(F.hex(F.expr("substring(bm_bits, cast((bm_at % 32768) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    """Adds the boolean column flag: false only if key isn't in the bitmap's set. No shuffle of df. A bitmap's row is turned
+    into 512 numbers once, so that a look-up is an element and a bit of it."""
+    half = lambda at: F.conv(F.hex(F.substring("bm_bits", at, F.lit(4))), 16, 10).cast("long")
+    words = F.transform(F.sequence(F.lit(1), F.lit(BITMAP_ROW // 8 - 7), F.lit(8)), lambda at: F.shiftleft(half(at), 32).bitwiseOR(half(at + 4)))
+    df = df.withColumn("bm_at", F.pmod(F.xxhash64(key), F.lit(bits))).withColumn("bm_row", F.floor(F.col("bm_at") / BITMAP_ROW).cast("long"))
+    bit = F.col("bm_at").bitwiseAND(F.lit(BITMAP_ROW - 1))
+    place = (56 - bit.bitwiseAND(F.lit(56)) + bit.bitwiseAND(F.lit(7))).cast("int")  # a number's first byte is its highest
     return (
-        df.join(F.broadcast(members), "bm_row", "left")
-        .withColumn(flag, F.col("bm_bits").isNotNull() & (F.getbit(byte, (bit % 8).cast("int")) == 1))
-        .drop("bm_at", "bm_row", "bm_bits")
+        df.join(F.broadcast(members.select("bm_row", words.alias("bm_words"))), "bm_row", "left")
+        .withColumn(flag, F.coalesce(F.getbit(F.get("bm_words", F.shiftright(bit, 6).cast("int")), place) == 1, F.lit(False)))
+        .drop("bm_at", "bm_row", "bm_words")
     )
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, components, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, shingles, telephony, url_filter
+from tallyloom.llm import bpe, common, components, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secrets_scan, shingles, telephony, url_filter
 from tallyloom.llm.queries import LISTED_HOSTS, RULES, op9_line_dedup, vocabulary_path
 
 from .cases import DOCS, documents, low, words
@@ -263,6 +263,28 @@ def test_line_dedup_with_many_near_copies(spark):
     assert got == brute_lines(rows)
 
 
+def test_line_dedup_sends_entries_once(spark, docs):
+    """Lines of sets of one line don't cross the network to meet their set, and the search for all candidates shuffles the
+    entries once."""
+    wide = spark.createDataFrame([(1, 0, 2, 7, 8, 0, [5]), (2, 0, 2, 9, 9, 0, [5])], "doc long, line_no int, n int, s1 long, s2 long, p long, pairs array<long>")
+    sets = spark.createDataFrame([(7, 8, 1, 0, 1), (9, 9, 2, 0, 1)], "s1 long, s2 long, doc long, line_no int, many long")
+    firsts = line_dedup.first_copies(wide, sets)
+    assert "LeftSemi" not in firsts._jdf.queryExecution().optimizedPlan().toString()
+    entries = line_dedup.shared_entries(firsts)
+    gone = spark.createDataFrame([(1, 0)], "doc long, line_no int")
+    met = line_dedup.pairs_of_open(line_dedup.marked_entries(entries, gone))
+    assert [tuple(r) for r in met.collect()] == [(1, 0, 2, 0)]
+    assert line_dedup.pairs_of_open(line_dedup.marked_entries(entries, spark.createDataFrame([(2, 0)], "doc long, line_no int"))).count() == 0
+
+
+def test_bitmaps_hold_their_keys(spark):
+    """Every key of the set is found, whatever bit it falls on, and few others are."""
+    keys, others = spark.range(3000), spark.range(3000, 6000)
+    bits = common.bits_for(3000)
+    found = lambda df: common.maybe_in(df, F.col("id"), common.bitmap(keys, "id", bits), bits, "maybe").filter("maybe").count()
+    assert found(keys) == 3000 and found(others) < 600
+
+
 def test_line_dedup_is_native(docs):
     text = line_dedup.removed_lines(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", text)
