@@ -30,6 +30,8 @@ SHORT_RUN = 8
 #: Share of segments beyond those that the pigeonhole needs.
 SPARE = 1.18
 PARITY_WORDS = 8
+#: Sets of so many elements also carry parities in four times as many words, as the others hardly tell them apart.
+WIDE_FROM, WIDE_WORDS = 384, 32
 BOTH, ASKS, LISTED = 0, 1, 2  # how an entry takes part: as both sides, as the asking side, as the indexed side
 
 
@@ -112,6 +114,14 @@ def parity_of(s: np.ndarray) -> np.ndarray:
     return (bits.reshape(PARITY_WORDS, 64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
 
 
+def wide_parity_of(s: np.ndarray) -> np.ndarray | None:
+    """2048 bits of the same kind, for large sets only."""
+    if len(s) < WIDE_FROM:
+        return None
+    bits = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=64 * WIDE_WORDS).astype(np.uint64) & np.uint64(1)
+    return (bits.reshape(WIDE_WORDS, 64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
+
+
 def sketch_of(s: np.ndarray) -> bytes:
     """The same with at least as many bits as elements (a power of two), so that long sets are told apart as well."""
     size = max(512, 1 << (len(s) - 1).bit_length()) if len(s) else 512
@@ -127,7 +137,7 @@ def sketches_fit(a: bytes, b: bytes, na: int, nb: int) -> bool:
 
 
 PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
-SET = "doc_id long, n long, ref long, sketch binary, " + ", ".join(f"{p} long" for p in PARITY)
+SET = "doc_id long, n long, ref long, sketch binary, wide array<long>, " + ", ".join(f"{p} long" for p in PARITY)
 
 
 def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -137,9 +147,9 @@ def name_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(len(s), name_of(s), sketch_of(s), parity_of(s)) for s in text_sets(batch.column(1))]
+            sets = [(len(s), name_of(s), sketch_of(s), wide_parity_of(s), parity_of(s)) for s in text_sets(batch.column(1))]
             parities = np.array([p for *_, p in sets], np.int64).reshape(len(sets), PARITY_WORDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64()), pa.array([x[2] for x in sets], pa.binary()), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64()), pa.array([x[2] for x in sets], pa.binary()), pa.array([x[3] for x in sets], pa.list_(pa.int64())), *(pa.array(parities[:, k]) for k in range(PARITY_WORDS))], names=names)
         forget()
 
     return map_in_arrow(rows, run, SET)
@@ -303,7 +313,9 @@ def hits_of(entries: DataFrame) -> DataFrame:
 def can_link(a: str, b: str) -> str:
     """Size and parity filters as SQL; they only reject pairs that can't link."""
     bits = " + ".join(f"bit_count({a}.{p} ^ {b}.{p})" for p in PARITY)
-    return f"4 * least({a}.n, {b}.n) >= 3 * greatest({a}.n, {b}.n) and {bits} <= {a}.n + {b}.n - 2 * ((3 * ({a}.n + {b}.n) + 6) div 7)"
+    most = f"{a}.n + {b}.n - 2 * ((3 * ({a}.n + {b}.n) + 6) div 7)"
+    wide = f"aggregate(zip_with({a}.wide, {b}.wide, (v, w) -> bit_count(v ^ w)), 0, (s, c) -> s + c)"  # null if one has none
+    return f"4 * least({a}.n, {b}.n) >= 3 * greatest({a}.n, {b}.n) and {bits} <= {most} and coalesce({wide} <= {most}, true)"
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -383,7 +395,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     relieve_executors(docs.sparkSession)
     named = written(name_sets(docs, id_col, text_col), "sets")
     usable = named.filter("n > 0 and doc_id is not null")
-    classes = written(usable.groupBy("ref").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("sketch").alias("sketch"), *(F.max(p).alias(p) for p in PARITY)), "classes")
+    classes = written(usable.groupBy("ref").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("sketch").alias("sketch"), F.max("wide").alias("wide"), *(F.max(p).alias(p) for p in PARITY)), "classes")
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(shingles * 0.8 / BUCKET_ENTRIES))
     relieve_executors(docs.sparkSession)

@@ -177,6 +177,17 @@ def test_shingles_respect_texts():
     assert shingles.name_of(sets[0]) == shingles.name_of(sets[4]) != shingles.name_of(sets[5])
 
 
+def test_wide_parities_tell_large_sets_apart(spark):
+    """Of large sets those that differ in too much are rejected before they are candidates, those that link never are."""
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, 1500).astype(np.uint64)
+    sets = [base, np.concatenate([base[210:], r.integers(0, 1 << 63, 200).astype(np.uint64)]), np.concatenate([base[750:], r.integers(0, 1 << 63, 750).astype(np.uint64)]), base[:380], base[:390]]
+    rows = [(k, len(x), None if (w := ngram_join.wide_parity_of(x)) is None else w.tolist(), *ngram_join.parity_of(x).tolist()) for k, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "ref long, n long, wide array<long>, " + ", ".join(f"{p} long" for p in ngram_join.PARITY))
+    met = df.alias("a").join(df.alias("b"), F.expr("a.ref < b.ref and " + ngram_join.can_link("a", "b")))
+    assert {(x[0], x[1]) for x in met.select("a.ref", "b.ref").collect()} == {(0, 1), (3, 4)}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (300, 301), (301, 302), (302, 300)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
