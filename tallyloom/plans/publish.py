@@ -147,11 +147,23 @@ def folders(path: Column) -> Column:
 
 def deletions(remote: DataFrame, stale: DataFrame) -> DataFrame:
     """What to delete so that the stale paths go: the outermost folders that hold nothing else, and the other files."""
-    kept = remote.select("path").join(stale.select("path"), "path", "left_anti")
-    needed = kept.select(F.explode(folders(F.col("path"))).alias("needed")).distinct()
-    above = stale.select("path", F.posexplode_outer(folders(F.col("path"))).alias("depth", "folder"))
-    free = above.join(needed, F.col("folder") == F.col("needed"), "left").groupBy("path").agg(F.min_by("folder", F.when(F.col("needed").isNull() & F.col("folder").isNotNull(), F.col("depth"))).alias("folder"))
-    return free.select(F.coalesce("folder", "path").alias("path")).distinct()
+    return outermost(remote.select("path").join(stale.select("path"), "path", "left_anti"), stale)
+
+
+def outermost(kept: DataFrame, stale: DataFrame) -> DataFrame:
+    """The same of the paths that stay and those that go. What can go above a file depends on its folder only, so folders are
+    judged, not paths, and are written before files meet them: their files' size shows Spark whether they are few."""
+    spark, own = stale.sparkSession, F.regexp_extract("path", "(?s)^.*/", 0)
+    above = lambda df: df.select(own.alias("own")).distinct()
+    all_of = folders(F.concat("own", F.lit("x")))
+    needed = above(kept).select(F.explode(all_of).alias("needed")).distinct()
+    each = above(stale).select("own", F.posexplode_outer(all_of).alias("depth", "folder")).join(needed, F.col("folder") == F.col("needed"), "left")
+    free = each.groupBy("own").agg(F.min_by("folder", F.when(F.col("needed").isNull() & F.col("folder").isNotNull(), F.col("depth"))).alias("folder"))
+    path = storage.work_folder(spark, "folders")
+    free.write.parquet(path)
+    free = spark.read.schema("own string, folder string").parquet(path)
+    files = stale.select("path", own.alias("own")).join(free.filter("folder is null").select("own"), "own", "left_semi")
+    return free.filter("folder is not null").select(F.col("folder").alias("path")).unionByName(files.select("path")).distinct()
 
 
 SYNC_SQL = f"""{ROWS_SQL},
@@ -161,7 +173,9 @@ mine as (select 'data/' || doc_type || '/' || split || '/' || okey || '.json' as
 
 
 def sync_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows, k = rows_of(spark, sf_dir), F.col("okey")
+    k, held = F.col("okey"), storage.work_folder(spark, "records")
+    rows_of(spark, sf_dir).select("okey", "doc_type", "split", "total").write.parquet(held)  # made once for both sides
+    rows = spark.read.parquet(held)
     path = F.concat(F.lit("data/"), "doc_type", F.lit("/"), "split", F.lit("/"), "okey", F.lit(".json"))
     hash_ = lambda x: F.sha1(F.concat(F.lit("blob "), F.length(x), F.char(F.lit(1)), x))
     readme = spark.range(1).select(F.lit("readme.md").alias("path"), F.lit("r").alias("hash"))
@@ -183,7 +197,7 @@ free as (select path, arg_min(folder, i) as folder from f where not exists (sele
 select distinct coalesce(folder, s.path) as path from stale s left join free on free.path = s.path""")
 def sync_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     mine, hub = sync_tables(spark, sf_dir)
-    return deletions(hub, hub.join(mine, "path", "left_anti"))
+    return outermost(hub.join(mine, "path", "left_semi"), hub.join(mine, "path", "left_anti"))
 
 
 ROWS_A_GROUP = 100

@@ -102,6 +102,12 @@ def test_deletions_against_brute_force(spark):
         assert {x.path for x in publish.deletions(df(paths), df(stale)).collect()} == want
 
 
+def test_records_are_made_once_for_both_sides(spark):
+    """Neither the lines nor the paths' folders are computed again for what stays and what goes."""
+    plan = publish.sync_deletions(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "lineitem" not in plan and "explode" not in plan
+
+
 def test_sync_plan_and_blob(spark):
     hashes = lambda rows: spark.createDataFrame(rows, "path string, hash string")
     got = {r.path: r.action for r in publish.sync_plan(hashes([("a", "1"), ("b", "2"), ("c", "3")]), hashes([("b", "2"), ("c", "9"), ("d", "4")])).collect()}
