@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.locales import LOCALES, Locale, by_locale
 from ..registry import query
+from ..sources.tables import by_order
 from .documents import PACKED_SQL, packed_lines
 from .options import ALL_TYPES, BY_TYPE
 from .printed import PRINTED_SQL, modes, printed_lines
@@ -105,13 +106,12 @@ select 'invoice' as document, okey, shown_no as row_no, {_cells_sql("invoice", {
 union all select 'packing_slip', okey, line_no, {_cells_sql("packing_slip", {"extra.shipped": "(qty - back)", "extra.backordered": "back"})} from s""")
 def printed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of invoices and packing slips, cell by cell as printed."""
-    k = F.col("okey")
+    sf_dir, k = by_order(spark, sf_dir), F.col("okey")
     m = modes(spark, sf_dir).select(k.alias("mode_key"), "locale", "currency", ALL_TYPES["show_tax_column"].drawn("show_tax_column", "okey").alias("show_tax_column"), BY_TYPE["packing_slip"]["show_unit"].drawn("show_unit", "okey").alias("show_unit"))
     lines = printed_lines(spark, sf_dir).join(m.drop("show_unit", "locale", "currency"), k == F.col("mode_key"))
     i = lines.select(k, F.col("shown_no").alias("row_no"), "locale", "currency", "show_discount", "show_tax_column", F.col("part").alias("sku"), F.col("p_name").alias("description"), F.col("qty").alias("quantity"), "unit_price", F.col("discount").alias("discount_rate"), F.col("rate").alias("tax_rate"), "line_total")
-    short = packed_lines(spark, sf_dir)
-    back = short.groupBy(k.alias("b_key")).agg(F.bool_or(F.col("back") > 0).alias("has_backorder"))
-    short = short.join(back, k == F.col("b_key")).join(m.drop("show_tax_column"), k == F.col("mode_key"))
+    short = packed_lines(spark, sf_dir).withColumn("has_backorder", F.bool_or(F.col("back") > 0).over(Window.partitionBy("okey")))
+    short = short.join(m.drop("show_tax_column"), k == F.col("mode_key"))
     extra = F.struct((F.col("qty") - F.col("back")).alias("shipped"), F.col("back").alias("backordered"))
     s = short.select(k, F.col("line_no").cast("long").alias("row_no"), "locale", "currency", "show_unit", "has_backorder", F.col("part").alias("sku"), F.col("p_name").alias("description"), F.lit("EA").alias("unit"), F.col("qty").alias("quantity"), extra.alias("extra"))
     made = [cells(rows, COLUMNS[document]).select(F.lit(document).alias("document"), "okey", "row_no", joined(F.col("cells")).alias("cells")) for document, rows in (("invoice", i), ("packing_slip", s))]

@@ -6,7 +6,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import documents, required
+from tallyloom.operators import columns, documents, required
 from tallyloom.sources.tables import by_order, numbered, order_headers, priced_lines, read
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +54,6 @@ def test_facts_of_orders_lie_with_their_order(spark):
     assert "Exchange hashpartitioning" not in plan.toString()
 
 
-@pytest.mark.parametrize("query", [required.required_all, required.check_documents])
+@pytest.mark.parametrize("query", [columns.printed_cells, required.required_all, required.check_documents])
 def test_lines_are_read_and_joined_once(spark, query):
     assert scans(query(spark, SF), "lineitem") == 0
