@@ -365,14 +365,32 @@ def agreeing(hits: DataFrame) -> DataFrame:
     return rows.filter(F.col("agree") + F.coalesce("unseen", F.lit(0)) >= F.col("need")).select("a", "b")
 
 
-def mixed_runs(hits: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the long runs that hold sets of more than one component; the others have nothing more to tell."""
-    members = hits.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("ref"), F.col("na").alias("how"), F.col("nb").alias("n"), "spare")
-    members = members.join(roots.select(F.col("node").alias("r_node"), "root"), F.col("ref") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "ref")).drop("r_node")
+def long_runs(hits: DataFrame) -> DataFrame:
+    """key, ref, how, n, spare: members of the long runs."""
+    return hits.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("ref"), F.col("na").alias("how"), F.col("nb").alias("n"), "spare")
+
+
+def mixed_runs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of the long runs' members whose run holds sets of more than one component; the others have nothing more to
+    tell."""
+    members = members.select("key", "ref", "how", "n", "spare").join(roots.select(F.col("node").alias("r_node"), "root"), F.col("ref") == F.col("r_node"), "left")
+    members = members.withColumn("root", F.coalesce("root", "ref")).drop("r_node")
     runs = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("members")).filter("r0 <> r1").select(F.col("key").alias("m_key"), "members")
     return members.join(runs, F.col("key") == F.col("m_key")).drop("m_key")
 
 
+def with_hubs(mixed: DataFrame) -> DataFrame:
+    """Candidates of those runs: each member with its run's hub, the listed set that stands in most and longest runs, if
+    that is in another component. In a group of near copies this is the set closest to what all are made of, which links
+    with most that link at all; a member makes one row a run, however large the group is."""
+    listed = mixed.filter(f"how <> {ASKS}")
+    weights = listed.groupBy(F.col("ref").alias("w_ref")).agg(F.sum("members").alias("weight"))
+    weighed = listed.select("key", "ref", "root").join(weights, F.col("ref") == F.col("w_ref"))
+    hubs = weighed.groupBy(F.col("key").alias("h_key")).agg(F.max(F.struct("weight", "ref", "root")).alias("hub"))
+    met = mixed.join(hubs, (F.col("key") == F.col("h_key")) & (F.col("root") != F.col("hub.root")))
+    return met.select(F.least("ref", "hub.ref").alias("a"), F.greatest("ref", "hub.ref").alias("b")).distinct()
+
+
 def across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """Candidates of those runs: each asking set gives up its longest runs as far as its other segments suffice, and
     meets the listed sets of the rest that are in another component."""
@@ -402,12 +420,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = written(hits_of(packed_entries(docs, text_col, buckets)), "hits")
     edges = written(verified(agreeing(hits), classes, docs, id_col, text_col), "links")
     roots = written(components(edges), "roots")
-    mixed = written(mixed_runs(hits, roots), "mixed-runs")
-    if not mixed.isEmpty():
+    mixed = written(mixed_runs(long_runs(hits), roots), "mixed-runs")
+    for candidates in (with_hubs, lambda left: across(left, classes)):  # the second finds all; the first leaves it few
+        if mixed.isEmpty():
+            break
         relieve_executors(docs.sparkSession)
-        more = written(verified(across(mixed, classes), classes, docs, id_col, text_col), "links")
+        more = written(verified(candidates(mixed), classes, docs, id_col, text_col), "links")
         if not more.isEmpty():
-            roots = written(components(edges.union(more)), "roots")
+            edges = edges.union(more)
+            roots = written(components(edges), "roots")
+            if candidates is with_hubs:
+                mixed = written(mixed_runs(mixed, roots), "mixed-runs")
     top = roots.join(classes.select("ref", "doc"), F.col("node") == F.col("ref"))
     least = top.groupBy("root").agg(F.min("doc").alias("least"))
     final = top.select("node", "root").join(least, "root").select(F.col("node").alias("f_ref"), "least")

@@ -124,6 +124,21 @@ def test_tiny_sets_with_deletions(spark):
     assert sorted(r.doc_id for r in ngram_join.one_of_each(df).collect()) == sorted({c for _, _, c in brute_components(rows)})
 
 
+def test_hubs_link_groups_of_near_copies(spark, monkeypatch):
+    """Copies that each change another part of one text link with it and not with each other. They meet it as the hub of
+    their runs, whatever their names, so that no run is left to be searched pair by pair."""
+    base = [f"w{k}" for k in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 31):
+        rows.append((k, " ".join(f"x{k}.{j}" if j in range(k * 3, 200, 48) else w for j, w in enumerate(base))))
+    left = []
+    across = ngram_join.across
+    monkeypatch.setattr(ngram_join, "across", lambda mixed, classes: left.append(mixed.count()) or across(mixed, classes))
+    got = as_counter(ngram_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute_components(rows) and len({c for _, _, c in got}) == 1
+    assert not left
+
+
 @pytest.mark.parametrize("n", [5, 7, 9, 12, 16, 23, 40, 90, 300])
 def test_segments_find_every_link(n):
     """Two sets that link share the key of an asked segment, whatever elements differ; and at least spare + 1 of them."""
