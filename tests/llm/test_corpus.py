@@ -289,6 +289,44 @@ def test_line_dedup_with_many_near_copies(spark):
     assert got == brute_lines(rows)
 
 
+def test_long_unlike_lines_are_no_candidates(spark):
+    """Lines of many words that share a few pairs and no more don't ask for their texts; similar ones do."""
+    import random
+
+    r = random.Random(5)
+    words = [f"w{k}" for k in range(5000)]
+    common, texts = r.sample(words, 4), []
+    for _ in range(40):
+        texts.append(" ".join(common + r.sample(words, 150)))
+    near = texts[0].split()
+    texts.append(" ".join(near[:-8] + ["other"] * 3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wide = line_dedup.line_sets(docs, "doc_id", "text")
+    lines = wide.selectExpr("doc", "shiftleft(cast(line_no as bigint), 32) | n as ln", "p", "q0", "q1", "q2", "pairs")
+    entries = lines.select("doc", "ln", "p", "q0", "q1", "q2", F.posexplode("pairs").alias("i", "pair"))
+    met = line_dedup.pairs_of_open(entries.withColumn("until", F.col("doc"))).distinct().collect()
+    assert [(x.a_doc, x.b_doc) for x in met] == [(0, 40)]
+    got = {x.doc_id: (x.n_lines, x.removed) for x in line_dedup.removed_lines(docs).collect()}
+    assert got == brute_lines(list(enumerate(texts))) and got[40][1] == [0]
+
+
+def test_rounds_of_pairs_decide_nothing(spark, docs, rows, monkeypatch):
+    """The result is the same in many rounds, and each has a bounded share of the entries."""
+    sizes, dealt = [], line_dedup.rounds
+
+    def watched(entries, lines):
+        parts = dealt(entries, lines)
+        sizes.append((entries.count(), [p.count() for p in parts]))
+        return parts
+
+    monkeypatch.setattr(line_dedup, "ENTRIES_A_LINE", 0.5)
+    monkeypatch.setattr(line_dedup, "ENTRIES_A_ROUND", 1)
+    monkeypatch.setattr(line_dedup, "rounds", watched)
+    assert {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.removed_lines(docs).collect()} == brute_lines(rows)
+    (total, each), = sizes
+    assert len(each) > 2 and sum(each) == total and max(each) < total / 2
+
+
 def test_line_dedup_sends_entries_once(spark, docs):
     """Lines of sets of one line don't cross the network to meet their set, and the search for all candidates shuffles the
     entries once."""
