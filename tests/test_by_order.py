@@ -57,3 +57,17 @@ def test_facts_of_orders_lie_with_their_order(spark):
 @pytest.mark.parametrize("query", [columns.printed_cells, required.required_all, required.check_documents])
 def test_lines_are_read_and_joined_once(spark, query):
     assert scans(query(spark, SF), "lineitem") == 0
+
+
+def test_buckets_grow_with_the_lines(spark, monkeypatch):
+    """A task sorts the strings of a bucket, so a bucket's lines are bounded; facts still lie with their order."""
+    monkeypatch.setattr("tallyloom.sources.tables.LINES_A_BUCKET", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ready = by_order(spark, SF)
+        n = -(-read(spark, SF, "lineitem").count() // 500)
+        assert n > 8 and ready.lines.rdd.getNumPartitions() == ready.orders.rdd.getNumPartitions() == n
+        assert max(ready.lines.select("okey").rdd.glom().map(len).collect()) < 1000
+        assert "Exchange hashpartitioning" not in planned(required.facts_of_orders(spark, ready)).toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
